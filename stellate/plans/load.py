@@ -180,7 +180,10 @@ def read_targets(spark: SparkSession, paths: dict[str, str], schema: StarSchema)
     out = {}
     for m in (schema.dimension, *schema.facts):
         if m.name in paths:
-            df = spark.read.parquet(paths[m.name])
+            s = m.schema()
+            if m is not schema.dimension:
+                s = s.add(PARTITION, "string")
+            df = spark.read.schema(s).parquet(paths[m.name])
             out[m.name] = df.select(*[c.target for c in m.all_columns])
     return out
 

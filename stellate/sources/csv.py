@@ -80,7 +80,9 @@ def read_text_csv(
         .option("multiLine", multiline)
     )
     if keep_quoted_empty:
-        reader = reader.option("emptyValue", "")
+        # With a sentinel null marker, an unquoted empty cell still reads as NULL while a
+        # quoted one keeps its '' (the default folds both into NULL).
+        reader = reader.option("nullValue", "\u0001")
     return reader.csv(path)
 
 
