@@ -34,7 +34,7 @@ from stellate.functions import expressions as X
 IN_TARGET = "__in_target"
 IN_SOURCE = "__in_source"
 
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+DEFAULT_BROADCAST_LIMIT = 10 * 1024 * 1024
 
 
 def _value_columns(target: DataFrame, keys: Sequence[str], columns: Sequence[str] | None) -> list[str]:
@@ -83,7 +83,7 @@ def update_existing(
     )
 
 
-def _estimated_row_bytes(schema: T.StructType) -> int:
+def estimated_row_bytes(schema: T.StructType) -> int:
     fixed = {T.LongType: 8, T.DoubleType: 8, T.IntegerType: 4, T.DateType: 4, T.TimestampType: 8, T.BooleanType: 1}
     width = 16
     for f in schema.fields:
@@ -91,6 +91,20 @@ def _estimated_row_bytes(schema: T.StructType) -> int:
     return width
 
 
+def broadcast_limit(spark) -> int:
+    """The session's broadcast threshold in bytes (``spark.sql.autoBroadcastJoinThreshold``),
+    or ``DEFAULT_BROADCAST_LIMIT``; ``-1`` (broadcast disabled) gives 0."""
+    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    if raw is None:
+        return DEFAULT_BROADCAST_LIMIT
+    raw = str(raw).strip().lower()
+    mult = {"b": 1, "k": 1024, "kb": 1024, "m": 1024**2, "mb": 1024**2, "g": 1024**3, "gb": 1024**3}
+    for suffix in sorted(mult, key=len, reverse=True):
+        if raw.endswith(suffix):
+            return max(0, int(float(raw[: -len(suffix)]) * mult[suffix]))
+    return max(0, int(raw))
+
+
 def source_fits_broadcast(source: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> bool:
     """Checked size bound: counts the source rows and multiplies by an estimated row width.
 
@@ -99,7 +113,7 @@ def source_fits_broadcast(source: DataFrame, limit_bytes: int = DEFAULT_BROADCAS
     """
     if limit_bytes <= 0:
         return False
-    return source.count() * _estimated_row_bytes(source.schema) <= limit_bytes
+    return source.count() * estimated_row_bytes(source.schema) <= limit_bytes
 
 
 def upsert(

@@ -148,3 +148,38 @@ def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderdate",
         "o_orderpriority",
     )
+
+
+def health_wide_view(lineitem: DataFrame) -> DataFrame:
+    """A wide, sparse, all-text daily file in the health schema's 67-column layout,
+    derived from ``lineitem``: one row per line item, keyed by supplier and ship day, so
+    several rows share a key and the dedup has real work.
+
+    Cell ``i`` is present when the line's discount reaches a per-column threshold
+    (0.00 … 0.09, from the column's position), so every column is sparse in its own way.
+    Numbers follow each target type: integers for strict BIGINT columns, ``x.5`` values
+    for the half-even rounded ones, decimals for DOUBLE, short words for TEXT.
+    """
+    from stellate.plans import health as H
+
+    kinds = {c.source: c.kind for m in (H.LOCATII, *H.FACTS) for c in m.columns}
+    cols = [
+        F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias(H.ENTITY),
+        F.to_date("l_shipdate").cast("string").alias(H.DATE),
+    ]
+    for i, name in enumerate(c for c in H.SOURCE_COLUMNS if c not in (H.ENTITY, H.DATE)):
+        kind = kinds[name]
+        if name == H.LABEL:
+            v = F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string"))
+        elif kind == "text":
+            v = F.concat(F.col("l_returnflag"), F.lit("-"), F.col("l_linestatus"))
+        elif kind == "bigint":
+            v = (F.col("l_quantity").cast("bigint") * F.lit(i + 1)).cast("string")
+        elif kind == "bigint_round":
+            v = (F.col("l_quantity") + F.lit(0.5)).cast("string")
+        else:
+            v = F.round(F.col("l_extendedprice") / F.lit(i + 1), 2).cast("string")
+        threshold = round(0.01 * ((i * 3) % 10), 2)
+        present = F.lit(True) if name == H.LABEL else F.col("l_discount") >= F.lit(threshold)
+        cols.append(F.when(present, v).otherwise(F.lit("")).alias(name))
+    return lineitem.select(*cols)

@@ -20,6 +20,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        # Wide rows (dozens of text columns scored in one expression) generate methods
+        # larger than the JIT compiles (8000 bytes); above this limit Spark uses split,
+        # JIT-compiled code instead of one whole-stage method.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,14 +1,13 @@
 """Writing targets.
 
-Parquet has no row-level update, and a plan must not overwrite the path it reads. A merge
-is therefore written in two steps: the merged rows of the *affected* partitions go to a
-staged path in the shared checkpoint folder, then those partitions — and only those —
-replace the target's with ``partitionOverwriteMode=dynamic``. Untouched months are never
-read or rewritten.
-
-Replays are safe: the merge is idempotent and partition-local, so re-running a batch that
-failed anywhere in the second step gives the same table (``upsert(upsert(T,S),S) =
-upsert(T,S)`` for every partition, whether it was already replaced or not).
+Parquet has no row-level update. A merge therefore rewrites whole partitions: the merged
+rows of the *affected* partitions replace those partitions — and only those — with
+``partitionOverwriteMode=dynamic``. Untouched months are never read or rewritten.
+
+Failures: a lost executor only loses tasks, which are retried against the unchanged old
+files (new files stay in the job's hidden staging folder until commit). Replays are safe
+because the merge is idempotent and partition-local: ``upsert(upsert(T,S),S) =
+upsert(T,S)`` for every partition, so re-running a batch gives the same table.
 """
 
 from __future__ import annotations
@@ -75,6 +74,19 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
     )
 
 
+def _clustered(df: DataFrame, partition_col: str | None, keys: Sequence[str]) -> DataFrame:
+    """Group rows by partition value before a partitioned write (``REBALANCE`` hint).
+
+    Without it every task holds rows of every month and writes one small file into each
+    (tasks × months files). ``REBALANCE(month)`` hash-partitions by month and lets AQE
+    split a partition that is too big — a month holding a third of all rows goes to
+    several tasks — and merge ones that are too small, with no sampling pass.
+    """
+    if not partition_col:
+        return df
+    return df.hint("rebalance", partition_col)
+
+
 def merge_into_path(
     spark: SparkSession,
     source: DataFrame,
@@ -83,13 +95,21 @@ def merge_into_path(
     partition_col: str | None = None,
     partition_value: Column | None = None,
     strategy: str = "auto",
+    source_rows: int | None = None,
 ) -> dict:
     """Merge ``source`` into the Parquet target at ``path``; return the load counts.
 
     ``partition_col`` (computed from the key by ``partition_value``, e.g. the month of the
-    day) partitions the target on disk; only partitions that occur in the source are
-    read, merged and replaced. Counts are collected with an ``Observation`` while the
-    merge is written, so they cost no extra pass.
+    day) partitions the target on disk. Only partitions that occur in the source are read,
+    merged and replaced, in one job: a dynamic partition overwrite writes the new files to
+    a hidden staging folder and swaps them in at commit, after every task has read the old
+    ones. An unpartitioned target (a small dimension) is merged into a staged copy first,
+    since a plain overwrite cannot read the path it replaces.
+
+    ``strategy='auto'`` broadcasts the source when its size is below the session's
+    broadcast threshold (``source_rows`` spares the count when the caller knows it); the
+    broadcast merge reads the target in place and keeps its file layout. Counts are taken
+    with an ``Observation`` while writing, so they cost no extra pass.
     """
     keys = list(keys)
     src = source.withColumn(partition_col, partition_value) if partition_col and partition_value is not None else source
@@ -109,7 +129,7 @@ def merge_into_path(
             *src.columns, F.lit(False).alias(merge.IN_TARGET), F.lit(True).alias(merge.IN_SOURCE)
         )
         observed = first.observe(obs, *counts).drop(merge.IN_TARGET, merge.IN_SOURCE)
-        w = observed.write.mode("overwrite")
+        w = _clustered(observed, partition_col, keys).write.mode("overwrite")
         if parts:
             w = w.partitionBy(*parts)
         w.parquet(path)
@@ -118,19 +138,38 @@ def merge_into_path(
             values = [r[0] for r in src.select(partition_col).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()]
             if len(values) <= MAX_PRUNED_PARTITIONS:
                 target = target.filter(F.col(partition_col).isin(values))
+        if strategy == "auto":
+            limit = merge.broadcast_limit(spark)
+            if source_rows is not None:
+                fits = source_rows * merge.estimated_row_bytes(src.schema) <= limit
+            else:
+                fits = merge.source_fits_broadcast(src, limit)
+            strategy = "broadcast" if fits else "shuffle"
         merged = merge.upsert(target, src, keys + parts, strategy=strategy, with_flags=True)
-        observed = merged.observe(obs, *counts).drop(merge.IN_TARGET, merge.IN_SOURCE)
-        staged = write_staged(observed.select(*schema.names), "merge", parts)
-        fresh = spark.read.schema(schema).parquet(staged)
+        observed = merged.observe(obs, *counts).drop(merge.IN_TARGET, merge.IN_SOURCE).select(*schema.names)
         if parts:
-            overwrite_partitions(fresh, path, parts)
+            if strategy == "shuffle":
+                observed = _clustered(observed, partition_col, keys)
+            overwrite_partitions(observed, path, parts)
         else:
-            fresh.write.mode("overwrite").parquet(path)
-    out = dict(obs.get)
+            staged = write_staged(observed, "merge")
+            spark.read.schema(schema).parquet(staged).write.mode("overwrite").parquet(path)
+    out = _observed(obs, src)
     out["updated"] = out["inserted"] + out["matched_before"]
     return out
 
 
+def _observed(obs: Observation, src: DataFrame) -> dict:
+    """The observed counts. When the optimizer proves the input empty it removes the whole
+    plan, observation included, and no metrics arrive; the counts are then all zero."""
+    try:
+        return dict(obs.get)
+    except Exception:  # noqa: BLE001 - py4j surfaces the missing metrics row as a generic error
+        if src.isEmpty():
+            return {"inserted": 0, "matched_before": 0, "target_only": 0, "rows_written": 0}
+        raise
+
+
 def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, mode: str = "overwrite") -> None:
     """Save ``df`` as a table bucketed and sorted on ``keys``.
 
