@@ -46,10 +46,9 @@ def most_complete_ranked(
     keys = list(keys)
     scored = with_score(df, list(keys) + list(exclude))
     if tiebreak is None:
-        # Content order: a 64-bit hash of the scored cells settles nearly every tie in one
-        # comparison; the cells themselves settle the rest, so the choice stays exact.
-        cells = X.score_columns(df.columns, list(keys) + list(exclude))
-        tiebreak = [F.xxhash64(*[X.col(c) for c in cells]).asc(), *cells] if cells else []
+        # Content order: the scored cells, compared left to right; a comparison stops at
+        # the first cell that differs, so in practice it costs about one column.
+        tiebreak = X.score_columns(df.columns, list(keys) + list(exclude))
     w = Window.partitionBy(*[X.col(k) for k in keys]).orderBy(F.col(SCORE).desc(), *_order(tiebreak))
     return scored.withColumn(RANK, F.row_number().over(w))
 

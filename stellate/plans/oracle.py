@@ -167,6 +167,52 @@ def _stream_upsert() -> str:
     )
 
 
+def _health_sql() -> dict[str, str]:
+    """The health queries: wide view, dedup, dimension, facts — from the same mappings."""
+    from stellate.plans import health as H
+
+    def money(c: str) -> str:
+        cents = f"CAST(round({c} * 100.0) AS BIGINT)"
+        return f"CAST({cents} // 100 AS VARCHAR) || '.' || lpad(CAST({cents} % 100 AS VARCHAR), 2, '0')"
+
+    base = {
+        "label": "'Supplier ' || CAST(l_suppkey AS VARCHAR)",
+        "text": "l_returnflag || '-' || l_linestatus",
+        "bigint": "CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)",
+        "bigint_round": "CAST(l_quantity + 0.5 AS VARCHAR)",
+        "price": money("l_extendedprice"),
+        "tax": money("l_tax"),
+    }
+    cells = []
+    for _, name, value, threshold in V.health_cells():
+        cond = "TRUE" if threshold is None else f"l_discount >= CAST({threshold!r} AS DOUBLE)"
+        cells.append(f"CASE WHEN {cond} THEN {base[value]} ELSE '' END AS {name}")
+    wide = (
+        f"SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS {H.ENTITY}, "
+        f"CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS {H.DATE}, " + ", ".join(cells) + " FROM lineitem"
+    )
+    scored = [n for _, n, _, _ in V.health_cells() if n != H.LABEL]
+    score = " + ".join(f"(CASE WHEN NULLIF({c}, '') IS NOT NULL THEN 1 ELSE 0 END)" for c in scored)
+    order = ", ".join(f"{c} ASC NULLS LAST" for c in scored)
+    dedup_sql = (
+        f"SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {H.ENTITY}, CAST({H.DATE} AS DATE) "
+        f"ORDER BY score DESC, {order}) AS rn FROM (SELECT *, {score} AS score FROM hw "
+        f"WHERE NULLIF({H.ENTITY}, '') IS NOT NULL AND {H.DATE} IS NOT NULL)) WHERE rn = 1"
+    )
+    base = f"WITH hw AS ({wide}), hd AS ({dedup_sql}) "
+    latest = (
+        f"SELECT d.* FROM hd d JOIN (SELECT {H.ENTITY} AS e, MAX(CAST({H.DATE} AS DATE)) AS md FROM hd "
+        f"GROUP BY {H.ENTITY}) m ON d.{H.ENTITY} = m.e AND CAST(d.{H.DATE} AS DATE) = m.md"
+    )
+    out = {
+        "health_dedup": base + "SELECT * FROM hd",
+        "health_locatii": base + _project(H.LOCATII, f"({latest})"),
+    }
+    for f in H.FACTS:
+        out[f"health_{f.name}"] = base + _project(f, "hd")
+    return out
+
+
 ORACLE: dict[str, str] = {
     "stage_text": W_SQL,
     "typed_projection": f"WITH w AS ({W_SQL}) {_project(V.W_TYPED, 'w')}",
@@ -230,3 +276,4 @@ ORACLE: dict[str, str] = {
     + ", ".join(f"NULLIF({m}, '') AS {m}" for m in V.W_MEASURES)
     + ", CAST(event_id AS VARCHAR) AS event_id FROM w",
 }
+ORACLE.update(_health_sql())

@@ -259,6 +259,50 @@ def csv_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged.select(*[X.missing_to_null(c).alias(c) for c in staged.columns])
 
 
+def _health_exact():
+    """The health load schema with its tie-break spelled out: every scored column in file
+    order, which is also the load's default."""
+    import dataclasses
+
+    from stellate.plans import health as H
+
+    scored = [n for _, n, _, _ in V.health_cells() if n != H.LABEL]
+    return dataclasses.replace(H.HEALTH, tiebreak=tuple(scored))
+
+
+def _health_deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stellate.plans import load
+
+    wide = V.health_wide_view(V.read(spark, sf_dir, "lineitem"))
+    return load.deduplicate(wide, _health_exact())
+
+
+def health_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-1 on the real 67-column layout: most complete row per (iso_code, date)."""
+    from stellate.plans import load
+
+    return _health_deduped(spark, sf_dir).drop(load.DAY)
+
+
+def health_locatii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-1, B-1, F-5: the location dimension from the latest row per entity."""
+    from stellate.plans import load
+
+    return load.dimension_rows(_health_deduped(spark, sf_dir), _health_exact())
+
+
+def _health_fact(n: int) -> Callable[[SparkSession, str], DataFrame]:
+    from stellate.plans import health as H
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from stellate.plans import load
+
+        return load.fact_rows(_health_deduped(spark, sf_dir), H.FACTS[n])
+
+    q.__doc__ = f"B-1, B-2, E-4: typed daily fact {H.FACTS[n].name} of the deduplicated rows."
+    return q
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_text": stage_text,
     "typed_projection": typed_projection,
@@ -294,4 +338,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_summary": load_summary,
     "stream_upsert": stream_upsert,
     "csv_stage": csv_stage,
+    "health_dedup": health_dedup,
+    "health_locatii": health_locatii,
+    "health_cazuri_zilnice": _health_fact(0),
+    "health_testari_zilnice": _health_fact(1),
+    "health_vaccinari_zilnice": _health_fact(2),
+    "health_spitalizari_zilnice": _health_fact(3),
+    "health_mortalitate_exces_zilnica": _health_fact(4),
 }

@@ -12,7 +12,7 @@ Every view here reads whole tables; the halves are split by time, as loads are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stellate.operators import dedup, mapping
@@ -157,29 +157,53 @@ def health_wide_view(lineitem: DataFrame) -> DataFrame:
 
     Cell ``i`` is present when the line's discount reaches a per-column threshold
     (0.00 … 0.09, from the column's position), so every column is sparse in its own way.
-    Numbers follow each target type: integers for strict BIGINT columns, ``x.5`` values
-    for the half-even rounded ones, decimals for DOUBLE, short words for TEXT.
+    Each row formats a few values once — price and tax as two-decimal text (built from
+    integer cents, so every engine writes the same text), the quantity as an integer and
+    as ``x.5`` — and each column takes the one that fits its target type.
     """
     from stellate.plans import health as H
 
-    kinds = {c.source: c.kind for m in (H.LOCATII, *H.FACTS) for c in m.columns}
+    def money(c: str) -> Column:
+        cents = F.round(F.col(c) * F.lit(100.0)).cast("bigint")
+        return F.concat(
+            F.floor(cents / F.lit(100)).cast("bigint").cast("string"),
+            F.lit("."),
+            F.lpad(F.pmod(cents, F.lit(100)).cast("string"), 2, "0"),
+        )
+
+    base = {
+        "label": F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string")),
+        "text": F.concat(F.col("l_returnflag"), F.lit("-"), F.col("l_linestatus")),
+        "bigint": F.col("l_quantity").cast("bigint").cast("string"),
+        "bigint_round": (F.col("l_quantity") + F.lit(0.5)).cast("string"),
+        "price": money("l_extendedprice"),
+        "tax": money("l_tax"),
+    }
     cols = [
         F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias(H.ENTITY),
         F.to_date("l_shipdate").cast("string").alias(H.DATE),
     ]
+    for _, name, value, threshold in health_cells():
+        present = F.lit(True) if threshold is None else F.col("l_discount") >= F.lit(threshold)
+        cols.append(F.when(present, base[value]).otherwise(F.lit("")).alias(name))
+    return lineitem.select(*cols)
+
+
+def health_cells() -> list[tuple[int, str, str, float | None]]:
+    """(position, source column, base value, presence threshold) of every non-key cell of
+    ``health_wide_view``. Base values: ``label``, ``text``, ``bigint``, ``bigint_round``,
+    and ``price`` / ``tax`` alternating over the DOUBLE columns. The label is always
+    present (threshold ``None``)."""
+    from stellate.plans import health as H
+
+    kinds = {c.source: c.kind for m in (H.LOCATII, *H.FACTS) for c in m.columns}
+    out = []
     for i, name in enumerate(c for c in H.SOURCE_COLUMNS if c not in (H.ENTITY, H.DATE)):
-        kind = kinds[name]
         if name == H.LABEL:
-            v = F.concat(F.lit("Supplier "), F.col("l_suppkey").cast("string"))
-        elif kind == "text":
-            v = F.concat(F.col("l_returnflag"), F.lit("-"), F.col("l_linestatus"))
-        elif kind == "bigint":
-            v = (F.col("l_quantity").cast("bigint") * F.lit(i + 1)).cast("string")
-        elif kind == "bigint_round":
-            v = (F.col("l_quantity") + F.lit(0.5)).cast("string")
+            value, threshold = "label", None
         else:
-            v = F.round(F.col("l_extendedprice") / F.lit(i + 1), 2).cast("string")
-        threshold = round(0.01 * ((i * 3) % 10), 2)
-        present = F.lit(True) if name == H.LABEL else F.col("l_discount") >= F.lit(threshold)
-        cols.append(F.when(present, v).otherwise(F.lit("")).alias(name))
-    return lineitem.select(*cols)
+            kind = kinds[name]
+            value = ("price" if i % 2 == 0 else "tax") if kind == "double" else kind
+            threshold = round(0.01 * ((i * 3) % 10), 2)
+        out.append((i, name, value, threshold))
+    return out
