@@ -72,7 +72,7 @@ def text_to_rounded_bigint(c: Column | str, strict: bool = True) -> Column:
 def to_date(c: Column | str, strict: bool = True) -> Column:
     """Text → DATE with the strict ``yyyy-MM-dd`` pattern."""
     v = missing_to_null(c)
-    return F.to_date(v, DATE_FORMAT) if strict else F.try_to_date(v, F.lit(DATE_FORMAT))
+    return F.to_date(v, DATE_FORMAT) if strict else F.try_to_date(v, DATE_FORMAT)
 
 
 def to_text(c: Column | str) -> Column:

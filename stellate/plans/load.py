@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from stellate.functions import expressions as X
 from stellate.operators import checks, dedup, mapping
 from stellate.operators.mapping import TableMap
-from stellate.sinks import tables
+from stellate.sinks import staging, tables
 
 DAY = "__day"
 PARTITION = "month"
@@ -109,8 +109,16 @@ def load_wide_frame(
     strategy: str = "auto",
     check_references: bool = True,
     parallel: bool = True,
+    staging_table: tuple[str, str] | None = None,
+    keep_staging: bool = False,
 ) -> LoadResult:
-    """Load an all-text staging frame into the targets under ``targets_root``."""
+    """Load an all-text staging frame into the targets under ``targets_root``.
+
+    ``strict`` makes bad numbers, bad dates and NULLs in NOT NULL dimension columns stop
+    the load (as the database would); otherwise bad cells become NULL and rows violating
+    NOT NULL are left out and counted. ``staging_table=(namespace, name)`` keeps the
+    deduplicated rows in a catalog table, dropped at the end unless ``keep_staging``.
+    """
     res = LoadResult()
     root = targets_root.rstrip("/")
 
@@ -127,7 +135,11 @@ def load_wide_frame(
         F.count(F.when(~X.is_present(schema.entity) | F.col(DAY).isNull(), 1)).alias("null_keys"),
     )
     deduped = deduplicate_keyed(k, schema).observe(obs_out, F.count(F.lit(1)).alias("rows"))
-    dedup_path = tables.write_staged(deduped, "dedup")
+    if staging_table:
+        rows = staging.write_staging_table(deduped, *staging_table)
+    else:
+        dedup_path = tables.write_staged(deduped, "dedup")
+        rows = spark.read.parquet(dedup_path)
     done()
     staged_rows, null_keys = obs_in.get["rows"], obs_in.get["null_keys"]
     dedup_rows = obs_out.get["rows"]
@@ -135,13 +147,19 @@ def load_wide_frame(
     res.add("stages", "staging", "null_key_rows", null_keys)
     res.add("stages", "dedup", "rows", dedup_rows)
     checks.assert_dedup_nonempty(staged_rows - null_keys, dedup_rows)
-    rows = spark.read.parquet(dedup_path)
 
-    # Dimension before facts, so every fact key can reference it.
+    # Dimension before facts, so every fact key can reference it. Its rows (one per
+    # entity) are written first and checked for NOT NULL columns, so a violation stops
+    # the load before any target changes.
     dim = schema.dimension
     done = timed("upserts", dim.name)
+    dim_src = spark.read.parquet(tables.write_staged(dimension_rows(rows, schema, strict), "dimension"))
+    violations = checks.null_violations(dim_src, dim.not_null).count()
+    res.add("checks", dim.name, "null_violations", violations)
+    if violations and strict:
+        raise checks.ConstraintViolation(f"{dim.name}: {violations} rows with NULL in {dim.not_null}")
     counts = tables.merge_into_path(
-        spark, dimension_rows(rows, schema, strict), f"{root}/{dim.name}", dim.key_names, strategy=strategy
+        spark, dim_src.filter(~_any_null(dim.not_null)), f"{root}/{dim.name}", dim.key_names, strategy=strategy
     )  # one row per entity: small, but its size is still checked before any broadcast
     done()
     res.paths[dim.name] = f"{root}/{dim.name}"
@@ -185,9 +203,39 @@ def load_wide_frame(
         for name, n in _run_all(orphan_count, schema.facts, parallel):
             res.add("checks", name, "orphans", n)
         done()
+    if staging_table and not keep_staging:
+        done = timed("stages", "drop_staging")
+        staging.drop_staging_table(spark, *staging_table)
+        done()
     return res
 
 
+def _any_null(columns) -> "F.Column":
+    cond = F.lit(False)
+    for c in columns:
+        cond = cond | X.col(c).isNull()
+    return cond
+
+
+def create_targets(spark: SparkSession, schema: StarSchema, targets_root: str) -> dict[str, str]:
+    """Create the empty targets that do not exist yet (``CREATE TABLE IF NOT EXISTS``):
+    the dimension unpartitioned, the facts partitioned by month."""
+    root = targets_root.rstrip("/")
+    paths = {}
+    for m in (schema.dimension, *schema.facts):
+        path = f"{root}/{m.name}"
+        paths[m.name] = path
+        s = m.schema()
+        if m is not schema.dimension:
+            s = s.add(PARTITION, "string")
+        if tables.read_target(spark, path, s) is None:
+            w = spark.createDataFrame([], s).write.mode("errorifexists")
+            if m is not schema.dimension:
+                w = w.partitionBy(PARTITION)
+            w.parquet(path)
+    return paths
+
+
 def _run_all(fn, items, parallel: bool):
     """``[fn(x) for x in items]``, submitted concurrently when ``parallel``."""
     items = list(items)
@@ -221,6 +269,8 @@ def load_wide_file(
     multiline: bool = False,
     audit: bool = True,
     strategy: str = "auto",
+    staging_table: tuple[str, str] | None = None,
+    keep_staging: bool = False,
 ) -> LoadResult:
     """Read the wide CSV as text, audit it, and load it (the whole loader run)."""
     from stellate.sources.csv import load_audit, read_text_csv
@@ -230,7 +280,16 @@ def load_wide_file(
     t_copy = time.perf_counter()
     info = load_audit(spark, path, staged) if audit else {}
     t_audit = time.perf_counter()
-    res = load_wide_frame(spark, staged, schema, targets_root, strict=strict, strategy=strategy)
+    res = load_wide_frame(
+        spark,
+        staged,
+        schema,
+        targets_root,
+        strict=strict,
+        strategy=strategy,
+        staging_table=staging_table,
+        keep_staging=keep_staging,
+    )
     if audit:
         res.add("copy", "source", "lines", info["lines"])
         res.add("copy", "source", "rows", info["rows"])

@@ -74,3 +74,9 @@ def test_quarantine_splits_bad_rows(spark):
     good, bad = mapping.quarantine(df, tm)
     assert sorted(r.k for r in good.collect()) == ["a", "c"]
     assert sorted(r.k for r in bad.collect()) == ["b", "d"]
+
+
+def test_lenient_date_gives_null(spark):
+    df = spark.createDataFrame([("2020-1-5",), ("2020-01-05",), ("x",)], "d string")
+    got = [r[0] for r in df.select(X.to_date("d", strict=False)).collect()]
+    assert got[0] is None and str(got[1]) == "2020-01-05" and got[2] is None

@@ -99,3 +99,42 @@ def test_header_only_file_loads_nothing(spark, tmp_dir):
     ret = M.retention(res.frame(spark)).first()
     assert ret.retention_pct == 0.0
     assert all(res.value("final_counts", f.name, "rows") == 0 for f in H.FACTS)
+
+
+def test_staging_table_kept_or_dropped(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "s.csv")
+    _csv(p, _header(), [_row("AAA", "2020-01-01", population="1")])
+    root = os.path.join(tmp_dir, "t")
+    load_wide_file(spark, p, H.HEALTH, root, staging_table=("stg_ns", "kept"), keep_staging=True)
+    assert spark.table("stg_ns.kept").count() == 1
+    res = load_wide_file(spark, p, H.HEALTH, root, staging_table=("stg_ns", "dropped"))
+    assert not spark.catalog.tableExists("stg_ns.dropped")
+    assert res.value("stages", "drop_staging", "sec") >= 0
+
+
+def test_not_null_label_strict_and_lenient(spark, tmp_dir):
+    import pytest
+
+    from stellate.operators.checks import ConstraintViolation
+
+    p = os.path.join(tmp_dir, "n.csv")
+    bad = _row("BBB", "2020-01-01", population="1")
+    bad["location"] = ""
+    _csv(p, _header(), [_row("AAA", "2020-01-01", population="1"), bad])
+    with pytest.raises(ConstraintViolation):
+        load_wide_file(spark, p, H.HEALTH, os.path.join(tmp_dir, "strict"))
+    res = load_wide_file(spark, p, H.HEALTH, os.path.join(tmp_dir, "lenient"), strict=False)
+    assert res.value("checks", "locatii", "null_violations") == 1
+    assert res.value("final_counts", "locatii", "rows") == 1
+    # the fact row of BBB is then an orphan, and the check reports it
+    assert res.value("checks", "cazuri_zilnice", "orphans") == 1
+
+
+def test_create_targets(spark, tmp_dir):
+    from stellate.plans.load import create_targets
+
+    paths = create_targets(spark, H.HEALTH, os.path.join(tmp_dir, "empty"))
+    t = read_targets(spark, paths, H.HEALTH)
+    assert set(t) == {"locatii", *[f.name for f in H.FACTS]}
+    assert all(df.count() == 0 for df in t.values())
+    assert t["cazuri_zilnice"].columns[:2] == ["cod_iso", "data"]
