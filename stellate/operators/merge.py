@@ -218,15 +218,24 @@ def merge_in_batches(
     bounds: Sequence[tuple[int, int]],
     columns: Sequence[str] | None = None,
     strategy: str = "shuffle",
+    checkpoint_every: int | None = None,
 ) -> DataFrame:
     """Merge ``source`` slice by slice (``batch_col BETWEEN lo AND hi``, inclusive).
 
     Because the merge is keyed and slices are key-disjoint, the end state equals one
     merge of the whole source. Bounded work per step, as with committed batches.
+    ``checkpoint_every`` cuts the lineage with a reliable ``checkpoint()`` (in the shared
+    checkpoint folder) after that many slices, so the plan does not grow with the batch
+    count and a lost executor recomputes at most that many slices.
     """
     state = target
     src = source.drop(batch_col) if batch_col not in target.columns else source
-    for lo, hi in bounds:
+    for i, (lo, hi) in enumerate(bounds, start=1):
         part = source.filter(F.col(batch_col).between(lo, hi)).select(*src.columns)
         state = upsert(state, part, keys, columns, strategy=strategy)
+        if checkpoint_every and i % checkpoint_every == 0 and i < len(bounds):
+            from stellate.session import checkpoint_dir
+
+            checkpoint_dir(state.sparkSession)
+            state = state.checkpoint(eager=True)
     return state

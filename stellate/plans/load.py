@@ -197,8 +197,11 @@ def load_wide_frame(
         done = timed("stages", "reference_check")
         dim_df = targets[dim.name]
 
+        dim_count = int(res.value("final_counts", dim.name, "rows"))
+
         def orphan_count(fact: TableMap) -> tuple[str, int]:
-            return fact.name, checks.orphans(targets[fact.name], dim_df, fact.key_names[0], dim.key_names[0]).count()
+            found = checks.orphans(targets[fact.name], dim_df, fact.key_names[0], dim.key_names[0], dim_count)
+            return fact.name, found.count()
 
         for name, n in _run_all(orphan_count, schema.facts, parallel):
             res.add("checks", name, "orphans", n)

@@ -106,3 +106,23 @@ def test_merge_properties(spark, target, source, cut):
     s2 = s.filter(f"k >= {cut}")
     batched = merge.upsert(merge.upsert(t, s1, ["k"]), s2, ["k"])
     assert {r.k: (r.a, r.b) for r in batched.collect()} == out
+
+
+def test_batches_with_checkpoints_equal_one_merge(spark):
+    from pyspark.sql import functions as F
+
+    t = _t(spark, [(i, float(i), None) for i in range(0, 40, 2)])
+    s = _t(spark, [(i, None if i % 3 else -1.0, "s") for i in range(0, 40)]).withColumn("rn", F.col("k") + 1)
+    bounds = [(lo, min(lo + 6, 40)) for lo in range(1, 41, 7)]
+    got = merge.merge_in_batches(t, s, ["k"], "rn", bounds, checkpoint_every=2)
+    assert rows(got) == rows(merge.upsert(t, s.drop("rn"), ["k"]))
+
+
+def test_orphans_broadcast_when_dimension_count_known(spark):
+    from stellate.operators import checks
+
+    fact = spark.createDataFrame([("A", 1), ("B", 2), (None, 3)], "e string, v int")
+    dim = spark.createDataFrame([("A",)], "e string")
+    o = checks.orphans(fact, dim, "e", dimension_rows=1)
+    assert [r.e for r in o.collect()] == ["B"]
+    assert "BroadcastHashJoin" in o._jdf.queryExecution().executedPlan().toString() or "Broadcast" in o._jdf.queryExecution().executedPlan().toString()
