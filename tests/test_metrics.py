@@ -74,3 +74,12 @@ def test_accumulate_batches(spark):
 def test_zero_duration_gives_zero_rate(spark):
     m = M.metrics_frame(spark, [("copy", "source", "rows", 10), ("copy", "source", "bytes", 1), ("copy", "source", "sec", 0), ("copy", "source", "lines", 10)])
     assert M.throughput(m).first().rows_per_sec == 0.0
+
+
+def test_append_history(spark, m, tmp_dir):
+    path = f"{tmp_dir}/history"
+    M.append_history(m, path, "run-1")
+    M.append_history(m, path, "run-2")
+    h = spark.read.parquet(path)
+    assert h.count() == 2 * len(RUN)
+    assert sorted(r.run_id for r in h.select("run_id").distinct().collect()) == ["run-1", "run-2"]
