@@ -39,8 +39,13 @@ def missing_to_null(c: Column | str) -> Column:
 
 
 def is_present(c: Column | str) -> Column:
-    """True when the cell holds a value: ``NULLIF(c,'') IS NOT NULL``."""
-    return missing_to_null(c).isNotNull()
+    """True when the cell holds a value: ``NULLIF(c,'') IS NOT NULL``.
+
+    Works for a column of any type (a typed extra column in the staging counts when it is
+    not NULL); the text form is compared, so no ``''`` is ever cast to a number.
+    """
+    c = col(c) if isinstance(c, str) else c
+    return c.isNotNull() & (c.cast("string") != F.lit(""))
 
 
 def to_double(c: Column | str, strict: bool = True) -> Column:

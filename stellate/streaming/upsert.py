@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from stellate.operators import mapping
+from stellate.operators import dedup, mapping
 from stellate.operators.mapping import TableMap
 from stellate.session import scratch_path
 from stellate.sinks import tables
@@ -34,15 +34,20 @@ def upsert_stream(
     partition_of: Callable[[], object] | None = None,
     available_now: bool = True,
     log: list | None = None,
+    dedup_within_batch: bool = True,
 ) -> StreamingQuery:
     """Start a stream that merges ``batch_rows(micro_batch)`` into ``target_path``.
 
+    Two files in one micro-batch may hold the same key, so by default each batch keeps
+    the most complete row per key before merging (the merge needs unique keys).
     ``log`` (a list) receives ``(batch_id, counts)`` per micro-batch for load metrics.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = batch_rows(batch)
+        if dedup_within_batch:
+            rows = dedup.most_complete(rows, keys).drop(dedup.SCORE)
         counts = tables.merge_into_path(
             spark,
             rows,

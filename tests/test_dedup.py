@@ -84,3 +84,16 @@ def test_hot_key_dedup_result(spark):
     out = dedup.most_complete(df, ["k"], tiebreak=["id"])
     assert out.count() == 6001
     assert out.filter("k = 'H'").first().a == "777"
+
+
+def test_result_independent_of_shuffle_partitions_and_order(spark):
+    from stellate.plans import views as V
+
+    wide = V.w(spark, "/root/testdata/sf0.001")
+    base = None
+    for parts, order in [("3", "event_id"), ("17", "entity"), ("8", "m_view")]:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        got = rows(dedup.most_complete(wide.orderBy(order).repartition(int(parts)), ["entity", "day"]))
+        base = base or got
+        assert got == base
+    spark.conf.set("spark.sql.shuffle.partitions", "8")

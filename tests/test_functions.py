@@ -80,3 +80,8 @@ def test_lenient_date_gives_null(spark):
     df = spark.createDataFrame([("2020-1-5",), ("2020-01-05",), ("x",)], "d string")
     got = [r[0] for r in df.select(X.to_date("d", strict=False)).collect()]
     assert got[0] is None and str(got[1]) == "2020-01-05" and got[2] is None
+
+
+def test_score_counts_typed_columns(spark):
+    df = spark.createDataFrame([(5, None, "x"), (None, 0.0, "")], "a bigint, b double, c string")
+    assert [r[0] for r in df.select(X.completeness_score(["a", "b", "c"])).collect()] == [2, 1]

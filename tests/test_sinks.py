@@ -60,3 +60,18 @@ def test_bucketed_target_merge_shuffles_only_source(spark):
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1, plan
     assert merged.count() == 5010
+
+
+def test_both_sides_bucketed_merge_has_no_exchange(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, lo, hi in [("bk_target", 0, 5000), ("bk_source", 4990, 6000)]:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            df = spark.range(lo, hi).selectExpr("id AS k", "cast(id AS double) AS v")
+            tables.write_bucketed(df, name, ["k"], 8)
+        merged = merge.upsert(spark.table("bk_target"), spark.table("bk_source"), ["k"], strategy="shuffle")
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan, plan
+        assert merged.count() == 6000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

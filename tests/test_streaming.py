@@ -46,3 +46,20 @@ def test_stream_equals_batch_and_restart_is_noop(spark, tmp_dir):
     _write_batch(spark, inbox, "f3", [("D", date(2020, 3, 1), 4.0)])
     assert len(start()) == 1
     assert spark.read.parquet(target).filter(F.col("k") == "D").count() == 1
+
+
+def test_same_key_twice_in_one_batch(spark, tmp_dir):
+    from datetime import date
+
+    inbox = os.path.join(tmp_dir, "inbox2")
+    os.makedirs(inbox)
+    target = os.path.join(tmp_dir, "target2")
+    _write_batch(spark, inbox, "a", [("A", date(2020, 1, 1), None)])
+    _write_batch(spark, inbox, "b", [("A", date(2020, 1, 1), 5.0)])
+    stream = spark.readStream.schema("k string, d date, v double").option("maxFilesPerTrigger", 2).parquet(
+        os.path.join(inbox, "*")
+    )
+    q = upsert_stream(stream, lambda b: b, target, ["k", "d"], os.path.join(tmp_dir, "ck2"), "month", lambda: tables.month_of("d"))
+    q.awaitTermination()
+    got = [(r.k, r.v) for r in spark.read.parquet(target).collect()]
+    assert got == [("A", 5.0)]
