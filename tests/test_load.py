@@ -138,3 +138,18 @@ def test_create_targets(spark, tmp_dir):
     assert set(t) == {"locatii", *[f.name for f in H.FACTS]}
     assert all(df.count() == 0 for df in t.values())
     assert t["cazuri_zilnice"].columns[:2] == ["cod_iso", "data"]
+
+
+def test_full_and_incremental_reference_checks_agree(spark, tmp_dir):
+    from stellate.plans.load import load_wide_frame
+    from stellate.sources.csv import read_text_csv
+
+    p = os.path.join(tmp_dir, "r.csv")
+    bad = _row("BBB", "2020-01-01", population="1")
+    bad["location"] = ""
+    _csv(p, _header(), [_row("AAA", "2020-01-01", population="1"), bad, _row("AAA", "2020-01-02")])
+    staged = read_text_csv(spark, p)
+    a = load_wide_frame(spark, staged, H.HEALTH, os.path.join(tmp_dir, "a"), strict=False)
+    b = load_wide_frame(spark, staged, H.HEALTH, os.path.join(tmp_dir, "b"), strict=False, check_references="full")
+    for f in H.FACTS:
+        assert a.value("checks", f.name, "orphans") == b.value("checks", f.name, "orphans") == 1
