@@ -205,11 +205,6 @@ def merge_counts(
     return out.withColumn("updated", F.col("inserted") + F.col("matched_before"))
 
 
-def null_key_count(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row: ``rejected_null_keys`` = source rows with a NULL in any key column."""
-    return source.agg(F.count(F.when(~_key_not_null(keys), 1)).alias("rejected_null_keys"))
-
-
 def merge_in_batches(
     target: DataFrame,
     source: DataFrame,

@@ -34,10 +34,6 @@ def metrics_frame(spark: SparkSession, records: Iterable[tuple[str, str, str, fl
     return spark.createDataFrame([(s, n, m, float(v)) for s, n, m, v in records], SCHEMA)
 
 
-def _get(m: DataFrame, section: str, name: str, metric: str) -> DataFrame:
-    return m.filter((F.col("section") == section) & (F.col("name") == name) & (F.col("metric") == metric))
-
-
 def stage_ranking(m: DataFrame) -> DataFrame:
     """G-4, D-10: stage durations, longest first."""
     return (
@@ -73,7 +69,7 @@ def phase_shares(m: DataFrame, facts: Iterable[str]) -> DataFrame:
         .alias("phase"),
         "value",
     ).filter(F.col("phase").isNotNull())
-    per = tagged.groupBy("phase").agg(F.sum("value").alias("sec"))
+    per = tagged.filter(F.col("phase").isin(*PHASES)).groupBy("phase").agg(F.sum("value").alias("sec"))
     # At most four phase rows, so a window over all of them is bounded.
     total = F.sum("sec").over(Window.partitionBy())
     return per.select("phase", "sec", safe_ratio(F.col("sec"), total).alias("share"))
