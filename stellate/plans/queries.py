@@ -21,6 +21,15 @@ BATCH_SIZE = 20_000
 UPSERT_BATCHES = 4
 
 
+def _materialised(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once for several consumers: a reliable checkpoint in the shared
+    checkpoint folder (survives executor loss and cuts the lineage)."""
+    from stellate.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def stage_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A-2: all-text staging view (``''`` for a missing cell)."""
     return V.w(spark, sf_dir)
@@ -195,7 +204,7 @@ def null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D-6, G-7: row count of each split table."""
-    deduped = V.w_dedup(V.w(spark, sf_dir)).persist()
+    deduped = _materialised(V.w_dedup(V.w(spark, sf_dir)))
     parts = [V.dimension(deduped).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("users").alias("tbl"), "n_rows")]
     for m in V.W_FACTS:
         parts.append(
@@ -224,7 +233,7 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G-6, G-8: inserted / updated / total after, per target, for the incremental load."""
     wide = V.w(spark, sf_dir)
-    tgt, src = V.w_target_half(wide).persist(), V.w_source_half(wide).persist()
+    tgt, src = _materialised(V.w_target_half(wide)), _materialised(V.w_source_half(wide))
     parts = []
     pairs = [(V.W_DIMENSION, V.dimension(tgt), V.dimension(src))]
     pairs += [(m, mapping.project(tgt, m), mapping.project(src, m)) for m in V.W_FACTS]
