@@ -210,6 +210,16 @@ def _health_sql() -> dict[str, str]:
     }
     for f in H.FACTS:
         out[f"health_{f.name}"] = base + _project(f, "hd")
+    # Into empty targets every key is inserted, and "updated" counts them again.
+    parts = [
+        f"SELECT '{H.LOCATII.name}' AS tbl, COUNT(DISTINCT {H.ENTITY}) AS inserted, "
+        f"COUNT(DISTINCT {H.ENTITY}) AS updated, COUNT(DISTINCT {H.ENTITY}) AS total_after FROM hd"
+    ]
+    parts += [
+        f"SELECT '{f.name}' AS tbl, COUNT(*) AS inserted, COUNT(*) AS updated, COUNT(*) AS total_after FROM hd"
+        for f in H.FACTS
+    ]
+    out["health_load"] = base + " UNION ALL ".join(parts)
     return out
 
 

@@ -312,6 +312,19 @@ def _health_fact(n: int) -> Callable[[SparkSession, str], DataFrame]:
     return q
 
 
+def health_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole load (A..G) on the 67-column rows derived from ``lineitem``, into fresh
+    targets in the shared checkpoint folder: dedup, dimension, five month-partitioned fact
+    merges, NOT NULL and reference checks. Returns inserted / updated / total per table."""
+    from stellate.plans import load
+    from stellate.plans import metrics as M
+    from stellate.session import scratch_path
+
+    wide = V.health_wide_view(V.read(spark, sf_dir, "lineitem"))
+    res = load.load_wide_frame(spark, wide, _health_exact(), scratch_path(spark, "health-load"))
+    return M.load_summary(res.frame(spark)).drop("sec")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_text": stage_text,
     "typed_projection": typed_projection,
@@ -354,4 +367,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "health_vaccinari_zilnice": _health_fact(2),
     "health_spitalizari_zilnice": _health_fact(3),
     "health_mortalitate_exces_zilnica": _health_fact(4),
+    "health_load": health_load,
 }
