@@ -123,12 +123,13 @@ def upsert(
     columns: Sequence[str] | None = None,
     strategy: str = "shuffle",
     with_flags: bool = False,
-    broadcast_limit_bytes: int = DEFAULT_BROADCAST_LIMIT,
+    broadcast_limit_bytes: int | None = None,
 ) -> DataFrame:
     """Insert absent keys, COALESCE-update present ones, keep the rest.
 
     ``strategy`` is ``shuffle``, ``broadcast`` (caller vouches for the source's size) or
-    ``auto`` (size checked here). ``with_flags`` adds ``__in_target`` / ``__in_source``
+    ``auto`` (size checked here against ``broadcast_limit_bytes``, by default the session's
+    ``spark.sql.autoBroadcastJoinThreshold``). ``with_flags`` adds ``__in_target`` / ``__in_source``
     booleans from which ``merge_counts`` derives the load counts without another pass.
     """
     keys = list(keys)
@@ -137,7 +138,8 @@ def upsert(
     src = valid_source(source, keys).select(*keys, *[X.col(c).alias(f"__s_{c}") for c in cols])
 
     if strategy == "auto":
-        strategy = "broadcast" if source_fits_broadcast(src, broadcast_limit_bytes) else "shuffle"
+        limit = broadcast_limit(source.sparkSession) if broadcast_limit_bytes is None else broadcast_limit_bytes
+        strategy = "broadcast" if source_fits_broadcast(src, limit) else "shuffle"
 
     def value(c: str) -> Column:
         return F.coalesce(F.col(f"__s_{c}"), X.col(c)).alias(c) if c in cols else X.col(c)
