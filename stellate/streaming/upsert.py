@@ -105,3 +105,44 @@ def run_fact_stream(
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
     return spark.read.parquet(target_path).select(*fact.key_names, *fact.value_names)
+
+
+def load_wide_stream(
+    spark: SparkSession,
+    folder: str,
+    schema,
+    targets_root: str,
+    checkpoint_location: str,
+    header: list[str],
+    max_files_per_trigger: int = 1,
+    strict: bool = True,
+    available_now: bool = True,
+    log: list | None = None,
+) -> StreamingQuery:
+    """The whole wide-file load as a stream: every new CSV file in ``folder`` (all with
+    ``header``) is read as text and loaded like a batch file — dedup, dimension, facts —
+    in its micro-batch. ``log`` receives ``(batch_id, LoadResult)`` per micro-batch.
+
+    Files of one micro-batch are deduplicated together; across micro-batches the later
+    one wins where both carry a value, as with files loaded one after another.
+    """
+    from stellate.plans.load import load_wide_frame
+    from stellate.sources.csv import check_header, text_schema
+
+    check_header(header, schema.required)
+    stream = (
+        spark.readStream.schema(text_schema(header))
+        .option("header", True)
+        .option("mode", "FAILFAST")
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .csv(folder)
+    )
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        res = load_wide_frame(batch.sparkSession, batch, schema, targets_root, strict=strict)
+        if log is not None:
+            log.append((batch_id, res))
+
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()

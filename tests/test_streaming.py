@@ -63,3 +63,43 @@ def test_same_key_twice_in_one_batch(spark, tmp_dir):
     q.awaitTermination()
     got = [(r.k, r.v) for r in spark.read.parquet(target).collect()]
     assert got == [("A", 5.0)]
+
+
+def test_wide_file_stream_equals_batch_loads(spark, tmp_dir):
+    from tests.test_load import _csv, _header, _row
+
+    from stellate.plans import health as H
+    from stellate.plans.load import load_wide_file, read_targets
+    from stellate.streaming.upsert import load_wide_stream
+
+    header = _header()
+    inbox = os.path.join(tmp_dir, "wide-inbox")
+    os.makedirs(inbox)
+    day1 = [_row("AAA", "2020-01-01", population="2.5", total_cases="5"), _row("BBB", "2020-01-01", new_cases="1")]
+    day2 = [_row("AAA", "2020-01-01", new_cases="7"), _row("AAA", "2020-01-02", population="3.5")]
+    _csv(os.path.join(inbox, "d1.csv"), header, day1)
+    _csv(os.path.join(inbox, "d2.csv"), header, day2)
+    # A file stream takes files in modification-time order; d1 arrived first.
+    import time
+
+    now = time.time()
+    os.utime(os.path.join(inbox, "d1.csv"), (now - 120, now - 120))
+    os.utime(os.path.join(inbox, "d2.csv"), (now - 60, now - 60))
+
+    log = []
+    q = load_wide_stream(
+        spark, inbox, H.HEALTH, os.path.join(tmp_dir, "stream-targets"), os.path.join(tmp_dir, "wck"), header, log=log
+    )
+    q.awaitTermination()
+    assert q.exception() is None and len(log) == 2
+
+    batch_root = os.path.join(tmp_dir, "batch-targets")
+    load_wide_file(spark, os.path.join(inbox, "d1.csv"), H.HEALTH, batch_root)
+    res = load_wide_file(spark, os.path.join(inbox, "d2.csv"), H.HEALTH, batch_root)
+    want = read_targets(spark, res.paths, H.HEALTH)
+    got = read_targets(spark, log[-1][1].paths, H.HEALTH)
+    for name in want:
+        assert sorted(map(tuple, got[name].collect()), key=str) == sorted(map(tuple, want[name].collect()), key=str)
+    cz = got["cazuri_zilnice"].filter("cod_iso = 'AAA' AND data = DATE'2020-01-01'").first()
+    assert cz.total_cazuri == 5 and cz.cazuri_noi == 7.0
+    assert got["locatii"].filter("cod_iso = 'AAA'").first().populatie == 4
