@@ -153,3 +153,29 @@ def test_full_and_incremental_reference_checks_agree(spark, tmp_dir):
     b = load_wide_frame(spark, staged, H.HEALTH, os.path.join(tmp_dir, "b"), strict=False, check_references="full")
     for f in H.FACTS:
         assert a.value("checks", f.name, "orphans") == b.value("checks", f.name, "orphans") == 1
+
+
+def test_null_and_bad_dates_and_extra_column(spark, tmp_dir):
+    import pytest
+
+    header = _header()
+    recs = [
+        _row("AAA", "2020-01-01", total_cases="1"),
+        # same key and same score from known columns; the unknown extra column tips it
+        _row("AAA", "2020-01-01", total_cases="2", extra_unknown="x"),
+        _row("AAA", ""),  # NULL date: counted, never merged
+    ]
+    p = os.path.join(tmp_dir, "dates.csv")
+    _csv(p, header, recs)
+    res = load_wide_file(spark, p, H.HEALTH, os.path.join(tmp_dir, "t1"))
+    assert res.value("stages", "staging", "null_key_rows") == 1
+    t = read_targets(spark, res.paths, H.HEALTH)
+    assert [r.total_cazuri for r in t["cazuri_zilnice"].collect()] == [2]
+
+    bad = os.path.join(tmp_dir, "bad.csv")
+    _csv(bad, header, [_row("AAA", "2020-1-5", total_cases="1"), _row("AAA", "2020-01-05", total_cases="2")])
+    with pytest.raises(Exception):
+        load_wide_file(spark, bad, H.HEALTH, os.path.join(tmp_dir, "t2"))
+    lenient = load_wide_file(spark, bad, H.HEALTH, os.path.join(tmp_dir, "t3"), strict=False)
+    assert lenient.value("stages", "staging", "null_key_rows") == 1
+    assert lenient.value("final_counts", "cazuri_zilnice", "rows") == 1
