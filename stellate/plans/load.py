@@ -289,7 +289,7 @@ def load_wide_file(
     t0 = time.perf_counter()
     staged = read_text_csv(spark, path, required=schema.required, multiline=multiline)
     t_copy = time.perf_counter()
-    info = load_audit(spark, path, staged) if audit else {}
+    info = load_audit(spark, path) if audit else {}
     t_audit = time.perf_counter()
     res = load_wide_frame(
         spark,
@@ -303,7 +303,8 @@ def load_wide_file(
     )
     if audit:
         res.add("copy", "source", "lines", info["lines"])
-        res.add("copy", "source", "rows", info["rows"])
+        # rows parsed = the staged row count observed during the dedup job
+        res.add("copy", "source", "rows", res.value("stages", "staging", "rows"))
         res.add("copy", "source", "bytes", info["bytes"])
         res.add("copy", "source", "sec", t_audit - t0)
     res.add("stages", "read_header", "sec", t_copy - t0)
