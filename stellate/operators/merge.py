@@ -135,7 +135,14 @@ def upsert(
     keys = list(keys)
     cols = _value_columns(target, keys, columns)
     out_cols = keys + [c for c in target.columns if c not in keys]
-    src = valid_source(source, keys).select(*keys, *[X.col(c).alias(f"__s_{c}") for c in cols])
+    # A target column the source lacks is all-missing in the source: it never overwrites.
+    src = valid_source(source, keys).select(
+        *keys,
+        *[
+            (X.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType)).alias(f"__s_{c}")
+            for c in cols
+        ],
+    )
 
     if strategy == "auto":
         limit = broadcast_limit(source.sparkSession) if broadcast_limit_bytes is None else broadcast_limit_bytes

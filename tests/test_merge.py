@@ -126,3 +126,11 @@ def test_orphans_broadcast_when_dimension_count_known(spark):
     o = checks.orphans(fact, dim, "e", dimension_rows=1)
     assert [r.e for r in o.collect()] == ["B"]
     assert "BroadcastHashJoin" in o._jdf.queryExecution().executedPlan().toString() or "Broadcast" in o._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])
+def test_source_without_a_column_keeps_target_values(spark, strategy):
+    t = _t(spark, [(1, 9.0, "x"), (2, 8.0, "y")])
+    s = spark.createDataFrame([(1, 1.0), (3, 3.0)], "k int, a double")
+    got = rows(merge.upsert(t, s, ["k"], strategy=strategy))
+    assert got == [(1, 1.0, "x"), (2, 8.0, "y"), (3, 3.0, None)]
