@@ -87,6 +87,15 @@ def _clustered(df: DataFrame, partition_col: str | None, keys: Sequence[str]) ->
     return df.hint("rebalance", partition_col)
 
 
+def distinct_partitions(df: DataFrame, partition_col: str | Column) -> list | None:
+    """The partition values present in ``df``, or ``None`` when there are more than
+    ``MAX_PRUNED_PARTITIONS`` (then no pruning: the whole target is read, same rows).
+    At most that many small values reach the driver."""
+    c = F.col(partition_col) if isinstance(partition_col, str) else partition_col
+    values = [r[0] for r in df.select(c.alias("__p")).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()]
+    return values if len(values) <= MAX_PRUNED_PARTITIONS else None
+
+
 def merge_into_path(
     spark: SparkSession,
     source: DataFrame,
@@ -96,6 +105,7 @@ def merge_into_path(
     partition_value: Column | None = None,
     strategy: str = "auto",
     source_rows: int | None = None,
+    partition_values: Sequence | None = None,
 ) -> dict:
     """Merge ``source`` into the Parquet target at ``path``; return the load counts.
 
@@ -109,7 +119,9 @@ def merge_into_path(
     ``strategy='auto'`` broadcasts the source when its size is below the session's
     broadcast threshold (``source_rows`` spares the count when the caller knows it); the
     broadcast merge reads the target in place and keeps its file layout. Counts are taken
-    with an ``Observation`` while writing, so they cost no extra pass.
+    with an ``Observation`` while writing, so they cost no extra pass. ``partition_values``
+    (from ``distinct_partitions``) spares the scan for them when several merges share a
+    source.
     """
     keys = list(keys)
     src = source.withColumn(partition_col, partition_value) if partition_col and partition_value is not None else source
@@ -135,9 +147,9 @@ def merge_into_path(
         w.parquet(path)
     else:
         if parts:
-            values = [r[0] for r in src.select(partition_col).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()]
-            if len(values) <= MAX_PRUNED_PARTITIONS:
-                target = target.filter(F.col(partition_col).isin(values))
+            values = partition_values if partition_values is not None else distinct_partitions(src, partition_col)
+            if values is not None:
+                target = target.filter(F.col(partition_col).isin(list(values)))
         if strategy == "auto":
             limit = merge.broadcast_limit(spark)
             if source_rows is not None:
