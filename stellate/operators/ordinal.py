@@ -2,8 +2,9 @@
 
 A window with no ``PARTITION BY`` moves every row into one task. Instead:
 
-1. range-partition on the keys and sort inside each partition (one shuffle, sampled
-   bounds, so partitions are roughly equal even if one key prefix is hot);
+1. range-partition on the keys (ties spread by a content hash) and sort inside each
+   partition (one shuffle, sampled bounds, so partitions are roughly equal even when one
+   key value holds a third of the rows);
 2. tag each row with its partition id and position inside the partition
    (``monotonically_increasing_id`` is ``partition_id << 33 | position``);
 3. materialise that with a reliable ``checkpoint()`` in the shared checkpoint folder, so
@@ -40,7 +41,11 @@ def global_ordinal(
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [X.col(k).asc_nulls_last() for k in keys]
+    # Ties are in no particular order (as with ROW_NUMBER), so a content hash may settle
+    # them: rows sharing a hot key value then spread over several range partitions instead
+    # of one, and the hash is deterministic, so a retried task sees the same partitioning.
+    spread = F.xxhash64(*[X.col(c) for c in df.columns])
+    order = [X.col(k).asc_nulls_last() for k in keys] + [spread.asc()]
     tagged = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)

@@ -32,3 +32,16 @@ def test_slices_cover_once(spark):
     assert sizes == [20, 20, 20, 20, 20, 5]
     src = spark.range(105).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     assert ordinal.batch_of(df, src, ["k"], 21, 40).count() == 20
+
+
+def test_hot_key_spreads_over_partitions(spark):
+    hot = spark.range(3000).select(F.lit(0).alias("k"), F.col("id").alias("v"))
+    rest = spark.range(1, 6001).select(F.col("id").alias("k"), F.col("id").alias("v"))
+    df = hot.unionByName(rest)
+    got = ordinal.global_ordinal(df, ["k"], num_partitions=8)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < 3000  # the hot key is not all in one partition
+    rows = got.orderBy("rn").select("k", "rn").collect()
+    assert [r.rn for r in rows] == list(range(1, 9001))
+    ks = [r.k for r in rows]
+    assert ks == sorted(ks) and ks[:3000] == [0] * 3000
