@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,7 +40,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = SLIC
         if not batch.num_rows:
             continue
         texts = batch.column(column)
-        size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(texts), 0), dtype=np.int64)
+        size = np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64)
         piece = np.cumsum(size) // limit
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stellate.llm import bpe, exact
+from stellate.llm import bpe, exact, near
 from stellate.llm.common import read
 
 
@@ -19,11 +19,39 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(bpe.encode_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op9_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_groups(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_exact_dedup, op6_bpe_codec)
+    f.__name__: f for f in (op5_exact_dedup, op6_bpe_codec, op9_minhash_groups)
 }
 
+_LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE: dict[str, str] = {
+    "op9_minhash_groups": f"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex({_LOWER_AZ}, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS sh
+            FROM (SELECT doc_id, ws, unnest(generate_series(1, greatest(len(ws) - 4, least(len(ws), 1)))) AS i FROM w)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id
+            JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+            HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION
+            SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        c AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+        FROM documents d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+    """,
     "op5_exact_dedup": """
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
