@@ -7,10 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stellate.llm import bpe, exact, near
+from stellate.llm import bpe, decontam, exact, near
 from stellate.llm.common import read
 
 
+def op4_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return decontam.leak_digests(found)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(read(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -24,15 +29,35 @@ def op9_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_exact_dedup, op6_bpe_codec, op9_minhash_groups)
+    f.__name__: f for f in (op4_prefix_decontamination, op5_exact_dedup, op6_bpe_codec, op9_minhash_groups)
 }
 
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
+    "op4_prefix_decontamination": f"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all({_LOWER_AZ}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+        b AS (
+            SELECT item_id, regexp_extract_all({_LOWER_AZ}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+        win AS (
+            SELECT DISTINCT item_id, least(len(ws), 10) AS l, array_to_string(ws[i : i + least(len(ws), 10) - 1], ' ') AS t
+            FROM (SELECT item_id, ws, unnest(generate_series(1, greatest(len(ws) - 9, 1))) AS i FROM b WHERE len(ws) > 0)),
+        spots AS (
+            SELECT doc_id, l, i, array_to_string(ws[i : i + l - 1], ' ') AS t
+            FROM (SELECT doc_id, ws, l, unnest(generate_series(1, len(ws) - l + 1)) AS i
+                  FROM d CROSS JOIN (SELECT DISTINCT l FROM win) WHERE len(ws) >= l)),
+        hit AS (SELECT doc_id, item_id, i, l FROM spots JOIN win USING (l, t)),
+        words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(generate_series(i, i + l - 1)) AS p FROM hit) GROUP BY doc_id),
+        ids AS (SELECT doc_id, count(*) AS n, string_agg(s, ',' ORDER BY s) AS joined
+                FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+        SELECT d.doc_id, len(ws) AS n_words, coalesce(words.n, 0) AS n_hit, coalesce(ids.n, 0) AS n_items,
+               sha256(coalesce(joined, '')) AS items_sha256, coalesce(words.n, 0) > 0 AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN ids USING (doc_id)
+    """,
     "op9_minhash_groups": f"""
         WITH RECURSIVE w AS (
-            SELECT doc_id, list_filter(string_split_regex({_LOWER_AZ}, '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws
+            SELECT doc_id, regexp_extract_all({_LOWER_AZ}, '[^\\x20\\x09-\\x0D]+') AS ws
             FROM documents),
         s AS (
             SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS sh
