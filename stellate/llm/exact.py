@@ -145,11 +145,12 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     best = F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").alias("id"))
     reps = staged(marked.where("suspect").groupBy("chunk", "sha").agg(F.min(best).alias("best"), F.count("*").alias("rows")), "exact-reps")
+    # Sort-merge at every size: representatives grow with the input, a broadcast would not scale.
     # Fetch the representatives' texts, then group by the bytes themselves.
     fetch = reps.select(F.col("best.id").alias("want"), "sha", "best", "rows")
     norm = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), "[\\x20\\x09-\\x0D]+", "").cast("binary")
     with_text = (
-        source.join(fetch, F.col("doc_id").eqNullSafe(F.col("want")))
+        source.join(fetch.hint("merge"), F.col("doc_id").eqNullSafe(F.col("want")))
         .withColumn("norm", norm)
         .where(F.unhex(F.sha2("norm", 256)) == F.col("sha"))
         .dropDuplicates(["sha", "norm", "best", "rows"])
