@@ -102,17 +102,21 @@ def decontaminate(
     anchors = staged(runs(items, counts, window), "leak-anchors")
     discard(vocabulary, counts)
 
-    placed = source.select("doc_id", "print", F.size(split).alias("n"), F.posexplode(split).alias("pos", "word"))
+    # Split first, count and explode above it: the text must not travel with each word.
+    arrays = source.select("doc_id", "print", split.alias("words")).select("doc_id", "print", F.size("words").alias("n"), "words")
+    placed = arrays.select("doc_id", "print", "n", F.posexplode("words").alias("pos", "word"))
     candidates = (
         placed.withColumn("anchor", F.lower("word")).join(anchors, "anchor")
         .where("pos + last >= at AND pos - at + width <= n")
         .groupBy("doc_id", "print").agg(F.collect_set(F.struct("pos", "at", "last", "width", "item_id", "segment")).alias("candidates"))
     )
-    candidates = staged(candidates, "leak-candidates")
+    # Candidates and hits grow with the documents: joined by sort-merge at every size.
+    found_candidates = staged(candidates, "leak-candidates")
+    candidates = found_candidates.hint("merge")
 
     # Stretch of equal words around the anchor: from the last difference before it to the first after it.
-    words = F.transform(split_words(F.col("text")), lower_az)
-    texts = source.join(candidates.select("doc_id", "print"), F.expr("true") & source["doc_id"].eqNullSafe(candidates["doc_id"]) & (source["print"] == candidates["print"]), "left_semi")
+    words = split_words(lower_az(F.col("text")))
+    texts = source.join(candidates.select("doc_id", "print").hint("merge"), source["doc_id"].eqNullSafe(candidates["doc_id"]) & (source["print"] == candidates["print"]), "left_semi")
     texts = texts.dropDuplicates(["doc_id", "print"]).select("doc_id", "print", words.alias("words"))
     found = texts.alias("t").join(candidates.alias("c"), F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.print") == F.col("c.print")))
     spans = F.expr("""
@@ -134,8 +138,9 @@ def decontaminate(
         F.array_sort(F.array_distinct(F.expr("transform(spans, s -> s.item_id)"))).alias("item_ids"),
         F.expr("array_distinct(transform(spans, s -> named_struct('first', s.a - skip, 'last', s.b - skip, 'item_id', s.item_id)))").alias("spans"),
     )
-    hits = staged(hits, "leak-hits")
-    discard(candidates, anchors, items)
+    found_hits = staged(hits, "leak-hits")
+    hits = found_hits.hint("merge")
+    discard(found_candidates, anchors, items)
 
     size = F.size(split_words(F.col("text")))
     empties = F.when(F.col("text").rlike("^" + SEPARATORS) | (F.col("text") == ""), 1).otherwise(0) + F.when(F.col("text").rlike(SEPARATORS[:-1] + r"\z"), 1).otherwise(0)
