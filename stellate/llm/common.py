@@ -69,6 +69,24 @@ def lists(values: np.ndarray, lengths: np.ndarray | list[int]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
+def text_print(text: Column) -> Column:
+    """64-bit print of a text; with ``doc_id`` it names a row."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def _row_key(doc_id: Column, mark: Column) -> Column:
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("null")), mark.cast("string"))
+
+
+def survivors(docs: DataFrame, kept: DataFrame, once: bool = False, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that ``kept (doc_id, print)`` names; with ``once``,
+    rows that repeat both id and text become one. A sort-merge join at every size."""
+    key = "__row_key__"
+    named = kept.select(_row_key(F.col("doc_id"), F.col("print")).alias(key)).distinct()
+    out = docs.withColumn(key, _row_key(F.col(id_column), text_print(F.col(text_column)))).join(named.hint("merge"), key, "left_semi")
+    return (out.dropDuplicates([key]) if once else out).drop(key)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (equal inputs and only those give equal outputs)."""
     x = x.astype(np.uint64, copy=True)

@@ -36,7 +36,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import discard, staged
+from stellate.llm.common import discard, staged, text_print
 
 WINDOW = 10
 #: Fixed value: what separates words, before A-Z are lowered.
@@ -80,7 +80,7 @@ def decontaminate(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     id_column: str = "doc_id", text_column: str = "text", item_column: str = "item_id", item_text_column: str = "text",
 ) -> DataFrame:
-    """One row per document row: ``doc_id, n_words, n_hit, item_ids, spans``.
+    """One row per document row: ``doc_id, print, n_words, n_hit, item_ids, spans``.
 
     ``item_ids`` are the sorted ids, as strings, of items with an occurring window;
     ``spans`` the hit stretches as (first word, last word, item id), words counted from 0.
@@ -92,7 +92,7 @@ def decontaminate(
     )
     vocabulary = staged(items.select(F.explode("words").alias("word")).select(F.lower("word").alias("key")).distinct(), "leak-words")
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
-    source = docs.select(F.col(id_column).alias("doc_id"), F.xxhash64(text).alias("print"), text.alias("text"))
+    source = docs.select(F.col(id_column).alias("doc_id"), text_print(F.col(text_column)).alias("print"), text.alias("text"))
     split = split_words(F.col("text"))
     counts = staged(
         source.select(F.explode(split).alias("word")).select(F.lower("word").alias("key"))
@@ -147,7 +147,7 @@ def decontaminate(
     n_words = F.when(F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"), size - empties).otherwise(0)
     counted = source.select("doc_id", "print", n_words.cast("long").alias("n_words"))
     joined = counted.join(hits, counted["doc_id"].eqNullSafe(hits["hit_id"]) & (counted["print"] == hits["hit_print"]), "left")
-    return joined.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), "item_ids", "spans")
+    return joined.select("doc_id", "print", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"), "item_ids", "spans")
 
 
 def leak_digests(found: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -68,11 +69,13 @@ def rice_decode(blob: bytes) -> np.ndarray:
 def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         texts = [t or "" for t in batch.column(1).to_pylist()]
-        digests = [hashlib.sha256(t.encode().translate(None, BLANKS)).digest() for t in texts]
+        coded = [t.encode() for t in texts]
+        digests = [hashlib.sha256(t.translate(None, BLANKS)).digest() for t in coded]
+        prints = np.array([xxhash.xxh64_intdigest(t, seed=42) for t in coded], np.uint64).astype(np.int64)  # Spark's xxhash64
         heads = np.frombuffer(b"".join(d[:8] for d in digests), ">u8") >> np.uint64(64 - FINGERPRINT_BITS)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(heads.astype(np.int64)), pa.array(digests, pa.binary())],
-            names=["doc_id", "n_chars", "fingerprint", "sha"],
+            [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(heads.astype(np.int64)), pa.array(digests, pa.binary()), pa.array(prints)],
+            names=["doc_id", "n_chars", "fingerprint", "sha", "print"],
         )
 
 
@@ -112,14 +115,16 @@ def _mark(bits: int):
         twice = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(answers["bitmap"], answers["n"], strict=True)]).astype(bool)
         values, at, counts = np.unique(rows["fingerprint"].to_numpy() >> (FINGERPRINT_BITS - bits), return_inverse=True, return_counts=True)
         rows["suspect"] = (twice | (counts > 1))[at]
+        rows = rows.sort_values("print", kind="stable")
         rows["first"] = ~rows.duplicated(["doc_id", "n_chars", "sha"])
-        return rows[["chunk", "doc_id", "n_chars", "sha", "suspect", "first"]]
+        return rows[["chunk", "doc_id", "n_chars", "sha", "print", "suspect", "first"]]
 
     return run
 
 
 def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, n_chars``.
+    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256, n_chars,
+    print`` (the last names the row's text, see ``common.survivors``).
 
     Texts are equal when identical without blanks. Of equal texts the row with the most
     code points stays, then the smallest ``doc_id``.
@@ -127,7 +132,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     spark = docs.sparkSession
     kind = docs.schema[id_column].dataType.simpleString()
     source = text_input(docs, F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    prints = staged(source.mapInArrow(_fingerprint, f"doc_id {kind}, n_chars bigint, fingerprint bigint, sha binary"), "exact-prints")
+    prints = staged(source.mapInArrow(_fingerprint, f"doc_id {kind}, n_chars bigint, fingerprint bigint, sha binary, print bigint"), "exact-prints")
     n = prints.count()
     chunks, owners = max(LEAST_CHUNKS, n // CHUNK_ROWS), max(LEAST_OWNERS, n // OWNER_ROWS)
     bits = min(FINGERPRINT_BITS, max(n, 2).bit_length() + 20)
@@ -137,7 +142,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     answers = sent.groupBy("owner").applyInPandas(_answer, "chunk bigint, owner int, n bigint, bitmap binary")
     marked = staged(
         rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
-            _mark(bits), f"chunk bigint, doc_id {kind}, n_chars bigint, sha binary, suspect boolean, first boolean"
+            _mark(bits), f"chunk bigint, doc_id {kind}, n_chars bigint, sha binary, print bigint, suspect boolean, first boolean"
         ),
         "exact-marked",
     )
@@ -171,5 +176,5 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         F.when(alone, F.lit(1)).otherwise(F.col("rows")).cast("long").alias("group_size"),
         (F.col("first") & (alone | (F.col("doc_id").eqNullSafe(F.col("best.id")) & (F.col("n_chars") == -F.col("best.n"))))).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
-        "n_chars",
+        "n_chars", "print",
     )

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from stellate.llm.common import discard, lists, mix64, slices, staged, text_input
+from stellate.llm.common import discard, lists, mix64, slices, staged, text_input, text_print
 
 WORDS_PER_SHINGLE, BANDS, ROWS, HUBS = 5, 48, 5, 32
 #: Links need 100 * intersection >= PERCENT * union.
@@ -108,8 +108,9 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 lists(np.concatenate(bands), [len(b) for b in bands]),
+                batch.column(2),
             ],
-            names=["doc_id", "n_shingles", "set_key", "bands"],
+            names=["doc_id", "n_shingles", "set_key", "bands", "print"],
         )
         shingler.forget()
 
@@ -164,10 +165,10 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 
 
 def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id, kept``."""
+    """One row per input row: ``doc_id, n_shingles, component_id, kept, print``."""
     kind = docs.schema[id_column].dataType.simpleString()
-    source = text_input(docs, F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    signed = staged(source.mapInArrow(_signatures, f"doc_id {kind}, n_shingles bigint, set_key binary, bands array<bigint>"), "near-signed")
+    source = text_input(docs, F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"), text_print(F.col(text_column)).alias("print"))
+    signed = staged(source.mapInArrow(_signatures, f"doc_id {kind}, n_shingles bigint, set_key binary, bands array<bigint>, print bigint"), "near-signed")
     linkable = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = staged(linkable.groupBy("set_key").agg(F.min("doc_id").alias("cid"), F.first("bands").alias("bands")), "near-classes")
 
@@ -218,6 +219,6 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     discard(shared, fame, sets, compared, links, *([used] if used is not None else []))
 
     by_class = classes.select("set_key", "cid").join(labels.select(F.col("node").alias("cid"), "comp"), "cid", "left")
-    out = signed.select("doc_id", "n_shingles", "set_key").join(by_class.select("set_key", F.coalesce("comp", "cid").alias("comp")), "set_key", "left")
+    out = signed.drop("bands").join(by_class.select("set_key", F.coalesce("comp", "cid").alias("comp")), "set_key", "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("comp", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "print")

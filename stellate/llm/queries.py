@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stellate.llm import bpe, decontam, exact, near
+from stellate.llm import bpe, decontam, exact, near, quality
 from stellate.llm.common import read
 
 
+def op2_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_sites(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("print")
+
+
 def op4_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return decontam.leak_digests(found)
@@ -25,11 +29,11 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near.near_groups(read(spark, sf_dir, "documents"))
+    return near.near_groups(read(spark, sf_dir, "documents")).drop("print")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_prefix_decontamination, op5_exact_dedup, op6_bpe_codec, op9_minhash_groups)
+    f.__name__: f for f in (op2_site_quality, op4_prefix_decontamination, op5_exact_dedup, op6_bpe_codec, op9_minhash_groups)
 }
 
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
