@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stellate.llm import bpe, decontam, exact, near, quality
+from stellate.llm import bpe, decontam, exact, lbl, near, quality, ranked, urls
 from stellate.llm.common import read
 
 
@@ -15,6 +15,10 @@ def op2_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_sites(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("print")
 
 
+def op3_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lbl.language_scores(read(spark, sf_dir, "documents"))
+
+
 def op4_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return decontam.leak_digests(found)
@@ -28,12 +32,20 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(bpe.encode_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")))
 
 
+def op7_ranked_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.round_trip(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_groups(read(spark, sf_dir, "documents")).drop("print")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_site_quality, op4_prefix_decontamination, op5_exact_dedup, op6_bpe_codec, op9_minhash_groups)
+    f.__name__: f for f in (op2_site_quality, op3_log_bilinear, op4_prefix_decontamination, op5_exact_dedup, op6_bpe_codec, op7_ranked_ids, op8_url_filter, op9_minhash_groups)
 }
 
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
