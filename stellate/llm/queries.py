@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stellate.llm import bpe, decontam, exact, lbl, near, quality, ranked, urls
+from stellate.llm import bpe, decontam, exact, html_text, lbl, licenses, near, quality, ranked, urls
 from stellate.llm.common import read
 
 
+def op1_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(read(spark, sf_dir, "pages"))
+
+
 def op2_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_sites(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")).drop("print")
 
@@ -44,8 +48,12 @@ def op9_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_groups(read(spark, sf_dir, "documents")).drop("print")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digests(licenses.scan_licenses(read(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_site_quality, op3_log_bilinear, op4_prefix_decontamination, op5_exact_dedup, op6_bpe_codec, op7_ranked_ids, op8_url_filter, op9_minhash_groups)
+    f.__name__: f for f in (op1_tag_path_text, op2_site_quality, op3_log_bilinear, op4_prefix_decontamination, op5_exact_dedup, op6_bpe_codec, op7_ranked_ids, op8_url_filter, op9_minhash_groups, op10_license_scan)
 }
 
 _LOWER_AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
