@@ -1,0 +1,104 @@
+import numpy as np
+from pyspark.sql import functions as F
+
+from stellate.llm.quality import features, fit, linear, score_sites
+from tests.llm.helpers import frame, prose
+
+GOOD = "These are some plain words. They stand in sentences, as people write them. "
+
+
+def site_docs():
+    """Good prose and shouted or repeated junk, on a hot host and sparse ones."""
+    docs, labels = [], []
+    for i in range(240):
+        junk = i % 4 == 3
+        text = ("BUY NOW!! " * (5 + i % 40)) if junk and i % 8 == 3 else ("same " * (20 + i)) if junk else prose(i, 30 + i % 50).capitalize() + ". " + GOOD * (1 + i % 3)
+        docs.append((i, text, "hot" if i % 3 else f"host{i % 20}", "en" if i % 2 else "fr"))
+        if i % 2 == 0 or i % 5 == 0:
+            labels.append((i, 0 if junk else 1))
+    return docs, labels
+
+
+SCHEMA, LABELS = "doc_id bigint, text string, source string, lang string", "doc_id bigint, quality int"
+
+
+def plain(spark, rows, schema):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(rows, schema)
+    for name in ("path", "label", "features", "evidence", "salt", "good"):
+        df = df.withColumn(name, F.lit("x"))
+    return df
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = site_docs()
+    rows = score_sites(plain(spark, docs, SCHEMA), plain(spark, labels, LABELS)).collect()
+    assert len(rows) == len(docs)
+    known = dict(labels)
+    wrong = [r["doc_id"] for r in rows if r["doc_id"] not in known and r["accepted"] != (r["doc_id"] % 4 != 3)]
+    assert not wrong
+
+
+def test_site_posteriors_match_numpy(spark):
+    """The grouped shrinkage, recomputed in plain Python from the same evidence."""
+    docs, labels = site_docs()
+    rows = score_sites(plain(spark, docs, SCHEMA), plain(spark, labels, LABELS)).collect()
+    known = dict(labels)
+    good = {r["doc_id"]: known.get(r["doc_id"], 1 / (1 + np.exp(-r["evidence"]))) for r in rows}
+    hosts, paths = {}, {}
+    for r in rows:
+        for table, key in ((hosts, r["host"]), (paths, (r["host"], r["path"]))):
+            s = table.setdefault(key, [0.0, 0])
+            s[0] += good[r["doc_id"]]
+            s[1] += 1
+    mean = sum(s for s, _ in hosts.values()) / len(rows)
+
+    def strength(pairs):
+        pairs = [(s / n, n, p) for s, n, p in pairs if n > 1]
+        spread = np.mean([(x - p) ** 2 for x, n, p in pairs]) - np.mean([p * (1 - p) / n for x, n, p in pairs])
+        return min(max(np.mean([p * (1 - p) for x, n, p in pairs]) / max(spread, 1e-6) - 1, 1.0), 1e4)
+
+    mh = strength([(s, n, mean) for s, n in hosts.values()])
+    rate = {h: (s + mean * mh) / (n + mh) for h, (s, n) in hosts.items()}
+    mp = strength([(s, n, rate[h]) for (h, _), (s, n) in paths.items()])
+    for r in rows:
+        g = good[r["doc_id"]]
+        (hs, hn), (ps, pn) = hosts[r["host"]], paths[r["host"], r["path"]]
+        others = (hs - g + mean * mh) / (hn - 1 + mh)
+        assert abs((ps - g + others * mp) / (pn - 1 + mp) - r["site_prior"]) < 1e-9
+
+
+def test_sparse_site_follows_the_global_prior(spark):
+    docs, labels = site_docs()
+    docs.append((999, GOOD, "never-seen", "en"))
+    rows = {r["doc_id"]: r for r in score_sites(plain(spark, docs, SCHEMA), plain(spark, labels, LABELS)).collect()}
+    mean = np.mean([r["site_prior"] for r in rows.values()])
+    assert abs(rows[999]["site_prior"] - mean) < 0.15 and rows[999]["accepted"]
+
+
+def test_edge_rows(spark):
+    docs, labels = site_docs()
+    odd = [(None, None, None, None), (901, "", "hot", None), (902, "  \n", None, "en"), (903, "x " * 50000, "hot", "en"), (0, docs[0][1], "hot", "en")]
+    rows = score_sites(plain(spark, docs + odd, SCHEMA), plain(spark, [*labels, (0, None), (0, 1), (None, 1)], LABELS)).collect()
+    assert len(rows) == len(docs) + len(odd)
+    assert all(r["accepted"] is not None and r["probability"] is not None for r in rows)
+
+
+def test_without_two_classes_all_stay(spark):
+    docs, _ = site_docs()
+    for labels in ([], [(0, 1), (2, 1)]):
+        assert all(r["accepted"] for r in score_sites(plain(spark, docs, SCHEMA), plain(spark, labels, LABELS)).collect())
+    assert score_sites(plain(spark, [], SCHEMA), plain(spark, [], LABELS)).count() == 0
+
+
+def test_column_expression_equals_numpy(spark):
+    x = np.array([features(t) for t in (GOOD, "BUY NOW!! " * 9, "a", prose(1, 50))])
+    beta = fit(x, np.array([1.0, 0.0, 0.0, 1.0]))
+    df = spark.createDataFrame([(v.tolist(),) for v in x], "f array<double>")
+    z = np.hstack([np.ones((4, 1)), x, x * x]) @ beta
+    assert np.allclose([r[0] for r in df.select(linear(beta, F.col("f"))).collect()], np.clip(z, -8, 8))
+
+
+def test_frame_helper_columns(spark):
+    assert frame(spark, [(1, "a")]).count() == 1
