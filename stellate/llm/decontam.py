@@ -115,10 +115,10 @@ def decontaminate(
     candidates = found_candidates.hint("merge")
 
     # Stretch of equal words around the anchor: from the last difference before it to the first after it.
-    words = split_words(lower_az(F.col("text")))
-    texts = source.join(candidates.select("doc_id", "print").hint("merge"), source["doc_id"].eqNullSafe(candidates["doc_id"]) & (source["print"] == candidates["print"]), "left_semi")
-    texts = texts.dropDuplicates(["doc_id", "print"]).select("doc_id", "print", words.alias("words"))
-    found = texts.alias("t").join(candidates.alias("c"), F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.print") == F.col("c.print")))
+    held = candidates.select(F.col("doc_id").alias("c_id"), F.col("print").alias("c_print"), "candidates")
+    found = source.join(held, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("print") == F.col("c_print"))).select(
+        "doc_id", "print", "candidates", split_words(lower_az(F.col("text"))).alias("words")
+    )
     spans = F.expr("""
         transform(
             transform(candidates, c -> named_struct(
@@ -130,15 +130,17 @@ def decontaminate(
                 'b', c.shift + coalesce(array_min(filter(c.differ, k -> k >= c.at)) - 1, c.size - 1),
                 'item_id', c.item_id, 'width', c.width))
     """)
-    hits = found.select(F.col("t.doc_id").alias("doc_id"), F.col("t.print").alias("print"), F.get("words", F.lit(0)).alias("head"), spans.alias("spans"))
+    hits = found.select("doc_id", "print", F.get("words", F.lit(0)).alias("head"), spans.alias("spans"))
     hits = hits.select("doc_id", "print", F.expr("filter(spans, s -> s.b - s.a + 1 >= s.width)").alias("spans"), F.when(F.col("head") == "", 1).otherwise(0).alias("skip"))
-    hits = hits.where(F.size("spans") > 0).select(
+    hits = hits.select(
         F.col("doc_id").alias("hit_id"), F.col("print").alias("hit_print"),
         F.size(F.array_distinct(F.flatten(F.expr("transform(spans, s -> sequence(s.a, s.b))")))).cast("long").alias("n_hit"),
         F.array_sort(F.array_distinct(F.expr("transform(spans, s -> s.item_id)"))).alias("item_ids"),
         F.expr("array_distinct(transform(spans, s -> named_struct('first', s.a - skip, 'last', s.b - skip, 'item_id', s.item_id)))").alias("spans"),
     )
-    found_hits = staged(hits, "leak-hits")
+    # The filter stands above the aggregate: below, it would be pushed into the join with
+    # the split words inlined in its lambdas, and split the text again for each of them.
+    found_hits = staged(hits.dropDuplicates(["hit_id", "hit_print"]).where("n_hit > 0"), "leak-hits")
     hits = found_hits.hint("merge")
     discard(found_candidates, anchors, items)
 
