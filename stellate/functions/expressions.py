@@ -48,25 +48,44 @@ def is_present(c: Column | str) -> Column:
     return c.isNotNull() & (c.cast("string") != F.lit(""))
 
 
+# Number text as the database reads it (no type suffix, no hex).
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+SPECIAL_NUMBER = r"^\s*([+-]?(?i:inf(inity)?)|(?i:nan))\s*$"
+INTEGER = r"^\s*[+-]?\d+\s*$"
+DATE = r"^\d{4}-\d{2}-\d{2}$"
+LEAST_BIGINT, BEYOND_BIGINT = -9223372036854775808.0, 9223372036854775808.0
+
+
+def _checked(text: Column, value: Column, kind: str, strict: bool) -> Column:
+    """``value``, but a present cell that gave none is an error when strict. Raised
+    explicitly, so the outcome does not depend on the session's ANSI flag."""
+    if not strict:
+        return value
+    failed = F.raise_error(F.concat(F.lit(f"not a {kind}: "), text)).cast(kind)
+    return F.when(text.isNotNull() & value.isNull(), failed).otherwise(value)
+
+
 def to_double(c: Column | str, strict: bool = True) -> Column:
-    """Text → DOUBLE. Strict casts raise on a bad number (ANSI); lenient ones give NULL."""
+    """Text → DOUBLE. Strict: a bad number is an error; lenient: NULL."""
     v = missing_to_null(c)
-    return v.cast("double") if strict else v.try_cast("double")
+    return _checked(v, F.when(v.rlike(NUMBER) | v.rlike(SPECIAL_NUMBER), F.trim(v).try_cast("double")), "double", strict)
 
 
 def to_bigint(c: Column | str, strict: bool = True) -> Column:
-    """Text → BIGINT. Strict: ``'5.0'`` and ``'abc'`` are errors, as a database cast is."""
+    """Text → BIGINT. ``'5.0'``, ``'abc'`` and numbers out of range are bad."""
     v = missing_to_null(c)
-    return v.cast("bigint") if strict else v.try_cast("bigint")
+    return _checked(v, F.when(v.rlike(INTEGER), F.trim(v).try_cast("bigint")), "bigint", strict)
 
 
 def round_half_even_bigint(c: Column, strict: bool = True) -> Column:
     """``ROUND(double)::bigint`` with the half-to-even rule: 2.5 → 2, 3.5 → 4.
 
-    ``F.round`` rounds half up, so ``rint`` (IEEE round-to-nearest-even) is used.
+    ``F.round`` rounds half up, so ``rint`` (IEEE round-to-nearest-even) is used. NaN and
+    numbers out of range are bad.
     """
     r = F.rint(c)
-    return r.cast("bigint") if strict else r.try_cast("bigint")
+    fits = ~F.isnan(r) & (r >= LEAST_BIGINT) & (r < BEYOND_BIGINT)
+    return _checked(r.cast("string"), F.when(fits, r.try_cast("bigint")), "bigint", strict)
 
 
 def text_to_rounded_bigint(c: Column | str, strict: bool = True) -> Column:
@@ -77,7 +96,7 @@ def text_to_rounded_bigint(c: Column | str, strict: bool = True) -> Column:
 def to_date(c: Column | str, strict: bool = True) -> Column:
     """Text → DATE with the strict ``yyyy-MM-dd`` pattern."""
     v = missing_to_null(c)
-    return F.to_date(v, DATE_FORMAT) if strict else F.try_to_date(v, DATE_FORMAT)
+    return _checked(v, F.when(v.rlike(DATE), F.try_to_date(v, DATE_FORMAT)), "date", strict)
 
 
 def to_text(c: Column | str) -> Column:

@@ -40,30 +40,21 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*[F.count(F.when(X.col(c).isNull(), 1)).alias(c) for c in columns])
 
 
-# Dimension key counts up to this bound are broadcast in reference checks.
-BROADCAST_MAX_KEYS = 2_000_000
-
-
 def orphans(
     fact: DataFrame,
     dimension: DataFrame,
     fact_key: str,
     dim_key: str | None = None,
-    dimension_rows: int | None = None,
 ) -> DataFrame:
     """Foreign-key check: fact rows whose key is not in the dimension (``NOT EXISTS``).
 
     A fact row with a NULL key is not an orphan (SQL FK semantics); NOT NULL catches it.
-    Facts are keyed by entity, and one entity may hold a third of all fact rows, so a
-    shuffled anti-join would send them to one task. When the caller knows the dimension's
-    row count (``dimension_rows``) and it is within ``BROADCAST_MAX_KEYS``, the dimension
-    keys are broadcast and the facts are checked where they lie; otherwise the join is
-    shuffled and AQE's skew handling splits the hot partition.
+    Facts are keyed by entity, and one entity may hold a third of all fact rows: below the
+    session's broadcast threshold Spark checks the facts where they lie, above it the join
+    shuffles and AQE's skew handling splits the hot entity's partition.
     """
     dim_key = dim_key or fact_key
     d = dimension.select(X.col(dim_key).alias("__fk")).distinct()
-    if dimension_rows is not None and dimension_rows <= BROADCAST_MAX_KEYS:
-        d = F.broadcast(d)
     return fact.filter(X.col(fact_key).isNotNull()).join(d, X.col(fact_key) == F.col("__fk"), "left_anti")
 
 

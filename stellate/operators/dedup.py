@@ -8,7 +8,7 @@
 Skew: every operator here combines on the map side before its single shuffle, so a key
 that holds a third of all rows still sends at most one row per map task across the
 network. ``most_complete`` plans a partial ``WindowGroupLimit`` below the exchange;
-``latest_per_entity`` is a hash/sort aggregate with a partial ``max``.
+``latest_per_entity`` is a hash aggregate with a partial ``max``, and a join back.
 """
 
 from __future__ import annotations
@@ -86,22 +86,21 @@ def latest_per_entity(
     """Row with the largest ``date`` per ``entity`` (the whole row, not per-column last values).
 
     Rows with a NULL entity or a NULL date take no part, as an equi-join on the group's
-    maximum drops them. Implemented as ``max(struct(date, tiebreak…, row))`` per entity: a
-    partial aggregate on the map side, then one row per entity per map task is shuffled.
+    maximum drops them. A hash aggregate finds each entity's latest date; only the rows of
+    that date come back through a join (which AQE splits for a hot entity), and of several
+    the first in ``tiebreak`` and then content order stays.
     ``date`` must be a DATE (or an ISO text), so the maximum is chronological.
     """
-    others = [c for c in df.columns if c not in (entity, date)]
-    order = [date] + [c for c in tiebreak if c in others]
-    rest = [c for c in others if c not in order]
-    packed = F.struct(*[X.col(c) for c in order + rest]).alias("__latest")
-    latest = (
-        df.filter(X.col(entity).isNotNull() & X.col(date).isNotNull())
-        .groupBy(X.col(entity))
-        .agg(F.max(packed).alias("__latest"))
-    )
-    return latest.select(X.col(entity), *[F.col("__latest").getField(c).alias(c) for c in order + rest]).select(
-        *[X.col(c) for c in df.columns]
-    )
+    valid = df.filter(X.col(entity).isNotNull() & X.col(date).isNotNull())
+    day = "__latest_day"
+    last = valid.groupBy(X.col(entity).alias("__entity")).agg(F.max(X.col(date)).alias(day))
+    of_last = valid.join(last, (X.col(entity) == F.col("__entity")) & (X.col(date) == F.col(day))).select(*[X.col(c) for c in df.columns])
+    others = [c for c in tiebreak] + [c for c in df.columns if c not in (entity, date, *tiebreak)]
+    # Largest in this order, as the maximum of a struct would be.
+    first = Window.partitionBy(X.col(entity)).orderBy(*[X.col(c).desc_nulls_last() for c in others]) if others else None
+    if first is None:
+        return of_last.distinct()
+    return of_last.withColumn("__rank", F.row_number().over(first)).filter("__rank = 1").drop("__rank")
 
 
 def latest_per_entity_join(df: DataFrame, entity: str, date: str) -> DataFrame:

@@ -83,12 +83,16 @@ def update_existing(
     )
 
 
-def estimated_row_bytes(schema: T.StructType) -> int:
-    fixed = {T.LongType: 8, T.DoubleType: 8, T.IntegerType: 4, T.DateType: 4, T.TimestampType: 8, T.BooleanType: 1}
-    width = 16
-    for f in schema.fields:
-        width += next((v for k, v in fixed.items() if isinstance(f.dataType, k)), 48)
-    return width
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of the rows of ``df``: text and binary as they are, eight for any other field."""
+    text = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    nested = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    size = F.lit(16 + 8 * len(df.columns))
+    for c in text:
+        size = size + F.coalesce(F.octet_length(X.col(c)), F.lit(0))
+    for c in nested:
+        size = size + F.coalesce(F.octet_length(F.to_json(X.col(c))), F.lit(0))
+    return int(df.agg(F.sum(size.cast("long"))).first()[0] or 0)
 
 
 def broadcast_limit(spark) -> int:
@@ -106,14 +110,9 @@ def broadcast_limit(spark) -> int:
 
 
 def source_fits_broadcast(source: DataFrame, limit_bytes: int = DEFAULT_BROADCAST_LIMIT) -> bool:
-    """Checked size bound: counts the source rows and multiplies by an estimated row width.
-
-    Costs one pass over the source (which is small or already materialised), never over
-    the target.
-    """
-    if limit_bytes <= 0:
-        return False
-    return source.count() * estimated_row_bytes(source.schema) <= limit_bytes
+    """Whether the source's measured bytes are within the limit. One pass over the source's
+    text columns (small or already materialised), never over the target."""
+    return limit_bytes > 0 and measured_bytes(source) <= limit_bytes
 
 
 def upsert(
@@ -124,12 +123,14 @@ def upsert(
     strategy: str = "shuffle",
     with_flags: bool = False,
     broadcast_limit_bytes: int | None = None,
+    measured: bool = False,
 ) -> DataFrame:
     """Insert absent keys, COALESCE-update present ones, keep the rest.
 
-    ``strategy`` is ``shuffle``, ``broadcast`` (caller vouches for the source's size) or
-    ``auto`` (size checked here against ``broadcast_limit_bytes``, by default the session's
-    ``spark.sql.autoBroadcastJoinThreshold``). ``with_flags`` adds ``__in_target`` / ``__in_source``
+    ``strategy`` is ``shuffle``, or ``broadcast`` / ``auto``: broadcast when the source's
+    measured bytes are within ``broadcast_limit_bytes`` (by default the session's
+    ``spark.sql.autoBroadcastJoinThreshold``), else shuffle. ``measured`` says that the
+    caller has just done that check. ``with_flags`` adds ``__in_target`` / ``__in_source``
     booleans from which ``merge_counts`` derives the load counts without another pass.
     """
     keys = list(keys)
@@ -144,7 +145,7 @@ def upsert(
         ],
     )
 
-    if strategy == "auto":
+    if strategy in ("auto", "broadcast") and not measured:
         limit = broadcast_limit(source.sparkSession) if broadcast_limit_bytes is None else broadcast_limit_bytes
         strategy = "broadcast" if source_fits_broadcast(src, limit) else "shuffle"
 
@@ -214,32 +215,50 @@ def merge_counts(
     return out.withColumn("updated", F.col("inserted") + F.col("matched_before"))
 
 
+BATCH = "__batch"
+
+
 def merge_in_batches(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
-    batch_col: str,
-    bounds: Sequence[tuple[int, int]],
+    batches: int,
     columns: Sequence[str] | None = None,
     strategy: str = "shuffle",
-    checkpoint_every: int | None = None,
-) -> DataFrame:
-    """Merge ``source`` slice by slice (``batch_col BETWEEN lo AND hi``, inclusive).
-
-    Because the merge is keyed and slices are key-disjoint, the end state equals one
-    merge of the whole source. Bounded work per step, as with committed batches.
-    ``checkpoint_every`` cuts the lineage with a reliable ``checkpoint()`` (in the shared
-    checkpoint folder) after that many slices, so the plan does not grow with the batch
-    count and a lost executor recomputes at most that many slices.
+) -> tuple[DataFrame, DataFrame]:
+    """Merge ``source`` in ``batches`` key-disjoint slices; return the merged rows and the
+    log ``(batch, inserted, matched_before, target_only)``.
+
+    Both sides are cut by the same hash of the key and written once, partitioned by slice;
+    each slice then merges its own part of the target only, and its result is written
+    before the next begins. So the target is read once and written once in all, whatever
+    the number of slices, work and memory per step are bounded, and because the slices are
+    key-disjoint the end state equals one merge of the whole source.
     """
-    state = target
-    src = source.drop(batch_col) if batch_col not in target.columns else source
-    for i, (lo, hi) in enumerate(bounds, start=1):
-        part = source.filter(F.col(batch_col).between(lo, hi)).select(*src.columns)
-        state = upsert(state, part, keys, columns, strategy=strategy)
-        if checkpoint_every and i % checkpoint_every == 0 and i < len(bounds):
-            from stellate.session import checkpoint_dir
-
-            checkpoint_dir(state.sparkSession)
-            state = state.checkpoint(eager=True)
-    return state
+    from stellate.session import scratch_path
+    from stellate.sinks.staging import delete_path
+
+    spark, keys = target.sparkSession, list(keys)
+    cut = lambda df: df.withColumn(BATCH, F.pmod(F.xxhash64(*[X.col(k) for k in keys]), F.lit(batches)).cast("int"))
+    sides = {}
+    for name, df in (("target", target), ("source", valid_source(source, keys))):
+        path = scratch_path(spark, f"slices-{name}")
+        cut(df).hint("rebalance", BATCH).write.partitionBy(BATCH).parquet(path)
+        sides[name] = (path, spark.read.schema(T.StructType([*df.schema, T.StructField(BATCH, T.IntegerType())])).parquet(path))
+    merged = scratch_path(spark, "slices-merged")
+    for i in range(batches):
+        t, s = (sides[n][1].filter(F.col(BATCH) == i).drop(BATCH) for n in ("target", "source"))
+        out = upsert(t, s, keys, columns, strategy=strategy, with_flags=True)
+        out.withColumn(BATCH, F.lit(i)).write.mode("append").partitionBy(BATCH).parquet(merged)
+    for path, _ in sides.values():
+        delete_path(spark, path)
+    flags = [T.StructField(IN_TARGET, T.BooleanType()), T.StructField(IN_SOURCE, T.BooleanType()), T.StructField(BATCH, T.IntegerType())]
+    schema = T.StructType([*target.schema, *flags])
+    done = spark.read.schema(schema).parquet(merged)
+    it, iS = F.col(IN_TARGET), F.col(IN_SOURCE)
+    log = done.groupBy((F.col(BATCH) + 1).alias("batch")).agg(
+        F.count(F.when(iS & ~it, 1)).alias("inserted"),
+        F.count(F.when(iS & it, 1)).alias("matched_before"),
+        F.count(F.when(it & ~iS, 1)).alias("target_only"),
+    )
+    return done.select(*[X.col(c) for c in target.columns]), log

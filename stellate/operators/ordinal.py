@@ -29,6 +29,7 @@ from stellate.session import checkpoint_dir
 ORDINAL = "rn"
 _PID = "__pid"
 _POS = "__pos"
+_PLACE = "__place"
 
 
 def global_ordinal(
@@ -43,11 +44,12 @@ def global_ordinal(
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Ties are in no particular order (as with ROW_NUMBER), so a content hash may settle
     # them: rows sharing a hot key value then spread over several range partitions instead
-    # of one, and the hash is deterministic, so a retried task sees the same partitioning.
-    spread = F.xxhash64(*[X.col(c) for c in df.columns])
-    order = [X.col(k).asc_nulls_last() for k in keys] + [spread.asc()]
+    # of one. Rows equal in all columns are told apart by their place in the input, fixed by
+    # a checkpoint before it is used, so that a retried task sees the same partitioning.
+    placed = df.withColumn(_PLACE, F.monotonically_increasing_id()).checkpoint(eager=True)
+    order = [X.col(k).asc_nulls_last() for k in keys] + [F.xxhash64(_PLACE).asc()]
     tagged = (
-        df.repartitionByRange(n, *order)
+        placed.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))

@@ -1,12 +1,16 @@
 """End-to-end load of a wide daily file into a star schema.
 
-    stage (text CSV) → normalise keys → most complete row per (entity, day), written once
+    copy (text CSV → staging table) → most complete row per (entity, day), written once
     → dimension: latest row per entity, merged       → facts: typed split, merged per month
-    → reference check (orphans), final counts, metrics
+    → reference check (orphans), counts, metrics
 
-Spark plans each step; the driver only sequences them and receives counts. The
-deduplicated rows are written once to the shared checkpoint folder, because six targets
-read them and a written table survives executor loss (cached blocks would be recomputed).
+Spark plans each step; the driver only sequences them and receives counts. The raw text
+rows and the deduplicated rows are written once, because several steps read them and a
+written table survives executor loss (cached blocks would be recomputed); both are deleted
+at the end of the load, successful or not.
+
+Counts are observed in writing stages, whose tasks count once even when stages before them
+are run again after a lost executor.
 """
 
 from __future__ import annotations
@@ -49,6 +53,8 @@ class StarSchema:
 class LoadResult:
     metrics: list[tuple[str, str, str, float]] = field(default_factory=list)
     paths: dict[str, str] = field(default_factory=dict)
+    #: (table, batch, inserted, updated, sec) of every fact batch
+    batches: list[tuple[str, int, int, int, float]] = field(default_factory=list)
 
     def add(self, section: str, name: str, metric: str, value: float) -> None:
         self.metrics.append((section, name, metric, float(value)))
@@ -61,6 +67,9 @@ class LoadResult:
 
         return metrics_frame(spark, self.metrics)
 
+    def batch_log(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(self.batches, "table string, batch int, inserted bigint, updated bigint, sec double")
+
 
 def keyed(staged: DataFrame, schema: StarSchema, strict: bool = True) -> DataFrame:
     """Staging plus the parsed day ``__day``; the date is parsed *before* dedup, so two
@@ -100,9 +109,27 @@ def fact_rows(deduped: DataFrame, fact: TableMap, strict: bool = True) -> DataFr
     return mapping.project(deduped, fact, strict)
 
 
+def month_batches(rows: DataFrame, batch_rows: int | None) -> list[list]:
+    """The months a load touches, in groups of at most ``batch_rows`` rows (one month at
+    least). Groups are whole partitions, so a batched load still reads and writes every
+    partition of the target once. One number for each month reaches the driver."""
+    counts = rows.groupBy(tables.month_of(DAY).alias("m")).agg(F.count(F.lit(1)).alias("n")).orderBy("m").collect()
+    if batch_rows is None:
+        return [[r["m"] for r in counts]] if counts else []
+    out: list[list] = []
+    room = 0
+    for r in counts:
+        if not out or r["n"] > room:
+            out.append([])
+            room = batch_rows
+        out[-1].append(r["m"])
+        room -= r["n"]
+    return out
+
+
 def load_wide_frame(
     spark: SparkSession,
-    staged: DataFrame,
+    source: DataFrame,
     schema: StarSchema,
     targets_root: str,
     strict: bool = True,
@@ -111,116 +138,152 @@ def load_wide_frame(
     parallel: bool = True,
     staging_table: tuple[str, str] | None = None,
     keep_staging: bool = False,
+    batch_rows: int | None = None,
+    full_counts: bool = False,
 ) -> LoadResult:
-    """Load an all-text staging frame into the targets under ``targets_root``.
+    """Load an all-text frame into the targets under ``targets_root``.
 
     ``strict`` makes bad numbers, bad dates and NULLs in NOT NULL dimension columns stop
     the load (as the database would); otherwise bad cells become NULL and rows violating
     NOT NULL are left out and counted. ``check_references`` is ``"incremental"`` (the keys
     this run merged), ``"full"`` (every fact row) or ``False``.
-    ``staging_table=(namespace, name)`` keeps the deduplicated rows in a catalog table,
-    dropped at the end unless ``keep_staging``.
+    ``staging_table=(namespace, name)`` stages the raw text rows, as read, in a catalog
+    table, dropped at the end unless ``keep_staging``.
+    ``batch_rows`` loads the facts in batches of months (see ``month_batches``), each
+    committed before the next; ``LoadResult.batches`` has the log.
+    Final counts come from the target's running total (``<target>/_rows``); ``full_counts``
+    counts the files instead.
     """
     res = LoadResult()
     root = targets_root.rstrip("/")
+    temporary: list[str] = []
 
     def timed(section: str, name: str):
         t0 = time.perf_counter()
         return lambda: res.add(section, name, "sec", time.perf_counter() - t0)
 
-    # Dedup, written once; staged and dedup row counts observed on the same job.
-    done = timed("stages", "dedup")
-    obs_in, obs_out = Observation("staged"), Observation("dedup")
-    k = keyed(staged, schema, strict).observe(
-        obs_in,
-        F.count(F.lit(1)).alias("rows"),
-        F.count(F.when(~X.is_present(schema.entity) | F.col(DAY).isNull(), 1)).alias("null_keys"),
-    )
-    deduped = deduplicate_keyed(k, schema).observe(obs_out, F.count(F.lit(1)).alias("rows"))
-    if staging_table:
-        rows = staging.write_staging_table(deduped, *staging_table)
-    else:
-        dedup_path = tables.write_staged(deduped, "dedup")
-        rows = spark.read.parquet(dedup_path)
-    done()
-    staged_rows, null_keys = obs_in.get["rows"], obs_in.get["null_keys"]
-    dedup_rows = obs_out.get["rows"]
-    res.add("stages", "staging", "rows", staged_rows)
-    res.add("stages", "staging", "null_key_rows", null_keys)
-    res.add("stages", "dedup", "rows", dedup_rows)
-    checks.assert_dedup_nonempty(staged_rows - null_keys, dedup_rows)
-
-    # Dimension before facts, so every fact key can reference it. Its rows (one per
-    # entity) are written first and checked for NOT NULL columns, so a violation stops
-    # the load before any target changes.
-    dim = schema.dimension
-    done = timed("upserts", dim.name)
-    dim_src = spark.read.parquet(tables.write_staged(dimension_rows(rows, schema, strict), "dimension"))
-    violations = checks.null_violations(dim_src, dim.not_null).count()
-    res.add("checks", dim.name, "null_violations", violations)
-    if violations and strict:
-        raise checks.ConstraintViolation(f"{dim.name}: {violations} rows with NULL in {dim.not_null}")
-    counts = tables.merge_into_path(
-        spark, dim_src.filter(~_any_null(dim.not_null)), f"{root}/{dim.name}", dim.key_names, strategy=strategy
-    )  # one row per entity: small, but its size is still checked before any broadcast
-    done()
-    res.paths[dim.name] = f"{root}/{dim.name}"
-    for m in ("inserted", "updated", "matched_before"):
-        res.add("upserts", dim.name, m, counts[m])
-
-    # Every fact is keyed by the same day, so the months this run touches are found once.
-    months = tables.distinct_partitions(rows, tables.month_of(DAY))
-
-    def load_fact(fact: TableMap) -> tuple[TableMap, dict, float]:
+    try:
+        # The raw rows as read: text only, every column, nothing dropped.
+        done = timed("stages", "create_staging")
+        if staging_table:
+            staging.create_namespace(spark, staging_table[0])
+        done()
+        done = timed("stages", "copy")
         t0 = time.perf_counter()
+        obs_in = Observation("staged")
+        counted = source.observe(obs_in, F.count(F.lit(1)).alias("rows"))
+        if staging_table:
+            raw = staging.write_staging_table(counted, *staging_table)
+        else:
+            temporary.append(tables.write_staged(counted, "staging"))
+            raw = spark.read.schema(source.schema).parquet(temporary[-1])
+        res.add("copy", "source", "sec", time.perf_counter() - t0)
+        done()
+        staged_rows = tables.observed_rows(obs_in, source)
+
+        done = timed("stages", "dedup")
+        obs_out = Observation("dedup")
+        deduped = deduplicate(raw, schema, strict).observe(obs_out, F.count(F.lit(1)).alias("rows"))
+        temporary.append(tables.write_staged(deduped, "dedup"))
+        rows = spark.read.schema(deduped.schema).parquet(temporary[-1])
+        done()
+        dedup_rows = tables.observed_rows(obs_out, deduped)
+        null_keys = keyed(raw, schema, strict).filter(~X.is_present(schema.entity) | F.col(DAY).isNull()).count()  # two columns
+        res.add("copy", "source", "rows", staged_rows)
+        res.add("stages", "staging", "rows", staged_rows)
+        res.add("stages", "staging", "null_key_rows", null_keys)
+        res.add("stages", "dedup", "rows", dedup_rows)
+        checks.assert_dedup_nonempty(staged_rows - null_keys, dedup_rows)
+
+        # Dimension before facts, so every fact key can reference it. Its rows (one per
+        # entity) are written first and checked for NOT NULL columns, so a violation stops
+        # the load before any target changes.
+        dim = schema.dimension
+        done = timed("upserts", dim.name)
+        dim_out = dimension_rows(rows, schema, strict)
+        temporary.append(tables.write_staged(dim_out, "dimension"))
+        dim_src = spark.read.schema(dim_out.schema).parquet(temporary[-1])
+        violations = checks.null_violations(dim_src, dim.not_null).count()
+        res.add("checks", dim.name, "null_violations", violations)
+        if violations and strict:
+            raise checks.ConstraintViolation(f"{dim.name}: {violations} rows with NULL in {dim.not_null}")
+        commit_sec = 0.0
         counts = tables.merge_into_path(
-            spark,
-            fact_rows(rows, fact, strict),
-            f"{root}/{fact.name}",
-            fact.key_names,
-            PARTITION,
-            tables.month_of(fact.key_names[1]),
-            strategy=strategy,
-            source_rows=dedup_rows,
-            partition_values=months,
+            spark, dim_src.filter(~_any_null(dim.not_null)), f"{root}/{dim.name}", dim.key_names, strategy=strategy
         )
-        return fact, counts, time.perf_counter() - t0
-
-    # The fact merges are independent jobs; submitted together, the scheduler fills the
-    # slots one job's tail leaves idle.
-    for fact, counts, sec in _run_all(load_fact, schema.facts, parallel):
-        res.paths[fact.name] = f"{root}/{fact.name}"
-        res.add("upserts", fact.name, "sec", sec)
-        for m in ("inserted", "updated", "matched_before"):
-            res.add("upserts", fact.name, m, counts[m])
-
-    done = timed("stages", "final_counts")
-    targets = read_targets(spark, res.paths, schema)
-    for name, n in _run_all(lambda kv: (kv[0], kv[1].count()), list(targets.items()), parallel):
-        res.add("final_counts", name, "rows", n)
-    done()
-    if check_references:
-        done = timed("stages", "reference_check")
-        dim_df = targets[dim.name]
-        dim_count = int(res.value("final_counts", dim.name, "rows"))
-
-        def orphan_count(fact: TableMap) -> tuple[str, int]:
-            # "incremental": only the keys merged by this run. Entities are never removed
-            # from the dimension, so rows loaded earlier stay valid, and the check costs
-            # O(source) instead of a scan of the whole fact table. "full": every row.
-            if check_references == "full":
-                checked = targets[fact.name]
-            else:
-                checked = fact_rows(rows, fact, strict).select(*fact.key_names)
-            found = checks.orphans(checked, dim_df, fact.key_names[0], dim.key_names[0], dim_count)
-            return fact.name, found.count()
-
-        for name, n in _run_all(orphan_count, schema.facts, parallel):
-            res.add("checks", name, "orphans", n)
+        commit_sec += counts["commit_sec"]
         done()
-    if staging_table and not keep_staging:
+        res.paths[dim.name] = f"{root}/{dim.name}"
+        for m in ("inserted", "updated", "matched_before"):
+            res.add("upserts", dim.name, m, counts[m])
+        totals = {dim.name: counts["total"]}
+
+        # Every fact is keyed by the same day, so the months this run touches are found once.
+        batches = month_batches(rows, batch_rows)
+
+        def load_fact(fact: TableMap) -> tuple[TableMap, list[dict]]:
+            log = []
+            for months in batches or [[]]:
+                t0 = time.perf_counter()
+                part = rows.filter(tables.month_of(DAY).isin(months)) if batch_rows is not None else rows
+                counts = tables.merge_into_path(
+                    spark,
+                    fact_rows(part, fact, strict),
+                    f"{root}/{fact.name}",
+                    fact.key_names,
+                    PARTITION,
+                    tables.month_of(fact.key_names[1]),
+                    strategy=strategy,
+                    partition_values=months,
+                )
+                log.append(counts | {"sec": time.perf_counter() - t0})
+            return fact, log
+
+        # The fact merges are independent jobs; submitted together, the scheduler fills the
+        # slots one job's tail leaves idle.
+        t0 = time.perf_counter()
+        for fact, log in _run_all(load_fact, schema.facts, parallel):
+            res.paths[fact.name] = f"{root}/{fact.name}"
+            for i, c in enumerate(log, start=1):
+                res.batches.append((fact.name, i, c["inserted"], c["updated"], c["sec"]))
+                commit_sec += c["commit_sec"]
+            res.add("upserts", fact.name, "sec", sum(c["sec"] for c in log))
+            for m in ("inserted", "updated", "matched_before"):
+                res.add("upserts", fact.name, m, sum(c[m] for c in log))
+            totals[fact.name] = log[-1]["total"]
+        res.add("upserts", "facts", "wall_sec", time.perf_counter() - t0)
+        res.add("stages", "commit", "sec", commit_sec)
+
+        targets = read_targets(spark, res.paths, schema)
+        if full_counts:
+            done = timed("stages", "final_counts")
+            totals = dict(_run_all(lambda kv: (kv[0], kv[1].count()), list(targets.items()), parallel))
+            done()
+        for name, n in totals.items():
+            res.add("final_counts", name, "rows", n)
+        if check_references:
+            done = timed("stages", "reference_check")
+            dim_df = targets[dim.name]
+
+            def orphan_count(fact: TableMap) -> tuple[str, int]:
+                # "incremental": only the keys merged by this run. Entities are never removed
+                # from the dimension, so rows loaded earlier stay valid, and the check costs
+                # O(source) instead of a scan of the whole fact table. "full": every row.
+                if check_references == "full":
+                    checked = targets[fact.name]
+                else:
+                    checked = fact_rows(rows, fact, strict).select(*fact.key_names)
+                return fact.name, checks.orphans(checked, dim_df, fact.key_names[0], dim.key_names[0]).count()
+
+            for name, n in _run_all(orphan_count, schema.facts, parallel):
+                res.add("checks", name, "orphans", n)
+            done()
+    finally:
         done = timed("stages", "drop_staging")
-        staging.drop_staging_table(spark, *staging_table)
+        for path in temporary:
+            staging.delete_path(spark, path)
+        if staging_table and not keep_staging:
+            staging.drop_staging_table(spark, *staging_table)
         done()
     return res
 
@@ -243,11 +306,7 @@ def create_targets(spark: SparkSession, schema: StarSchema, targets_root: str) -
         s = m.schema()
         if m is not schema.dimension:
             s = s.add(PARTITION, "string")
-        if tables.read_target(spark, path, s) is None:
-            w = spark.createDataFrame([], s).write.mode("errorifexists")
-            if m is not schema.dimension:
-                w = w.partitionBy(PARTITION)
-            w.parquet(path)
+        tables.create_target(spark, path, s)
     return paths
 
 
@@ -270,6 +329,7 @@ def read_targets(spark: SparkSession, paths: dict[str, str], schema: StarSchema)
             s = m.schema()
             if m is not schema.dimension:
                 s = s.add(PARTITION, "string")
+            tables.recover(spark, paths[m.name])
             df = spark.read.schema(s).parquet(paths[m.name])
             out[m.name] = df.select(*[c.target for c in m.all_columns])
     return out
@@ -282,19 +342,19 @@ def load_wide_file(
     targets_root: str,
     strict: bool = True,
     multiline: bool = False,
-    audit: bool = True,
+    audit: bool = False,
     strategy: str = "auto",
     staging_table: tuple[str, str] | None = None,
     keep_staging: bool = False,
+    batch_rows: int | None = None,
 ) -> LoadResult:
-    """Read the wide CSV as text, audit it, and load it (the whole loader run)."""
-    from stellate.sources.csv import load_audit, read_text_csv
+    """Read the wide CSV as text and load it (the whole loader run). ``audit`` also counts
+    the physical lines, which reads the input once more."""
+    from stellate.sources.csv import line_count, read_text_csv, source_bytes
 
     t0 = time.perf_counter()
     staged = read_text_csv(spark, path, required=schema.required, multiline=multiline)
-    t_copy = time.perf_counter()
-    info = load_audit(spark, path) if audit else {}
-    t_audit = time.perf_counter()
+    t_header = time.perf_counter()
     res = load_wide_frame(
         spark,
         staged,
@@ -304,13 +364,11 @@ def load_wide_file(
         strategy=strategy,
         staging_table=staging_table,
         keep_staging=keep_staging,
+        batch_rows=batch_rows,
     )
+    res.add("copy", "source", "bytes", source_bytes(spark, path))
     if audit:
-        res.add("copy", "source", "lines", info["lines"])
-        # rows parsed = the staged row count observed during the dedup job
-        res.add("copy", "source", "rows", res.value("stages", "staging", "rows"))
-        res.add("copy", "source", "bytes", info["bytes"])
-        res.add("copy", "source", "sec", t_audit - t0)
-    res.add("stages", "read_header", "sec", t_copy - t0)
+        res.add("copy", "source", "lines", line_count(spark, path))
+    res.add("stages", "read_header", "sec", t_header - t0)
     res.add("etl", "run", "sec", time.perf_counter() - t0)
     return res

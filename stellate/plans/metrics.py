@@ -60,16 +60,16 @@ def upsert_total_sec(m: DataFrame, facts: Iterable[str]) -> DataFrame:
 def phase_shares(m: DataFrame, facts: Iterable[str]) -> DataFrame:
     """G-5: copy, dedup, upserts (facts only), commit — seconds and share of their sum."""
     facts = list(facts)
-    sec = F.col("metric") == "sec"
-    tagged = m.filter(sec).select(
-        F.when((F.col("section") == "stages") & (F.col("name") == "copy"), "copy")
-        .when((F.col("section") == "stages") & (F.col("name") == "dedup"), "dedup")
-        .when((F.col("section") == "upserts") & F.col("name").isin(*facts), "upserts")
-        .when((F.col("section") == "stages") & (F.col("name") == "commit"), "commit")
-        .alias("phase"),
-        "value",
-    ).filter(F.col("phase").isNotNull())
-    per = tagged.filter(F.col("phase").isin(*PHASES)).groupBy("phase").agg(F.sum("value").alias("sec"))
+    is_ = lambda section, name, metric="sec": (F.col("section") == section) & (F.col("name") == name) & (F.col("metric") == metric)
+    tagged = m.select(
+        *[F.sum(F.when(is_("stages", p), F.col("value"))).alias(p) for p in ("copy", "dedup", "commit")],
+        # Facts merged side by side: the wall time, where the run recorded it.
+        F.coalesce(
+            F.max(F.when(is_("upserts", "facts", "wall_sec"), F.col("value"))),
+            F.sum(F.when((F.col("section") == "upserts") & F.col("name").isin(*facts) & (F.col("metric") == "sec"), F.col("value"))),
+        ).alias("upserts"),
+    )
+    per = tagged.select(F.explode(F.array(*[F.struct(F.lit(p).alias("phase"), F.col(p).alias("sec")) for p in PHASES])).alias("x")).select("x.*").filter(F.col("sec").isNotNull())
     # At most four phase rows, so a window over all of them is bounded.
     total = F.sum("sec").over(Window.partitionBy())
     return per.select("phase", "sec", safe_ratio(F.col("sec"), total).alias("share"))
@@ -108,7 +108,7 @@ def retention(m: DataFrame) -> DataFrame:
 def load_summary(m: DataFrame) -> DataFrame:
     """G-6, G-8: inserted, updated, seconds and final rows per table."""
     up = (
-        m.filter(F.col("section") == "upserts")
+        m.filter((F.col("section") == "upserts") & F.col("metric").isin("inserted", "updated", "sec"))
         .groupBy("name")
         .pivot("metric", ["inserted", "updated", "sec"])
         .agg(F.first("value"))

@@ -59,14 +59,19 @@ W_SQL = (
     + ", CASE WHEN hour(ts) < 12 THEN CAST(event_id AS VARCHAR) ELSE '' END AS m_early"
     + ", event_id FROM events"
 )
-SCORE_SQL = " + ".join(f"(CASE WHEN NULLIF({c}, '') IS NOT NULL THEN 1 ELSE 0 END)" for c in SCORED)
+
+
+def _present(columns: list[str]) -> str:
+    """How many of the cells hold something."""
+    return "CAST(list_aggregate([" + ", ".join(f"NULLIF({c}, '')" for c in columns) + "], 'count') AS INTEGER)"
+
+
+SCORE_SQL = _present(SCORED)
 
 
 def _dedup(rel: str) -> str:
-    return (
-        f"SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY entity, day "
-        f"ORDER BY score DESC, event_id ASC) AS rn FROM (SELECT *, {SCORE_SQL} AS score FROM {rel})) WHERE rn = 1"
-    )
+    """Of each key the row with most cells, then the earliest event."""
+    return f"SELECT DISTINCT ON (entity, day) *, {SCORE_SQL} AS score FROM {rel} ORDER BY entity, day, score DESC, event_id"
 
 
 def _last_report(rel: str) -> str:
@@ -189,24 +194,30 @@ def _health_sql() -> dict[str, str]:
         cells.append(f"CASE WHEN {cond} THEN {base[value]} ELSE '' END AS {name}")
     wide = (
         f"SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS {H.ENTITY}, "
-        f"CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS {H.DATE}, " + ", ".join(cells) + " FROM lineitem"
+        f"CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS {H.DATE}, " + ", ".join(cells)
     )
     scored = [n for _, n, _, _ in V.health_cells() if n != H.LABEL]
-    score = " + ".join(f"(CASE WHEN NULLIF({c}, '') IS NOT NULL THEN 1 ELSE 0 END)" for c in scored)
     order = ", ".join(f"{c} ASC NULLS LAST" for c in scored)
-    dedup_sql = (
-        f"SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY {H.ENTITY}, CAST({H.DATE} AS DATE) "
-        f"ORDER BY score DESC, {order}) AS rn FROM (SELECT *, {score} AS score FROM hw "
-        f"WHERE NULLIF({H.ENTITY}, '') IS NOT NULL AND {H.DATE} IS NOT NULL)) WHERE rn = 1"
-    )
-    base = f"WITH hw AS ({wide}), hd AS ({dedup_sql}) "
-    latest = (
-        f"SELECT d.* FROM hd d JOIN (SELECT {H.ENTITY} AS e, MAX(CAST({H.DATE} AS DATE)) AS md FROM hd "
-        f"GROUP BY {H.ENTITY}) m ON d.{H.ENTITY} = m.e AND CAST(d.{H.DATE} AS DATE) = m.md"
+
+    def dedup(rel: str) -> str:
+        return (
+            f"SELECT DISTINCT ON ({H.ENTITY}, {H.DATE}) *, {_present(scored)} AS score FROM {rel} "
+            f"WHERE NULLIF({H.ENTITY}, '') IS NOT NULL AND {H.DATE} IS NOT NULL ORDER BY {H.ENTITY}, {H.DATE}, score DESC, {order}"
+        )
+
+    def latest(rel: str) -> str:
+        return f"SELECT DISTINCT ON ({H.ENTITY}) * FROM {rel} ORDER BY {H.ENTITY}, CAST({H.DATE} AS DATE) DESC"
+
+    base = f"WITH hw AS ({wide} FROM lineitem), hd AS ({dedup('hw')}) "
+    first = f"CAST(l_shipdate AS DATE) < DATE '{V.HEALTH_FIRST_BEFORE}'"
+    second = f"CAST(l_shipdate AS DATE) >= DATE '{V.HEALTH_SECOND_FROM}' AND l_discount >= CAST({V.HEALTH_SECOND_DISCOUNT!r} AS DOUBLE)"
+    twice = (
+        f"WITH w1 AS ({wide} FROM lineitem WHERE {first}), w2 AS ({wide} FROM lineitem WHERE {second}), "
+        f"d1 AS ({dedup('w1')}), d2 AS ({dedup('w2')}), "
     )
     out = {
         "health_dedup": base + "SELECT * FROM hd",
-        "health_locatii": base + _project(H.LOCATII, f"({latest})"),
+        "health_locatii": base + _project(H.LOCATII, f"({latest('hd')})"),
     }
     for f in H.FACTS:
         out[f"health_{f.name}"] = base + _project(f, "hd")
@@ -219,10 +230,23 @@ def _health_sql() -> dict[str, str]:
         f"SELECT '{f.name}' AS tbl, COUNT(*) AS inserted, COUNT(*) AS updated, COUNT(*) AS total_after FROM hd"
         for f in H.FACTS
     ]
+    for f in (H.LOCATII, *H.FACTS):
+        of = (lambda d: f"({latest(d)})") if f is H.LOCATII else str
+        sides = f"t AS ({_project(f, of('d1'))}), s AS ({_project(f, of('d2'))}) "
+        out[f"health_upsert_{f.name}"] = twice + sides + _upsert("t", "s", f.key_names, f.value_names)
+    f = H.FACTS[0]
+    narrow = f"t AS ({_project(f, 'd1')}), s AS (SELECT * REPLACE ({', '.join(f'NULL AS {c}' for c in f.value_names[-2:])}) FROM ({_project(f, 'd2')})) "
+    out["narrow_source_merge"] = twice + narrow + _upsert("t", "s", f.key_names, f.value_names)
+    out["batched_load"] = base + " UNION ALL ".join(f"SELECT '{f.name}' AS tbl, COUNT(*) AS inserted, COUNT(*) AS updated FROM hd" for f in H.FACTS)
     out["health_load"] = base + " UNION ALL ".join(parts)
     return out
 
 
+_STAGE = (
+    "CASE event_type WHEN 'click' THEN 'copy' WHEN 'view' THEN 'dedup' WHEN 'purchase' THEN 'create_staging' "
+    "WHEN 'signup' THEN 'commit' ELSE 'drop_staging' END"
+)
+
 ORACLE: dict[str, str] = {
     "stage_text": W_SQL,
     "typed_projection": f"WITH w AS ({W_SQL}) {_project(V.W_TYPED, 'w')}",
@@ -232,7 +256,7 @@ ORACLE: dict[str, str] = {
     ),
     "completeness_score": f"WITH w AS ({W_SQL}) SELECT entity, day, event_id, {SCORE_SQL} AS score FROM w",
     "dedup_most_complete": BASE + "SELECT * FROM wd",
-    "dedup_any_per_key": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "dedup_any_per_key": "SELECT DISTINCT l_orderkey, l_linenumber, TRUE AS row_exists FROM lineitem",
     "latest_per_entity": BASE + _latest("wd"),
     "split_dimension": BASE + _project(V.W_DIMENSION, "(" + _latest("wd") + ")"),
     "split_fact_1": BASE + _project(V.W_FACTS[0], "wd"),
@@ -261,10 +285,31 @@ ORACLE: dict[str, str] = {
         "FROM (SELECT o_orderkey, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS rn FROM orders)"
     ),
     "batched_upsert": UPSERT_ORDERS,
-    "orphan_check": (
-        "SELECT o_orderkey, o_custkey FROM orders o WHERE NOT EXISTS "
-        "(SELECT 1 FROM customer c WHERE c.c_mktsegment <> 'BUILDING' AND c.c_custkey = o.o_custkey)"
+    "key_slice": (
+        ORDERS + ", n AS (SELECT *, ROW_NUMBER() OVER (ORDER BY o_orderkey) AS rn, COUNT(*) OVER () AS total FROM os) "
+        f"SELECT o_orderkey, {', '.join(ORDER_COLS)} FROM n "
+        f"WHERE rn BETWEEN CEIL(total / {Q.UPSERT_BATCHES}.0) + 1 AND 2 * CEIL(total / {Q.UPSERT_BATCHES}.0)"
+    ),
+    "batch_totals": (
+        "SELECT o_orderpriority AS tbl, COUNT(*) FILTER (o_orderstatus <> 'F') AS inserted, COUNT(*) AS updated, "
+        "COUNT(*) / 1024.0::DOUBLE AS sec FROM orders GROUP BY 1"
+    ),
+    "staging_total": "SELECT COUNT(*) / 1024.0::DOUBLE AS staging_total_sec FROM events",
+    "upserts_total": "SELECT COUNT(*) / 1024.0::DOUBLE AS upserts_sec FROM orders",
+    "stage_ranking": f"SELECT {_STAGE} AS stage, COUNT(*) / 1024.0::DOUBLE AS sec FROM events GROUP BY 1",
+    "phase_shares": (
+        f"WITH p AS (SELECT {_STAGE} AS phase, COUNT(*) / 1024.0::DOUBLE AS sec FROM events GROUP BY 1 "
+        "UNION ALL SELECT 'upserts', COUNT(*) / 1024.0::DOUBLE FROM orders), "
+        "q AS (SELECT * FROM p WHERE phase IN ('copy', 'dedup', 'upserts', 'commit')) "
+        "SELECT phase, sec, sec / (SELECT SUM(sec) FROM q) AS share FROM q"
+    ),
+    "throughput": (
+        "WITH t AS (SELECT COUNT(*)::DOUBLE AS n, SUM(strlen(props))::DOUBLE AS b, "
+        "(COUNT(*) FILTER (event_type = 'click')) / 1024.0::DOUBLE AS s FROM events) "
+        "SELECT n AS processed, n + 1 AS total_lines, s AS duration_sec, n / s AS rows_per_sec, "
+        "b / 1000000.0::DOUBLE / s AS mb_per_sec, b / 1000000.0::DOUBLE AS size_mb FROM t"
     ),
+    "orphan_check": "SELECT doc_id, lang, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
     "duplicate_keys": (
         "SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem "
         "GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1"
@@ -286,4 +331,5 @@ ORACLE: dict[str, str] = {
     + ", ".join(f"NULLIF({m}, '') AS {m}" for m in V.W_MEASURES)
     + ", CAST(event_id AS VARCHAR) AS event_id FROM w",
 }
+ORACLE["csv_many_files"] = ORACLE["csv_stage"]
 ORACLE.update(_health_sql())

@@ -19,6 +19,8 @@ from stellate.plans import views as V
 BATCH_SIZE = 20_000
 # Number of batches the batched upsert splits its source into.
 UPSERT_BATCHES = 4
+# Files, and so micro-batches, of the streamed upsert.
+STREAM_FILES = 4
 
 
 def _materialised(df: DataFrame) -> DataFrame:
@@ -63,9 +65,13 @@ def dedup_most_complete(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_any_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D-4: one arbitrary row per key; the keys are compared (the row is arbitrary)."""
+    """D-4: one arbitrary row per key. Which one is free, so the rows are looked up in the
+    table: each key comes back once, with whether its kept row exists there as a whole."""
     keys = ["l_orderkey", "l_linenumber"]
-    return dedup.any_per_key(V.read(spark, sf_dir, "lineitem"), keys).select(*keys)
+    lines = V.read(spark, sf_dir, "lineitem")
+    kept = dedup.any_per_key(lines, keys)
+    found = lines.distinct().withColumn("row_exists", F.lit(True))
+    return kept.join(found, lines.columns, "left").select(*keys, F.coalesce("row_exists", F.lit(False)).alias("row_exists"))
 
 
 def latest_per_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,21 +178,67 @@ def key_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def batched_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E-5: the orders source merged in ``UPSERT_BATCHES`` key ranges; equals one upsert."""
+def key_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-4, B-6: the source rows whose key's ordinal lies in the second of
+    ``UPSERT_BATCHES`` inclusive ranges, by an inner join on the key."""
     src = V.orders_source(spark, sf_dir)
-    numbered = ordinal.global_ordinal(src, ["o_orderkey"])
-    total = numbered.count()
-    size = max(1, -(-total // UPSERT_BATCHES))
-    bounds = ordinal.batch_bounds(total, size)
-    return merge.merge_in_batches(V.orders_target(spark, sf_dir), numbered, ["o_orderkey"], "rn", bounds)
+    numbered = ordinal.global_ordinal(src.select("o_orderkey"), ["o_orderkey"])
+    lo, hi = ordinal.batch_bounds(total := numbered.count(), max(1, -(-total // UPSERT_BATCHES)))[1]
+    return ordinal.batch_of(numbered, src, ["o_orderkey"], lo, hi)
+
+
+def batched_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-5: the orders source merged in ``UPSERT_BATCHES`` slices; equals one upsert."""
+    target, source = V.orders_target(spark, sf_dir), V.orders_source(spark, sf_dir)
+    return merge.merge_in_batches(target, source, ["o_orderkey"], UPSERT_BATCHES)[0]
+
+
+def batch_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-8: inserted, updated and seconds of all batches, by table."""
+    from stellate.plans import metrics as M
+
+    return M.accumulate_batches(V.batch_log(spark, sf_dir)).withColumnRenamed("table", "tbl")
+
+
+def staging_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-9: seconds of all stages."""
+    from stellate.plans import metrics as M
+
+    return M.staging_total_sec(V.load_log(spark, sf_dir))
+
+
+def upserts_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-9: seconds of the fact upserts."""
+    from stellate.plans import metrics as M
+
+    return M.upsert_total_sec(V.load_log(spark, sf_dir), V.LOG_FACTS)
+
+
+def stage_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-10, G-4: stages by seconds."""
+    from stellate.plans import metrics as M
+
+    return M.stage_ranking(V.load_log(spark, sf_dir))
+
+
+def phase_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G-5: seconds and share of copy, dedup, upserts and commit."""
+    from stellate.plans import metrics as M
+
+    return M.phase_shares(V.load_log(spark, sf_dir), V.LOG_FACTS)
+
+
+def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G-1, G-2: rows and megabytes a second."""
+    from stellate.plans import metrics as M
+
+    return M.throughput(V.load_log(spark, sf_dir))
 
 
 def orphan_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """C-8: orders whose customer is missing from a dimension without the BUILDING segment."""
-    cust = V.read(spark, sf_dir, "customer").filter(F.col("c_mktsegment") != "BUILDING")
-    orders = V.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return checks.orphans(orders, cust, "o_custkey", "c_custkey")
+    """C-8: documents that no label refers to (real orphans of a given pair of tables)."""
+    docs = V.read(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return checks.orphans(docs, V.read(spark, sf_dir, "labels"), "doc_id")
 
 
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,12 +270,10 @@ def table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """G-3: staged rows, deduplicated rows and the retention percentage, in one pass:
-    every staged row is ranked within its key and rank 1 is the deduplicated row."""
-    ranked = dedup.most_complete_ranked(V.w(spark, sf_dir), V.W_KEYS, [V.W_LABEL, V.W_TIEBREAK], [V.W_TIEBREAK])
-    counts = ranked.agg(
-        F.count(F.lit(1)).alias("staged_rows"), F.count(F.when(F.col(dedup.RANK) == 1, 1)).alias("dedup_rows")
-    )
+    """G-3: staged rows, deduplicated rows and the retention percentage: one row is kept
+    for each key, so partial counts by key are all that travels."""
+    per_key = V.w(spark, sf_dir).groupBy(*V.W_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    counts = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("staged_rows"), F.count(F.lit(1)).alias("dedup_rows"))
     return counts.select(
         "staged_rows",
         "dedup_rows",
@@ -248,13 +298,21 @@ def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E-5 streaming: ``events`` read as a file stream, each micro-batch deduplicated,
-    typed and merged into the activity fact (which starts as the history half)."""
+    """E-5 streaming: ``events`` arrive as ``STREAM_FILES`` files, in order of time; each is
+    a micro-batch that is deduplicated, typed and merged into the activity fact (which
+    starts as the history half)."""
+    from stellate.session import scratch_path
     from stellate.streaming.upsert import run_fact_stream
 
-    wide = V.w(spark, sf_dir)
-    start = mapping.project(V.w_target_half(wide), V.W_FACTS[0])
-    return run_fact_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", start, V.W_FACTS[0])
+    start = mapping.project(V.w_target_half(V.w(spark, sf_dir)), V.W_FACTS[0])
+    events = V.read(spark, sf_dir, "events")
+    day = F.to_date("ts")
+    first, days = events.agg(F.min(day), F.datediff(F.max(day), F.min(day)) + 1).first()
+    inbox = scratch_path(spark, "events-inbox")
+    for i in range(STREAM_FILES if first else 0):
+        part = F.floor(F.datediff(day, F.lit(first)) * STREAM_FILES / F.lit(days))
+        events.filter(part == i).coalesce(1).write.mode("append").parquet(inbox)
+    return run_fact_stream(spark, f"{inbox}/part-*", start, V.W_FACTS[0])
 
 
 def csv_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,6 +327,22 @@ def csv_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged.select(*[X.missing_to_null(c).alias(c) for c in staged.columns])
 
 
+def csv_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-1, A-3: W written as three CSV files, one of them with its columns the other way
+    round, and read back from their folder, each by its own header."""
+    from stellate.session import scratch_path
+    from stellate.sources.csv import read_text_csv
+
+    wide = V.w(spark, sf_dir)
+    folder = scratch_path(spark, "w-csv-files")
+    parts = (F.col("m_click") != "", (F.col("m_click") == "") & (F.col("m_view") != ""), (F.col("m_click") == "") & (F.col("m_view") == ""))
+    for i, (name, where) in enumerate(zip("abc", parts, strict=True)):
+        columns = wide.columns[::-1] if i == 1 else wide.columns
+        wide.filter(where).select(columns).write.option("header", True).csv(f"{folder}/{name}")
+    staged = read_text_csv(spark, folder, required=list(V.W_KEYS))
+    return staged.select(*[X.missing_to_null(c).alias(c) for c in wide.columns])
+
+
 def _health_exact():
     """The health load schema with its tie-break spelled out: every scored column in file
     order, which is also the load's default."""
@@ -326,6 +400,68 @@ def health_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.load_summary(res.frame(spark)).drop("sec")
 
 
+def batched_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-5, D-8: the load in batches of months of at most ``BATCH_SIZE`` rows; inserted and
+    updated rows of all batches, by table."""
+    from stellate.plans import load
+    from stellate.plans import metrics as M
+    from stellate.session import scratch_path
+
+    wide = V.health_wide_view(V.read(spark, sf_dir, "lineitem"))
+    res = load.load_wide_frame(spark, wide, _health_exact(), scratch_path(spark, "batched-load"), batch_rows=BATCH_SIZE)
+    return M.accumulate_batches(res.batch_log(spark)).select(F.col("table").alias("tbl"), "inserted", "updated")
+
+
+# One pair of loads serves the six queries that read its tables (by application and input).
+_LOADED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def _health_loaded_twice(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The six tables after two runs of the whole load: history, then a newer extract that
+    overlaps it."""
+    from stellate.plans import load
+    from stellate.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LOADED:
+        root = scratch_path(spark, "health-upsert")
+        for extract in V.health_extracts(V.read(spark, sf_dir, "lineitem")):
+            res = load.load_wide_frame(spark, extract, _health_exact(), root)
+        _LOADED[key] = load.read_targets(spark, res.paths, _health_exact())
+    return _LOADED[key]
+
+
+def _health_upsert(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _health_loaded_twice(spark, sf_dir)[name]
+
+    q.__doc__ = f"E-3, E-4: table {name}, read back after two overlapping loads."
+    return q
+
+
+def narrow_source_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-4: the facts' merge path with a source that lacks the last two columns: they keep
+    the target's values."""
+    from stellate.plans import health as H
+    from stellate.plans import load
+    from stellate.session import scratch_path
+    from stellate.sinks import tables
+
+    fact, path = H.FACTS[0], scratch_path(spark, "narrow-merge")
+    first, second = V.health_extracts(V.read(spark, sf_dir, "lineitem"))
+    for i, extract in enumerate((first, second)):
+        rows = load.fact_rows(load.deduplicate(extract, _health_exact()), fact)
+        rows = rows.drop(*fact.value_names[-2:]) if i else rows
+        tables.merge_into_path(spark, rows, path, fact.key_names, load.PARTITION, tables.month_of(fact.key_names[1]))
+    return tables.read_target(spark, path).select(*fact.key_names, *fact.value_names)
+
+
+def _health_names() -> list[str]:
+    from stellate.plans import health as H
+
+    return [H.LOCATII.name, *[f.name for f in H.FACTS]]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_text": stage_text,
     "typed_projection": typed_projection,
@@ -352,7 +488,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_idempotent": upsert_idempotent,
     "key_ordinal": key_ordinal,
     "key_batches": key_batches,
+    "key_slice": key_slice,
     "batched_upsert": batched_upsert,
+    "batch_totals": batch_totals,
+    "staging_total": staging_total,
+    "upserts_total": upserts_total,
+    "stage_ranking": stage_ranking,
+    "phase_shares": phase_shares,
+    "throughput": throughput,
     "orphan_check": orphan_check,
     "duplicate_keys": duplicate_keys,
     "null_violations": null_violations,
@@ -361,6 +504,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_summary": load_summary,
     "stream_upsert": stream_upsert,
     "csv_stage": csv_stage,
+    "csv_many_files": csv_many_files,
     "health_dedup": health_dedup,
     "health_locatii": health_locatii,
     "health_cazuri_zilnice": _health_fact(0),
@@ -369,4 +513,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "health_spitalizari_zilnice": _health_fact(3),
     "health_mortalitate_exces_zilnica": _health_fact(4),
     "health_load": health_load,
+    "batched_load": batched_load,
+    "narrow_source_merge": narrow_source_merge,
+    **{f"health_upsert_{n}": _health_upsert(n) for n in _health_names()},
 }

@@ -150,6 +150,53 @@ def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The two extracts of the wide daily file overlap in the half year between these days.
+HEALTH_FIRST_BEFORE, HEALTH_SECOND_FROM, HEALTH_SECOND_DISCOUNT = "1996-01-01", "1995-07-01", 0.05
+
+
+def health_extracts(lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """History, and a newer extract that overlaps it and reports discounted lines only, so
+    that shared keys bring other cells, and fewer, the second time."""
+    day = F.to_date("l_shipdate")
+    first = lineitem.filter(day < F.lit(HEALTH_FIRST_BEFORE).cast("date"))
+    second = lineitem.filter((day >= F.lit(HEALTH_SECOND_FROM).cast("date")) & (F.col("l_discount") >= HEALTH_SECOND_DISCOUNT))
+    return health_wide_view(first), health_wide_view(second)
+
+
+def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A metrics frame derived from given tables: stage seconds from ``events`` (a 1024th
+    of a second for each event of a type, so that sums are exact), upserts from ``orders``."""
+    stages = {"click": "copy", "view": "dedup", "purchase": "create_staging", "signup": "commit", "error": "drop_staging"}
+    ev, o = read(spark, sf_dir, "events"), read(spark, sf_dir, "orders")
+    name = F.create_map(*[F.lit(x) for kv in stages.items() for x in kv])[F.col("event_type")]
+    row = lambda section, name, metric, value: (F.lit(section).alias("section"), name.alias("name"), F.lit(metric).alias("metric"), value.cast("double").alias("value"))
+    per_type = ev.groupBy(name.alias("name")).agg((F.count(F.lit(1)) / 1024.0).alias("v")).select(*row("stages", F.col("name"), "sec", F.col("v")))
+    seconds = F.sum(F.when(F.col("event_type") == "click", 1).otherwise(0)) / 1024.0
+    copy = [
+        ev.select(*row("copy", F.lit("source"), m, v))
+        for m, v in (("rows", F.count(F.lit(1))), ("lines", F.count(F.lit(1)) + 1), ("bytes", F.sum(F.octet_length("props"))), ("sec", seconds))
+    ]
+    ups = o.groupBy(F.col("o_orderpriority").alias("name")).agg((F.count(F.lit(1)) / 1024.0).alias("v")).select(*row("upserts", F.col("name"), "sec", F.col("v")))
+    out = per_type.unionByName(ups)
+    for c in copy:
+        out = out.unionByName(c)
+    return out
+
+
+#: The five order priorities stand for the five fact tables of a log.
+LOG_FACTS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+def batch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch log derived from ``orders``: one batch for each priority and month."""
+    o = read(spark, sf_dir, "orders")
+    return o.groupBy(F.col("o_orderpriority").alias("table"), F.date_format("o_orderdate", "yyyy-MM").alias("batch")).agg(
+        F.count(F.when(F.col("o_orderstatus") != "F", 1)).alias("inserted"),
+        F.count(F.lit(1)).alias("updated"),
+        (F.count(F.lit(1)) / 1024.0).alias("sec"),
+    )
+
+
 def health_wide_view(lineitem: DataFrame) -> DataFrame:
     """A wide, sparse, all-text daily file in the health schema's 67-column layout,
     derived from ``lineitem``: one row per line item, keyed by supplier and ship day, so

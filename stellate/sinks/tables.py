@@ -1,30 +1,37 @@
 """Writing targets.
 
 Parquet has no row-level update. A merge therefore rewrites whole partitions: the merged
-rows of the *affected* partitions replace those partitions — and only those — with
-``partitionOverwriteMode=dynamic``. Untouched months are never read or rewritten.
-
-Failures: a lost executor only loses tasks, which are retried against the unchanged old
-files (new files stay in the job's hidden staging folder until commit). Replays are safe
-because the merge is idempotent and partition-local: ``upsert(upsert(T,S),S) =
-upsert(T,S)`` for every partition, so re-running a batch gives the same table.
+rows of the *affected* partitions replace those partitions, and only those. Untouched
+months are never read or rewritten.
+
+Failures. A merge first writes the complete new partitions to ``<target>/_pending/data``
+(Spark's readers skip names that begin with ``_``). Only when that job has committed does a
+``_READY`` marker name what is to be replaced, and the folders are then switched. A driver
+lost before the marker leaves the old target as it was; one lost after it leaves the new
+rows in ``_pending``, and ``recover`` (run at the start of every read and merge) finishes
+the switch. No moment holds rows in neither place. A lost executor only costs task retries.
+
+A target keeps its own schema in ``<target>/_schema``: a source without one of its columns
+leaves that column's values alone, and a source with a new column adds it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stellate.operators import merge
+from stellate.functions import expressions as X
+from stellate.operators import checks, merge
 from stellate.session import scratch_path
+from stellate.sinks.files import Files
 
-# Above this many distinct partition values in one source, the merge reads the whole
-# target instead of a pruned list (same rows, no pruning).
-MAX_PRUNED_PARTITIONS = 10_000
+PENDING, READY, SCHEMA, ROWS = "_pending", "_READY", "_schema", "_rows"
 
 
 def month_of(day: str) -> Column:
@@ -54,24 +61,81 @@ def write_csv_file(df: DataFrame, spark: SparkSession, name: str, pad_header: bo
     return path
 
 
-def read_target(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The target at ``path`` read with its known schema, or ``None`` before its first load."""
-    try:
-        return spark.read.schema(schema).parquet(path)
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The target's own schema, or ``None`` before its first load."""
+    files = Files(spark, path)
+    kept = files.read(f"{path}/{SCHEMA}")
+    if kept is not None:
+        return T.StructType.fromJson(json.loads(kept))
+    try:  # a table that something else wrote
+        return spark.read.parquet(path).schema if files.exists(path) else None
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in (e.getCondition() or "") or "Path does not exist" in str(e):
+        if "UNABLE_TO_INFER_SCHEMA" in (e.getCondition() or ""):
             return None
         raise
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace only the partitions present in ``df``; others stay as they are."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+def read_target(spark: SparkSession, path: str) -> DataFrame | None:
+    """The target at ``path`` with its own stored schema, or ``None`` before its first load."""
+    recover(spark, path)
+    schema = stored_schema(spark, path)
+    return None if schema is None else spark.read.schema(schema).parquet(path)
+
+
+def create_target(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """An empty target that knows its schema; an existing one stays as it is."""
+    if stored_schema(spark, path) is None:
+        files = Files(spark, path)
+        files.mkdirs(path)
+        files.write(f"{path}/{SCHEMA}", schema.json())
+
+
+def evolved(target: T.StructType | None, source: T.StructType, last: Sequence[str] = ()) -> T.StructType:
+    """The target's columns, then the source's new ones; partition columns last."""
+    fields = {f.name: f for f in (*(target or T.StructType()), *(f for f in source if target is None or f.name not in target.names))}
+    return T.StructType([f for n, f in fields.items() if n not in last] + [fields[n] for n in last])
+
+
+def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), total: Callable[[], int] | None = None) -> float:
+    """Replace the partitions present in ``df`` (or, without any, the whole target); return
+    the seconds of the switch. ``total``, called when the new data are written, gives the
+    row count that the target then has."""
+    spark, files = df.sparkSession, Files(df.sparkSession, path)
+    files.delete(f"{path}/{PENDING}")
+    w = df.write.mode("errorifexists")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{path}/{PENDING}/data")
+    old = [] if partition_by else [n for n in files.names(path)]
+    files.write(f"{path}/{PENDING}/{READY}", json.dumps({"old": old, "partitioned": bool(partition_by), "schema": df.schema.json(), "rows": total() if total else None}))
+    began = time.perf_counter()
+    recover(spark, path)
+    return time.perf_counter() - began
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish a switch whose new data are complete; drop data that never were. Each step
+    can be repeated, so a driver lost in here is recovered by the next call."""
+    files = Files(spark, path)
+    if not files.exists(f"{path}/{PENDING}"):
+        return False
+    ready = files.read(f"{path}/{PENDING}/{READY}")
+    if ready is None:
+        files.delete(f"{path}/{PENDING}")
+        return False
+    plan = json.loads(ready)
+    for name in plan["old"]:
+        files.delete(f"{path}/{name}")
+    for name in files.names(f"{path}/{PENDING}/data"):
+        if plan["partitioned"]:
+            files.delete(f"{path}/{name}")
+        files.rename(f"{path}/{PENDING}/data/{name}", f"{path}/{name}")
+    files.write(f"{path}/{SCHEMA}", plan["schema"])
+    if plan["rows"] is None:
+        files.delete(f"{path}/{ROWS}")
+    else:
+        files.write(f"{path}/{ROWS}", str(plan["rows"]))
+    files.delete(f"{path}/{PENDING}")
+    spark.catalog.refreshByPath(path)
+    return True
 
 
 def _clustered(df: DataFrame, partition_col: str | None, keys: Sequence[str]) -> DataFrame:
@@ -87,13 +151,20 @@ def _clustered(df: DataFrame, partition_col: str | None, keys: Sequence[str]) ->
     return df.hint("rebalance", partition_col)
 
 
-def distinct_partitions(df: DataFrame, partition_col: str | Column) -> list | None:
-    """The partition values present in ``df``, or ``None`` when there are more than
-    ``MAX_PRUNED_PARTITIONS`` (then no pruning: the whole target is read, same rows).
-    At most that many small values reach the driver."""
+def row_count(spark: SparkSession, path: str) -> int:
+    """Rows of the target: its running total, or a count where none is kept."""
+    kept = Files(spark, path).read(f"{path}/{ROWS}")
+    if kept is not None:
+        return int(kept)
+    target = read_target(spark, path)
+    return 0 if target is None else target.count()
+
+
+def distinct_partitions(df: DataFrame, partition_col: str | Column) -> list:
+    """The partition values present in ``df``: as many as folders the merge will touch,
+    which a table's file listing holds on the driver anyway."""
     c = F.col(partition_col) if isinstance(partition_col, str) else partition_col
-    values = [r[0] for r in df.select(c.alias("__p")).distinct().limit(MAX_PRUNED_PARTITIONS + 1).collect()]
-    return values if len(values) <= MAX_PRUNED_PARTITIONS else None
+    return [r[0] for r in df.select(c.alias("__p")).distinct().collect()]
 
 
 def merge_into_path(
@@ -104,30 +175,29 @@ def merge_into_path(
     partition_col: str | None = None,
     partition_value: Column | None = None,
     strategy: str = "auto",
-    source_rows: int | None = None,
     partition_values: Sequence | None = None,
+    unique_source: bool = True,
 ) -> dict:
     """Merge ``source`` into the Parquet target at ``path``; return the load counts.
 
     ``partition_col`` (computed from the key by ``partition_value``, e.g. the month of the
     day) partitions the target on disk. Only partitions that occur in the source are read,
-    merged and replaced, in one job: a dynamic partition overwrite writes the new files to
-    a hidden staging folder and swaps them in at commit, after every task has read the old
-    ones. An unpartitioned target (a small dimension) is merged into a staged copy first,
-    since a plain overwrite cannot read the path it replaces.
-
-    ``strategy='auto'`` broadcasts the source when its size is below the session's
-    broadcast threshold (``source_rows`` spares the count when the caller knows it); the
-    broadcast merge reads the target in place and keeps its file layout. Counts are taken
-    with an ``Observation`` while writing, so they cost no extra pass. ``partition_values``
-    (from ``distinct_partitions``) spares the scan for them when several merges share a
-    source.
+    merged and replaced (see ``replace``). ``partition_values`` (from
+    ``distinct_partitions``) spares the scan for them when several merges share a source.
+
+    ``strategy='auto'`` broadcasts the source when its measured bytes are below the
+    session's broadcast threshold; the broadcast merge reads the target in place and keeps
+    its file layout. Counts are observed in the writing stage, whose tasks count once even
+    when stages before it are run again. ``unique_source=False`` checks the source for
+    repeated keys first, which would both be inserted where a primary key would refuse them.
     """
     keys = list(keys)
     src = source.withColumn(partition_col, partition_value) if partition_col and partition_value is not None else source
     parts = [partition_col] if partition_col else []
-    schema = src.schema
-    target = read_target(spark, path, schema)
+    if not unique_source:
+        checks.assert_empty(checks.duplicate_keys(merge.valid_source(src, keys), keys), f"source keys {keys} repeat")
+    target = read_target(spark, path)
+    schema = evolved(target.schema if target is not None else None, src.schema, parts)
     obs = Observation("merge")
     counts = [
         F.count(F.when(F.col(merge.IN_SOURCE) & ~F.col(merge.IN_TARGET), 1)).alias("inserted"),
@@ -137,38 +207,28 @@ def merge_into_path(
     ]
 
     if target is None:
-        first = merge.valid_source(src, keys).select(
-            *src.columns, F.lit(False).alias(merge.IN_TARGET), F.lit(True).alias(merge.IN_SOURCE)
-        )
-        observed = first.observe(obs, *counts).drop(merge.IN_TARGET, merge.IN_SOURCE)
-        w = _clustered(observed, partition_col, keys).write.mode("overwrite")
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(path)
+        merged = merge.valid_source(src, keys).select(*src.columns, F.lit(False).alias(merge.IN_TARGET), F.lit(True).alias(merge.IN_SOURCE))
+        merged = _clustered(merged, partition_col, keys)
     else:
+        target = spark.read.schema(schema).parquet(path)  # a new column reads as missing
         if parts:
             values = partition_values if partition_values is not None else distinct_partitions(src, partition_col)
-            if values is not None:
-                target = target.filter(F.col(partition_col).isin(list(values)))
-        if strategy == "auto":
-            limit = merge.broadcast_limit(spark)
-            if source_rows is not None:
-                fits = source_rows * merge.estimated_row_bytes(src.schema) <= limit
-            else:
-                fits = merge.source_fits_broadcast(src, limit)
-            strategy = "broadcast" if fits else "shuffle"
-        merged = merge.upsert(target, src, keys + parts, strategy=strategy, with_flags=True)
-        observed = merged.observe(obs, *counts).drop(merge.IN_TARGET, merge.IN_SOURCE).select(*schema.names)
-        if parts:
-            if strategy == "shuffle":
-                observed = _clustered(observed, partition_col, keys)
-            overwrite_partitions(observed, path, parts)
-        else:
-            staged = write_staged(observed, "merge")
-            spark.read.schema(schema).parquet(staged).write.mode("overwrite").parquet(path)
-    out = _observed(obs, src)
-    out["updated"] = out["inserted"] + out["matched_before"]
-    return out
+            target = target.filter(F.col(partition_col).isin(list(values)))
+        if strategy in ("auto", "broadcast"):
+            strategy = "broadcast" if merge.source_fits_broadcast(src, merge.broadcast_limit(spark)) else "shuffle"
+        merged = merge.upsert(target, src, keys + parts, strategy=strategy, with_flags=True, measured=True)
+        if strategy == "shuffle":
+            merged = _clustered(merged, partition_col, keys)
+    observed = merged.observe(obs, *counts).select(*[X.col(c) for c in schema.names])
+    before = row_count(spark, path) if target is not None else 0
+    seen: dict = {}
+
+    def total() -> int:
+        seen.update(_observed(obs, src))
+        return before + seen["inserted"]
+
+    commit_sec = replace(observed, path, parts, total)
+    return seen | {"updated": seen["inserted"] + seen["matched_before"], "total": before + seen["inserted"], "commit_sec": commit_sec}
 
 
 def _observed(obs: Observation, src: DataFrame) -> dict:
@@ -182,6 +242,16 @@ def _observed(obs: Observation, src: DataFrame) -> dict:
         raise
 
 
+def observed_rows(obs: Observation, df: DataFrame) -> int:
+    """The observed ``rows``, 0 when the optimizer proved the input empty."""
+    try:
+        return int(obs.get["rows"])
+    except Exception:  # noqa: BLE001 - as above
+        if df.isEmpty():
+            return 0
+        raise
+
+
 def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int, mode: str = "overwrite") -> None:
     """Save ``df`` as a table bucketed and sorted on ``keys``.
 

@@ -11,25 +11,49 @@ The CSV source splits a file by block, so one large file is read by many tasks;
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stellate.functions import expressions as X
+from stellate.sinks.files import Files
+
 
 class SourceError(ValueError):
     pass
 
 
+def source_files(spark: SparkSession, path: str) -> list[str]:
+    """The data files at ``path``: a file, a folder, or a pattern. A listing, no data."""
+    files = Files(spark, path)
+    found = files.glob(path)
+    if not found:
+        raise SourceError(f"source file not found or unreadable: {path}")
+    return found
+
+
+def raw_headers(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> dict[str, tuple[str, ...]]:
+    """Every file's first line as fields, names untouched: one small read for each file, on
+    a few driver threads. Empty files have no header and are left out."""
+    files, found = Files(spark, path), source_files(spark, path)
+
+    def header(file: str) -> tuple[str, ...] | None:
+        line = files.first_line(file, encoding)
+        return None if line is None else tuple(next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep), ()))
+
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        return {f: h for f, h in zip(found, pool.map(header, found), strict=True) if h}
+
+
 def read_header(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> list[str]:
-    """Header names of the CSV at ``path``, trimmed. Reads only the first line."""
-    try:
-        raw = spark.read.option("header", True).option("sep", sep).option("encoding", encoding).csv(path).columns
-    except AnalysisException as e:  # PATH_NOT_FOUND and friends
-        raise SourceError(f"source file not found or unreadable: {path}") from e
-    return [c.strip() for c in raw]
+    """Header names of the CSV at ``path`` (of its first file), trimmed, duplicates and all."""
+    headers = raw_headers(spark, path, sep, encoding)
+    return [c.strip() for c in next(iter(headers.values()), ())]
 
 
 def check_header(header: Sequence[str], required: Sequence[str] = ()) -> None:
@@ -63,27 +87,45 @@ def read_text_csv(
 ) -> DataFrame:
     """All-text staging frame of the CSV file(s) at ``path``.
 
+    Every file's header is checked. Files whose columns stand in another order are read by
+    their own order; a file with other columns is an error.
+
     ``mode='FAILFAST'`` rejects ragged rows (short or long), as a database COPY does.
     An unquoted empty cell reads as NULL; a quoted empty one as NULL too, unless
     ``keep_quoted_empty`` keeps it as ``''``. Both mean "missing" to every operator
     downstream (``NULLIF(x, '')``).
     """
-    header = read_header(spark, path, sep, encoding)
-    check_header(header, required)
-    reader = (
-        spark.read.schema(text_schema(header))
-        .option("header", True)
-        .option("enforceSchema", True)  # names come from the trimmed header, by position
-        .option("mode", mode)
-        .option("sep", sep)
-        .option("encoding", encoding)
-        .option("multiLine", multiline)
-    )
-    if keep_quoted_empty:
-        # With a sentinel null marker, an unquoted empty cell still reads as NULL while a
-        # quoted one keeps its '' (the default folds both into NULL).
-        reader = reader.option("nullValue", "\u0001")
-    return reader.csv(path)
+    headers = raw_headers(spark, path, sep, encoding)
+    if not headers:
+        raise SourceError(f"no header in {path}")
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file, raw in headers.items():
+        groups.setdefault(tuple(c.strip() for c in raw), []).append(file)
+    first = next(iter(groups))
+    for names, files in groups.items():
+        check_header(names, required)
+        if set(names) != set(first):
+            raise SourceError(f"{files[0]}: columns {sorted(set(names) ^ set(first))} are not in all files of {path}")
+
+    def read(names: tuple[str, ...], files: list[str]) -> DataFrame:
+        reader = (
+            spark.read.schema(text_schema(names))
+            .option("header", True)
+            .option("enforceSchema", True)  # by position: each of these files has this very header
+            .option("mode", mode)
+            .option("sep", sep)
+            .option("encoding", encoding)
+            .option("multiLine", multiline)
+        )
+        if keep_quoted_empty:
+            # With a sentinel null marker, an unquoted empty cell still reads as NULL while a
+            # quoted one keeps its '' (the default folds both into NULL).
+            reader = reader.option("nullValue", "\u0001")
+        flat = len(groups) == 1 and not any(Files(spark, path).folders(path))
+        return reader.csv(path if flat else files).select(*[X.col(c) for c in first])
+
+    frames = [read(names, files) for names, files in groups.items()]
+    return reduce(DataFrame.union, frames)
 
 
 def line_count(spark: SparkSession, path: str, header_lines: int = 1) -> int:

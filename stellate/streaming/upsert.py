@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from stellate.operators import dedup, mapping
 from stellate.operators.mapping import TableMap
 from stellate.session import scratch_path
-from stellate.sinks import tables
+from stellate.sinks import staging, tables
 
 
 def upsert_stream(
@@ -35,11 +35,14 @@ def upsert_stream(
     available_now: bool = True,
     log: list | None = None,
     dedup_within_batch: bool = True,
+    unique_batches: bool = False,
 ) -> StreamingQuery:
     """Start a stream that merges ``batch_rows(micro_batch)`` into ``target_path``.
 
     Two files in one micro-batch may hold the same key, so by default each batch keeps
     the most complete row per key before merging (the merge needs unique keys).
+    ``dedup_within_batch=False`` is for rows that ``batch_rows`` has already made unique;
+    the merge checks that unless ``unique_batches`` vouches for it.
     ``log`` (a list) receives ``(batch_id, counts)`` per micro-batch for load metrics.
     """
 
@@ -48,14 +51,18 @@ def upsert_stream(
         rows = batch_rows(batch)
         if dedup_within_batch:
             rows = dedup.most_complete(rows, keys).drop(dedup.SCORE)
+        # Written once: the merge reads it for its months, its size and its rows.
+        once = tables.write_staged(rows, "stream-batch")
         counts = tables.merge_into_path(
             spark,
-            rows,
+            spark.read.schema(rows.schema).parquet(once),
             target_path,
             keys,
             partition_col,
             partition_of() if partition_of else None,
+            unique_source=dedup_within_batch or unique_batches,
         )
+        staging.delete_path(spark, once)
         if log is not None:
             log.append((batch_id, counts))
 
@@ -100,6 +107,8 @@ def run_fact_stream(
         ckpt,
         partition_col="month",
         partition_of=lambda: tables.month_of(day),
+        dedup_within_batch=False,
+        unique_batches=True,  # w_dedup leaves one row for each key
     )
     q.awaitTermination()
     if q.exception() is not None:
@@ -133,6 +142,7 @@ def load_wide_stream(
     stream = (
         spark.readStream.schema(text_schema(header))
         .option("header", True)
+        .option("enforceSchema", False)  # every file's header must be this one, else the batch fails
         .option("mode", "FAILFAST")
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .csv(folder)

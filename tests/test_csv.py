@@ -73,3 +73,30 @@ def test_header_only_file(spark, tmp_dir):
     df = C.read_text_csv(spark, p, required=["iso_code", "date"])
     assert df.count() == 0 and df.columns == ["iso_code", "date"]
     assert C.line_count(spark, p) == 0
+
+
+def test_exact_duplicate_names_are_refused(spark, tmp_dir):
+    p = _write(tmp_dir, "x.csv", "iso_code,date,x,x\nA,2020-01-01,1,2\n")
+    with pytest.raises(C.SourceError, match="duplicate"):
+        C.read_text_csv(spark, p)
+
+
+def test_folder_of_files_in_different_orders(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "many")
+    os.makedirs(folder)
+    _write(folder, "1.csv", "iso_code,date,x,y\nA,2020-01-01,1,2\n")
+    _write(folder, "2.csv", "date, iso_code,y,x\n2020-01-02,B,4,3\n")
+    _write(folder, "3.csv", "")
+    got = sorted(tuple(r) for r in C.read_text_csv(spark, folder, required=["iso_code"]).select("iso_code", "date", "x", "y").collect())
+    assert got == [("A", "2020-01-01", "1", "2"), ("B", "2020-01-02", "3", "4")]
+    _write(folder, "4.csv", "iso_code,date,x,z\nC,2020-01-03,5,6\n")
+    with pytest.raises(C.SourceError, match="not in all files"):
+        C.read_text_csv(spark, folder)
+
+
+def test_compressed_file_header(spark, tmp_dir):
+    import gzip
+
+    with gzip.open(os.path.join(tmp_dir, "z.csv.gz"), "wt") as f:
+        f.write("a,b\n1,2\n")
+    assert [tuple(r) for r in C.read_text_csv(spark, os.path.join(tmp_dir, "z.csv.gz")).collect()] == [("1", "2")]

@@ -85,3 +85,35 @@ def test_lenient_date_gives_null(spark):
 def test_score_counts_typed_columns(spark):
     df = spark.createDataFrame([(5, None, "x"), (None, 0.0, "")], "a bigint, b double, c string")
     assert [r[0] for r in df.select(X.completeness_score(["a", "b", "c"])).collect()] == [2, 1]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("kind,bad", [
+    ("double", "abc"), ("double", "1d"), ("double", "2f"), ("double", "0x10"), ("double", "1,5"), ("bigint", "5.0"), ("bigint", "abc"),
+    ("bigint", "99999999999999999999"), ("bigint_round", "nan"), ("bigint_round", "1e30"), ("date", "2020-1-5"), ("date", "junk"), ("date", "2020-02-30"),
+])
+def test_strict_casts_do_not_depend_on_the_session(spark, ansi, kind, bad):
+    from stellate.operators.mapping import convert
+
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(bad,)], "x string")
+        with pytest.raises(Exception, match="not a"):
+            df.select(convert("x", kind)).collect()
+        assert df.select(convert("x", kind, strict=False)).first()[0] is None
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_good_cells_convert_alike(spark, ansi):
+    from stellate.operators.mapping import convert
+
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(" 1.5e2 ", "-7", "2.5", "2020-01-05", "NaN"), ("", "", None, "", "-inf")], "a string, b string, c string, d string, e string")
+        rows = df.select(convert("a", "double"), convert("b", "bigint"), convert("c", "bigint_round"), convert("d", "date"), convert("e", "double")).collect()
+        assert [str(v) for v in rows[0]] == ["150.0", "-7", "2", "2020-01-05", "nan"]
+        assert list(rows[1])[:4] == [None] * 4 and rows[1][4] == float("-inf")
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

@@ -43,7 +43,7 @@ def test_health_load_end_to_end(spark, tmp_dir):
     p = os.path.join(tmp_dir, "daily.csv")
     _csv(p, header, recs)
     root = os.path.join(tmp_dir, "targets")
-    res = load_wide_file(spark, p, H.HEALTH, root)
+    res = load_wide_file(spark, p, H.HEALTH, root, audit=True)
     t = read_targets(spark, res.paths, H.HEALTH)
 
     dim = {r.cod_iso: r for r in t["locatii"].collect()}
@@ -103,10 +103,11 @@ def test_header_only_file_loads_nothing(spark, tmp_dir):
 
 def test_staging_table_kept_or_dropped(spark, tmp_dir):
     p = os.path.join(tmp_dir, "s.csv")
-    _csv(p, _header(), [_row("AAA", "2020-01-01", population="1")])
+    _csv(p, _header(), [_row("AAA", "2020-01-01", population="1"), _row("AAA", "2020-01-01"), _row("", "2020-01-01")])
     root = os.path.join(tmp_dir, "t")
     load_wide_file(spark, p, H.HEALTH, root, staging_table=("stg_ns", "kept"), keep_staging=True)
-    assert spark.table("stg_ns.kept").count() == 1
+    kept = spark.table("stg_ns.kept")  # the raw rows: duplicates, missing keys and all, no added column
+    assert kept.count() == 3 and sorted(kept.columns) == sorted(_header())
     res = load_wide_file(spark, p, H.HEALTH, root, staging_table=("stg_ns", "dropped"))
     assert not spark.catalog.tableExists("stg_ns.dropped")
     assert res.value("stages", "drop_staging", "sec") >= 0
@@ -179,3 +180,59 @@ def test_null_and_bad_dates_and_extra_column(spark, tmp_dir):
     lenient = load_wide_file(spark, bad, H.HEALTH, os.path.join(tmp_dir, "t3"), strict=False)
     assert lenient.value("stages", "staging", "null_key_rows") == 1
     assert lenient.value("final_counts", "cazuri_zilnice", "rows") == 1
+
+
+def test_real_run_metrics(spark, tmp_dir):
+    """The report's frames over a real run, not a recorded one."""
+    p = os.path.join(tmp_dir, "m.csv")
+    _csv(p, _header(), [_row(f"A{i}", f"2020-0{1 + i % 3}-01", population="1", total_cases=str(i)) for i in range(30)])
+    res = load_wide_file(spark, p, H.HEALTH, os.path.join(tmp_dir, "t"))
+    m, facts = res.frame(spark), [f.name for f in H.FACTS]
+    assert {r.stage for r in M.stage_ranking(m).collect()} == {"create_staging", "copy", "dedup", "drop_staging", "commit"}
+    shares = {r.phase: r for r in M.phase_shares(m, facts).collect()}
+    assert set(shares) == {"copy", "dedup", "upserts", "commit"} and abs(sum(r.share for r in shares.values()) - 1) < 1e-9
+    assert shares["upserts"].sec <= res.value("etl", "run", "sec")  # wall time, not a sum over parallel jobs
+    t = M.throughput(m).first()
+    assert t.processed == 30 and abs(t.duration_sec - shares["copy"].sec) < 0.5 and t.size_mb == os.path.getsize(p) / 1e6
+    assert M.staging_total_sec(m).first()[0] > 0
+
+
+def test_batched_load_equals_one_load(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "b.csv")
+    _csv(p, _header(), [_row(f"A{i % 4}", f"2020-0{1 + i % 6}-0{1 + i % 9}", population="1", total_cases=str(i), icu_patients="2") for i in range(40)])
+    one = load_wide_file(spark, p, H.HEALTH, os.path.join(tmp_dir, "one"))
+    cut = load_wide_file(spark, p, H.HEALTH, os.path.join(tmp_dir, "cut"), batch_rows=10)
+    a, b = (read_targets(spark, r.paths, H.HEALTH) for r in (one, cut))
+    for name in a:
+        assert sorted(map(tuple, a[name].collect()), key=str) == sorted(map(tuple, b[name].collect()), key=str)
+    log = cut.batch_log(spark)
+    assert log.filter("table = 'cazuri_zilnice'").count() > 1
+    sums = {r.table: r for r in M.accumulate_batches(log).collect()}
+    assert all(sums[f.name].inserted == one.value("upserts", f.name, "inserted") for f in H.FACTS)
+
+
+def test_no_staged_folder_is_left(spark, tmp_dir):
+    from stellate.session import checkpoint_dir
+    from stellate.sinks.files import Files
+
+    staged = f"{checkpoint_dir(spark)}/staged"
+    files = Files(spark, staged)
+    p = os.path.join(tmp_dir, "c.csv")
+    _csv(p, _header(), [_row("AAA", "2020-01-01", population="1")])
+    before = set(files.names(staged))
+    load_wide_file(spark, p, H.HEALTH, os.path.join(tmp_dir, "t"))
+    assert set(files.names(staged)) == before
+
+
+def test_final_counts_agree_with_a_full_count(spark, tmp_dir):
+    from stellate.plans.load import load_wide_frame
+    from stellate.sources.csv import read_text_csv
+
+    root = os.path.join(tmp_dir, "t")
+    for k, day in enumerate(("2020-01-01", "2020-02-01", "2020-01-01")):
+        p = os.path.join(tmp_dir, f"f{k}.csv")
+        _csv(p, _header(), [_row(f"A{i}", day, population="1") for i in range(k + 3)])
+        kept = load_wide_frame(spark, read_text_csv(spark, p), H.HEALTH, root)
+    full = load_wide_frame(spark, read_text_csv(spark, p), H.HEALTH, root, full_counts=True)
+    for name in kept.paths:
+        assert kept.value("final_counts", name, "rows") == full.value("final_counts", name, "rows")

@@ -108,24 +108,41 @@ def test_merge_properties(spark, target, source, cut):
     assert {r.k: (r.a, r.b) for r in batched.collect()} == out
 
 
-def test_batches_with_checkpoints_equal_one_merge(spark):
-    from pyspark.sql import functions as F
-
+def test_batches_equal_one_merge_and_log_their_counts(spark):
     t = _t(spark, [(i, float(i), None) for i in range(0, 40, 2)])
-    s = _t(spark, [(i, None if i % 3 else -1.0, "s") for i in range(0, 40)]).withColumn("rn", F.col("k") + 1)
-    bounds = [(lo, min(lo + 6, 40)) for lo in range(1, 41, 7)]
-    got = merge.merge_in_batches(t, s, ["k"], "rn", bounds, checkpoint_every=2)
-    assert rows(got) == rows(merge.upsert(t, s.drop("rn"), ["k"]))
+    s = _t(spark, [(i, None if i % 3 else -1.0, "s") for i in range(0, 40)])
+    got, log = merge.merge_in_batches(t, s, ["k"], 5)
+    assert rows(got) == rows(merge.upsert(t, s, ["k"]))
+    total = log.groupBy().sum("inserted", "matched_before", "target_only").first()
+    assert tuple(total) == (20, 20, 0) and log.count() == 5
 
 
-def test_orphans_broadcast_when_dimension_count_known(spark):
+def test_orphans_follow_the_session_threshold(spark):
     from stellate.operators import checks
 
     fact = spark.createDataFrame([("A", 1), ("B", 2), (None, 3)], "e string, v int")
     dim = spark.createDataFrame([("A",)], "e string")
-    o = checks.orphans(fact, dim, "e", dimension_rows=1)
-    assert [r.e for r in o.collect()] == ["B"]
-    assert "BroadcastHashJoin" in o._jdf.queryExecution().executedPlan().toString() or "Broadcast" in o._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        o = checks.orphans(fact, dim, "e")
+        assert [r.e for r in o.collect()] == ["B"]
+        assert "Broadcast" not in o._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_broadcasts_need_measured_bytes(spark):
+    """A wide text source is measured by its bytes, and an asked-for broadcast is checked too."""
+    t = _t(spark, [(1, 1.0, "a")])
+    s = _t(spark, [(i, 1.0, "x" * 1000) for i in range(100)])
+    assert 100_000 < merge.measured_bytes(s) < 120_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for strategy in ("auto", "broadcast"):
+            plan = merge.upsert(t, s, ["k"], strategy=strategy)._jdf.queryExecution().executedPlan().toString()
+            assert "Broadcast" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 @pytest.mark.parametrize("strategy", ["shuffle", "broadcast"])

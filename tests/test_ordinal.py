@@ -12,10 +12,22 @@ def test_global_ordinal_matches_row_number(spark):
     assert got.join(want, ["k", "rn"], "left_anti").count() == 0
 
 
-def test_ordinal_has_no_single_partition_exchange(spark):
+def test_no_window_over_the_rows_themselves(spark):
+    """Only the offsets, one row for each partition, meet in one task."""
     df = spark.range(1000).select(F.col("id").alias("k"))
-    plan = ordinal.global_ordinal(df, ["k"])._jdf.queryExecution().executedPlan().toString()
-    assert "SinglePartition" not in plan.split("Window")[0] or "BroadcastExchange" in plan
+    plan = ordinal.global_ordinal(df, ["k"], num_partitions=6)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange SinglePartition") <= 1
+    windowed = text[text.index("Window") :]
+    assert "BroadcastExchange" in text and "count" in windowed  # the window stands above the counts
+
+
+def test_rows_equal_in_all_columns_spread(spark):
+    df = spark.range(3000).select(F.lit(0).alias("k")).unionByName(spark.range(1, 6001).select(F.col("id").cast("int").alias("k")))
+    got = ordinal.global_ordinal(df, ["k"], num_partitions=8)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) < 2000
+    assert [r.rn for r in got.orderBy("rn").collect()] == list(range(1, 9001))
 
 
 def test_ordinal_composite_keys_nulls_last(spark):

@@ -1,9 +1,11 @@
+import os
 from datetime import date
 
-from pyspark.sql import functions as F
+import pytest
 
-from stellate.operators import merge
+from stellate.operators import checks, merge
 from stellate.sinks import tables
+from stellate.sinks.files import Files
 
 
 def _fact(spark, data):
@@ -32,13 +34,82 @@ def test_merge_into_path_touches_only_source_months(spark, tmp_dir):
     assert sorted((r.k, str(r.d), r.v) for r in spark.read.parquet(path).collect()) == [g[:3] for g in got]
 
 
-def test_pruned_read_has_partition_filter(spark, tmp_dir):
+def test_merge_reads_only_the_source_months(spark, tmp_dir, monkeypatch):
+    """The plan that ``merge_into_path`` itself writes."""
     path = f"{tmp_dir}/fact2"
     first = _fact(spark, [("A", date(2020, m, 1), float(m)) for m in range(1, 13)])
     tables.merge_into_path(spark, first, path, ["k", "d"], "month", tables.month_of("d"))
-    t = spark.read.parquet(path).filter(F.col("month").isin(["2020-02"]))
-    plan = t._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(month" in plan and t.count() == 1
+    plans, real = [], tables.replace
+
+    def watched(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(df, *args, **kwargs)
+
+    monkeypatch.setattr(tables, "replace", watched)
+    kept = {n: os.stat(f"{path}/{n}").st_mtime_ns for n in os.listdir(path) if n.startswith("month=")}
+    tables.merge_into_path(spark, _fact(spark, [("B", date(2020, 2, 3), 1.0)]), path, ["k", "d"], "month", tables.month_of("d"))
+    assert "PartitionFilters: [isnotnull(month" in plans[0] and "(2020-02)" in plans[0].replace("= 2020-02", "(2020-02)")
+    changed = {n for n, t in kept.items() if os.stat(f"{path}/{n}").st_mtime_ns != t}
+    assert changed == {"month=2020-02"}
+
+
+def test_source_without_a_column_leaves_it_alone(spark, tmp_dir):
+    for part in ((), ("month", tables.month_of("d"))):
+        path = f"{tmp_dir}/narrow{len(part)}"
+        full = spark.createDataFrame([("A", date(2020, 1, 5), 1.0, "w1"), ("B", date(2020, 1, 6), 2.0, "w2")], "k string, d date, v double, w string")
+        tables.merge_into_path(spark, full, path, ["k", "d"], *part)
+        tables.merge_into_path(spark, _fact(spark, [("A", date(2020, 1, 5), 9.0), ("C", date(2020, 1, 7), 3.0)]), path, ["k", "d"], *part)
+        got = sorted((r.k, r.v, r.w) for r in tables.read_target(spark, path).collect())
+        assert got == [("A", 9.0, "w1"), ("B", 2.0, "w2"), ("C", 3.0, None)]
+
+
+def test_source_with_a_new_column_adds_it(spark, tmp_dir):
+    path = f"{tmp_dir}/wide"
+    tables.merge_into_path(spark, _fact(spark, [("A", date(2020, 1, 5), 1.0), ("B", date(2020, 2, 5), 2.0)]), path, ["k", "d"], "month", tables.month_of("d"))
+    new = spark.createDataFrame([("A", date(2020, 1, 5), None, "n")], "k string, d date, v double, extra string")
+    tables.merge_into_path(spark, new, path, ["k", "d"], "month", tables.month_of("d"))
+    assert sorted((r.k, r.v, r.extra) for r in tables.read_target(spark, path).collect()) == [("A", 1.0, "n"), ("B", 2.0, None)]
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+@pytest.mark.parametrize("lost_at", ["before_ready", "before_switch", "in_switch"])
+def test_driver_lost_while_replacing(spark, tmp_dir, monkeypatch, partitioned, lost_at):
+    """Whenever the driver goes, no row is lost: the old table or the new one is read next."""
+    path = f"{tmp_dir}/lost"
+    part = ("month", tables.month_of("d")) if partitioned else ()
+    old = [("A", date(2020, 1, 5), 1.0), ("B", date(2020, 1, 6), 2.0), ("C", date(2020, 2, 5), 3.0)]
+    tables.merge_into_path(spark, _fact(spark, old), path, ["k", "d"], *part)
+    src = _fact(spark, [("A", date(2020, 1, 5), 10.0), ("D", date(2020, 2, 6), 4.0)])
+
+    class Lost(Exception):
+        pass
+
+    def die(*args, **kwargs):
+        raise Lost
+
+    if lost_at == "before_ready":
+        real = Files.write
+        monkeypatch.setattr(Files, "write", lambda self, p, text: die() if p.endswith(tables.READY) else real(self, p, text))
+    elif lost_at == "before_switch":
+        real_recover, calls = tables.recover, []
+        monkeypatch.setattr(tables, "recover", lambda *a: calls.append(1) or (die() if len(calls) > 1 else real_recover(*a)))
+    else:
+        monkeypatch.setattr(Files, "rename", die)  # after the old files or the first month are deleted
+    with pytest.raises(Lost):
+        tables.merge_into_path(spark, src, path, ["k", "d"], *part)
+    monkeypatch.undo()
+    got = sorted((r.k, r.v) for r in tables.read_target(spark, path).collect())
+    new = [("A", 10.0), ("B", 2.0), ("C", 3.0), ("D", 4.0)]
+    assert got == (sorted((k, v) for k, _, v in old) if lost_at == "before_ready" else new)
+    tables.merge_into_path(spark, src, path, ["k", "d"], *part)
+    assert sorted((r.k, r.v) for r in tables.read_target(spark, path).collect()) == new
+    assert tables.row_count(spark, path) == 4 and not os.path.exists(f"{path}/_pending")
+
+
+def test_repeated_source_keys_are_refused(spark, tmp_dir):
+    src = _fact(spark, [("A", date(2020, 1, 5), 1.0), ("A", date(2020, 1, 5), 2.0)])
+    with pytest.raises(checks.ConstraintViolation, match="repeat"):
+        tables.merge_into_path(spark, src, f"{tmp_dir}/dup", ["k", "d"], unique_source=False)
 
 
 def test_unpartitioned_target(spark, tmp_dir):
