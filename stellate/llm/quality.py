@@ -4,7 +4,7 @@ Method.
 
 1. Every document becomes a short vector of surface features of its whole text.
 2. A logistic regression is fitted on labelled documents (a bounded sample of them, see
-   ``MAX_LABELLED``: those with the least hash of ``doc_id``) and gives every document its
+   ``MAX_LABELLED``: drawn by a hash of ``doc_id``) and gives every document its
    own log-odds of being good.
 3. *Sites.* Documents of a host, and of a path below it, are summed up by grouped
    aggregation over all documents: labels where there are any, else the classifier's
@@ -155,7 +155,11 @@ def score_sites(
     described = staged(vectors.join(known, vectors["doc_id"] == known["labelled"], "left").drop("labelled"), "quality-labelled")
     discard(vectors)
 
-    sample = described.where("label IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(max_labelled).select("features", "label").toPandas()
+    labelled = described.where("label IS NOT NULL")
+    share = max_labelled / max(1, labelled.count())
+    if share < 1:  # by hash, so that no task or driver sorts more than the sample
+        labelled = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    sample = labelled.select(F.xxhash64("doc_id", "features").alias("order"), "features", "label").toPandas().sort_values("order", kind="stable")
     y = sample["label"].to_numpy(dtype=float)
     fitted = bool(0 < (y > 0).sum() < len(y))
     if fitted:
