@@ -73,6 +73,8 @@ BOILERPLATE_WORDS = {
     "related", "replies", "reply", "respond", "responses", "share", "sharing", "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "sponsors",
     "subscribe", "subscription", "toolbar", "topbar", "widget", "widgets",
 }
+BOILERPLATE_STARTS = ("advert", "breadcrumb", "comment", "cookie", "newsletter", "sidebar", "sponsor")
+LAYOUT_WORDS = {"has", "no", "with", "without"}
 
 
 class Node:
@@ -94,7 +96,9 @@ def marked(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
         return True
     words = {w.lower() for name in ("class", "id") for w in _SPLIT.split(attributes.get(name, "")) if w}
     words |= {w for name in ("class", "id") for w in _SPLIT.split(attributes.get(name, "").lower()) if w}
-    return bool(words & BOILERPLATE_WORDS)
+    if words & LAYOUT_WORDS:  # "has-sidebar" tells of the page, not of the element
+        return False
+    return bool(words & BOILERPLATE_WORDS) or any(w.startswith(BOILERPLATE_STARTS) for w in words)
 
 
 class Page:
