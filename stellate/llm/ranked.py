@@ -21,6 +21,7 @@ a block of its own; an empty table gives empty files; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,12 +32,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stellate.llm.bpe import byte_alphabet
 from stellate.llm.common import discard, lists, slices, staged, text_input
 from stellate.session import scratch_path
 
 BLOCK_IDS = 1 << 16
 #: Distinct pieces kept by a Python worker between batches.
-CACHED = 600_000
+CACHED = 800_000
 #: Lengths of the four codes of each control byte.
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], np.uint8)
 
@@ -63,15 +65,31 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
+class PieceIds(dict):
+    """The ids of pieces between white space, as bytes, kept once computed."""
+
+    #: Fixed value: the pattern that cuts a piece of this vocabulary into words.
+    WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+    def __init__(self, tokenize, code: str):
+        self.tokenize, self.code, self.chars = tokenize, code, byte_alphabet()
+
+    def __missing__(self, piece: str) -> bytes:
+        words = (w.encode().decode("latin-1").translate(self.chars) for w in self.WORDS.findall(piece))
+        self[piece] = ids = array(self.code, [t.id for w in words for t in self.tokenize(w)]).tobytes()
+        return ids
+
+
 class WordEncoder:
     """Ids of whole texts, as the library gives them, with a cache of distinct pieces.
 
     In this vocabulary no token spans white space, so the ids of a text are those of its
-    pieces between white space. That holds for texts whose characters Python and the library
-    lower and class alike (``PLAIN``); any other text goes to the library whole.
+    pieces between white space, and the library's merge model is asked for new pieces only.
+    That holds for texts whose characters Python and the library lower and class alike; any
+    other text (``OTHER``, special tokens) goes to the library whole.
     """
 
-    OTHER = regex.compile("[^\x00-\x1b\x20-ɏ]")
+    OTHER = regex.compile("[^\x00-\x1b\x20-\u024f]")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -80,38 +98,23 @@ class WordEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.library.get_vocab_size() <= 1 << 16 else "I"
+        self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
+        self.model = self.library.model
         self.forget()
 
     def forget(self) -> None:
-        self.at: dict[str, int] = {}
-        self.flat, self.ends = np.empty(0, self.dtype), np.zeros(1, np.int64)
-
-    def learn(self, pieces: list[str]) -> None:
-        ids = [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.at.update(zip(pieces, range(len(self.at), len(self.at) + len(pieces)), strict=True))
-        self.flat = np.concatenate([self.flat, *(np.array(i, self.dtype) for i in ids)])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
-
-    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        plain = [self.OTHER.search(t) is None and not any(s in t for s in self.special) for t in texts]
-        cut = [t.split() if p else [] for t, p in zip(texts, plain, strict=True)]
-        if len(self.at) > CACHED:
+        self.pieces = PieceIds(self.model.tokenize, self.code)
+
+    def encode(self, text: str) -> bytes:
+        if self.OTHER.search(text) is None and not any(s in text for s in self.special):
+            return b"".join(map(self.pieces.__getitem__, text.lower().split()))
+        return array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        if len(self.pieces) > CACHED:
             self.forget()
-        if new := set().union(*cut).difference(self.at):
-            self.learn(list(new))
-        whole = iter(self.library.encode_batch_fast([t for t, p in zip(texts, plain, strict=True) if not p], add_special_tokens=False))
-        find, out = self.at.__getitem__, []
-        for pieces, p in zip(cut, plain, strict=True):
-            if not p:
-                out.append(np.array(next(whole).ids, self.dtype))
-                continue
-            at = np.fromiter(map(find, pieces), np.int64, len(pieces))
-            start, length = self.ends[at], self.ends[at + 1] - self.ends[at]
-            before = np.cumsum(length) - length
-            out.append(self.flat[np.repeat(start - before, length) + np.arange(length.sum())])
-        return out
+        return [self.encode(t) for t in texts]
 
 
 @lru_cache(maxsize=4)
@@ -122,10 +125,10 @@ def load(path: str) -> WordEncoder:
 def _encode(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load(path)
-        end = np.array([end_id], encoder.dtype)
+        end = array(encoder.code, [end_id]).tobytes()
         for batch in slices(batches):
-            ids = [np.concatenate([x, end]).astype("<u4" if encoder.dtype.itemsize == 4 else "<u2") for x in encoder.encode_batch([t or "" for t in batch.column(1).to_pylist()])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([i.tobytes() for i in ids], pa.binary())], names=["doc_id", "ids"])
+            ids = [x + end for x in encoder.encode_batch([t or "" for t in batch.column(1).to_pylist()])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     return run
 

@@ -27,8 +27,9 @@ def test_codes_round_trip(values):
 @settings(max_examples=150, deadline=None)
 def test_any_text_as_the_library(texts):
     library = Tokenizer.from_file(PATH)
-    for ids, e in zip(WordEncoder(PATH).encode_batch(texts), library.encode_batch(texts, add_special_tokens=False), strict=True):
-        assert ids.tolist() == e.ids
+    encoder = WordEncoder(PATH)
+    for ids, e in zip(encoder.encode_batch(texts), library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(ids, encoder.dtype).tolist() == e.ids
 
 
 def test_files_hold_every_id_in_order(spark):
@@ -49,7 +50,7 @@ def test_ids_come_back(spark):
     a, b = library.encode("a").ids, library.encode("b").ids
     assert got == {None: (0, [1]), 1: (1, a * 3 + [1]), 2: (5, b + a + [1])}
     ranks = {r["id"]: r["rank"] for r in spark.read.parquet(f"{path}/ranks").collect()}
-    assert ranks == {a[0]: 0, 1: 1, b[0]: 2} or ranks == {a[0]: 0, 1: 1, b[0]: 2}
+    assert ranks == {a[0]: 0, 1: 1, b[0]: 2}
 
 
 def test_empty_table(spark):
