@@ -47,6 +47,20 @@ def slices(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = SLIC
             yield batch.slice(a, b - a)
 
 
+def gathered(batches: Iterator[pa.RecordBatch], limit: int, column: int = 1) -> Iterator[pa.RecordBatch]:
+    """The same rows in order, in pieces of about ``limit`` bytes of text also across batches."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for piece in slices(batches, column, limit):
+        held.append(piece)
+        size += int(pc.sum(pc.binary_length(piece.column(column))).as_py() or 0)
+        if size >= limit:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back: computed once, and
     safe from lost executors. The path is kept on the frame for ``discard``."""

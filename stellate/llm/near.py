@@ -31,8 +31,9 @@ all others.
 
 Edge cases: null text, no words: no shingles, linked with nothing, a component of its own;
 fewer than five words: the whole sequence is the one shingle; rows that repeat a ``doc_id``
-are judged row by row, and classes with the same least ``doc_id`` are one node; a null ``doc_id`` is never linked and stays; an empty table gives an empty
-result; other columns are ignored.
+are judged row by row, and classes with the same least ``doc_id`` are one node; a null
+``doc_id`` is never linked and stays; an empty table gives an empty result; other columns
+are ignored.
 """
 
 from __future__ import annotations
