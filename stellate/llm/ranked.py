@@ -50,7 +50,8 @@ def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
     padded = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     padded[: len(ranks)] = length - 1
     control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) < length[:, None]]
+    widest = int(length.max(initial=1))
+    data = ranks.view(np.uint8).reshape(-1, 4)[:, :widest][np.arange(widest) < length[:, None]]
     return control.tobytes(), data.tobytes()
 
 
@@ -58,8 +59,8 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     length = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n].astype(np.int64)
     source = np.frombuffer(data, np.uint8)
     start = np.cumsum(length) - length
-    out = np.zeros(n, np.uint32)
-    for k in range(4):
+    out = source[start].astype(np.uint32)
+    for k in range(1, int(length.max(initial=1))):
         has = np.flatnonzero(length > k)
         out[has] |= source[start[has] + k].astype(np.uint32) << np.uint32(8 * k)
     return out
@@ -75,10 +76,18 @@ class PieceIds(dict):
         self.tokenize, self.code, self.chars = tokenize, code, byte_alphabet()
 
     def __missing__(self, piece: str) -> bytes:
-        words = (w.encode().decode("latin-1").translate(self.chars) for w in self.WORDS.findall(piece))
-        self[piece] = ids = array(self.code, [t.id for w in words for t in self.tokenize(w)]).tobytes()
+        if piece.isalpha():
+            ids = self.merged(piece)
+        elif piece[:-1].isalpha() and not piece[-1].isalnum():  # a word and one sign after it
+            ids = self[piece[:-1]] + self[piece[-1]]
+        else:
+            ids = b"".join(map(self.merged, self.WORDS.findall(piece)))
+        self[piece] = ids
         return ids
 
+    def merged(self, word: str) -> bytes:
+        return array(self.code, [t.id for t in self.tokenize(word.encode().decode("latin-1").translate(self.chars))]).tobytes()
+
 
 class WordEncoder:
     """Ids of whole texts, as the library gives them, with a cache of distinct pieces.
@@ -106,8 +115,15 @@ class WordEncoder:
     def forget(self) -> None:
         self.pieces = PieceIds(self.model.tokenize, self.code)
 
+    def plain(self, text: str) -> bool:
+        try:  # most texts, at the speed of a copy
+            raw = text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.OTHER.search(text) is None
+        return len(raw.translate(None, b"\x1c\x1d\x1e\x1f")) == len(raw)
+
     def encode(self, text: str) -> bytes:
-        if self.OTHER.search(text) is None and not any(s in text for s in self.special):
+        if self.plain(text) and not any(s in text for s in self.special):
             return b"".join(map(self.pieces.__getitem__, text.lower().split()))
         return array(self.code, self.library.encode(text, add_special_tokens=False).ids).tobytes()
 
