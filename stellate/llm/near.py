@@ -263,11 +263,12 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     while True:
         placed = known.join(labels.select(F.col("node").alias("cid"), "comp"), "cid", "left").select("bucket", "cid", "n", "m", F.coalesce("comp", "cid").alias("comp"))
         mixed = (
-            placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"), F.min("n").alias("least"), F.sum("n").alias("total"))
-            .groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("main"), F.min("least").alias("least"), F.sum("total").alias("total"), F.count("*").alias("comps")).where("comps > 1")
+            placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"), F.min("n").alias("least"), F.max(F.col("m") > F.col("n")).alias("loose"), F.sum("n").alias("total"))
+            .groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("main"), F.min("least").alias("least"), F.max("loose").alias("loose"), F.sum("total").alias("total"), F.count("*").alias("comps")).where("comps > 1")
         )
-        open_ = placed.join(mixed, "bucket").select("bucket", "cid", "n", "m", "comp", F.col("main.comp").alias("main"), "least", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int").alias("blocks"))
-        outside = open_.where((F.col("comp") != F.col("main")) & possible(F.col("n"), F.col("m"), F.col("least"), F.col("least")))
+        open_ = placed.join(mixed, "bucket").select("bucket", "cid", "n", "m", "comp", F.col("main.comp").alias("main"), "least", "loose", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+        peer = F.greatest("least", "m")  # the size that could be most alike, where no repeated doc_id has m > n
+        outside = open_.where((F.col("comp") != F.col("main")) & (F.col("loose") | possible(F.col("n"), F.col("m"), peer, peer)))
         if used is not None:
             outside = outside.join(used, ["bucket", "cid"], "left_anti")
         rank = F.row_number().over(Window.partitionBy("bucket").orderBy("cid"))

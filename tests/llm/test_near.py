@@ -1,9 +1,10 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stellate.llm import near
 from stellate.llm.near import Shingler, components, near_groups
-from tests.llm.helpers import corpus, frame
+from tests.llm.helpers import corpus, frame, prose
 
 
 def shingles(text):
@@ -56,6 +57,30 @@ def test_later_hub_rounds(spark, monkeypatch):
     assert sorted(map(tuple, rows)) == brute(docs)
 
 
+@pytest.mark.parametrize("several", [False, True])
+def test_long_copies_beside_a_more_famous_hub_and_short_subsets(spark, monkeypatch, several):
+    """All classes in one bucket: the star sees only the hub, and short classes must not keep
+    the long copies from becoming hubs; also where a repeated doc_id has sets of several sizes."""
+    signatures = near._signatures
+
+    def one_bucket(batches):
+        for b in signatures(batches):
+            bands = [[0] if n else [] for n in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(bands, pa.list_(pa.int64())), b.column(4)], names=b.schema.names)
+
+    monkeypatch.setattr(near, "_signatures", one_bucket)
+    main, long = prose(1, 300).split(), prose(2, 400).split()
+    docs = [(900 + i, " ".join([*main[:-1], f"main{i}"])) for i in range(30)]  # the greatest ids: the hub is one of them
+    docs += [(100 + i, " ".join([*long[: 200 + 20 * i], f"long{i}", *long[200 + 20 * i :]])) for i in range(4)]
+    docs += [(200 + i, " ".join(long[i * 30 : i * 30 + 100])) for i in range(10)]
+    if several:
+        docs += [(300, " ".join(long[:60])), (300, " ".join(long[:-2]))]
+    rows = near_groups(frame(spark, docs)).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert {r["component_id"] for r in rows if 100 <= r["doc_id"] < 104} == {100}
+    if not several:
+        assert sorted(map(tuple, rows)) == brute(docs)
+
+
 def test_null_ids_and_empty_table(spark):
     rows = near_groups(frame(spark, [(None, "a b c d e f"), (2, "a b c d e f"), (1, "a b c d e f")])).collect()
     assert sorted((str(r["doc_id"]), str(r["component_id"]), r["kept"]) for r in rows) == [("1", "1", True), ("2", "1", False), ("None", "None", True)]
