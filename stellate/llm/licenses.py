@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from stellate.llm.common import mix64, slices, text_input
 
-WORDS_PER_SHINGLE, HASHES, CONTAINMENT, CERTAINTY = 5, 64, 0.75, 0.9999
+WORDS_PER_SHINGLE, HASHES, CONTAINMENT, CERTAINTY = 5, 88, 0.75, 0.9999
 #: Opening sentences of public licenses. Digits do not count, see ``normal_words``.
 TEMPLATES = {
     "apache": "Licensed under the Apache License, Version 2.0",
@@ -70,7 +70,7 @@ def least_similarity(length: int, containment: float = CONTAINMENT) -> float:
     """Similarity of a template and a full window that holds that share of its shingles."""
     own = max(1, length - WORDS_PER_SHINGLE + 1)
     held = math.ceil(containment * own)
-    window = 2 * length - WORDS_PER_SHINGLE + 1
+    window = 2 * length  # shingles, as ``scan`` builds them: two blocks of ``length`` starts
     return held / (own + window - held)
 
 

@@ -47,6 +47,28 @@ def test_bands_guarantee_collision():
         assert 1 - (1 - s) ** HASHES >= CERTAINTY
 
 
+@pytest.mark.parametrize("length", [5, 7, 24])
+def test_guarantee_is_for_the_windows_that_scan_builds(length):
+    seen = []
+
+    class Seen(Scanner):
+        def bands(self, least, length):
+            seen.append(least)
+            return super().bands(least, length)
+
+    scanner = Seen({"t": prose(9, length)})
+    words = normal_words(prose(1, 2 * length) + " " + prose(2, 200))
+    seen.clear()
+    scanner.scan(" ".join(w.decode() for w in words))
+    hashes = scanner.hashes(scanner.shingles(words))
+    size = next(n for n in range(1, 200) if (hashes[:n].min(axis=0) == seen[0][0]).all())
+    own = length - 4
+    held = -(-3 * own // 4)
+    assert size > 2 * length - 4 and least_similarity(length) <= held / (own + 2 * length - held)
+    rows = band_rows(least_similarity(length))
+    assert 1 - (1 - (held / (own + 2 * length - held)) ** rows) ** (HASHES // rows) >= CERTAINTY
+
+
 def test_versions_do_not_count():
     assert normal_words("Version 2.0, É") == normal_words("version 3.11 É") == [b"version", b"0", b"0", "É".encode()]
 
