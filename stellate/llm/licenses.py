@@ -7,6 +7,7 @@ holds to the share ``CONTAINMENT`` has with that window at least the similarity
 ``least_similarity`` gives, and ``band_rows`` picks the widest bands that still collide with
 a probability of ``CERTAINTY`` at that similarity. Windows that collide with a template in a
 band are verified: the share of the template's shingles that the window holds, exactly.
+Every stretch of the verified windows that holds that share is returned.
 
 A window's MinHash values are the lesser of its two halves', so a document costs one pass
 over its shingles for each template length, whatever the overlap.
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -88,12 +89,12 @@ class Scanner:
         self.odd = r.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.factors = mix64(np.arange(1, WORDS_PER_SHINGLE + 1, dtype=np.uint64)) | np.uint64(1)
         self.cache = WordHashes()
-        self.lengths: dict[int, list[tuple[str, np.ndarray, np.ndarray]]] = defaultdict(list)
+        self.lengths: dict[int, list[tuple[str, np.ndarray, np.ndarray, np.ndarray]]] = defaultdict(list)
         for name, text in sorted(templates.items()):
             words = normal_words(text)
             if words:
-                own = np.unique(self.shingles(words))
-                self.lengths[len(words)].append((name, own, self.bands(self.hashes(own).min(axis=0)[None], len(words))[0]))
+                own, order = np.unique(self.shingles(words), return_index=True)
+                self.lengths[len(words)].append((name, own, order, self.bands(self.hashes(own).min(axis=0)[None], len(words))[0]))
 
     def shingles(self, words: list[bytes]) -> np.ndarray:
         """Hashes of the shingles in order; of fewer than five words the one of all."""
@@ -116,13 +117,13 @@ class Scanner:
         return (least[:, : bands * rows].reshape(len(least), bands, rows).astype(np.uint64) * self.factors[np.arange(rows) % len(self.factors)]).sum(axis=2, dtype=np.uint64)
 
     def scan(self, text: str | None) -> list[tuple[str, int, int, float]]:
-        """Best window of each template found: (name, first word, last word, containment)."""
+        """Every stretch of each template found: (name, first word, last word, containment)."""
         words = normal_words(text)
         if not words:
             return []
         shingles = self.shingles(words)
         hashes = self.hashes(shingles)
-        best: dict[str, tuple[str, int, int, float]] = {}
+        out: list[tuple[str, int, int, float]] = []
         for length, templates in self.lengths.items():
             # Blocks of the shingles that start in each half; two blocks make a window.
             starts = np.arange(0, len(shingles), length)
@@ -132,15 +133,55 @@ class Scanner:
             windows = blocks.copy()
             windows[:-1] = np.minimum(blocks[:-1], blocks[1:])
             values = self.bands(windows, length)
-            for name, own, bands in templates:
+            for name, own, order, bands in templates:
+                where = []
                 for w in np.flatnonzero((values == bands).any(axis=1)).tolist():
                     a, b = int(starts[w]), min(int(starts[w]) + 2 * length, len(shingles))
-                    held = np.isin(own, shingles[a:b])
-                    share = float(held.mean())
-                    if share >= CONTAINMENT and (name not in best or share > best[name][3]):
-                        where = np.flatnonzero(np.isin(shingles[a:b], own)) + a
-                        best[name] = (name, int(where[0]), int(min(where[-1] + WORDS_PER_SHINGLE, len(words)) - 1), share)
-        return [best[n] for n in sorted(best)]
+                    if np.isin(own, shingles[a:b]).mean() >= CONTAINMENT:
+                        where.append(np.flatnonzero(np.isin(shingles[a:b], own)) + a)
+                if where:
+                    at = np.unique(np.concatenate(where))
+                    places = order[np.searchsorted(own, shingles[at])]
+                    for i, j, share in stretches(at.tolist(), places.tolist(), len(own), length):
+                        out.append((name, i, min(j + WORDS_PER_SHINGLE, len(words)) - 1, share))
+        return sorted(out)
+
+
+def stretches(at: list[int], places: list[int], own: int, length: int) -> Iterator[tuple[int, int, float]]:
+    """First and last shingle and containment of every stretch, none of which overlap.
+
+    ``at`` are the shingles that match, ``places`` where the template has them. A stretch is
+    the first that holds enough of the template within a window's length. It goes on as long
+    as the template does, and gives up what it holds twice at its start.
+    """
+    need, i, j, free = math.ceil(CONTAINMENT * own), 0, 0, 0
+    held: Counter[int] = Counter()
+
+    def leave() -> None:
+        nonlocal i
+        held[places[i]] -= 1
+        if not held[places[i]]:
+            del held[places[i]]
+        i += 1
+
+    while j < len(at):
+        held[places[j]] += 1
+        j += 1
+        while at[j - 1] - at[i] >= 2 * length:
+            leave()
+        if len(held) < need:
+            continue
+        while j < len(at) and places[j] > places[j - 1] and at[j] - at[j - 1] <= length:
+            held[places[j]] += 1
+            j += 1
+        while held[places[i]] > 1:
+            leave()
+        while i > free and places[i - 1] < places[i] and at[i] - at[i - 1] <= length:
+            i -= 1
+            held[places[i]] += 1
+        yield at[i], at[j - 1], len(held) / own
+        held.clear()
+        i = free = j
 
 
 def _scan(templates: dict[str, str]):
@@ -157,7 +198,7 @@ def _scan(templates: dict[str, str]):
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """One row per input row: ``doc_id, found`` (name, first and last word, containment)."""
+    """One row per input row: ``doc_id, found`` (name, first and last word, containment of every stretch)."""
     kind = docs.schema[id_column].dataType.simpleString()
     source = text_input(docs, F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     schema = f"doc_id {kind}, found array<struct<name: string, first: bigint, last: bigint, containment: double>>"
@@ -167,8 +208,8 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col
 def license_digests(found: DataFrame) -> DataFrame:
     return found.select(
         "doc_id",
-        F.size("found").cast("long").alias("n_licenses"),
-        F.array_join("found.name", ",").alias("licenses"),
+        F.size(F.array_distinct("found.name")).cast("long").alias("n_licenses"),
+        F.array_join(F.array_distinct("found.name"), ",").alias("licenses"),
         F.coalesce(F.array_min("found.first"), F.lit(-1)).alias("first_word"),
         F.round(F.coalesce(F.array_max("found.containment"), F.lit(0.0)), 6).alias("containment"),
     )

@@ -69,6 +69,22 @@ def test_guarantee_is_for_the_windows_that_scan_builds(length):
     assert 1 - (1 - (held / (own + 2 * length - held)) ** rows) ** (HASHES // rows) >= CERTAINTY
 
 
+@pytest.mark.parametrize("between", [0, 1, 3, 50, 200])
+def test_every_notice_is_found(between):
+    scanner = Scanner(TEMPLATES)
+    for name, text in TEMPLATES.items():
+        n, gap = len(normal_words(text)), prose(5, between)
+        found = [f for f in scanner.scan(f"{prose(1, 20)} {text} {gap} {text}\n{text} {gap}") if f[0] == name]
+        first = [20, 20 + n + between, 20 + 2 * n + between]
+        assert found == [(name, i, i + n - 1, 1.0) for i in first]
+
+
+def test_notice_after_a_part_of_one():
+    words = TEMPLATES["gpl-header"].split()
+    found = [f for f in Scanner(TEMPLATES).scan(" ".join([*words[15:], *words])) if f[0] == "gpl-header"]
+    assert found == [("gpl-header", len(words) - 15, len(words) - 16 + len(normal_words(TEMPLATES["gpl-header"])), 1.0)]
+
+
 def test_versions_do_not_count():
     assert normal_words("Version 2.0, É") == normal_words("version 3.11 É") == [b"version", b"0", b"0", "É".encode()]
 
