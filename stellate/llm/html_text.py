@@ -94,11 +94,13 @@ def marked(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attributes.get("style", "").lower()):
         return True
-    words = {w.lower() for name in ("class", "id") for w in _SPLIT.split(attributes.get(name, "")) if w}
-    words |= {w for name in ("class", "id") for w in _SPLIT.split(attributes.get(name, "").lower()) if w}
-    if words & LAYOUT_WORDS:  # "has-sidebar" tells of the page, not of the element
-        return False
-    return bool(words & BOILERPLATE_WORDS) or any(w.startswith(BOILERPLATE_STARTS) for w in words)
+    for name in " ".join((attributes.get("class", ""), attributes.get("id", ""))).split():
+        for words in ([w.lower() for w in _SPLIT.split(name) if w], [w for w in _SPLIT.split(name.lower()) if w]):
+            # "has-sidebar" tells of the page, not of the element
+            own = [w for before, w in zip([""] + words, words) if before not in LAYOUT_WORDS]
+            if any(w in BOILERPLATE_WORDS or w.startswith(BOILERPLATE_STARTS) for w in own):
+                return True
+    return False
 
 
 class Page:

@@ -35,6 +35,11 @@ def test_layout_classes_do_not_drop_the_article():
     assert main_text(page(f"<div class='layout has-sidebar no-header'><article class='post'><p>{LONG}</p></article><div class='commentlist'><p>{LONG}</p></div></div>")) == LONG.strip()
 
 
+@pytest.mark.parametrize("junk", ["sidebar no-print", "ad no-mobile", "comments with-avatars", "no-print sidebar", "sidebar-no-print"])
+def test_layout_words_cancel_only_the_word_after_them(junk):
+    assert main_text(page(f"<article><div class='has-sidebar'><p>{LONG}</p></div><div class='{junk}'><p>Latest, news. Items.</p></div></article>")) == LONG.strip()
+
+
 def test_without_article_element():
     body = f"<div class='top'><a href='/a'>One</a> <a href='/b'>Two</a></div><div class='content'><h1>Title</h1><p>{LONG}</p><ul><li>an item, too</li></ul><p>{LONG * 3}</p></div><div class='links'><a href='/x'>Read this</a></div>"
     assert main_text(page(body)) == f"Title {LONG.strip()} an item, too {(LONG * 3).strip()}"
