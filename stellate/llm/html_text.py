@@ -5,9 +5,10 @@ root-to-leaf path of block-level tags and classes. Over each path the text lengt
 punctuation of its blocks are summed up and divided by the number of its nodes. Both ratios
 are smoothed over the page's paths (a Gaussian of the number of steps between two paths,
 weighted by nodes) and fused: length and punctuation multiply, text inside links divides.
-Paths that reach ``THRESHOLD`` of the best one are content. The content node is the article
-or main element that holds most of the content's fused score, or, where there is none, the
-deepest node that holds nearly all of it; its blocks are the text.
+Paths that reach ``THRESHOLD`` of the best one are content. Where an article
+or main element holds content, the text is all unmarked blocks of every such element with
+text beside links. Elsewhere it is the blocks of the deepest node that holds all content,
+without those that are only links.
 
 Paths with a boilerplate mark never count: menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, hidden parts and reader comments, told by tag, role, or a
@@ -24,6 +25,7 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import html
+import os.path
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 
 from stellate.llm.common import slices, text_input
 
-SIGMA, THRESHOLD, WHOLE, MOST_PATHS = 1.0, 0.15, 0.9, 400
+SIGMA, THRESHOLD, MOST_PATHS = 1.0, 0.15, 400
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
     r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*(?:>|\Z))""",
@@ -230,19 +232,13 @@ def main_text(source: str | None) -> str:
     scores = path_scores(blocks)
     best = max(scores.values())
     content = {p for p, s in scores.items() if s >= THRESHOLD * best}
-    total: dict[tuple[str, ...], float] = defaultdict(float)
-    for path, text, _, _ in blocks:
-        if path in content:
-            for k in range(1, len(path) + 1):
-                total[path[:k]] += scores[path] * len(text) ** 0.5
-    articles = [p for p in total if p[-1].split(".")[0] in ("article", "main")]
-    if articles:
-        root = max(articles, key=lambda p: (total[p] >= 0.5 * max(total[q] for q in articles), p[-1].startswith("article"), total[p], -len(p)))
-    else:
-        everything = max(total.values(), default=0.0)
-        root = max((p for p in total if total[p] >= WHOLE * everything and p[-1].split(".")[0] not in LEAVES), key=len, default=())
-    kept = [text for path, text, _, _ in blocks if path[: len(root)] == root and (articles or path in content or scores[path] > 0)]
-    return " ".join(kept)
+    roots = {path[:k] for path, s in scores.items() if s > 0 for k in range(1, len(path) + 1) if path[k - 1].split(".")[0] in ("article", "main")}
+    if any(path[:k] in roots for path in content for k in range(1, len(path) + 1)):
+        return " ".join(text for path, text, _, _ in blocks if any(path[:k] in roots for k in range(1, len(path) + 1)))
+    root = os.path.commonprefix([p for p in content if scores[p] > 0])
+    while root and root[-1].split(".")[0] in LEAVES:
+        root = root[:-1]
+    return " ".join(text for path, text, _, _ in blocks if path[: len(root)] == root and (path in content or scores[path] > 0))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

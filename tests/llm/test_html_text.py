@@ -40,6 +40,18 @@ def test_layout_words_cancel_only_the_word_after_them(junk):
     assert main_text(page(f"<article><div class='has-sidebar'><p>{LONG}</p></div><div class='{junk}'><p>Latest, news. Items.</p></div></article>")) == LONG.strip()
 
 
+def test_every_content_root_is_kept():
+    two = f"<div><article class='post-1'><p>One. {LONG * 3}</p></article><article class='post-2'><h2>Two</h2><p>{LONG}</p></article></div>"
+    assert main_text(page(two)) == f"One. {(LONG * 3).strip()} Two {LONG.strip()}"
+    lead = f"<main><h1>Title</h1><p>Lead. {LONG}</p><article><p>{LONG * 2}</p></article></main>"
+    assert main_text(page(lead)) == f"Title Lead. {LONG.strip()} {(LONG * 2).strip()}"
+
+
+def test_without_article_all_content_is_kept():
+    body = f"<div class='a'>{f'<p>{LONG * 2}</p>' * 20}</div><div class='b'><p>Last, {LONG * 2}</p></div>"
+    assert main_text(page(body)) == " ".join([(LONG * 2).strip()] * 20 + [f"Last, {(LONG * 2).strip()}"])
+
+
 def test_without_article_element():
     body = f"<div class='top'><a href='/a'>One</a> <a href='/b'>Two</a></div><div class='content'><h1>Title</h1><p>{LONG}</p><ul><li>an item, too</li></ul><p>{LONG * 3}</p></div><div class='links'><a href='/x'>Read this</a></div>"
     assert main_text(page(body)) == f"Title {LONG.strip()} an item, too {(LONG * 3).strip()}"
