@@ -37,7 +37,9 @@ from pyspark.sql import functions as F
 
 from stellate.llm.common import slices, text_input
 
-SIGMA, THRESHOLD, MOST_PATHS = 1.0, 0.15, 400
+SIGMA, THRESHOLD = 1.0, 0.15
+#: Steps at which a smoothing weight is 0 as a double.
+REACH = 39
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"""
     r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*(?:>|\Z))""",
@@ -214,13 +216,32 @@ def path_scores(blocks: list[tuple[tuple[str, ...], str, int, str]]) -> dict[tup
         punctuation[path] += len(_PUNCTUATION.findall(text))
         links[path] += min(link_chars, len(text))
         nodes[path] += 1
-    paths = sorted(length, key=lambda p: (-length[p], p))
-    near = paths[:MOST_PATHS]  # the longest paths smooth all others
-    own = np.array([[length[p] / nodes[p], punctuation[p] / nodes[p], nodes[p]] for p in near], float)
+    # Sums of every node's paths by their length: what leaves a path's line at a node is the
+    # node's sums without those of the next node on the line.
+    ids: dict[tuple[int, str], int] = {}
+    sums: list[dict[int, np.ndarray]] = [defaultdict(lambda: np.zeros(3))]
+    lines = {}
+    for p in length:
+        line = [0]
+        own = np.sqrt(nodes[p]) * np.array([length[p] / nodes[p], punctuation[p] / nodes[p], 1.0])
+        for label in p:
+            key = (line[-1], label)
+            if key not in ids:
+                ids[key] = len(sums)
+                sums.append(defaultdict(lambda: np.zeros(3)))
+            line.append(ids[key])
+        for node in line[-REACH - 1 :]:
+            sums[node][len(p)] += own
+        lines[p] = line
     out = {}
-    for p in paths:
-        weight = np.exp(-np.array([steps(p, q) for q in near], float) ** 2 / (2 * SIGMA**2)) * np.sqrt(own[:, 2])
-        smooth_length, smooth_punctuation = (weight @ own[:, :2]) / max(weight.sum(), 1e-12)
+    for p, line in lines.items():
+        n, total = len(p), np.zeros(3)
+        for k in range(n, max(-1, n - REACH - 1), -1):
+            below = sums[line[k + 1]] if k < n else {}
+            for m, held in sums[line[k]].items():
+                if (d := n + m - 2 * k) <= REACH:
+                    total += np.exp(-(d**2) / (2 * SIGMA**2)) * (held - below.get(m, 0.0))
+        smooth_length, smooth_punctuation = total[:2] / max(total[2], 1e-12)
         out[p] = float(smooth_length * (1 + smooth_punctuation) * (1 - links[p] / max(1, length[p])))
     return out
 

@@ -1,4 +1,5 @@
 import html
+import math
 import re
 
 import pytest
@@ -78,6 +79,16 @@ def test_scores_prefer_long_punctuated_paths():
     assert scores["body", "div", "p"] > scores["body", "div", "h1"] > scores["body", "ul", "li"] == 0
 
 
+def test_all_paths_smooth():
+    """Brute force over all pairs of paths, on a page with a class of its own for each paragraph."""
+    blocks = [(("body", f"div.s{i % 7}", f"p.c{i}"), LONG * (1 + i % 5) + "x" * i, i % 3, "p") for i in range(600)] + [(("body", "ul", "li"), "Home", 4, "li"), (("body",), "a, b", 0, "body")]
+    scores = path_scores(blocks)
+    for p, t, link, _ in blocks[::50] + blocks[-2:]:
+        weight = [math.exp(-steps(p, q) ** 2 / 2) for q, *_ in blocks]
+        size, marks = (sum(w * f(x) for w, (_, x, *_) in zip(weight, blocks, strict=True)) / sum(weight) for f in (len, lambda x: len(re.findall("[.,;]", x))))
+        assert math.isclose(scores[p], size * (1 + marks) * (1 - link / len(t)), rel_tol=1e-9, abs_tol=1e-9)
+
+
 def test_given_pages_against_their_markup(spark):
     """Brute force for the given tables' pages: whatever stands inside the article element."""
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
