@@ -24,7 +24,7 @@ NAME = {int(re.match(r"op(\d+)_", n)[1]): n for n in QUERIES}
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
@@ -33,8 +33,8 @@ def run(spark, n):
     return QUERIES[NAME[n]](spark, SF)
 
 
-def test_all_ten():
-    assert sorted(NAME) == list(range(1, 11))
+def test_all_thirteen():
+    assert sorted(NAME) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
