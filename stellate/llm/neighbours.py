@@ -39,6 +39,9 @@ from stellate.llm.common import text_input
 
 #: Bytes of original components in a block of candidates and of queries.
 CANDIDATE_BYTES, QUERY_BYTES = 48 << 20, 16 << 20
+#: Blocks of candidates that a small table is dealt to. A tile returns up to k rows a query, so
+#: their number follows the data, not the session's partitions.
+LEAST_BLOCKS = 24
 #: Pairs of a tile worked on at once, and survivors recomputed at once.
 TILE_PAIRS, RECOMPUTED = 1 << 20, 1 << 16
 #: Dimensions of which an int8 product is exact in float32: 127 * 127 * 1,024 < 2 ** 24.
@@ -226,15 +229,13 @@ def nearest(
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` of the ``k`` nearest rows of every row
     that ``is_query`` names, by Euclidean distance."""
-    spark = vectors.sparkSession
     vector = F.col(vector_column)
     kind = vectors.schema[vector_column].dataType.simpleString()
     width = 4 if kind == "array<float>" else 8
     kind = kind if kind in ("array<float>", "array<double>") else "array<double>"
     size = F.coalesce(F.size(vector), F.lit(0))
     totals = vectors.agg(F.sum(size), F.sum(F.when(is_query, size)), F.count(F.when(is_query, 1))).first()
-    least = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))  # tiles for every slot at any size
-    blocks = max(least, -(-int(totals[0] or 0) * width // candidate_bytes))
+    blocks = max(LEAST_BLOCKS, -(-int(totals[0] or 0) * width // candidate_bytes))
     query_blocks = max(1, -(-int(totals[1] or 0) * width // query_bytes))
 
     rows = vectors.where(F.col(id_column).isNotNull() & usable(vector))
