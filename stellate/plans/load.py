@@ -326,11 +326,9 @@ def read_targets(spark: SparkSession, paths: dict[str, str], schema: StarSchema)
     out = {}
     for m in (schema.dimension, *schema.facts):
         if m.name in paths:
-            s = m.schema()
-            if m is not schema.dimension:
-                s = s.add(PARTITION, "string")
-            tables.recover(spark, paths[m.name])
-            df = spark.read.schema(s).parquet(paths[m.name])
+            df = tables.read_target(spark, paths[m.name])
+            if df is None:
+                df = spark.createDataFrame([], m.schema())
             out[m.name] = df.select(*[c.target for c in m.all_columns])
     return out
 

@@ -32,8 +32,8 @@ class Files:
     def mkdirs(self, path: str) -> None:
         self._fs.mkdirs(self._path(path))
 
-    def write(self, path: str, text: str) -> None:
-        out = self._fs.create(self._path(path), True)
+    def write(self, path: str, text: str, overwrite: bool = True) -> None:
+        out = self._fs.create(self._path(path), overwrite)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:

@@ -4,21 +4,28 @@ Parquet has no row-level update. A merge therefore rewrites whole partitions: th
 rows of the *affected* partitions replace those partitions, and only those. Untouched
 months are never read or rewritten.
 
-Failures. A merge first writes the complete new partitions to ``<target>/_pending/data``
-(Spark's readers skip names that begin with ``_``). Only when that job has committed does a
-``_READY`` marker name what is to be replaced, and the folders are then switched. A driver
-lost before the marker leaves the old target as it was; one lost after it leaves the new
-rows in ``_pending``, and ``recover`` (run at the start of every read and merge) finishes
-the switch. No moment holds rows in neither place. A lost executor only costs task retries.
-
-A target keeps its own schema in ``<target>/_schema``: a source without one of its columns
-leaves that column's values alone, and a source with a new column adds it.
+Failures. A merge first writes the complete new partitions beside the target's ledger
+(``stellate.sinks.ledger``). Then it is published there, which decides it, and Spark's own
+committers put the staged rows in place: a dynamic partition overwrite, or a plain overwrite
+of a target without partitions. The staged rows stay until that job has committed. A driver
+lost before the publishing leaves the old target; one lost after it leaves staged rows that
+the next merge puts in place again. Partitions that do not exist yet are written straight
+into the target, published before, so that an unfinished write is known and taken back.
+
+Reading never changes anything. ``read_target`` gives the rows that the ledger has decided:
+while a merge is being put in place, its partitions come from the staged rows and all others
+from the target. A reader that has planned its scan before a switch fails on the replaced
+files and plans again, as with any Spark overwrite; it never sees a part of the rows.
+
+A target's schema is that of its last merge: a source without one of its columns leaves that
+column's values alone, and a source with a new column adds it.
 """
 
 from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -30,8 +37,10 @@ from stellate.functions import expressions as X
 from stellate.operators import checks, merge
 from stellate.session import scratch_path
 from stellate.sinks.files import Files
+from stellate.sinks.ledger import Ledger
 
-PENDING, READY, SCHEMA, ROWS = "_pending", "_READY", "_schema", "_rows"
+#: Bytes that rows take in memory for each byte of their Parquet files, at most.
+EXPANSION = 10
 
 
 def month_of(day: str) -> Column:
@@ -46,11 +55,17 @@ def write_staged(df: DataFrame, name: str, partition_by: Sequence[str] = ()) ->
     lineage for every later reader.
     """
     path = scratch_path(df.sparkSession, name)
-    w = df.write.mode("errorifexists")
+    _written(df, path, partition_by)
+    return path
+
+
+def _written(df: DataFrame, path: str, partition_by: Sequence[str], mode: str = "errorifexists") -> None:
+    w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+        if mode == "overwrite":
+            w = w.option("partitionOverwriteMode", "dynamic")
     w.parquet(path)
-    return path
 
 
 def write_csv_file(df: DataFrame, spark: SparkSession, name: str, pad_header: bool = False) -> str:
@@ -63,12 +78,11 @@ def write_csv_file(df: DataFrame, spark: SparkSession, name: str, pad_header: bo
 
 def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
     """The target's own schema, or ``None`` before its first load."""
-    files = Files(spark, path)
-    kept = files.read(f"{path}/{SCHEMA}")
-    if kept is not None:
-        return T.StructType.fromJson(json.loads(kept))
+    last = Ledger(spark, path).last()
+    if last is not None:
+        return T.StructType.fromJson(json.loads(last["schema"]))
     try:  # a table that something else wrote
-        return spark.read.parquet(path).schema if files.exists(path) else None
+        return spark.read.parquet(path).schema if Files(spark, path).exists(path) else None
     except AnalysisException as e:
         if "UNABLE_TO_INFER_SCHEMA" in (e.getCondition() or ""):
             return None
@@ -76,18 +90,38 @@ def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame | None:
-    """The target at ``path`` with its own stored schema, or ``None`` before its first load."""
-    recover(spark, path)
-    schema = stored_schema(spark, path)
-    return None if schema is None else spark.read.schema(schema).parquet(path)
+    """The rows of the target at ``path`` with its own schema, ``None`` before its first
+    load. Changes nothing, also while a merge is being put in place."""
+    placing = Ledger(spark, path).in_place()
+    if placing is None:
+        schema = stored_schema(spark, path)
+        return None if schema is None else _rows_at(spark, path, schema)
+    _, entry = placing
+    if entry["rows"] is None and entry["first"]:
+        return None  # its first rows are on their way
+    schema = T.StructType.fromJson(json.loads(entry["schema"]))
+    rows = spark.createDataFrame([], schema) if entry["rows"] is None else _rows_at(spark, entry["rows"], schema)
+    if not entry["partition_by"]:
+        return rows
+    kept = ~F.col(entry["partition_by"]).isin(entry["partitions"])
+    return _rows_at(spark, path, schema).filter(kept).unionByName(rows)
+
+
+def _rows_at(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    if not Files(spark, path).exists(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def create_target(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """An empty target that knows its schema; an existing one stays as it is."""
     if stored_schema(spark, path) is None:
-        files = Files(spark, path)
-        files.mkdirs(path)
-        files.write(f"{path}/{SCHEMA}", schema.json())
+        ledger = Ledger(spark, path)
+        Files(spark, path).mkdirs(path)
+        entry = _entry(None, schema, [], None)
+        number = ledger.number() + 1
+        ledger.publish(number, entry)
+        ledger.close(number, entry)
 
 
 def evolved(target: T.StructType | None, source: T.StructType, last: Sequence[str] = ()) -> T.StructType:
@@ -96,46 +130,60 @@ def evolved(target: T.StructType | None, source: T.StructType, last: Sequence[st
     return T.StructType([f for n, f in fields.items() if n not in last] + [fields[n] for n in last])
 
 
-def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), total: Callable[[], int] | None = None) -> float:
-    """Replace the partitions present in ``df`` (or, without any, the whole target); return
-    the seconds of the switch. ``total``, called when the new data are written, gives the
-    row count that the target then has."""
-    spark, files = df.sparkSession, Files(df.sparkSession, path)
-    files.delete(f"{path}/{PENDING}")
-    w = df.write.mode("errorifexists")
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{path}/{PENDING}/data")
-    old = [] if partition_by else [n for n in files.names(path)]
-    files.write(f"{path}/{PENDING}/{READY}", json.dumps({"old": old, "partitioned": bool(partition_by), "schema": df.schema.json(), "rows": total() if total else None}))
-    began = time.perf_counter()
-    recover(spark, path)
-    return time.perf_counter() - began
-
-
-def recover(spark: SparkSession, path: str) -> bool:
-    """Finish a switch whose new data are complete; drop data that never were. Each step
-    can be repeated, so a driver lost in here is recovered by the next call."""
+def _entry(batch: str | None, schema: T.StructType, partitions: list, partition_by: str | None, rows: str | None = None, first: bool = False, counts: dict | None = None, total: int = 0) -> dict:
+    """What the ledger holds of a merge. ``rows`` are its staged rows; without, it writes
+    partitions that did not exist straight into the target (``first``: all that there is)."""
+    return {
+        "batch": batch,
+        "schema": schema.json(),
+        "partition_by": partition_by,
+        "partitions": partitions,
+        "rows": rows,
+        "first": first,
+        "counts": counts or {},
+        "total": total,
+    }
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Finish or take back what a lost writer left. Called by every merge before it reads
+    the target, never by a reader; one writer at a time works on a target."""
+    ledger = Ledger(spark, path)
+    placing = ledger.in_place()
+    if placing is not None:
+        number, entry = placing
+        if entry["rows"] is not None:
+            put_in_place(spark, path, entry)
+            ledger.close(number, entry)
+        else:
+            _take_back(spark, path, entry)
+            ledger.files.delete(f"{ledger.folder}/{number:08d}.open")
+    ledger.clean()
+
+
+def put_in_place(spark: SparkSession, path: str, entry: dict) -> None:
+    """Overwrite the merge's partitions, or the target without any, by its staged rows. Can
+    be repeated. Nothing is deleted unless all staged rows are there."""
+    schema = T.StructType.fromJson(json.loads(entry["schema"]))
+    if not Files(spark, path).exists(f"{entry['rows']}/_SUCCESS"):
+        raise FileNotFoundError(f"{path}: the staged rows {entry['rows']} of a published merge are missing or incomplete")
+    parts = [entry["partition_by"]] if entry["partition_by"] else []
+    _written(spark.read.schema(schema).parquet(entry["rows"]), path, parts, "overwrite")
+
+
+def _take_back(spark: SparkSession, path: str, entry: dict) -> None:
+    """Remove the rows of an unfinished write into partitions that did not exist before it."""
     files = Files(spark, path)
-    if not files.exists(f"{path}/{PENDING}"):
-        return False
-    ready = files.read(f"{path}/{PENDING}/{READY}")
-    if ready is None:
-        files.delete(f"{path}/{PENDING}")
-        return False
-    plan = json.loads(ready)
-    for name in plan["old"]:
+    written = files.names(path)
+    if entry["partition_by"]:
+        written = sorted({_folder(spark, entry["partition_by"], v) for v in entry["partitions"]}.intersection(written))
+    for name in written:
         files.delete(f"{path}/{name}")
-    for name in files.names(f"{path}/{PENDING}/data"):
-        if plan["partitioned"]:
-            files.delete(f"{path}/{name}")
-        files.rename(f"{path}/{PENDING}/data/{name}", f"{path}/{name}")
-    files.write(f"{path}/{SCHEMA}", plan["schema"])
-    if plan["rows"] is None:
-        files.delete(f"{path}/{ROWS}")
-    else:
-        files.write(f"{path}/{ROWS}", str(plan["rows"]))
-    files.delete(f"{path}/{PENDING}")
-    spark.catalog.refreshByPath(path)
-    return True
+
+
+def _folder(spark: SparkSession, partition_col: str, value: str | None) -> str:
+    """The folder of a partition, named by Spark's own rule."""
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(partition_col, value)
 
 
 def _clustered(df: DataFrame, partition_col: str | None, keys: Sequence[str]) -> DataFrame:
@@ -152,14 +200,26 @@ def _clustered(df: DataFrame, partition_col: str | None, keys: Sequence[str]) ->
 
 
 def row_count(spark: SparkSession, path: str) -> int:
-    """Rows of the target: its running total, or a count where none is kept."""
-    kept = Files(spark, path).read(f"{path}/{ROWS}")
-    if kept is not None:
-        return int(kept)
+    """Rows of the target: the running total in its ledger, or a count where none is kept."""
+    last = Ledger(spark, path).last()
+    if last is not None:
+        return int(last["total"])
     target = read_target(spark, path)
     return 0 if target is None else target.count()
 
 
+def footer_counts(spark: SparkSession, path: str, by: Sequence[str] = ()) -> DataFrame:
+    """Row count of a Parquet table, by partition columns ``by``, from the footers of its
+    files alone: Spark's newer file source answers the aggregate from the row groups' own
+    counts, and no column is read. The session that reads so is one of its own."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    rows = session.read.parquet(path)
+    return (rows.groupBy(*by) if by else rows.groupBy()).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def distinct_partitions(df: DataFrame, partition_col: str | Column) -> list:
     """The partition values present in ``df``: as many as folders the merge will touch,
     which a table's file listing holds on the driver anyway."""
@@ -177,27 +237,44 @@ def merge_into_path(
     strategy: str = "auto",
     partition_values: Sequence | None = None,
     unique_source: bool = True,
+    batch: str | None = None,
+    source_bytes: int | None = None,
+    published: Callable[[], None] | None = None,
 ) -> dict:
     """Merge ``source`` into the Parquet target at ``path``; return the load counts.
 
     ``partition_col`` (computed from the key by ``partition_value``, e.g. the month of the
-    day) partitions the target on disk. Only partitions that occur in the source are read,
-    merged and replaced (see ``replace``). ``partition_values`` (from
-    ``distinct_partitions``) spares the scan for them when several merges share a source.
-
-    ``strategy='auto'`` broadcasts the source when its measured bytes are below the
-    session's broadcast threshold; the broadcast merge reads the target in place and keeps
-    its file layout. Counts are observed in the writing stage, whose tasks count once even
-    when stages before it are run again. ``unique_source=False`` checks the source for
-    repeated keys first, which would both be inserted where a primary key would refuse them.
+    day) partitions the target on disk, as text. Only partitions that occur in the source are
+    read, merged and replaced. ``partition_values`` (from ``distinct_partitions``) spares the
+    scan for them when several merges share a source.
+
+    ``batch`` names the merge: one that the ledger holds as complete is not done again, and
+    its counts are returned with ``replayed``. ``published`` is called when the merge is
+    decided and before its rows are put in place.
+
+    ``strategy='auto'`` broadcasts the source when its bytes are below the session's broadcast
+    threshold: ``source_bytes``, the listed size of the files it is read from, times
+    ``EXPANSION``, or else its measured bytes. The broadcast merge reads the target in place
+    and keeps its file layout. Counts are observed in the writing stage, whose tasks count
+    once even when stages before it are run again. ``unique_source=False`` checks the source
+    for repeated keys first, which would both be inserted where a primary key would refuse
+    them.
     """
     keys = list(keys)
-    src = source.withColumn(partition_col, partition_value) if partition_col and partition_value is not None else source
+    ledger = Ledger(spark, path)
+    settle(spark, path)
+    if batch is not None and (done := ledger.committed(batch)) is not None:
+        return done["counts"] | {"total": row_count(spark, path), "commit_sec": 0.0, "replayed": True}
+    number = ledger.number() + 1
+
+    src = source.withColumn(partition_col, partition_value.cast("string")) if partition_col and partition_value is not None else source
     parts = [partition_col] if partition_col else []
     if not unique_source:
         checks.assert_empty(checks.duplicate_keys(merge.valid_source(src, keys), keys), f"source keys {keys} repeat")
-    target = read_target(spark, path)
-    schema = evolved(target.schema if target is not None else None, src.schema, parts)
+    target_schema = stored_schema(spark, path)
+    schema = evolved(target_schema, src.schema, parts)
+    values = list(partition_values if partition_values is not None else distinct_partitions(merge.valid_source(src, keys), partition_col)) if parts else []
+    before = row_count(spark, path) if target_schema is not None else 0
     obs = Observation("merge")
     counts = [
         F.count(F.when(F.col(merge.IN_SOURCE) & ~F.col(merge.IN_TARGET), 1)).alias("inserted"),
@@ -206,29 +283,65 @@ def merge_into_path(
         F.count(F.lit(1)).alias("rows_written"),
     ]
 
-    if target is None:
-        merged = merge.valid_source(src, keys).select(*src.columns, F.lit(False).alias(merge.IN_TARGET), F.lit(True).alias(merge.IN_SOURCE))
-        merged = _clustered(merged, partition_col, keys)
+    def entry(rows: str | None, seen: dict | None = None) -> dict:
+        seen = {k: int(v) for k, v in (seen or {}).items()}
+        if seen:
+            seen["updated"] = seen["inserted"] + seen["matched_before"]
+        return _entry(batch, schema, values, partition_col, rows, target_schema is None, seen, before + seen.get("inserted", 0))
+
+    if _absent(spark, path, partition_col, values):  # nothing to replace
+        new = merge.valid_source(src, keys).select(
+            *[X.col(c) if c in src.columns else F.lit(None).cast(schema[c].dataType).alias(c) for c in schema.names],
+            F.lit(False).alias(merge.IN_TARGET),
+            F.lit(True).alias(merge.IN_SOURCE),
+        )
+        observed = _clustered(new, partition_col, keys).observe(obs, *counts).select(*[X.col(c) for c in schema.names])
+        ledger.publish(number, entry(None))
+        if published:
+            published()
+        try:
+            _written(observed, path, parts, "append")
+        except Exception:
+            settle(spark, path)  # the target as it was
+            raise
+        final = entry(None, _observed(obs, src))
+        began = time.perf_counter()
     else:
-        target = spark.read.schema(schema).parquet(path)  # a new column reads as missing
+        target = _rows_at(spark, path, schema)  # a new column reads as missing
         if parts:
-            values = partition_values if partition_values is not None else distinct_partitions(src, partition_col)
-            target = target.filter(F.col(partition_col).isin(list(values)))
+            target = target.filter(F.col(partition_col).isin(values))
         if strategy in ("auto", "broadcast"):
-            strategy = "broadcast" if merge.source_fits_broadcast(src, merge.broadcast_limit(spark)) else "shuffle"
+            limit = merge.broadcast_limit(spark)
+            fits = source_bytes * EXPANSION <= limit if source_bytes is not None else merge.source_fits_broadcast(src, limit)
+            strategy = "broadcast" if fits else "shuffle"
         merged = merge.upsert(target, src, keys + parts, strategy=strategy, with_flags=True, measured=True)
         if strategy == "shuffle":
             merged = _clustered(merged, partition_col, keys)
-    observed = merged.observe(obs, *counts).select(*[X.col(c) for c in schema.names])
-    before = row_count(spark, path) if target is not None else 0
-    seen: dict = {}
+        rows = f"{ledger.folder}/rows-{uuid.uuid4().hex[:12]}"
+        try:
+            _written(merged.observe(obs, *counts).select(*[X.col(c) for c in schema.names]), rows, parts)
+            final = entry(rows, _observed(obs, src))
+            began = time.perf_counter()
+            ledger.publish(number, final)
+        except Exception:
+            ledger.files.delete(rows)
+            raise
+        if published:
+            published()
+        put_in_place(spark, path, final)
+    ledger.close(number, final)
+    if final["rows"]:
+        ledger.files.delete(final["rows"])
+    spark.catalog.refreshByPath(path)
+    return final["counts"] | {"total": final["total"], "commit_sec": time.perf_counter() - began, "replayed": False}
 
-    def total() -> int:
-        seen.update(_observed(obs, src))
-        return before + seen["inserted"]
 
-    commit_sec = replace(observed, path, parts, total)
-    return seen | {"updated": seen["inserted"] + seen["matched_before"], "total": before + seen["inserted"], "commit_sec": commit_sec}
+def _absent(spark: SparkSession, path: str, partition_col: str | None, values: list) -> bool:
+    """Whether the target has no files where a merge of these partitions writes."""
+    names = Files(spark, path).names(path)
+    if not partition_col:
+        return not names
+    return not {_folder(spark, partition_col, v) for v in values}.intersection(names)
 
 
 def _observed(obs: Observation, src: DataFrame) -> dict:

@@ -1,11 +1,13 @@
 import os
+import shutil
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from stellate.operators import checks, merge
 from stellate.sinks import tables
-from stellate.sinks.files import Files
+from stellate.sinks.ledger import ConcurrentWrite, Ledger
 
 
 def _fact(spark, data):
@@ -39,13 +41,13 @@ def test_merge_reads_only_the_source_months(spark, tmp_dir, monkeypatch):
     path = f"{tmp_dir}/fact2"
     first = _fact(spark, [("A", date(2020, m, 1), float(m)) for m in range(1, 13)])
     tables.merge_into_path(spark, first, path, ["k", "d"], "month", tables.month_of("d"))
-    plans, real = [], tables.replace
+    plans, real = [], tables._written
 
     def watched(df, *args, **kwargs):
         plans.append(df._jdf.queryExecution().executedPlan().toString())
         return real(df, *args, **kwargs)
 
-    monkeypatch.setattr(tables, "replace", watched)
+    monkeypatch.setattr(tables, "_written", watched)
     kept = {n: os.stat(f"{path}/{n}").st_mtime_ns for n in os.listdir(path) if n.startswith("month=")}
     tables.merge_into_path(spark, _fact(spark, [("B", date(2020, 2, 3), 1.0)]), path, ["k", "d"], "month", tables.month_of("d"))
     assert "PartitionFilters: [isnotnull(month" in plans[0] and "(2020-02)" in plans[0].replace("= 2020-02", "(2020-02)")
@@ -71,39 +73,163 @@ def test_source_with_a_new_column_adds_it(spark, tmp_dir):
     assert sorted((r.k, r.v, r.extra) for r in tables.read_target(spark, path).collect()) == [("A", 1.0, "n"), ("B", 2.0, None)]
 
 
+class Lost(BaseException):
+    """The driver is gone: nothing that it would clean up is cleaned up."""
+
+
+def _die(*args, **kwargs):
+    raise Lost
+
+
+OLD = [("A", date(2020, 1, 5), 1.0), ("B", date(2020, 1, 6), 2.0), ("C", date(2020, 2, 5), 3.0), ("E", date(2020, 3, 5), 5.0)]
+CHANGE = [("A", date(2020, 1, 5), 10.0), ("D", date(2020, 2, 6), 4.0)]
+NEW = [("A", 10.0), ("B", 2.0), ("C", 3.0), ("D", 4.0), ("E", 5.0)]
+
+
+def _seen(spark, path):
+    df = tables.read_target(spark, path)
+    return None if df is None else sorted((r.k, r.v) for r in df.collect())
+
+
+def _listing(path):
+    root, name = os.path.split(path)
+    return sorted(os.path.join(d, f) for top in (path, f"{root}/_ledger/{name}") for d, _, fs in os.walk(top) for f in fs)
+
+
 @pytest.mark.parametrize("partitioned", [True, False])
-@pytest.mark.parametrize("lost_at", ["before_ready", "before_switch", "in_switch"])
+@pytest.mark.parametrize("lost_at", ["before_published", "before_switch", "in_switch"])
 def test_driver_lost_while_replacing(spark, tmp_dir, monkeypatch, partitioned, lost_at):
-    """Whenever the driver goes, no row is lost: the old table or the new one is read next."""
+    """Whenever the driver goes, no row is lost, reads change nothing, and the next merge goes on."""
     path = f"{tmp_dir}/lost"
     part = ("month", tables.month_of("d")) if partitioned else ()
-    old = [("A", date(2020, 1, 5), 1.0), ("B", date(2020, 1, 6), 2.0), ("C", date(2020, 2, 5), 3.0)]
-    tables.merge_into_path(spark, _fact(spark, old), path, ["k", "d"], *part)
-    src = _fact(spark, [("A", date(2020, 1, 5), 10.0), ("D", date(2020, 2, 6), 4.0)])
+    tables.merge_into_path(spark, _fact(spark, OLD), path, ["k", "d"], *part)
+    if lost_at == "before_published":
+        monkeypatch.setattr(Ledger, "publish", _die)
+    elif lost_at == "before_switch":
+        monkeypatch.setattr(tables, "put_in_place", _die)
+    else:  # the old files of a partition are gone, the new ones not yet there
 
-    class Lost(Exception):
-        pass
+        def half(spark, path, entry):
+            shutil.rmtree(f"{path}/month=2020-01" if partitioned else path)
+            raise Lost
 
-    def die(*args, **kwargs):
-        raise Lost
+        monkeypatch.setattr(tables, "put_in_place", half)
+    with pytest.raises(Lost):
+        tables.merge_into_path(spark, _fact(spark, CHANGE), path, ["k", "d"], *part)
+    monkeypatch.undo()
+    files = _listing(path)
+    assert _seen(spark, path) == (sorted((k, v) for k, _, v in OLD) if lost_at == "before_published" else NEW)
+    assert _listing(path) == files
+    c = tables.merge_into_path(spark, _fact(spark, CHANGE), path, ["k", "d"], *part)
+    assert (c["inserted"], c["matched_before"]) == ((1, 1) if lost_at == "before_published" else (0, 2))
+    assert _seen(spark, path) == NEW and tables.row_count(spark, path) == 5
+    assert not [f for f in _listing(path) if "rows-" in f or f.endswith(".open")]
 
-    if lost_at == "before_ready":
-        real = Files.write
-        monkeypatch.setattr(Files, "write", lambda self, p, text: die() if p.endswith(tables.READY) else real(self, p, text))
-    elif lost_at == "before_switch":
-        real_recover, calls = tables.recover, []
-        monkeypatch.setattr(tables, "recover", lambda *a: calls.append(1) or (die() if len(calls) > 1 else real_recover(*a)))
-    else:
-        monkeypatch.setattr(Files, "rename", die)  # after the old files or the first month are deleted
+
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_driver_lost_in_a_first_write(spark, tmp_dir, monkeypatch, partitioned):
+    """Rows written straight into new partitions are taken back and written again."""
+    path = f"{tmp_dir}/first"
+    part = ("month", tables.month_of("d")) if partitioned else ()
+    monkeypatch.setattr(Ledger, "close", _die)
     with pytest.raises(Lost):
-        tables.merge_into_path(spark, src, path, ["k", "d"], *part)
+        tables.merge_into_path(spark, _fact(spark, OLD), path, ["k", "d"], *part)
+    assert _seen(spark, path) is None
     monkeypatch.undo()
-    got = sorted((r.k, r.v) for r in tables.read_target(spark, path).collect())
-    new = [("A", 10.0), ("B", 2.0), ("C", 3.0), ("D", 4.0)]
-    assert got == (sorted((k, v) for k, _, v in old) if lost_at == "before_ready" else new)
-    tables.merge_into_path(spark, src, path, ["k", "d"], *part)
-    assert sorted((r.k, r.v) for r in tables.read_target(spark, path).collect()) == new
-    assert tables.row_count(spark, path) == 4 and not os.path.exists(f"{path}/_pending")
+    c = tables.merge_into_path(spark, _fact(spark, OLD), path, ["k", "d"], *part)
+    assert c["inserted"] == c["total"] == 4 and len(_seen(spark, path)) == 4
+    if partitioned:  # the same for months beside others
+        more = [("F", date(2021, 1, 1), 1.0)]
+        monkeypatch.setattr(Ledger, "close", _die)
+        with pytest.raises(Lost):
+            tables.merge_into_path(spark, _fact(spark, more), path, ["k", "d"], *part)
+        assert len(_seen(spark, path)) == 4
+        monkeypatch.undo()
+        c = tables.merge_into_path(spark, _fact(spark, more), path, ["k", "d"], *part)
+        assert (c["inserted"], c["total"]) == (1, 5) and len(_seen(spark, path)) == 5
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_reading_between_write_and_switch(spark, tmp_dir, partitioned):
+    """A reader at any moment sees all old rows or all new ones, and disturbs no merge."""
+    path = f"{tmp_dir}/read"
+    part = ("month", tables.month_of("d")) if partitioned else ()
+    seen = []
+    look = lambda: seen.append(_seen(spark, path))
+    tables.merge_into_path(spark, _fact(spark, OLD), path, ["k", "d"], *part, published=look)
+    look()
+    real = tables._written
+
+    def watched(df, to, *args, **kwargs):
+        look()
+        real(df, to, *args, **kwargs)
+        look()
+
+    tables._written = watched
+    try:
+        c = tables.merge_into_path(spark, _fact(spark, CHANGE), path, ["k", "d"], *part, published=look)
+    finally:
+        tables._written = real
+    look()
+    old = sorted((k, v) for k, _, v in OLD)
+    assert seen == [None, old, old, old, NEW, NEW, NEW, NEW] and (c["inserted"], c["total"]) == (1, 5)
+
+
+def test_missing_staged_rows_are_an_error_before_any_delete(spark, tmp_dir, monkeypatch):
+    path = f"{tmp_dir}/gone"
+    tables.merge_into_path(spark, _fact(spark, OLD), path, ["k", "d"])
+    monkeypatch.setattr(tables, "put_in_place", _die)
+    with pytest.raises(Lost):
+        tables.merge_into_path(spark, _fact(spark, CHANGE), path, ["k", "d"])
+    monkeypatch.undo()
+    _, entry = Ledger(spark, path).in_place()
+    shutil.rmtree(entry["rows"].removeprefix("file:"))
+    with pytest.raises(FileNotFoundError):
+        tables.merge_into_path(spark, _fact(spark, CHANGE), path, ["k", "d"])
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_second_writer_is_told(spark, tmp_dir):
+    path = f"{tmp_dir}/two"
+    tables.merge_into_path(spark, _fact(spark, OLD), path, ["k", "d"])
+    first, second = Ledger(spark, path), Ledger(spark, path)
+    n = first.number() + 1
+    entry = first.last()
+    first.publish(n, entry)
+    with pytest.raises(ConcurrentWrite):
+        second.publish(n, entry)
+    first.close(n, entry)
+    with pytest.raises(ConcurrentWrite):
+        second.publish(n, entry)
+
+
+def test_failed_write_leaves_the_target_as_it_was(spark, tmp_dir):
+    path = f"{tmp_dir}/bad"
+    bad = _fact(spark, CHANGE).withColumn("v", F.when(F.col("k") == "D", F.raise_error(F.lit("bad row")).cast("double")).otherwise(F.col("v")))
+    for k in range(2):
+        with pytest.raises(Exception, match="bad row"):
+            tables.merge_into_path(spark, bad, path, ["k", "d"], "month", tables.month_of("d"))
+        assert _seen(spark, path) == (sorted((k, v) for k, _, v in OLD) if k else None)
+        assert not [f for f in _listing(path) if "rows-" in f or f.endswith(".open")]
+        tables.merge_into_path(spark, _fact(spark, OLD), path, ["k", "d"], "month", tables.month_of("d"))
+
+
+def test_named_batch_counts_once(spark, tmp_dir):
+    path = f"{tmp_dir}/named"
+    first = tables.merge_into_path(spark, _fact(spark, OLD), path, ["k", "d"], batch="b1")
+    again = tables.merge_into_path(spark, _fact(spark, OLD), path, ["k", "d"], batch="b1")
+    assert again["replayed"] and not first["replayed"]
+    assert all(again[k] == first[k] for k in ("inserted", "matched_before", "updated", "total"))
+    assert tables.merge_into_path(spark, _fact(spark, OLD), path, ["k", "d"], batch="b2")["matched_before"] == 4
+
+
+def test_counts_from_footers(spark, tmp_dir):
+    path = f"{tmp_dir}/foot"
+    tables.merge_into_path(spark, _fact(spark, OLD), path, ["k", "d"], "month", tables.month_of("d"))
+    counts = tables.footer_counts(spark, path, ["month"])
+    assert {r.month: r.n_rows for r in counts.collect()} == {"2020-01": 2, "2020-02": 1, "2020-03": 1}
+    assert "PushedAggregation: [COUNT(*)]" in counts._jdf.queryExecution().executedPlan().toString()
+    assert tables.footer_counts(spark, path).first()[0] == 4
 
 
 def test_repeated_source_keys_are_refused(spark, tmp_dir):
