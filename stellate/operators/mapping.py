@@ -11,6 +11,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stellate.functions import expressions as X
@@ -113,20 +114,25 @@ def empty_target(spark: SparkSession, tmap: TableMap) -> DataFrame:
     return spark.createDataFrame([], tmap.schema())
 
 
+def failed(c: ColMap) -> Column:
+    """Whether a cell is present but does not convert to its type."""
+    return X.is_present(c.source) & convert(X.col(c.source), c.kind, strict=False).isNull()
+
+
+def cast_failures(maps: Iterable[TableMap]) -> list[Column]:
+    """For ``DataFrame.observe``: by target column (``table.column``), the cells that are
+    present but do not convert. Counted in the scan that writes the rows, not in another."""
+    return [F.count(F.when(failed(c), 1)).alias(f"{m.name}.{c.target}") for m in maps for c in m.all_columns if c.kind != "text"]
+
+
 def quarantine(df: DataFrame, tmap: TableMap) -> tuple[DataFrame, DataFrame]:
     """Lenient mode: rows whose cells all convert go to ``good``; rows with a cell that is
     present but does not convert go to ``bad`` (with the raw text kept for inspection).
     """
     from functools import reduce
 
-    from pyspark.sql import functions as F
-
-    failed = [
-        X.is_present(c.source) & convert(X.col(c.source), c.kind, strict=False).isNull()
-        for c in tmap.all_columns
-        if c.kind != "text"
-    ]
-    bad_flag = reduce(lambda a, b: a | b, failed) if failed else F.lit(False)
+    flags = [failed(c) for c in tmap.all_columns if c.kind != "text"]
+    bad_flag = reduce(lambda a, b: a | b, flags) if flags else F.lit(False)
     flagged = df.withColumn("__bad", bad_flag)
     good = project(flagged.filter(~F.col("__bad")), tmap, strict=False)
     bad = flagged.filter(F.col("__bad")).drop("__bad")

@@ -11,23 +11,33 @@ at the end of the load, successful or not.
 
 Counts are observed in writing stages, whose tasks count once even when stages before them
 are run again after a lost executor.
+
+A load with a ``run_id`` can be restarted: its deduplicated rows stay until it succeeds, and
+the targets' ledgers know which of its batches they hold, with their counts. The same call
+again goes on after the last committed batch and returns what an unbroken load returns.
 """
 
 from __future__ import annotations
 
+import json
 import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stellate.functions import expressions as X
 from stellate.operators import checks, dedup, mapping
 from stellate.operators.mapping import TableMap
 from stellate.sinks import staging, tables
+from stellate.sinks.files import Files
 
 DAY = "__day"
 PARTITION = "month"
+BATCH = "__batch"
+#: A key's place is its day and this many bits of a hash of its entity.
+PLACE_BITS = 20
 
 
 @dataclass(frozen=True)
@@ -109,21 +119,58 @@ def fact_rows(deduped: DataFrame, fact: TableMap, strict: bool = True) -> DataFr
     return mapping.project(deduped, fact, strict)
 
 
-def month_batches(rows: DataFrame, batch_rows: int | None) -> list[list]:
-    """The months a load touches, in groups of at most ``batch_rows`` rows (one month at
-    least). Groups are whole partitions, so a batched load still reads and writes every
-    partition of the target once. One number for each month reaches the driver."""
-    counts = rows.groupBy(tables.month_of(DAY).alias("m")).agg(F.count(F.lit(1)).alias("n")).orderBy("m").collect()
-    if batch_rows is None:
-        return [[r["m"] for r in counts]] if counts else []
-    out: list[list] = []
+def place(entity: str) -> F.Column:
+    """A number in the order of the keys: by day, then by a hash of the entity, so that also
+    a day with a third of all rows can be cut into ranges."""
+    day = F.datediff(F.col(DAY), F.lit("1970-01-01").cast("date")).cast("long")
+    return F.shiftleft(day, PLACE_BITS) + F.pmod(F.xxhash64(X.col(entity)), F.lit(1 << PLACE_BITS))
+
+
+@dataclass
+class Layout:
+    """Key ranges of a batched load: for each month its first batch and the places at which
+    the month is cut, and for each batch its months."""
+
+    months: list[tuple[str, int, list[int]]]
+    batches: list[list[str]]
+
+    def dealt(self, rows: DataFrame, entity: str) -> DataFrame:
+        """``rows`` with the batch of their key. One small row for each month is broadcast:
+        as many as the folders of a target, which its listing holds on the driver anyway."""
+        known = rows.sparkSession.createDataFrame(self.months, "__month string, __first int, __cuts array<bigint>")
+        met = rows.join(F.broadcast(known), tables.month_of(DAY) == F.col("__month"))
+        at = F.size(F.filter("__cuts", lambda c: c < place(entity)))
+        return met.withColumn(BATCH, F.col("__first") + at).drop(*known.columns)
+
+
+def range_layout(rows: DataFrame, entity: str, batch_rows: int) -> Layout:
+    """Ranges of at most about ``batch_rows`` keys. Whole months share a batch while they fit,
+    so that a month is read and written once; a month with more keys is cut at quantiles of
+    its keys' places, from a sketch (one grouped aggregate, no ordinal, no sort). One row for
+    each month reaches the driver."""
+    valid = rows.filter(X.is_present(entity) & F.col(DAY).isNotNull())
+    keys = valid.groupBy(X.col(entity), F.col(DAY)).agg(F.lit(1).alias("__one")).withColumn("__month", tables.month_of(DAY))
+    counts = keys.groupBy("__month").agg(F.count(F.lit(1)).alias("n")).orderBy("__month").collect()
+    pieces = {r["__month"]: -(-r["n"] // batch_rows) for r in counts}
+    cuts: dict[str, list[int]] = {}
+    if big := [m for m, p in pieces.items() if p > 1]:
+        most = max(pieces[m] for m in big)
+        at = F.percentile_approx(place(entity), [i / most for i in range(1, most)], F.lit(max(10_000, 20 * most)))
+        for r in keys.filter(F.col("__month").isin(big)).groupBy("__month").agg(at.alias("at")).collect():
+            p = pieces[r["__month"]]
+            cuts[r["__month"]] = sorted({r["at"][round(i * most / p) - 1] for i in range(1, p)})
+    out = Layout([], [])
     room = 0
     for r in counts:
-        if not out or r["n"] > room:
-            out.append([])
-            room = batch_rows
-        out[-1].append(r["m"])
+        month, own = r["__month"], cuts.get(r["__month"], [])
+        if own or r["n"] > room or not out.batches:
+            out.batches += [[] for _ in range(len(own) + 1)]
+            room = 0 if own else batch_rows
+        first = len(out.batches) - len(own) - 1
+        for b in out.batches[first:]:
+            b.append(month)
         room -= r["n"]
+        out.months.append((month, first, own))
     return out
 
 
@@ -140,6 +187,7 @@ def load_wide_frame(
     keep_staging: bool = False,
     batch_rows: int | None = None,
     full_counts: bool = False,
+    run_id: str | None = None,
 ) -> LoadResult:
     """Load an all-text frame into the targets under ``targets_root``.
 
@@ -149,50 +197,77 @@ def load_wide_frame(
     this run merged), ``"full"`` (every fact row) or ``False``.
     ``staging_table=(namespace, name)`` stages the raw text rows, as read, in a catalog
     table, dropped at the end unless ``keep_staging``.
-    ``batch_rows`` loads the facts in batches of months (see ``month_batches``), each
-    committed before the next; ``LoadResult.batches`` has the log.
-    Final counts come from the target's running total (``<target>/_rows``); ``full_counts``
-    counts the files instead.
+    ``batch_rows`` loads the facts in key ranges (see ``range_layout``), each committed before
+    the next; the deduplicated rows are laid out by range, so a batch reads its own files
+    only. ``LoadResult.batches`` has the log.
+    ``run_id`` names the load, once for each input: called again after a failure, it takes up
+    the deduplicated rows and leaves out the batches that are committed, with equal counts.
+    Final counts come from the targets' ledgers; ``full_counts`` reads them from the files'
+    footers instead.
     """
     res = LoadResult()
     root = targets_root.rstrip("/")
     temporary: list[str] = []
+    run = Run(spark, f"{root}/_runs/{run_id}") if run_id else None
+    batch_id = lambda *parts: "/".join([run_id, *map(str, parts)]) if run_id else None
 
     def timed(section: str, name: str):
         t0 = time.perf_counter()
         return lambda: res.add(section, name, "sec", time.perf_counter() - t0)
 
     try:
-        # The raw rows as read: text only, every column, nothing dropped.
-        done = timed("stages", "create_staging")
-        if staging_table:
-            staging.create_namespace(spark, staging_table[0])
-        done()
-        done = timed("stages", "copy")
-        t0 = time.perf_counter()
-        obs_in = Observation("staged")
-        counted = source.observe(obs_in, F.count(F.lit(1)).alias("rows"))
-        if staging_table:
-            raw = staging.write_staging_table(counted, *staging_table)
-        else:
-            temporary.append(tables.write_staged(counted, "staging"))
-            raw = spark.read.schema(source.schema).parquet(temporary[-1])
-        res.add("copy", "source", "sec", time.perf_counter() - t0)
-        done()
-        staged_rows = tables.observed_rows(obs_in, source)
-
-        done = timed("stages", "dedup")
-        obs_out = Observation("dedup")
-        deduped = deduplicate(raw, schema, strict).observe(obs_out, F.count(F.lit(1)).alias("rows"))
-        temporary.append(tables.write_staged(deduped, "dedup"))
-        rows = spark.read.schema(deduped.schema).parquet(temporary[-1])
-        done()
-        dedup_rows = tables.observed_rows(obs_out, deduped)
-        null_keys = keyed(raw, schema, strict).filter(~X.is_present(schema.entity) | F.col(DAY).isNull()).count()  # two columns
+        held = run.state() if run else None
+        if held is None:
+            # The raw rows as read: text only, every column, nothing dropped.
+            done = timed("stages", "create_staging")
+            if staging_table:
+                staging.create_namespace(spark, staging_table[0])
+            done()
+            done = timed("stages", "copy")
+            t0 = time.perf_counter()
+            obs_in = Observation("staged")
+            counted = source.observe(obs_in, F.count(F.lit(1)).alias("rows"))
+            if staging_table:
+                raw = staging.write_staging_table(counted, *staging_table)
+            else:
+                temporary.append(tables.write_staged(counted, "staging"))
+                raw = spark.read.schema(source.schema).parquet(temporary[-1])
+            res.add("copy", "source", "sec", time.perf_counter() - t0)
+            done()
+            staged_rows = tables.observed_rows(obs_in, source)
+
+            done = timed("stages", "dedup")
+            k = keyed(raw, schema, strict)
+            layout = range_layout(k, schema.entity, batch_rows) if batch_rows is not None else None
+            obs_out = Observation("dedup")
+            maps = () if strict else (schema.dimension, *schema.facts)  # a lenient load counts the cells it blanks
+            deduped = deduplicate_keyed(k, schema).observe(obs_out, F.count(F.lit(1)).alias("rows"), *mapping.cast_failures(maps))
+            out = deduped if layout is None else layout.dealt(deduped, schema.entity).hint("rebalance", BATCH)
+            path = run.rows if run else tables.scratch_path(spark, "dedup")
+            temporary += [] if run else [path]
+            w = out.write.mode("overwrite")
+            (w if layout is None else w.partitionBy(BATCH)).parquet(path)
+            done()
+            held = {
+                "path": path,
+                "schema": out.schema.json(),
+                "staged_rows": staged_rows,
+                "dedup_rows": tables.observed_rows(obs_out, deduped),
+                # two columns
+                "null_keys": keyed(raw, schema, strict).filter(~X.is_present(schema.entity) | F.col(DAY).isNull()).count(),
+                "batches": layout.batches if layout else None,
+            }
+            held["cast_errors"] = {n: v for n, v in obs_out.get.items() if n != "rows"} if held["dedup_rows"] and not strict else {}
+            if run:
+                run.save(held)
+        rows = spark.read.schema(T.StructType.fromJson(json.loads(held["schema"]))).parquet(held["path"])
+        staged_rows, dedup_rows, null_keys = held["staged_rows"], held["dedup_rows"], held["null_keys"]
         res.add("copy", "source", "rows", staged_rows)
         res.add("stages", "staging", "rows", staged_rows)
         res.add("stages", "staging", "null_key_rows", null_keys)
         res.add("stages", "dedup", "rows", dedup_rows)
+        for name, n in held["cast_errors"].items():
+            res.add("cast_errors", name, "cells", n)
         checks.assert_dedup_nonempty(staged_rows - null_keys, dedup_rows)
 
         # Dimension before facts, so every fact key can reference it. Its rows (one per
@@ -209,7 +284,13 @@ def load_wide_frame(
             raise checks.ConstraintViolation(f"{dim.name}: {violations} rows with NULL in {dim.not_null}")
         commit_sec = 0.0
         counts = tables.merge_into_path(
-            spark, dim_src.filter(~_any_null(dim.not_null)), f"{root}/{dim.name}", dim.key_names, strategy=strategy
+            spark,
+            dim_src.filter(~_any_null(dim.not_null)),
+            f"{root}/{dim.name}",
+            dim.key_names,
+            strategy=strategy,
+            batch=batch_id(dim.name),
+            source_bytes=Files(spark, temporary[-1]).size(temporary[-1]),
         )
         commit_sec += counts["commit_sec"]
         done()
@@ -219,13 +300,20 @@ def load_wide_frame(
         totals = {dim.name: counts["total"]}
 
         # Every fact is keyed by the same day, so the months this run touches are found once.
-        batches = month_batches(rows, batch_rows)
+        files = Files(spark, held["path"])
+        if held["batches"] is None:
+            months = sorted(tables.distinct_partitions(rows, tables.month_of(DAY)))
+            batches = [(rows, months, files.size(held["path"]))]
+        else:
+            batches = [
+                (rows.filter(F.col(BATCH) == i), months, files.size(f"{held['path']}/{BATCH}={i}"))
+                for i, months in enumerate(held["batches"])
+            ]
 
         def load_fact(fact: TableMap) -> tuple[TableMap, list[dict]]:
             log = []
-            for months in batches or [[]]:
+            for i, (part, months, size) in enumerate(batches):
                 t0 = time.perf_counter()
-                part = rows.filter(tables.month_of(DAY).isin(months)) if batch_rows is not None else rows
                 counts = tables.merge_into_path(
                     spark,
                     fact_rows(part, fact, strict),
@@ -235,6 +323,8 @@ def load_wide_frame(
                     tables.month_of(fact.key_names[1]),
                     strategy=strategy,
                     partition_values=months,
+                    batch=batch_id(fact.name, i),
+                    source_bytes=size,
                 )
                 log.append(counts | {"sec": time.perf_counter() - t0})
             return fact, log
@@ -250,14 +340,14 @@ def load_wide_frame(
             res.add("upserts", fact.name, "sec", sum(c["sec"] for c in log))
             for m in ("inserted", "updated", "matched_before"):
                 res.add("upserts", fact.name, m, sum(c[m] for c in log))
-            totals[fact.name] = log[-1]["total"]
+            totals[fact.name] = log[-1]["total"] if log else tables.row_count(spark, res.paths[fact.name])
         res.add("upserts", "facts", "wall_sec", time.perf_counter() - t0)
         res.add("stages", "commit", "sec", commit_sec)
 
         targets = read_targets(spark, res.paths, schema)
         if full_counts:
             done = timed("stages", "final_counts")
-            totals = dict(_run_all(lambda kv: (kv[0], kv[1].count()), list(targets.items()), parallel))
+            totals = dict(_run_all(lambda kv: (kv[0], tables.footer_counts(spark, kv[1]).first()[0]), list(res.paths.items()), parallel))
             done()
         for name, n in totals.items():
             res.add("final_counts", name, "rows", n)
@@ -278,6 +368,8 @@ def load_wide_frame(
             for name, n in _run_all(orphan_count, schema.facts, parallel):
                 res.add("checks", name, "orphans", n)
             done()
+        if run:
+            run.finish()
     finally:
         done = timed("stages", "drop_staging")
         for path in temporary:
@@ -288,6 +380,24 @@ def load_wide_frame(
     return res
 
 
+class Run:
+    """The folder of a load that can be restarted: its deduplicated rows, and what the load
+    knows about them once they are complete."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.folder, self.rows, self.files = folder, f"{folder}/rows", Files(spark, folder)
+
+    def state(self) -> dict | None:
+        text = self.files.read(f"{self.folder}/state.json")
+        return json.loads(text) if text and text.endswith("}") else None
+
+    def save(self, state: dict) -> None:
+        self.files.write(f"{self.folder}/state.json", json.dumps(state))
+
+    def finish(self) -> None:
+        self.files.delete(self.folder)
+
+
 def _any_null(columns) -> "F.Column":
     cond = F.lit(False)
     for c in columns:
@@ -345,6 +455,7 @@ def load_wide_file(
     staging_table: tuple[str, str] | None = None,
     keep_staging: bool = False,
     batch_rows: int | None = None,
+    run_id: str | None = None,
 ) -> LoadResult:
     """Read the wide CSV as text and load it (the whole loader run). ``audit`` also counts
     the physical lines, which reads the input once more."""
@@ -363,6 +474,7 @@ def load_wide_file(
         staging_table=staging_table,
         keep_staging=keep_staging,
         batch_rows=batch_rows,
+        run_id=run_id,
     )
     res.add("copy", "source", "bytes", source_bytes(spark, path))
     if audit:

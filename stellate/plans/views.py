@@ -155,12 +155,32 @@ HEALTH_FIRST_BEFORE, HEALTH_SECOND_FROM, HEALTH_SECOND_DISCOUNT = "1996-01-01",
 
 
 def health_extracts(lineitem: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """History, and a newer extract that overlaps it and reports discounted lines only, so
-    that shared keys bring other cells, and fewer, the second time."""
+    """History, and a newer extract that overlaps it. The newer one reports every line, but
+    leaves the cells of little discounted ones empty, so that shared keys bring other cells,
+    and fewer, the second time."""
     day = F.to_date("l_shipdate")
     first = lineitem.filter(day < F.lit(HEALTH_FIRST_BEFORE).cast("date"))
-    second = lineitem.filter((day >= F.lit(HEALTH_SECOND_FROM).cast("date")) & (F.col("l_discount") >= HEALTH_SECOND_DISCOUNT))
-    return health_wide_view(first), health_wide_view(second)
+    second = lineitem.filter(day >= F.lit(HEALTH_SECOND_FROM).cast("date"))
+    blanked = F.when(F.col("l_discount") >= HEALTH_SECOND_DISCOUNT, F.col("l_discount")).otherwise(F.lit(-1.0))
+    return health_wide_view(first), health_wide_view(second.withColumn("l_discount", blanked))
+
+
+def w_schema():
+    """The derived wide file ``W`` as a load: one dimension, three facts."""
+    from stellate.plans.load import StarSchema
+
+    return StarSchema("entity", "day", W_LABEL, W_DIMENSION, W_FACTS, tiebreak=(W_TIEBREAK,))
+
+
+def w_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``W`` as a text file has it: the tie-break as padded digits, which order as numbers do."""
+    return w(spark, sf_dir).withColumn(W_TIEBREAK, F.lpad(F.col(W_TIEBREAK).cast("string"), 12, "0"))
+
+
+def bad_cells(wide: DataFrame) -> DataFrame:
+    """``W`` with cells that do not convert: large values read ``n/a``, clicks have a unit."""
+    unit = F.when(F.col("m_click") != "", F.concat(F.col("m_click"), F.lit(" clicks"))).otherwise(F.col("m_click"))
+    return wide.withColumn("m_large", F.when(F.col("m_large") != "", F.lit("n/a")).otherwise(F.col("m_large"))).withColumn("m_click", unit)
 
 
 def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,6 +48,10 @@ class Files:
         finally:
             stream.close()
 
+    def size(self, path: str) -> int:
+        """Listed bytes of a file or of all files under a folder."""
+        return int(self._fs.getContentSummary(self._path(path)).getLength()) if self.exists(path) else 0
+
     def glob(self, path: str) -> list[str]:
         """Data files at a file, folder or pattern, in name order."""
         out = []
@@ -68,14 +72,3 @@ class Files:
             if not s.getPath().getName().startswith(("_", ".")):
                 out += [s] if s.isFile() else self._walk(s.getPath())
         return out
-
-    def first_line(self, path: str, encoding: str = "UTF-8") -> str | None:
-        """First line of a text file, compressed ones included; ``None`` if it is empty."""
-        jvm, target = self._jvm, self._path(path)
-        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(self._fs.getConf()).getCodec(target)
-        stream = self._fs.open(target)
-        try:
-            source = codec.createInputStream(stream) if codec is not None else stream
-            return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(source, encoding)).readLine()
-        finally:
-            stream.close()

@@ -12,10 +12,11 @@ The CSV source splits a file by block, so one large file is read by many tasks;
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,17 +38,36 @@ def source_files(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
-def raw_headers(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> dict[str, tuple[str, ...]]:
-    """Every file's first line as fields, names untouched: one small read for each file, on
-    a few driver threads. Empty files have no header and are left out."""
-    files, found = Files(spark, path), source_files(spark, path)
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row, if this is the beginning of a file; the rest is never asked for."""
+    for batch in batches:
+        if batch.num_rows:
+            yield batch.slice(0, 1 if batch.column(2)[0].as_py() == 0 else 0)
+            return
+
+
+def first_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """``file`` and ``line``, the first line of every file that is not empty, read by tasks.
+
+    A task reads one piece of one file and stops after its first rows, so the job costs a
+    small read for each piece, on the executors. The session that plans it so is its own.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.openCostInBytes", session.conf.get("spark.sql.files.maxPartitionBytes"))
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    lines = session.read.option("encoding", encoding).option("recursiveFileLookup", True).text(path)
+    place = lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("start"))
+    return place.mapInArrow(_first_lines, place.schema).drop("start")
 
-    def header(file: str) -> tuple[str, ...] | None:
-        line = files.first_line(file, encoding)
-        return None if line is None else tuple(next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep), ()))
 
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        return {f: h for f, h in zip(found, pool.map(header, found), strict=True) if h}
+def raw_headers(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> dict[str, tuple[str, ...]]:
+    """Every file's first line as fields, names untouched, in order of the files' names.
+    Empty files have no header and are left out. The driver receives one line for each file,
+    next to the listing that it holds of them."""
+    source_files(spark, path)  # a missing source is an error of its own
+    rows = sorted((unquote(r["file"]), r["line"]) for r in first_lines(spark, path, encoding).collect())
+    headers = {f: tuple(next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep), ())) for f, line in rows}
+    return {f: h for f, h in headers.items() if h}
 
 
 def read_header(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> list[str]:
@@ -128,6 +148,32 @@ def read_text_csv(
     return reduce(DataFrame.union, frames)
 
 
+RAW, FILE = "__raw", "__file"
+
+
+def stage_with_rejects(spark: SparkSession, path: str, required: Sequence[str] = (), sep: str = ",", encoding: str = "UTF-8") -> tuple[DataFrame, DataFrame, str]:
+    """Stage the CSV file(s) at ``path`` in one scan, ragged rows set aside.
+
+    Returns the all-text rows that have as many cells as the header; the rejects, each with
+    its ``file`` and ``raw`` text; and the staged folder that both read, which the caller
+    deletes. All files must have one header. ``required`` is checked as in ``read_text_csv``.
+    """
+    from stellate.sinks.tables import write_staged
+
+    headers = {tuple(c.strip() for c in h) for h in raw_headers(spark, path, sep, encoding).values()}
+    if len(headers) != 1:
+        raise SourceError(f"{path}: {len(headers)} different headers, one is needed")
+    names = list(headers.pop())
+    check_header(names, required)
+    reader = spark.read.schema(text_schema([*names, RAW])).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", RAW)
+    reader = reader.option("header", True).option("enforceSchema", True).option("sep", sep).option("encoding", encoding).option("recursiveFileLookup", True)
+    rows = reader.csv(path).withColumn(FILE, F.col("_metadata.file_path"))
+    at = write_staged(rows, "csv-rows")
+    staged = spark.read.schema(rows.schema).parquet(at)
+    good = staged.filter(F.col(RAW).isNull()).drop(RAW, FILE)
+    return good, staged.filter(F.col(RAW).isNotNull()).select(F.col(FILE).alias("file"), F.col(RAW).alias("raw")), at
+
+
 def line_count(spark: SparkSession, path: str, header_lines: int = 1) -> int:
     """Physical data lines (newlines minus the header), as a load denominator.
 

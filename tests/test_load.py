@@ -211,6 +211,69 @@ def test_batched_load_equals_one_load(spark, tmp_dir):
     assert all(sums[f.name].inserted == one.value("upserts", f.name, "inserted") for f in H.FACTS)
 
 
+def _tables(spark, res):
+    return {n: sorted(map(tuple, df.collect()), key=str) for n, df in read_targets(spark, res.paths, H.HEALTH).items()}
+
+
+def test_one_large_month_is_cut_into_ranges(spark, tmp_dir):
+    """Also when one day has most rows; every batch reads its own files only."""
+    from pyspark.sql import functions as F
+
+    from stellate.plans import load
+
+    p = os.path.join(tmp_dir, "b.csv")
+    rows = [_row(f"A{i:03d}", "2020-03-05", population="1", total_cases=str(i)) for i in range(120)]
+    rows += [_row("A001", f"2020-0{m}-0{d}", population="1", total_cases="9") for m in (1, 2, 3, 4) for d in range(1, 9)]
+    _csv(p, _header(), rows)
+    one = load_wide_file(spark, p, H.HEALTH, os.path.join(tmp_dir, "one"))
+    cut = load_wide_file(spark, p, H.HEALTH, os.path.join(tmp_dir, "cut"), batch_rows=30)
+    assert _tables(spark, one) == _tables(spark, cut)
+    per = [r.inserted for r in cut.batch_log(spark).filter("table = 'cazuri_zilnice'").orderBy("batch").collect()]
+    assert sum(per) == one.value("upserts", "cazuri_zilnice", "inserted") and len(per) >= 6 and max(per) <= 45
+    wide = spark.read.csv(p, header=True).fillna("")
+    k = load.keyed(wide, H.HEALTH)
+    out = load.range_layout(k, H.ENTITY, 30).dealt(load.deduplicate_keyed(k, H.HEALTH), H.ENTITY)
+    out.write.partitionBy(load.BATCH).parquet(os.path.join(tmp_dir, "laid"))
+    batch = spark.read.schema(out.schema).parquet(os.path.join(tmp_dir, "laid")).filter(F.col(load.BATCH) == 2)
+    plan = load.fact_rows(batch, H.FACTS[0])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(__batch" in plan
+    assert all("__batch=2/" in r.f for r in batch.select(F.col("_metadata.file_path").alias("f")).distinct().collect())
+
+
+def test_failed_load_goes_on_after_its_last_batch(spark, tmp_dir, monkeypatch):
+    import pytest
+
+    from stellate.sinks import tables
+
+    p = os.path.join(tmp_dir, "r.csv")
+    _csv(p, _header(), [_row(f"A{i % 4}", f"2020-0{1 + i % 6}-0{1 + i % 9}", population="1", total_cases=str(i)) for i in range(40)])
+    whole = load_wide_file(spark, p, H.HEALTH, os.path.join(tmp_dir, "whole"), batch_rows=6)
+    root, real, merged = os.path.join(tmp_dir, "broken"), tables.merge_into_path, []
+
+    def failing(spark, source, path, *args, **kwargs):
+        if path.endswith("testari_zilnice") and kwargs["batch"].endswith("/2"):
+            raise RuntimeError("power cut")
+        counts = real(spark, source, path, *args, **kwargs)
+        merged.append((kwargs["batch"], counts["replayed"]))
+        return counts
+
+    monkeypatch.setattr(tables, "merge_into_path", failing)
+    with pytest.raises(RuntimeError, match="power cut"):
+        load_wide_file(spark, p, H.HEALTH, root, batch_rows=6, run_id="day1")
+    before = {b for b, _ in merged}
+    assert {"day1/locatii", "day1/testari_zilnice/0", "day1/testari_zilnice/1"} <= before
+    monkeypatch.setattr(tables, "merge_into_path", lambda *a, **k: (c := real(*a, **k), merged.append((k["batch"], c["replayed"])))[0])
+    merged.clear()
+    res = load_wide_file(spark, p, H.HEALTH, root, batch_rows=6, run_id="day1")
+    assert {b for b, replayed in merged if replayed} == before  # none of them is merged again
+    assert _tables(spark, res) == _tables(spark, whole)
+    for name in whole.paths:
+        for m in ("inserted", "updated", "matched_before"):
+            assert res.value("upserts", name, m) == whole.value("upserts", name, m)
+    assert [r[:4] for r in sorted(res.batches)] == [r[:4] for r in sorted(whole.batches)]
+    assert not os.path.exists(os.path.join(root, "_runs", "day1"))
+
+
 def test_no_staged_folder_is_left(spark, tmp_dir):
     from stellate.session import checkpoint_dir
     from stellate.sinks.files import Files
