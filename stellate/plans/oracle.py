@@ -172,6 +172,39 @@ def _stream_upsert() -> str:
     )
 
 
+def _row_digest(fact: TableMap) -> str:
+    cells = [f"CAST(round({c.target} * 100) AS BIGINT)" if c.kind == "double" else c.target for c in fact.all_columns]
+    joined = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in cells)
+    return f"('0x' || md5({joined})[1:8])::BIGINT"
+
+
+def _w_facts() -> str:
+    parts = []
+    for m in V.W_FACTS:
+        values = [*m.value_names, "NULL", "NULL", "NULL"][:3]
+        cells = ", ".join(f"CAST({v} AS DOUBLE) AS v{i}" for i, v in enumerate(values, 1))
+        parts.append(f"SELECT '{m.name}' AS tbl, {', '.join(m.key_names)}, {cells} FROM ({_project(m, 'wd')})")
+    return BASE + " UNION ALL ".join(parts)
+
+
+def _w_counts(tail: str) -> str:
+    """Counts of a load of ``W`` into empty targets."""
+    users = f"SELECT '{V.W_DIMENSION.name}' AS tbl, COUNT(DISTINCT entity) AS n FROM wd"
+    facts = [f"SELECT '{m.name}' AS tbl, COUNT(*) AS n FROM wd" for m in V.W_FACTS]
+    return BASE + f"SELECT tbl, {tail} FROM (" + " UNION ALL ".join([users, *facts]) + ")"
+
+
+def _cast_errors() -> str:
+    """Bad cells of the deduplicated rows, by target column; the bad text changes no score."""
+    parts = []
+    for m in (V.W_DIMENSION, *V.W_FACTS):
+        for c in m.all_columns:
+            if c.kind != "text":
+                bad = {"m_large": "m_large <> ''", "m_click": "m_click <> ''"}.get(c.source, "FALSE")
+                parts.append(f"SELECT '{m.name}.{c.target}' AS target_column, COUNT(*) FILTER ({bad}) AS cells FROM wd")
+    return BASE + " UNION ALL ".join(parts)
+
+
 def _health_sql() -> dict[str, str]:
     """The health queries: wide view, dedup, dimension, facts — from the same mappings."""
     from stellate.plans import health as H
@@ -210,9 +243,10 @@ def _health_sql() -> dict[str, str]:
 
     base = f"WITH hw AS ({wide} FROM lineitem), hd AS ({dedup('hw')}) "
     first = f"CAST(l_shipdate AS DATE) < DATE '{V.HEALTH_FIRST_BEFORE}'"
-    second = f"CAST(l_shipdate AS DATE) >= DATE '{V.HEALTH_SECOND_FROM}' AND l_discount >= CAST({V.HEALTH_SECOND_DISCOUNT!r} AS DOUBLE)"
+    second = f"CAST(l_shipdate AS DATE) >= DATE '{V.HEALTH_SECOND_FROM}'"
+    blanked = f"(SELECT * REPLACE (CASE WHEN l_discount >= CAST({V.HEALTH_SECOND_DISCOUNT!r} AS DOUBLE) THEN l_discount ELSE -1.0::DOUBLE END AS l_discount) FROM lineitem WHERE {second})"
     twice = (
-        f"WITH w1 AS ({wide} FROM lineitem WHERE {first}), w2 AS ({wide} FROM lineitem WHERE {second}), "
+        f"WITH w1 AS ({wide} FROM lineitem WHERE {first}), w2 AS ({wide} FROM {blanked}), "
         f"d1 AS ({dedup('w1')}), d2 AS ({dedup('w2')}), "
     )
     out = {
@@ -237,7 +271,10 @@ def _health_sql() -> dict[str, str]:
     f = H.FACTS[0]
     narrow = f"t AS ({_project(f, 'd1')}), s AS (SELECT * REPLACE ({', '.join(f'NULL AS {c}' for c in f.value_names[-2:])}) FROM ({_project(f, 'd2')})) "
     out["narrow_source_merge"] = twice + narrow + _upsert("t", "s", f.key_names, f.value_names)
-    out["batched_load"] = base + " UNION ALL ".join(f"SELECT '{f.name}' AS tbl, COUNT(*) AS inserted, COUNT(*) AS updated FROM hd" for f in H.FACTS)
+    out["batched_load"] = base + " UNION ALL ".join(
+        f"SELECT '{f.name}' AS tbl, COUNT(*) AS inserted, COUNT(*) AS updated, CAST(SUM({_row_digest(f)}) AS BIGINT) AS rows_digest FROM ({_project(f, 'hd')})"
+        for f in H.FACTS
+    )
     out["health_load"] = base + " UNION ALL ".join(parts)
     return out
 
@@ -332,4 +369,21 @@ ORACLE: dict[str, str] = {
     + ", CAST(event_id AS VARCHAR) AS event_id FROM w",
 }
 ORACLE["csv_many_files"] = ORACLE["csv_stage"]
+W_COLUMNS = ["entity", "day", "label", *V.W_MEASURES, "event_id"]
+_LINE = " || ',' || ".join(f"CAST({c} AS VARCHAR)" for c in W_COLUMNS)
+_SHORT = " || ',' || ".join(f"CAST({c} AS VARCHAR)" for c in W_COLUMNS[:-1])
+ORACLE |= {
+    "range_batched_load": _w_facts(),
+    "replayed_load": _w_counts("n AS inserted, n AS updated, n AS total_after"),
+    "concurrent_read_merge": f"SELECT kind, moment, u.* FROM ({UPSERT_ORDERS}) u, (VALUES ('months'), ('whole')) k(kind), (VALUES ('during'), ('after')) m(moment)",
+    "footer_counts": BASE + " UNION ALL ".join(f"SELECT '{m.name}' AS tbl, day[1:7] AS month, COUNT(*) AS n_rows FROM wd GROUP BY ALL" for m in V.W_FACTS),
+    "bucketed_load": UPSERT_ORDERS,
+    "csv_headers": f"SELECT DISTINCT label, '{','.join(W_COLUMNS)}' AS line FROM ({W_SQL})",
+    "csv_rejects": (
+        f"SELECT CASE WHEN m_error = '' THEN 'good' ELSE 'reject' END AS kind, "
+        f"CASE WHEN m_error = '' THEN {_LINE} WHEN m_early <> '' THEN {_LINE} || ',more' ELSE {_SHORT} END AS raw FROM ({W_SQL})"
+    ),
+    "cast_errors": _cast_errors(),
+    "stream_metrics": "SELECT COUNT(*) AS n_rows, 0::BIGINT AS first_batch FROM events",
+}
 ORACLE.update(_health_sql())

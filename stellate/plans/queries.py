@@ -21,6 +21,9 @@ BATCH_SIZE = 20_000
 UPSERT_BATCHES = 4
 # Files, and so micro-batches, of the streamed upsert.
 STREAM_FILES = 4
+# Key ranges of the range-batched load, and buckets of the bucketed one.
+RANGE_BATCHES = 5
+BUCKETS = 8
 
 
 def _materialised(df: DataFrame) -> DataFrame:
@@ -401,41 +404,189 @@ def health_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batched_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """E-5, D-8: the load in batches of months of at most ``BATCH_SIZE`` rows; inserted and
-    updated rows of all batches, by table."""
+    """E-5, D-8: the load in batches of at most about ``BATCH_SIZE`` keys; inserted and updated
+    rows of all batches, by table, and a digest of every row of the targets read back."""
+    from stellate.plans import health as H
     from stellate.plans import load
     from stellate.plans import metrics as M
     from stellate.session import scratch_path
 
     wide = V.health_wide_view(V.read(spark, sf_dir, "lineitem"))
     res = load.load_wide_frame(spark, wide, _health_exact(), scratch_path(spark, "batched-load"), batch_rows=BATCH_SIZE)
-    return M.accumulate_batches(res.batch_log(spark)).select(F.col("table").alias("tbl"), "inserted", "updated")
+    counts = M.accumulate_batches(res.batch_log(spark)).select(F.col("table").alias("tbl"), "inserted", "updated")
+    targets = load.read_targets(spark, res.paths, _health_exact())
+    digests = None
+    for f in H.FACTS:
+        one = targets[f.name].agg(F.sum(_row_digest(f)).alias("rows_digest")).select(F.lit(f.name).alias("tbl"), "rows_digest")
+        digests = one if digests is None else digests.unionByName(one)
+    return counts.join(digests, "tbl")
+
+
+def _row_digest(fact: mapping.TableMap) -> "F.Column":
+    """32 bits of the MD5 of a row's cells, numbers in hundredths; sums compare whole tables."""
+    cells = []
+    for c in fact.all_columns:
+        v = F.round(F.col(c.target) * 100).cast("bigint") if c.kind == "double" else F.col(c.target)
+        cells.append(F.coalesce(v.cast("string"), F.lit("~")))
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *cells).cast("binary")), 1, 8), 16, 10).cast("bigint")
+
+
+def _w_facts(targets: dict[str, DataFrame]) -> DataFrame:
+    """The three facts of ``W`` one under the other, values as text."""
+    out = None
+    for m in V.W_FACTS:
+        values = [F.col(v).cast("double") for v in m.value_names] + [F.lit(None).cast("double")] * (3 - len(m.value_names))
+        one = targets[m.name].select(F.lit(m.name).alias("tbl"), *m.key_names, *[v.alias(f"v{i}") for i, v in enumerate(values, 1)])
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
-# One pair of loads serves the six queries that read its tables (by application and input).
-_LOADED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+def range_batched_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-5, B-6: ``W``, a month in all, loaded in ``RANGE_BATCHES`` key ranges cut by a quantile
+    sketch; every row of the three facts, read back."""
+    from stellate.plans import load
+    from stellate.session import scratch_path
+
+    wide = V.w_text(spark, sf_dir)
+    keys = wide.select(*V.W_KEYS).distinct().count()
+    res = load.load_wide_frame(spark, wide, V.w_schema(), scratch_path(spark, "range-load"), batch_rows=max(1, -(-keys // RANGE_BATCHES)))
+    return _w_facts(load.read_targets(spark, res.paths, V.w_schema()))
 
 
-def _health_loaded_twice(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six tables after two runs of the whole load: history, then a newer extract that
-    overlaps it."""
+def replayed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """E-5, E-6: a load in batches that is run again under its run id: no batch is merged
+    twice, and the counts are those of the first run."""
     from stellate.plans import load
+    from stellate.plans import metrics as M
     from stellate.session import scratch_path
 
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LOADED:
-        root = scratch_path(spark, "health-upsert")
-        for extract in V.health_extracts(V.read(spark, sf_dir, "lineitem")):
-            res = load.load_wide_frame(spark, extract, _health_exact(), root)
-        _LOADED[key] = load.read_targets(spark, res.paths, _health_exact())
-    return _LOADED[key]
+    wide, root = V.w_text(spark, sf_dir), scratch_path(spark, "replayed-load")
+    for _ in range(2):
+        res = load.load_wide_frame(spark, wide, V.w_schema(), root, batch_rows=BATCH_SIZE, run_id="day")
+    return M.load_summary(res.frame(spark)).drop("sec")
+
+
+def concurrent_read_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-8, A-9: the orders merged into a target by month and into one without partitions.
+    A reader takes all rows while the merge is decided and its rows are not yet in place
+    (``during``), and again when it has ended (``after``)."""
+    from stellate.session import scratch_path
+    from stellate.sinks import tables
+
+    out = None
+    for kind, part in (("months", ("month", F.date_format("o_orderdate", "yyyy-MM"))), ("whole", ())):
+        path, seen = scratch_path(spark, f"orders-{kind}"), []
+        read = lambda: tables.read_target(spark, path).drop("month")  # noqa: B023, E731
+        tables.merge_into_path(spark, V.orders_target(spark, sf_dir), path, ["o_orderkey"], *part)
+        tables.merge_into_path(
+            spark, V.orders_source(spark, sf_dir), path, ["o_orderkey"], *part,
+            published=lambda: seen.append(tables.write_staged(read(), "orders-during")),  # noqa: B023
+        )
+        during = spark.read.parquet(seen[0])
+        for moment, rows in (("during", during), ("after", read())):
+            one = rows.select(F.lit(kind).alias("kind"), F.lit(moment).alias("moment"), *during.columns)
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+def footer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D-6, G-7: rows of the tables a load has written, by month, from their files' footers."""
+    from stellate.plans import load
+    from stellate.session import scratch_path
+    from stellate.sinks import tables
+
+    res = load.load_wide_frame(spark, V.w_text(spark, sf_dir), V.w_schema(), scratch_path(spark, "footer-load"))
+    out = None
+    for m in V.W_FACTS:
+        one = tables.footer_counts(spark, res.paths[m.name], ["month"]).select(F.lit(m.name).alias("tbl"), F.col("month").cast("string").alias("month"), "n_rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def bucketed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C-7: the orders merged into a target with the same buckets as the staged source."""
+    from stellate.session import scratch_path
+    from stellate.sinks.buckets import merge_into_buckets
+
+    folder = scratch_path(spark, "bucketed")
+    table = f"orders_{folder.rsplit('-', 1)[1]}"
+    for rows in (V.orders_target(spark, sf_dir), V.orders_source(spark, sf_dir)):
+        merge_into_buckets(spark, rows, table, folder, ["o_orderkey"], BUCKETS)
+    return spark.table(table)
+
+
+def csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-1: ``W`` in some hundred CSV files; every file's first line, read by tasks."""
+    from stellate.session import scratch_path
+    from stellate.sources.csv import first_lines
+
+    folder = scratch_path(spark, "w-many-files")
+    wide = V.w(spark, sf_dir).repartition("label").withColumn("part", F.col("label"))
+    wide.write.partitionBy("part").option("header", True).csv(folder)
+    user = F.regexp_extract("file", "part=([^/]*)/", 1)
+    # a user whose rows are many may have several files
+    return first_lines(spark, folder).select(user.alias("label"), "line").distinct()
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A-3, S17: ``W`` as CSV in which the lines of errors are too short or too long. One scan
+    stages the good rows and sets the ragged lines aside with their raw text."""
+    from stellate.session import scratch_path
+    from stellate.sources.csv import stage_with_rejects
+
+    folder = scratch_path(spark, "w-ragged")
+    wide = V.w(spark, sf_dir).withColumn("event_id", F.col("event_id").cast("string"))
+    line = F.concat_ws(",", *wide.columns)
+    short = F.concat_ws(",", *wide.columns[:-1])
+    ragged = F.when(F.col("m_error") == "", line).when(F.col("m_early") != "", F.concat(line, F.lit(",more"))).otherwise(short)
+    wide.select(ragged.alias(",".join(wide.columns))).write.option("header", True).option("sep", "\u0001").csv(folder)
+    good, rejects, _ = stage_with_rejects(spark, folder, V.W_KEYS)
+    cells = [F.coalesce(F.col(c), F.lit("")) for c in good.columns]
+    return good.select(F.lit("good").alias("kind"), F.concat_ws(",", *cells).alias("raw")).unionByName(rejects.select(F.lit("reject").alias("kind"), "raw"))
+
+
+def cast_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """B-1, F-2..F-4: a lenient load of ``W`` with bad cells; by target column, the cells that
+    did not convert, counted in the scan that wrote the deduplicated rows."""
+    from stellate.plans import load
+    from stellate.session import scratch_path
+
+    wide = V.bad_cells(V.w_text(spark, sf_dir))
+    res = load.load_wide_frame(spark, wide, V.w_schema(), scratch_path(spark, "lenient-load"), strict=False)
+    return res.frame(spark).where("section = 'cast_errors'").select(F.col("name").alias("target_column"), F.col("value").cast("bigint").alias("cells"))
+
+
+def stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G-4, D-8: rows and order of the micro-batches of a stream over ``events``, from the
+    history that a listener has written."""
+    from stellate.session import scratch_path
+    from stellate.streaming.progress import progress_history, recorded
+
+    inbox, ckpt, history = (scratch_path(spark, f"progress-{n}") for n in ("inbox", "ckpt", "history"))
+    events = V.read(spark, sf_dir, "events")
+    events.withColumn("kind", F.col("event_type")).repartition("kind").write.partitionBy("kind").parquet(inbox)
+    with recorded(spark, history):
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{inbox}/*")
+        q = stream.writeStream.format("noop").option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+        q.awaitTermination()
+    return progress_history(spark, history).agg(F.sum("rows").alias("n_rows"), F.min("batch").alias("first_batch"))
 
 
 def _health_upsert(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _health_loaded_twice(spark, sf_dir)[name]
+        import dataclasses
+
+        from stellate.plans import load
+        from stellate.session import scratch_path
+
+        full = _health_exact()
+        schema = dataclasses.replace(full, facts=tuple(f for f in full.facts if f.name == name))
+        root = scratch_path(spark, f"health-upsert-{name}")
+        for extract in V.health_extracts(V.read(spark, sf_dir, "lineitem")):
+            res = load.load_wide_frame(spark, extract, schema, root)
+        return load.read_targets(spark, res.paths, schema)[name]
 
-    q.__doc__ = f"E-3, E-4: table {name}, read back after two overlapping loads."
+    q.__doc__ = f"E-3, E-4: table {name}, read back after two overlapping loads of history and a newer extract."
     return q
 
 
@@ -446,13 +597,18 @@ def narrow_source_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stellate.plans import load
     from stellate.session import scratch_path
     from stellate.sinks import tables
+    from stellate.sinks.files import Files
+    from stellate.sinks.staging import delete_path
 
     fact, path = H.FACTS[0], scratch_path(spark, "narrow-merge")
     first, second = V.health_extracts(V.read(spark, sf_dir, "lineitem"))
     for i, extract in enumerate((first, second)):
         rows = load.fact_rows(load.deduplicate(extract, _health_exact()), fact)
         rows = rows.drop(*fact.value_names[-2:]) if i else rows
-        tables.merge_into_path(spark, rows, path, fact.key_names, load.PARTITION, tables.month_of(fact.key_names[1]))
+        once = tables.write_staged(rows, "narrow-rows")  # read for its months and its rows
+        staged = spark.read.schema(rows.schema).parquet(once)
+        tables.merge_into_path(spark, staged, path, fact.key_names, load.PARTITION, tables.month_of(fact.key_names[1]), source_bytes=Files(spark, once).size(once))
+        delete_path(spark, once)
     return tables.read_target(spark, path).select(*fact.key_names, *fact.value_names)
 
 
@@ -514,6 +670,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "health_mortalitate_exces_zilnica": _health_fact(4),
     "health_load": health_load,
     "batched_load": batched_load,
+    "range_batched_load": range_batched_load,
+    "replayed_load": replayed_load,
+    "concurrent_read_merge": concurrent_read_merge,
+    "footer_counts": footer_counts,
+    "bucketed_load": bucketed_load,
+    "csv_headers": csv_headers,
+    "csv_rejects": csv_rejects,
+    "cast_errors": cast_errors,
+    "stream_metrics": stream_metrics,
     "narrow_source_merge": narrow_source_merge,
     **{f"health_upsert_{n}": _health_upsert(n) for n in _health_names()},
 }
