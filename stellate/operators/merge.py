@@ -83,6 +83,27 @@ def update_existing(
     )
 
 
+def touched_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target's rows that the source updates, as they are after it: an inner join. Spark
+    may hand the source's keys to the target's scan as a Bloom filter, which drops most of a
+    large target before its exchange; a full outer join never can."""
+    keys = list(keys)
+    cols = [c for c in _value_columns(target, keys, None) if c in source.columns]
+    s = valid_source(source, keys).select(*keys, *[X.col(c).alias(f"__s_{c}") for c in cols])
+    j = target.join(s, keys, "inner")
+    return j.select(*[F.coalesce(F.col(f"__s_{c}"), X.col(c)).alias(c) if c in cols else X.col(c) for c in target.columns])
+
+
+def upsert_by_parts(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The merge as three sets: untouched rows (anti join), touched rows (``touched_rows``) and
+    absent ones. For a source that is small next to the target but too large to broadcast."""
+    keys = list(keys)
+    untouched = target.join(valid_source(source, keys).select(*keys), keys, "left_anti")
+    missing = [F.lit(None).cast(target.schema[c].dataType).alias(c) for c in target.columns if c not in source.columns]
+    new = absent_rows(source, target, keys).select("*", *missing).select(*target.columns)
+    return untouched.unionByName(touched_rows(target, source, keys)).unionByName(new)
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Bytes of the rows of ``df``: text and binary as they are, eight for any other field."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]

@@ -307,6 +307,7 @@ ORACLE: dict[str, str] = {
     + _update("ft", "fs", V.W_FACTS[2].key_names, V.W_FACTS[2].value_names),
     "upsert_orders": UPSERT_ORDERS,
     "upsert_orders_auto": UPSERT_ORDERS,
+    "runtime_filtered_upsert": UPSERT_ORDERS,
     "upsert_fact_1": _fact_upsert(0),
     "upsert_fact_2": _fact_upsert(1),
     "upsert_fact_3": _fact_upsert(2),

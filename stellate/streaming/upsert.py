@@ -7,12 +7,14 @@ merged into the target with ``stellate.sinks.tables.merge_into_path``.
 
 No watermark is needed: the merge is keyed, so a late row simply updates its key. Order
 does matter where two batches both hold a value for one cell — the later batch wins, as
-with committed batches. A replayed batch is harmless because the merge is idempotent, and
-the stream's checkpoint (in the shared folder) makes a restart skip committed files.
+with committed batches. The stream's checkpoint (in the shared folder) makes a restart skip
+committed files; a micro-batch that was merged but not yet checkpointed comes again, and the
+target's ledger, which knows it by stream and number, leaves it out and gives its counts.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,7 @@ from stellate.operators import dedup, mapping
 from stellate.operators.mapping import TableMap
 from stellate.session import scratch_path
 from stellate.sinks import staging, tables
+from stellate.sinks.files import Files
 
 
 def upsert_stream(
@@ -36,6 +39,7 @@ def upsert_stream(
     log: list | None = None,
     dedup_within_batch: bool = True,
     unique_batches: bool = False,
+    interval: str = "1 minute",
 ) -> StreamingQuery:
     """Start a stream that merges ``batch_rows(micro_batch)`` into ``target_path``.
 
@@ -44,7 +48,9 @@ def upsert_stream(
     ``dedup_within_batch=False`` is for rows that ``batch_rows`` has already made unique;
     the merge checks that unless ``unique_batches`` vouches for it.
     ``log`` (a list) receives ``(batch_id, counts)`` per micro-batch for load metrics.
+    ``interval`` is the time between micro-batches unless ``available_now``.
     """
+    name = _stream_name(checkpoint_location)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -53,24 +59,33 @@ def upsert_stream(
             rows = dedup.most_complete(rows, keys).drop(dedup.SCORE)
         # Written once: the merge reads it for its months, its size and its rows.
         once = tables.write_staged(rows, "stream-batch")
-        counts = tables.merge_into_path(
-            spark,
-            spark.read.schema(rows.schema).parquet(once),
-            target_path,
-            keys,
-            partition_col,
-            partition_of() if partition_of else None,
-            unique_source=dedup_within_batch or unique_batches,
-        )
-        staging.delete_path(spark, once)
+        try:
+            counts = tables.merge_into_path(
+                spark,
+                spark.read.schema(rows.schema).parquet(once),
+                target_path,
+                keys,
+                partition_col,
+                partition_of() if partition_of else None,
+                unique_source=dedup_within_batch or unique_batches,
+                batch=f"{name}-{batch_id}",
+                source_bytes=Files(spark, once).size(once),
+            )
+        finally:
+            staging.delete_path(spark, once)
         if log is not None:
             log.append((batch_id, counts))
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()
 
 
+def _stream_name(checkpoint_location: str) -> str:
+    """A stream is its checkpoint: the same folder goes on with the same batch numbers."""
+    return "stream-" + hashlib.md5(checkpoint_location.encode(), usedforsecurity=False).hexdigest()[:12]
+
+
 def run_fact_stream(
     spark: SparkSession,
     events_path: str,
@@ -127,6 +142,7 @@ def load_wide_stream(
     strict: bool = True,
     available_now: bool = True,
     log: list | None = None,
+    interval: str = "1 minute",
 ) -> StreamingQuery:
     """The whole wide-file load as a stream: every new CSV file in ``folder`` (all with
     ``header``) is read as text and loaded like a batch file — dedup, dimension, facts —
@@ -149,10 +165,11 @@ def load_wide_stream(
     )
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        res = load_wide_frame(batch.sparkSession, batch, schema, targets_root, strict=strict)
+        run_id = f"{_stream_name(checkpoint_location)}-{batch_id}"
+        res = load_wide_frame(batch.sparkSession, batch, schema, targets_root, strict=strict, run_id=run_id)
         if log is not None:
             log.append((batch_id, res))
 
     writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)
     return writer.start()

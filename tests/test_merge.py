@@ -151,3 +151,12 @@ def test_source_without_a_column_keeps_target_values(spark, strategy):
     s = spark.createDataFrame([(1, 1.0), (3, 3.0)], "k int, a double")
     got = rows(merge.upsert(t, s, ["k"], strategy=strategy))
     assert got == [(1, 1.0, "x"), (2, 8.0, "y"), (3, 3.0, None)]
+
+
+def test_merge_by_parts_prunes_the_target_scan(spark):
+    """The same rows as the full outer join; a Bloom filter of the source's keys at the target."""
+    from stellate.plans.queries import runtime_filtered_upsert, upsert_orders
+
+    df = runtime_filtered_upsert(spark, "/root/testdata/sf0.001")
+    assert "might_contain" in df._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, upsert_orders(spark, "/root/testdata/sf0.001").collect()))

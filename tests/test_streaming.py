@@ -65,6 +65,61 @@ def test_same_key_twice_in_one_batch(spark, tmp_dir):
     assert got == [("A", 5.0)]
 
 
+def test_failed_and_replayed_batches(spark, tmp_dir, monkeypatch):
+    """A micro-batch that fails leaves nothing staged; one that was merged when the driver was
+    lost comes again and counts once."""
+    from datetime import date
+
+    import pytest
+
+    from stellate.session import checkpoint_dir
+    from stellate.sinks.files import Files
+
+    inbox, target, ckpt = (os.path.join(tmp_dir, n) for n in ("inbox3", "target3", "ck3"))
+    _write_batch(spark, inbox, "a", [("A", date(2020, 1, 1), 1.0), ("B", date(2020, 1, 2), 2.0)])
+    files, staged = Files(spark, tmp_dir), f"{checkpoint_dir(spark)}/staged"
+    real = tables.merge_into_path
+
+    def run(log):
+        stream = spark.readStream.schema("k string, d date, v double").parquet(os.path.join(inbox, "*"))
+        upsert_stream(stream, lambda b: b, target, ["k", "d"], ckpt, "month", lambda: tables.month_of("d"), log=log).awaitTermination()
+
+    def failing(after):
+        def merge_then_fail(*args, **kwargs):
+            if after:
+                real(*args, **kwargs)
+            raise RuntimeError("power cut")
+
+        return merge_then_fail
+
+    before = set(files.names(staged))
+    for after in (False, True):
+        monkeypatch.setattr(tables, "merge_into_path", failing(after))
+        with pytest.raises(Exception, match="power cut"):
+            run([])
+        assert {n for n in files.names(staged) if n.startswith("stream-batch")} <= before
+    monkeypatch.undo()
+    log = []
+    run(log)
+    assert [(b, c["inserted"], c["matched_before"], c["replayed"]) for b, c in log] == [(0, 2, 0, True)]
+    assert tables.row_count(spark, target) == 2
+
+
+def test_progress_history(spark, tmp_dir):
+    from datetime import date
+
+    from stellate.streaming.progress import progress_history, recorded
+
+    inbox, history = os.path.join(tmp_dir, "inbox4"), os.path.join(tmp_dir, "history")
+    for i in range(3):
+        _write_batch(spark, inbox, f"f{i}", [("A", date(2020, 1, 1), 1.0)] * (i + 1))
+    with recorded(spark, history):
+        stream = spark.readStream.schema("k string, d date, v double").option("maxFilesPerTrigger", 1).parquet(os.path.join(inbox, "*"))
+        stream.writeStream.format("noop").option("checkpointLocation", os.path.join(tmp_dir, "ck4")).trigger(availableNow=True).start().awaitTermination()
+    rows = progress_history(spark, history).orderBy("batch").collect()
+    assert sorted(r.rows for r in rows if r.rows) == [1, 2, 3] and all(r.sec >= 0 for r in rows)
+
+
 def test_wide_file_stream_equals_batch_loads(spark, tmp_dir):
     from tests.test_load import _csv, _header, _row
 
