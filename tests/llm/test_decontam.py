@@ -1,8 +1,9 @@
 import hashlib
+import random
 import re
 
 from stellate.llm.decontam import decontaminate, leak_digests
-from tests.llm.helpers import corpus, frame, prose
+from tests.llm.helpers import WORDS, corpus, frame, prose
 
 
 def words_of(text):
@@ -49,6 +50,16 @@ def test_matches_brute_force(spark):
     assert sorted(map(tuple, leak_digests(found).collect())) == brute(docs, ITEMS)
 
 
+def test_long_document_of_common_words(spark):
+    """Occurrences of common words times items: many candidates, but none in one row."""
+    r = random.Random(4)
+    text = lambda n: " ".join(r.choice(WORDS[:10]) for _ in range(n))
+    items = [(i, text(30)) for i in range(400)]
+    docs = [(1, text(40_000)), (2, text(300) + " " + items[7][1] + " " + text(300)), (3, text(20_000) + " " + items[9][1][40:] + " " + text(20_000))]
+    found = decontaminate(frame(spark, docs), frame(spark, items, "item_id bigint, text string"))
+    assert sorted(map(tuple, leak_digests(found).collect())) == brute(docs, items)
+
+
 def test_spans_are_words_of_the_document(spark):
     docs = docs_with_leaks()
     rows = decontaminate(frame(spark, docs), frame(spark, ITEMS, "item_id bigint, text string")).where("n_hit > 0").collect()
