@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stellate.llm.common import discard, slices, staged, text_input
+from stellate.llm.common import discard, slices, staged, text_input, text_print
 
 #: Fixed value: the characters that do not count.
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -67,15 +67,17 @@ def rice_decode(blob: bytes) -> np.ndarray:
 
 
 def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen = 0
     for batch in slices(batches):
+        place = np.arange(seen, seen := seen + batch.num_rows)
         texts = [t or "" for t in batch.column(1).to_pylist()]
         coded = [t.encode() for t in texts]
         digests = [hashlib.sha256(t.translate(None, BLANKS)).digest() for t in coded]
         prints = np.array([xxhash.xxh64_intdigest(t, seed=42) for t in coded], np.uint64).astype(np.int64)  # Spark's xxhash64
         heads = np.frombuffer(b"".join(d[:8] for d in digests), ">u8") >> np.uint64(64 - FINGERPRINT_BITS)
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(heads.astype(np.int64)), pa.array(digests, pa.binary()), pa.array(prints)],
-            names=["doc_id", "n_chars", "fingerprint", "sha", "print"],
+            [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(heads.astype(np.int64)), pa.array(digests, pa.binary()), pa.array(prints), pa.array(place)],
+            names=["doc_id", "n_chars", "fingerprint", "sha", "print", "place"],
         )
 
 
@@ -132,11 +134,12 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     spark = docs.sparkSession
     kind = docs.schema[id_column].dataType.simpleString()
     source = text_input(docs, F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
-    prints = staged(source.mapInArrow(_fingerprint, f"doc_id {kind}, n_chars bigint, fingerprint bigint, sha binary, print bigint"), "exact-prints")
+    prints = staged(source.mapInArrow(_fingerprint, f"doc_id {kind}, n_chars bigint, fingerprint bigint, sha binary, print bigint, place bigint"), "exact-prints")
     n = prints.count()
     chunks, owners = max(LEAST_CHUNKS, n // CHUNK_ROWS), max(LEAST_OWNERS, n // OWNER_ROWS)
     bits = min(FINGERPRINT_BITS, max(n, 2).bit_length() + 20)
-    rows = prints.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "sha"), F.lit(chunks)))
+    # The staged place in the input spreads also rows that are equal in id and text.
+    rows = prints.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "sha", "place"), F.lit(chunks))).drop("place")
 
     sent = rows.select("chunk", "fingerprint").groupBy("chunk").applyInPandas(_send(bits, owners), "chunk bigint, owner int, message binary")
     answers = sent.groupBy("owner").applyInPandas(_answer, "chunk bigint, owner int, n bigint, bitmap binary")
@@ -148,14 +151,15 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     )
     discard(prints)
 
-    best = F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").alias("id"))
+    # Of rows equal in id and text the chunk settles the one that stays.
+    best = F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").alias("id"), "print", "chunk")
     reps = staged(marked.where("suspect").groupBy("chunk", "sha").agg(F.min(best).alias("best"), F.count("*").alias("rows")), "exact-reps")
     # Sort-merge at every size: representatives grow with the input, a broadcast would not scale.
     # Fetch the representatives' texts, then group by the bytes themselves.
-    fetch = reps.select(F.col("best.id").alias("want"), "sha", "best", "rows")
+    fetch = reps.select(F.col("best.id").alias("want"), F.col("best.print").alias("want_print"), "sha", "best", "rows")
     norm = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), "[\\x20\\x09-\\x0D]+", "").cast("binary")
     with_text = (
-        source.join(fetch.hint("merge"), F.col("doc_id").eqNullSafe(F.col("want")))
+        source.join(fetch.hint("merge"), F.col("doc_id").eqNullSafe(F.col("want")) & (text_print(F.col("text")) == F.col("want_print")))
         .withColumn("norm", norm)
         .where(F.unhex(F.sha2("norm", 256)) == F.col("sha"))
         .dropDuplicates(["sha", "norm", "best", "rows"])
@@ -174,7 +178,7 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str =
         "doc_id",
         F.when(alone, F.col("doc_id")).otherwise(F.col("best.id")).alias("keep_id"),
         F.when(alone, F.lit(1)).otherwise(F.col("rows")).cast("long").alias("group_size"),
-        (F.col("first") & (alone | (F.col("doc_id").eqNullSafe(F.col("best.id")) & (F.col("n_chars") == -F.col("best.n"))))).alias("kept"),
+        (F.col("first") & (alone | (best.eqNullSafe(F.col("best"))))).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
         "n_chars", "print",
     )

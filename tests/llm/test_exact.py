@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from stellate.llm import exact
 from stellate.llm.exact import exact_groups, rice_decode, rice_encode
 from tests.llm.helpers import corpus, frame
 
@@ -46,6 +47,24 @@ def test_null_ids_and_empty_table(spark):
     assert exact_groups(frame(spark, [])).count() == 0
 
 
+def test_rows_equal_in_id_and_text_are_spread(spark, monkeypatch):
+    """A third of all rows without id and text: no chunk gets them all, and one stays."""
+    docs = [(i, f"text {i}") for i in range(800)] + [(None, "")] * 400 + [(None, f"other {i % 7}") for i in range(70)]
+    sizes, real = [], exact.staged
+
+    def watched(df, name):
+        out = real(df, name)
+        if name == "exact-marked":
+            sizes.extend(r["count"] for r in out.groupBy("chunk").count().collect())
+        return out
+
+    monkeypatch.setattr(exact, "staged", watched)
+    rows = exact_groups(frame(spark, docs)).collect()
+    assert len(rows) == len(docs) and sum(r["kept"] for r in rows) == 800 + 1 + 7
+    assert max(sizes) < 3 * len(docs) / exact.LEAST_CHUNKS
+    assert {r["group_size"] for r in rows} == {1, 10, 400}
+
+
 def test_string_ids(spark):
     rows = exact_groups(frame(spark, [("b", "x y"), ("a", "x y"), ("c", "z")], "doc_id string, text string")).collect()
     assert sorted((r["doc_id"], r["keep_id"], r["kept"]) for r in rows) == [("a", "a", True), ("b", "a", False), ("c", "c", True)]
