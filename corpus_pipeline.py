@@ -16,7 +16,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stellate.llm.bpe import encode_documents, token_digests
-from stellate.llm.common import read, staged, survivors
+from stellate.llm.common import discard, read, staged, survivors
 from stellate.llm.decontam import decontaminate
 from stellate.llm.exact import exact_groups
 from stellate.llm.near import near_groups
@@ -61,7 +61,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    docs = before = read(spark, sf_dir, "documents")
+    for i, (name, stage) in enumerate(STAGES[:-1]):
+        docs = staged(stage(spark, before, sf_dir), f"pipeline-{name}")
+        if i:  # only the last copy of the corpus stays, for the rows returned
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

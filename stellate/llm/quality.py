@@ -158,16 +158,18 @@ def score_sites(
     labelled = described.where("label IS NOT NULL")
     share = max_labelled / max(1, labelled.count())
     if share < 1:  # by hash, so that no task or driver sorts more than the sample
-        labelled = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+        labelled = labelled.where(F.abs(F.xxhash64("doc_id", "features") / F.lit(2.0**63)) < share)
     sample = labelled.select(F.xxhash64("doc_id", "features").alias("order"), "features", "label").toPandas().sort_values("order", kind="stable")
     y = sample["label"].to_numpy(dtype=float)
     fitted = bool(0 < (y > 0).sum() < len(y))
     if fitted:
         x = np.array(sample["features"].tolist(), dtype=float)
         evidence = linear(fit(x, y), F.col("features"))
+        odds = float(np.log((y > 0).sum() / (y <= 0).sum()))  # the fit took both classes as equally common
     else:
-        evidence = F.lit(0.0)
-    judged = described.select("doc_id", "host", "path", "print", evidence.alias("evidence"), F.coalesce("label", 1 / (1 + F.exp(-evidence))).alias("good"))
+        evidence, odds = F.lit(0.0), 0.0
+    rate = 1 / (1 + F.exp(-(evidence + odds)))
+    judged = described.select("doc_id", "host", "path", "print", evidence.alias("evidence"), F.coalesce("label", rate).alias("good"))
 
     paths = staged(judged.groupBy("host", "path").agg(F.sum("good").alias("path_good"), F.count("*").alias("path_n")), "quality-paths")
     hosts = paths.groupBy("host").agg(F.sum("path_good").alias("host_good"), F.sum("path_n").alias("host_n"))

@@ -45,7 +45,8 @@ def test_site_posteriors_match_numpy(spark):
     docs, labels = site_docs()
     rows = score_sites(plain(spark, docs, SCHEMA), plain(spark, labels, LABELS)).collect()
     known = dict(labels)
-    good = {r["doc_id"]: known.get(r["doc_id"], 1 / (1 + np.exp(-r["evidence"]))) for r in rows}
+    odds = np.log(sum(known.values()) / (len(known) - sum(known.values())))
+    good = {r["doc_id"]: known.get(r["doc_id"], 1 / (1 + np.exp(-r["evidence"] - odds))) for r in rows}
     hosts, paths = {}, {}
     for r in rows:
         for table, key in ((hosts, r["host"]), (paths, (r["host"], r["path"]))):
@@ -69,6 +70,17 @@ def test_site_posteriors_match_numpy(spark):
         assert abs((ps - g + others * mp) / (pn - 1 + mp) - r["site_prior"]) < 1e-9
 
 
+def test_labels_that_the_fit_has_not_seen(spark):
+    """Half of the given labels are kept back: decisions agree with them, and so does the rate."""
+    folder = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    back = {r["doc_id"]: r["quality"] for r in labels.where("doc_id % 2 = 1").collect()}
+    rows = score_sites(spark.read.parquet(f"{folder}/documents.parquet"), labels.where("doc_id % 2 = 0")).collect()
+    judged = [(r["accepted"], back[r["doc_id"]] == 1) for r in rows if r["doc_id"] in back]
+    assert sum(a == b for a, b in judged) >= 0.95 * len(judged) > 50
+    assert abs(np.mean([a for a, _ in judged]) - np.mean([b for _, b in judged])) < 0.05
+
+
 def test_sparse_site_follows_the_global_prior(spark):
     docs, labels = site_docs()
     docs.append((999, GOOD, "never-seen", "en"))
