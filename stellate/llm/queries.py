@@ -149,7 +149,8 @@ ORACLE: dict[str, str] = {
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
               AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
         pairs AS (
-            SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   sqrt(list_reduce(list_transform(list_zip(q.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])), lambda a, b: a + b)) AS score
             FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0)
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
         FROM pairs QUALIFY rank <= 10
