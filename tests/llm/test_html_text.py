@@ -41,6 +41,42 @@ def test_layout_words_cancel_only_the_word_after_them(junk):
     assert main_text(page(f"<article><div class='has-sidebar'><p>{LONG}</p></div><div class='{junk}'><p>Latest, news. Items.</p></div></article>")) == LONG.strip()
 
 
+@pytest.mark.parametrize("part", [
+    "<div class='elementor-widget'>{}</div>", "<div id='cookie-recipe'>{}</div>", "<div class='commentary'>{}</div>", "<section class='elementor-widget-wrap share-price'>{}</section>",
+])
+def test_weak_marks_do_not_drop_content(part):
+    for outer in ("<article>{}</article>", "<div class='page'>{}</div>"):
+        assert main_text(page(outer.format(part.format(f"<h2>Head</h2><p>{LONG}</p><p>{LONG * 2}</p>")))) == f"Head {LONG.strip()} {(LONG * 2).strip()}"
+
+
+def test_parts_of_an_article_stay():
+    for name in ("entry-header", "post-header"):
+        assert main_text(page(f"<article><h1 class='{name}'>Title</h1><div class='{name}'><h2>Second</h2></div><p>{LONG}</p></article>")) == f"Title Second {LONG.strip()}"
+    table = "".join(f"<tr><td>Firm {i}</td><td>{i}.50</td></tr>" for i in range(40))
+    cells = " ".join(f"Firm {i} {i}.50" for i in range(40))
+    assert main_text(page(f"<article><p>{LONG * 3}</p><table class='share-price'>{table}</table><p>{LONG}</p></article>")) == f"{(LONG * 3).strip()} {cells} {LONG.strip()}"
+    assert main_text(page(f"<article><header><h1>T</h1><p>What follows, in one sentence.</p><p class='byline'>By Jo Doe</p></header><p>{LONG}</p></article>")) == f"T What follows, in one sentence. {LONG.strip()}"
+
+
+@pytest.mark.parametrize("junk", [
+    "<span style='display:none'>gone, all. of it</span>", "<span class='ad'>Buy <span>this</span>, now.</span>", "<ins class='adsbygoogle'>Ad, text.</ins>",
+    "<b hidden>gone</b>", "<cookie-banner>We use cookies.</cookie-banner>", "<span class='ad'><br>cut <i>in</i> <img src='x'></span>",
+])
+def test_marks_on_inline_elements(junk):
+    assert main_text(page(f"<article><p>One {junk}two.</p><p>{LONG}</p></article>")) == f"One two. {LONG.strip()}"
+
+
+def test_teasers_beside_an_article_go():
+    card = "<article class='card'><h3><a href='/x'>Other story</a></h3><p>Its first words, in short.</p></article>"
+    for wrap in ("<div>{}</div>", "<main>{}</main>"):
+        assert main_text(page(wrap.format(f"<article class='post'><h1>T</h1><p>{LONG * 5}</p></article>{card * 6}"))) == f"T {(LONG * 5).strip()}"
+    assert main_text(page(card * 3)) == " ".join(["Other story Its first words, in short."] * 3)
+
+
+def test_link_lists_in_an_article_go_by_score():
+    assert main_text(page(f"<article><p>{LONG} <a href='/s'>source</a></p><ul><li><a href='/1'>One</a></li><li><a href='/2'>Two</a></li></ul><h2><a href='#h'>Head</a></h2><p>{LONG}</p></article>")) == f"{LONG.strip()} source Head {LONG.strip()}"
+
+
 def test_every_content_root_is_kept():
     two = f"<div><article class='post-1'><p>One. {LONG * 3}</p></article><article class='post-2'><h2>Two</h2><p>{LONG}</p></article></div>"
     assert main_text(page(two)) == f"One. {(LONG * 3).strip()} Two {LONG.strip()}"
