@@ -5,21 +5,27 @@ Method.
 1. *Corpus counts.* One pass tokenises every text and writes, for each batch of documents,
    its distinct words with their training counts, and each document as indices into that
    list. Word counts over all training documents follow by grouping the words.
-2. *Classes.* The most frequent words are classes of their own; every other word belongs to
-   the class of its last letters (hashed). A word has the probability of its class in its
-   context, times its share of the class by training counts.
-3. *Model.* The classes before a token predict a vector, each position with its own
-   diagonal weights; its products with the class vectors, plus biases, are the class scores.
-   Training is noise-contrastive: each true class against ``NOISE`` classes drawn from the
-   training frequencies, in numpy minibatches with AdaGrad. A first model is fitted on a
-   bounded set of batches (``WARM_BATCHES``, ``WARM_STEPS`` minibatches); from it every batch of the corpus trains on
-   all its tokens, and the parameters are averaged by token counts in a grouped aggregation.
-4. *Scores.* Context vectors times all class vectors, a batch of tokens at a time, are
-   normalised over all classes, so the scores are proper log-probabilities.
-
-Scale. What travels is a few bytes a token (word indices) and a row for each distinct word
-of a batch; a very frequent word is one row for each batch. The driver holds one model
-(``CLASSES * DIMENSIONS`` numbers) and the class masses, whatever the input's size.
+2. *Units.* A word with at least ``sqrt(N) / PER_ROOT`` of the ``N`` training tokens is a unit
+   of its own, so the units grow with the corpus, and are at most ``PER_ROOT * sqrt(N)``. Rarer
+   words share ``BUCKETS`` units by their last letters (hashed); a word has its unit's
+   probability times its share of the unit by training counts. Units in order of their mass
+   are cut into about ``sqrt(units)`` classes of like mass.
+3. *Model.* The units before a token predict a vector, each position with its own diagonal
+   weights; its products with the class vectors, plus biases, are the class scores, those
+   with the vectors of a class's units the scores inside the class. Training is
+   noise-contrastive at both levels: each true class against ``NOISE`` classes, each true unit
+   against ``INNER_NOISE`` units of its class, drawn by training frequency, in numpy
+   minibatches with AdaGrad on the rows touched. A first model is fitted on at most
+   ``WARM_TOKENS`` tokens of the documents with the least hashes; from it all training
+   documents, dealt by hash to parts of about ``PART_TOKENS``, train a copy each, and every
+   row of the parameters is averaged by the tokens that touched it, in a grouped aggregation.
+4. *Scores.* Context vectors times all class vectors, and times the vectors of the true
+   class's units, thousands of tokens at a time, are normalised at both levels, so the scores
+   are proper log-probabilities. They do not depend on how the input is partitioned.
+
+Scale. What travels is a few bytes a token (word indices, then units) and a row for each
+distinct word of a batch; a very frequent word is one row for each batch. The driver holds one
+model (``34 * PER_ROOT * sqrt(N)`` numbers: 5 MB at 30 GB of text, some 40 MB at 100 TB).
 
 Edge cases: a null or empty text is only its end token; documents whose ``doc_id`` is null
 take part with the text ``''`` as id; rows that repeat a ``doc_id`` are scored each; with no
@@ -29,6 +35,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -42,11 +49,11 @@ from pyspark.sql import functions as F
 from stellate.llm.common import discard, gathered, slices, staged, text_input
 from stellate.llm.ranked import decode_ranks, encode_ranks
 
-#: Classes in all; the first is the end token, the next ``WORDS_ALONE`` are frequent words.
-CLASSES, WORDS_ALONE = 256, 191
-CONTEXT, DIMENSIONS, NOISE, MINIBATCH, RATE = 4, 16, 32, 4096, 0.08
-WARM_BATCHES, WARM_STEPS = 2, 1200
-SCORED_AT_ONCE, SLICE_TOKENS = 1024, 1 << 20
+#: Units of their own are at most PER_ROOT * sqrt(training tokens); rarer words share the buckets.
+PER_ROOT, BUCKETS = 4, 64
+CONTEXT, DIMENSIONS, NOISE, INNER_NOISE, MINIBATCH, RATE = 4, 16, 32, 4, 4096, 0.08
+WARM_TOKENS, WARM_STEPS, PART_TOKENS = 2 << 20, 1200, 4 << 20
+SCORED_AT_ONCE, SLICE_TOKENS = 1 << 14, 1 << 20
 #: Text of one batch: larger ones repeat fewer words, so fewer rows travel.
 BATCH_BYTES = 8 << 20
 END = b"\n"  # cannot be a word
@@ -102,97 +109,160 @@ def unpack(packed: bytes) -> np.ndarray:
     return decode_ranks(packed[4:cut], packed[cut:], n)
 
 
+class Units:
+    """Units in descending order of mass, and the classes they are cut into."""
+
+    def __init__(self, mass: np.ndarray):
+        self.mass = (mass + 1.0) / (mass + 1.0).sum()
+        ends = np.cumsum(self.mass)
+        near = np.floor((ends - self.mass / 2) * max(1, math.isqrt(len(mass)))).astype(np.int64)
+        self.of = np.cumsum(np.diff(near, prepend=near[:1]) > 0).astype(np.int32)
+        self.first = np.append(np.flatnonzero(np.diff(self.of, prepend=-1)), len(mass))
+        self.before = np.append(0.0, ends)
+        self.class_mass = np.diff(self.before[self.first])
+        self.small = np.uint16 if len(mass) < (1 << 16) - 1 else np.int32
+        self.alone = np.diff(self.first) == 1
+
+    def __len__(self) -> int:
+        return len(self.mass)
+
+
 class LogBilinear:
-    """The model: class vectors, biases, and a diagonal weight for each context position."""
-
-    def __init__(self, noise: np.ndarray, parameters: np.ndarray | None = None):
-        self.noise = noise
-        v, d, c = CLASSES, DIMENSIONS, CONTEXT
-        self.shapes = [(v + 1, d), (v, d), (v,), (c, d)]
-        self.sizes = [int(np.prod(s)) for s in self.shapes]
-        if parameters is None:
+    """The model, one row of ``rows`` for each vector (and its bias): context units with the
+    place before a text, units inside their class, classes, and the context positions' weights."""
+
+    def __init__(self, units: Units, rows: np.ndarray | None = None):
+        self.units = units
+        n, c, d = len(units), len(units.class_mass), DIMENSIONS
+        self.cuts = [n + 1, 2 * n + 1, 2 * n + 1 + c]
+        if rows is None:
             r = np.random.default_rng(11)
-            parts = [r.normal(0, 0.1, (v + 1, d)), r.normal(0, 0.1, (v, d)), np.log(noise), np.full((c, d), 1.0 / c)]
-            parameters = np.concatenate([p.ravel() for p in parts])
-        parts = np.split(np.asarray(parameters, np.float32), np.cumsum(self.sizes)[:-1])
-        self.given, self.target, self.bias, self.weight = (p.reshape(s).copy() for p, s in zip(parts, self.shapes, strict=True))
-        self.squares = [np.full(s, 1e-3, np.float32) for s in self.shapes]
-
-    def parameters(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in (self.given, self.target, self.bias, self.weight)])
+            rows = r.normal(0, 0.1, (self.cuts[-1] + CONTEXT, d + 1))
+            rows[: n + 1, d], rows[self.cuts[-1] :] = 0, 1.0 / CONTEXT
+            rows[n + 1 : self.cuts[1], d] = np.log(units.mass / units.class_mass[units.of])
+            rows[self.cuts[1] : self.cuts[2], d] = np.log(units.class_mass)
+        self.rows = np.array(rows, np.float32)
+        self.squares = np.full(self.rows.shape, 1e-6, np.float32)
+        self.touched = np.zeros(len(self.rows))
+
+    def tables(self) -> list[np.ndarray]:
+        given, inner, classes, weight = np.split(self.rows, self.cuts)
+        return [given[:, :-1], inner, classes, weight[:, :-1]]
 
     @staticmethod
-    def contexts(classes: np.ndarray) -> np.ndarray:
-        """For each token of one document the classes before it; ``CLASSES`` where none is."""
-        padded = np.concatenate([np.full(CONTEXT, CLASSES, np.int16), classes])
+    def contexts(units: np.ndarray, none: int) -> np.ndarray:
+        """For each token of one document the units before it; ``none`` where none is."""
+        padded = np.concatenate([np.full(CONTEXT, none, units.dtype), units])
         return np.stack([padded[CONTEXT - 1 - i : len(padded) - 1 - i] for i in range(CONTEXT)], axis=1)
 
     def predicted(self, context: np.ndarray) -> np.ndarray:
-        out = self.given[context[:, 0]] * self.weight[0]
+        """Predicted vectors, with a last 1 for the bias."""
+        given, weight = np.split(self.rows, self.cuts)[0], self.tables()[3]
+        out = np.empty((len(context), DIMENSIONS + 1), np.float32)
+        out[:, :-1] = given[context[:, 0], :-1] * weight[0]
         for i in range(1, CONTEXT):
-            out += self.given[context[:, i]] * self.weight[i]
+            out[:, :-1] += given[context[:, i], :-1] * weight[i]
+        out[:, -1] = 1
         return out
 
-    def log10(self, context: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """Normalised log10 probabilities of the classes."""
-        out = np.empty(len(classes), np.float64)
-        target = np.vstack([self.target.T, self.bias])
-        safe = self.bias.max() + np.abs(self.given).max(axis=0) @ np.abs(self.weight).sum(axis=0).reshape(-1) * np.abs(self.target).max() < 60
-        vector = np.ones((SCORED_AT_ONCE, DIMENSIONS + 1), np.float32)
-        for a in range(0, len(classes), SCORED_AT_ONCE):
-            b = min(a + SCORED_AT_ONCE, len(classes))
-            vector[: b - a, :-1] = self.predicted(context[a:b])
-            scores = vector[: b - a] @ target
-            if not safe:  # else exp cannot overflow
-                scores -= scores.max(axis=1, keepdims=True)
-            right = scores[np.arange(b - a), classes[a:b]]
-            np.exp(scores, out=scores)
-            out[a:b] = (right - np.log(scores.sum(axis=1))) / np.log(10)
-        return out
-
-    def train(self, context: np.ndarray, classes: np.ndarray, seed: int) -> None:
+    def log10(self, context: np.ndarray, units: np.ndarray) -> np.ndarray:
+        """Normalised log10 probabilities of the units."""
+        out = np.empty(len(units), np.float64)
+        _, inner, classes, _ = self.tables()
+        u = self.units
+        for a in range(0, len(units), SCORED_AT_ONCE):
+            q, y = self.predicted(context[a : a + SCORED_AT_ONCE]), units[a : a + SCORED_AT_ONCE]
+            kind = u.of[y]
+            p = log_softmax(q, classes, kind)
+            order = np.argsort(kind.astype(u.small), kind="stable")
+            ends = np.cumsum(np.bincount(kind, minlength=len(u.alone)))
+            for k in np.flatnonzero((np.diff(ends, prepend=0) > 0) & ~u.alone):
+                take = order[ends[k - 1] if k else 0 : ends[k]]
+                span = slice(u.first[k], u.first[k + 1])
+                step = max(1, (1 << 22) // (span.stop - span.start))
+                for b in range(0, len(take), step):
+                    part = take[b : b + step]
+                    p[part] += log_softmax(q[part], inner[span], y[part] - span.start)
+            out[a : a + SCORED_AT_ONCE] = p
+        return out / np.log(10)
+
+    def train(self, context: np.ndarray, units: np.ndarray, seed: int) -> None:
         r = np.random.default_rng(seed)
-        order = r.permutation(len(classes))
-        log_noise = np.log(self.noise * NOISE).astype(np.float32)
-        cdf = np.cumsum(self.noise)
+        order = r.permutation(len(units))
+        u = self.units
+        log_class = np.log(u.class_mass * NOISE).astype(np.float32)
+        log_inner = np.log(u.mass / u.class_mass[u.of] * INNER_NOISE).astype(np.float32)
+        class_ends = np.cumsum(u.class_mass)
+        given_rows, inner_rows, class_rows, weight_rows = np.split(np.arange(len(self.rows)), self.cuts)
         for a in range(0, len(order), MINIBATCH):
             take = order[a : a + MINIBATCH]
-            ctx, y = context[take], classes[take]
+            ctx, y = context[take], units[take]
+            kind = u.of[y]
+            _, inner, classes, weight = self.tables()
+            given = self.rows
             q = self.predicted(ctx)
-            drawn = np.minimum(np.searchsorted(cdf, r.random(NOISE) * cdf[-1]), CLASSES - 1)
-            true = (q * self.target[y]).sum(axis=1) + self.bias[y] - log_noise[y]
-            false = q @ self.target[drawn].T + self.bias[drawn] - log_noise[drawn]
-            g_true = (1 - _sigmoid(true)).astype(np.float32)[:, None]
-            g_false = -_sigmoid(false).astype(np.float32)
-            g_q = g_true * self.target[y] + g_false @ self.target[drawn]
-            g_target = _sum_rows(y, CLASSES, g_true * q)
-            np.add.at(g_target, drawn, g_false.T @ q)
-            g_bias = np.bincount(y, g_true[:, 0], CLASSES)
-            np.add.at(g_bias, drawn, g_false.sum(axis=0))
-            g_given = np.zeros_like(self.given)
-            g_weight = np.empty_like(self.weight)
+            # the class, against noise that the minibatch shares
+            drawn = np.minimum(np.searchsorted(class_ends, r.random(NOISE) * class_ends[-1]), len(classes) - 1)
+            t = classes[kind]
+            g_true = (1 - _sigmoid(np.einsum("nd,nd->n", q, t) - log_class[kind]))[:, None]
+            noise = classes[drawn]
+            g_false = -_sigmoid(q @ noise.T - log_class[drawn])
+            g_q = g_true * t + g_false @ noise
+            g_class = _sum_rows(kind.astype(u.small), g_true * q)
+            g_noise = _sum_rows(drawn.astype(u.small), g_false.T @ q)
+            # the unit inside its class, against noise of its own
+            some = np.flatnonzero(~u.alone[kind])
+            if len(some):
+                lo, hi = u.before[u.first[kind[some]]], u.before[u.first[kind[some] + 1]]
+                other = np.searchsorted(u.before, lo[:, None] + r.random((len(some), INNER_NOISE)) * (hi - lo)[:, None], side="right") - 1
+                other = np.clip(other, u.first[kind[some]][:, None], u.first[kind[some] + 1][:, None] - 1)
+                at = np.concatenate([y[some][:, None], other], axis=1)
+                vectors, qs = inner[at], q[some]
+                g = -_sigmoid(np.einsum("nd,njd->nj", qs, vectors) - log_inner[at])
+                g[:, 0] += 1
+                g_q[some] += np.einsum("nj,njd->nd", g, vectors)
+                self.step(inner_rows, *_sum_rows(at.ravel().astype(u.small), (g[:, :, None] * qs[:, None]).reshape(-1, DIMENSIONS + 1)), len(take))
+            g_q = g_q[:, :-1]
+            g_weight = np.zeros((CONTEXT, DIMENSIONS + 1), np.float32)
+            g_given = np.zeros((len(take), CONTEXT, DIMENSIONS + 1), np.float32)
             for i in range(CONTEXT):
-                g_given += _sum_rows(ctx[:, i], CLASSES + 1, g_q * self.weight[i])
-                g_weight[i] = (g_q * self.given[ctx[:, i]]).sum(axis=0)
-            for p, s, g in zip((self.given, self.target, self.bias, self.weight), self.squares, (g_given, g_target, g_bias, g_weight), strict=True):
-                g = (g / len(take)).astype(np.float32)
-                s += g * g
-                p += RATE * g / np.sqrt(s)
+                g_given[:, i, :-1] = g_q * weight[i]
+                g_weight[i, :-1] = np.einsum("nd,nd->d", g_q, given[ctx[:, i], :-1])
+            both = _sum_rows(np.concatenate([g_class[0], g_noise[0]]), np.concatenate([g_class[1], g_noise[1]]), np.concatenate([g_class[2], g_noise[2]]))
+            self.step(class_rows, *both, len(take))
+            self.step(given_rows, *_sum_rows(ctx.ravel().astype(u.small), g_given.reshape(-1, DIMENSIONS + 1)), len(take))
+            self.step(weight_rows, np.arange(CONTEXT), g_weight, np.full(CONTEXT, len(take)), len(take))
+
+    def step(self, rows: np.ndarray, at: np.ndarray, gradient: np.ndarray, tokens: np.ndarray, size: int) -> None:
+        at = rows[at]
+        gradient = gradient / np.float32(size)
+        self.squares[at] += gradient * gradient
+        self.rows[at] += RATE * gradient / np.sqrt(self.squares[at])
+        self.touched[at] += tokens
+
+
+def log_softmax(q: np.ndarray, vectors: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Natural logarithms of the normalised probabilities of one row of ``vectors`` for each ``q``."""
+    scores = q @ vectors.T
+    right = scores[np.arange(len(q)), at].astype(np.float64)
+    if len(q) and np.linalg.norm(q, axis=1).max() * np.linalg.norm(vectors, axis=1).max() >= 60:  # else exp cannot overflow
+        most = scores.max(axis=1, keepdims=True)
+        scores -= most
+        right -= most[:, 0]
+    return right - np.log(np.exp(scores, out=scores).sum(axis=1))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _sum_rows(at: np.ndarray, width: int, rows: np.ndarray) -> np.ndarray:
-    """Sums of rows with the same index."""
+def _sum_rows(at: np.ndarray, rows: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct indices, the sums of their rows, and how many rows (or the sum of ``counts``) each has."""
     order = np.argsort(at, kind="stable")
     sorted_at = at[order]
-    starts = np.flatnonzero(np.diff(sorted_at, prepend=-1))
-    out = np.zeros((width, rows.shape[1]), np.float32)
-    if len(starts):
-        out[sorted_at[starts]] = np.add.reduceat(rows[order], starts, axis=0)
-    return out
+    starts = np.flatnonzero(np.append(True, sorted_at[1:] != sorted_at[:-1]))
+    many = np.diff(np.append(starts, len(at))) if counts is None else np.add.reduceat(counts[order], starts)
+    return sorted_at[starts].astype(np.int64), np.add.reduceat(rows[order], starts, axis=0), many
 
 
 def _classify(total: int, distinct: int):
@@ -200,61 +270,59 @@ def _classify(total: int, distinct: int):
 
     def run(docs: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
         place = words["place"].to_numpy()
-        size = int(place.max() >> 8) + 1
-        count, kind = np.zeros(size), np.zeros(size, np.uint8)
-        count[place >> 8], kind[place >> 8] = words["c"], place & 255
+        size = int(place.max() >> 32) + 1
+        count, unit = np.zeros(size), np.zeros(size, np.int32)
+        count[place >> 32], unit[place >> 32] = words["c"], place & ((1 << 32) - 1)
         share = np.log10(count + SMOOTHING)
         rows = []
         for x in docs.itertuples(index=False):
             at = unpack(x.indices)
-            rows.append((x.batch, x.doc_id, x.held_out, len(at), int((count[at] > 0).sum()), float(share[at].sum()), kind[at].tobytes()))
-        out = pd.DataFrame(rows, columns=["batch", "doc_id", "held_out", "n_tokens", "n_known", "log_counts", "classes"])
+            rows.append((x.batch, x.doc_id, x.held_out, len(at), int((count[at] > 0).sum()), float(share[at].sum()), pack(unit[at])))
+        out = pd.DataFrame(rows, columns=["batch", "doc_id", "held_out", "n_tokens", "n_known", "log_counts", "units"])
         out["base_score"] = out["log_counts"] - out["n_tokens"] * np.log10(total + SMOOTHING * (distinct + 1))
         return out
 
     return run
 
 
-def _examples(classes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    each = [np.frombuffer(c, np.uint8).astype(np.int16) for c in classes]
+def _examples(packed: list[bytes], units: Units) -> tuple[np.ndarray, np.ndarray]:
+    each = [unpack(x).astype(np.int32) for x in packed]
     if not each:
-        return np.empty((0, CONTEXT), np.int16), np.empty(0, np.int16)
-    return np.concatenate([LogBilinear.contexts(c) for c in each]), np.concatenate(each)
+        return np.empty((0, CONTEXT), np.int32), np.empty(0, np.int32)
+    return np.concatenate([LogBilinear.contexts(x, len(units)) for x in each]), np.concatenate(each)
 
 
-def _train(noise: np.ndarray, start: np.ndarray):
-    """Every slice of training documents trains its own copy; the copies' weighted sums go on."""
+def _train(units: Units, start: np.ndarray):
+    """The documents of a part train a copy of the first model; its rows by the tokens that touched them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, tokens = np.zeros(len(start)), 0
-        for batch in slices(batches, 0, SLICE_TOKENS):
-            context, classes = _examples(batch.column(0).to_pylist())
-            model = LogBilinear(noise, start)
-            model.train(context, classes, seed=len(classes))
-            total += model.parameters().astype(np.float64) * len(classes)
-            tokens += len(classes)
-        if tokens:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(start) + 1, dtype=np.int32)), pa.array(np.append(total, tokens).astype(np.float64))], names=["at", "total"]
-            )
+        model = LogBilinear(units, start)
+        for i, batch in enumerate(slices(batches, 0, SLICE_TOKENS)):
+            model.train(*_examples(batch.column(0).to_pylist(), units), seed=i)
+        at = np.flatnonzero(model.touched)
+        moved = (model.rows[at] - start[at]).astype(np.float64) * model.touched[at][:, None]
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(model.touched[at]), *map(pa.array, np.ascontiguousarray(moved.T))], names=["at", "w", *MOVED])
 
     return run
 
 
-def _score(noise: np.ndarray, parameters: np.ndarray, log_mass: np.ndarray):
+#: Columns of a row's summed movement.
+MOVED = [f"v{i}" for i in range(DIMENSIONS + 1)]
+
+
+def _score(units: Units, rows: np.ndarray, log_mass: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = LogBilinear(noise, parameters)
-        for batch in slices(batches, batch_classes, SLICE_TOKENS):
-            held = batch.column(batch_classes).to_pylist()
-            context, classes = _examples(held)
-            each = model.log10(context, classes) - log_mass[classes]
-            ends = np.cumsum([len(c) for c in held])
-            sums = np.diff(np.concatenate([[0.0], np.cumsum(each)])[ends], prepend=0.0) if len(ends) else np.empty(0)
-            # sums by document, then the words' shares of their classes
-            score = sums + np.asarray(batch.column(batch_classes + 1), np.float64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:batch_classes], pa.array(score)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
-
-    batch_classes = 5
+        model = LogBilinear(units, rows)
+        for batch in slices(batches, packed, SLICE_TOKENS):
+            held = batch.column(packed).to_pylist()
+            context, y = _examples(held, units)
+            each = model.log10(context, y) - log_mass[y]
+            starts = np.cumsum([0, *(int.from_bytes(x[:4], "little") for x in held)])[:-1]
+            # sums by document (each has its end token), then the words' shares of their units
+            score = np.add.reduceat(each, starts) + np.asarray(batch.column(packed + 1), np.float64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:packed], pa.array(score)], names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+
+    packed = 5
     return run
 
 
@@ -270,45 +338,55 @@ def language_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.sum((F.col("c") > 0).cast("long"))).first()
     total, distinct = int(total), int(distinct or 0)
 
-    # Bounded: the words that are classes of their own.
-    alone = [bytes(r["word"]) for r in counts.where(F.col("word") != F.lit(END)).where("c > 0").orderBy(F.desc("c"), "word").limit(WORDS_ALONE).collect()]
-    own = spark.createDataFrame([(bytearray(w), i + 1) for i, w in enumerate([*alone])] or [(bytearray(b"\n\n"), 1)], "own binary, own_class int")
-    shared = F.lit(1 + WORDS_ALONE) + F.pmod(F.xxhash64(F.substring("word", -3, 3)), F.lit(CLASSES - 1 - WORDS_ALONE)).cast("int")
+    # Bounded by PER_ROOT * sqrt(total): the words that are units of their own.
+    least = max(1.0, math.sqrt(total) / PER_ROOT)
+    is_own = (F.col("word") == F.lit(END)) | (F.col("c") >= least)
+    bucket = F.pmod(F.xxhash64(F.substring("word", -3, 3)), F.lit(BUCKETS)).cast("int")
+    named = [(bytes(r["word"]), None, r["c"] + SMOOTHING) for r in counts.where(is_own).collect()]
+    shared = {r["b"]: r["m"] for r in counts.where(~is_own & (F.col("c") > 0)).groupBy(bucket.alias("b")).agg((F.sum("c") + F.count("*") * SMOOTHING).alias("m")).collect()}
+    named += [(None, b, shared.get(b, 0.0) + SMOOTHING) for b in range(BUCKETS)]  # with the share of a word that training has not seen
+    named.sort(key=lambda x: (-x[2], x[0] or b"", -1 if x[1] is None else x[1]))
+    mass = np.array([x[2] for x in named])
+    units, log_mass = Units(mass), np.log10(mass)
+    own = spark.createDataFrame([(bytearray(w), i) for i, (w, _, _) in enumerate(named) if w is not None] or [(bytearray(b"\n\n"), 0)], "own binary, own_unit int")
+    of_bucket = F.array(*(F.lit(i) for _, i in sorted((b, i) for i, (_, b, _) in enumerate(named) if b is not None)))
     known = staged(
-        counts.join(F.broadcast(own), F.col("word") == F.col("own"), "left")
-        .select("word", "c", F.when(F.col("word") == F.lit(END), 0).otherwise(F.coalesce("own_class", shared)).alias("class")),
-        "lm-classes",
+        counts.join(F.broadcast(own), F.col("word") == F.col("own"), "left").select("word", "c", F.coalesce("own_unit", F.element_at(of_bucket, bucket + 1)).alias("unit")),
+        "lm-units",
     )
-    mass = np.zeros(CLASSES)
-    for r in known.where("c > 0").groupBy("class").agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect():
-        mass[r["class"]] = r["c"] + SMOOTHING * r["n"]
-    log_mass = np.log10(mass + SMOOTHING)  # with the share of a word that training has not seen
-    noise = (mass + 1.0) / (mass + 1.0).sum()
 
-    placed = listed.select("batch", "at", "word").join(known, "word").select(F.col("batch").alias("word_batch"), (F.col("at").cast("long") * 256 + F.col("class")).alias("place"), "c")
+    # Every batch's first word is its end token. A task gets about two batches.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), listed.where("at = 0").count() // 2)
+    placed = listed.select("batch", "at", "word").join(known, "word").select(F.col("batch").alias("word_batch"), (F.shiftleft(F.col("at").cast("long"), 32) + F.col("unit")).alias("place"), "c")
     texts = tokens.where("indices IS NOT NULL").select("batch", "doc_id", "held_out", "indices")
+    scored_columns = f"batch bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, log_counts double, units binary, base_score double"
     classified = staged(
-        texts.groupBy("batch").cogroup(placed.groupBy("word_batch")).applyInPandas(
-            _classify(total, distinct),
-            f"batch bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, log_counts double, classes binary, base_score double",
-        ),
+        texts.repartition(parts, "batch").groupBy("batch").cogroup(placed.repartition(parts, "word_batch").groupBy("word_batch")).applyInPandas(_classify(total, distinct), scored_columns),
         "lm-classified",
     )
     discard(tokens, counts, known)
 
-    train = classified.where("NOT held_out")
-    few = [r["batch"] for r in train.groupBy("batch").agg(F.min(F.xxhash64("doc_id")).alias("h")).orderBy("h").limit(WARM_BATCHES).collect()]
-    warm = LogBilinear(noise)
-    context, classes = _examples([bytes(r["classes"]) for r in train.where(F.col("batch").isin(few)).orderBy("doc_id").select("classes").toLocalIterator()])
-    for epoch in range(-(-WARM_STEPS // max(1, -(-len(classes) // MINIBATCH))) if len(classes) else 0):
-        warm.train(context, classes, seed=epoch)
-    start = warm.parameters()
-    sums = text_input(train, "classes").mapInArrow(_train(noise, start), "at int, total double").groupBy("at").agg(F.sum("total").alias("total"))
-    learned = {r["at"]: r["total"] for r in sums.collect()}
-    parameters = np.array([learned[i] for i in range(len(start))]) / learned[len(start)] if learned else start
-
-    columns = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "classes", "log_counts"]
+    train = classified.where("NOT held_out").select("units", F.xxhash64("doc_id", "units").alias("h"), "doc_id")
+    share = WARM_TOKENS / max(1, total)
+    few, seen = [], 0
+    for r in train.where(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)) + 1).orderBy("h", "doc_id").toLocalIterator():
+        few.append(bytes(r["units"]))
+        seen += int.from_bytes(few[-1][:4], "little")
+        if seen >= WARM_TOKENS:
+            break
+    warm = LogBilinear(units)
+    context, y = _examples(few, units)
+    for epoch in range(-(-WARM_STEPS // max(1, -(-len(y) // MINIBATCH))) if len(y) else 0):
+        warm.train(context, y, seed=epoch)
+    start = warm.rows
+    dealt = train.repartition(total // PART_TOKENS + 1, "h").sortWithinPartitions("h", "doc_id")
+    moves = text_input(dealt, "units").mapInArrow(_train(units, start), "at bigint, w double" + "".join(f", {c} double" for c in MOVED))
+    rows = start.copy()
+    for r in moves.groupBy("at").agg(F.sum("w").alias("w"), *(F.sum(c).alias(c) for c in MOVED)).toLocalIterator():
+        rows[r["at"]] += np.array(r[2:]) / r["w"]
+
+    columns = ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "units", "log_counts"]
     scored = text_input(classified, *columns).mapInArrow(
-        _score(noise, parameters, log_mass), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+        _score(units, rows, log_mass), f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     )
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 
 from stellate.llm import lbl
-from stellate.llm.lbl import CLASSES, LogBilinear, language_scores
+from stellate.llm.lbl import LogBilinear, Units, language_scores
 from tests.llm.helpers import corpus, frame
 
 
@@ -51,29 +51,65 @@ def test_held_out_score_beats_the_base(spark):
     assert gain > 0.25  # of 1.6 for the base
 
 
+def model_of(n, seed=4):
+    return LogBilinear(Units(np.sort(np.random.default_rng(seed).pareto(1.0, n) * 50)[::-1]))
+
+
 def test_probabilities_are_normalised():
-    noise = np.arange(1, CLASSES + 1) / np.arange(1, CLASSES + 1).sum()
-    model = LogBilinear(noise)
-    context, classes = LogBilinear.contexts(np.array([3, 7, 7, 1], np.int16)), np.array([3, 7, 7, 1])
-    model.train(np.tile(context, (50, 1)), np.tile(classes, 50), seed=1)
+    model = model_of(300)
+    n = len(model.units)
+    context, y = LogBilinear.contexts(np.array([3, 7, 250, 1], np.int32), n), np.array([3, 7, 250, 1], np.int32)
+    model.train(np.tile(context, (50, 1)), np.tile(y, 50), seed=1)
     for row in context:
-        every = model.log10(np.tile(row, (CLASSES, 1)), np.arange(CLASSES))
+        every = model.log10(np.tile(row, (n, 1)), np.arange(n))
         assert abs((10**every).sum() - 1) < 1e-4
 
 
-def test_words_of_a_class_share_its_mass(spark):
-    """Summed over every known word and one unknown of each class, a context's probabilities make 1."""
-    noise = np.full(CLASSES, 1 / CLASSES)
-    counts = np.random.default_rng(2).integers(1, 50, 600)
-    kind = np.random.default_rng(3).integers(0, CLASSES, 600)
-    mass = np.bincount(kind, counts + lbl.SMOOTHING, CLASSES)
-    share = np.concatenate([(counts + lbl.SMOOTHING) / (mass + lbl.SMOOTHING)[kind], lbl.SMOOTHING / (mass + lbl.SMOOTHING)])
-    p = 10 ** LogBilinear(noise).log10(np.zeros((CLASSES, lbl.CONTEXT), np.int16), np.arange(CLASSES))
-    assert abs((share * p[np.concatenate([kind, np.arange(CLASSES)])]).sum() - 1) < 1e-4
+def test_classes_are_runs_of_like_mass():
+    for n in (1, 2, 70, 5000):
+        u = model_of(n).units
+        assert u.of[0] == 0 and (np.diff(u.of) >= 0).all() and (np.diff(u.of) <= 1).all() and len(u.class_mass) <= max(1, math.isqrt(n))
+        assert np.allclose(np.bincount(u.of, u.mass), u.class_mass) and [u.of[a] for a in u.first[:-1]] == list(range(len(u.class_mass)))
+
+
+def test_scores_are_the_softmax_of_class_and_unit():
+    model = model_of(90)
+    u, n = model.units, 90
+    model.rows *= 20  # scores that overflow unless the greatest is taken off
+    y = np.random.default_rng(1).integers(0, n, 200).astype(np.int32)
+    context = LogBilinear.contexts(y, n)
+    given, inner, classes, weight = (t.astype(np.float64) for t in model.tables())
+    for c, k, got in zip(context, y, model.log10(context, y), strict=True):
+        q = np.append((given[c] * weight).sum(axis=0), 1)
+        kind, span = u.of[k], slice(u.first[u.of[k]], u.first[u.of[k] + 1])
+        each = [s[i] - s.max() - np.log(np.exp(s - s.max()).sum()) for s, i in ((classes @ q, kind), (inner[span] @ q, k - span.start))]
+        assert math.isclose(got, sum(each) / np.log(10), rel_tol=1e-3, abs_tol=1e-3)
 
 
 def test_contexts():
-    assert LogBilinear.contexts(np.array([5, 6, 7], np.int16)).tolist() == [[CLASSES] * 4, [5, *[CLASSES] * 3], [6, 5, CLASSES, CLASSES]]
+    assert LogBilinear.contexts(np.array([5, 6, 7], np.int32), 9).tolist() == [[9] * 4, [5, 9, 9, 9], [6, 5, 9, 9]]
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    docs = frame(spark, [(i, chain_text(i, 60, "ab"[i % 2])) for i in range(60)] + [(i % 3, "same text") for i in range(20)])
+    each = [sorted((r["doc_id"], round(r["score"], 6)) for r in language_scores(docs.repartition(n)).collect()) for n in (1, 2, 7)]
+    assert all(abs(x[1] - y[1]) < 1e-5 and x[0] == y[0] for other in each[1:] for x, y in zip(each[0], other, strict=True))
+
+
+def test_units_grow_with_the_corpus(spark, monkeypatch):
+    sizes = []
+
+    class Seen(Units):
+        def __init__(self, mass):
+            sizes.append(len(mass))
+            super().__init__(mass)
+
+    monkeypatch.setattr(lbl, "Units", Seen)
+    words = [f"w{i}" for i in range(400)]
+    for n in (20, 200):
+        r = np.random.default_rng(n)
+        language_scores(frame(spark, [(i, " ".join(r.choice(words, 100, p=1 / np.arange(1, 401) / (1 / np.arange(1, 401)).sum()))) for i in range(n)]))
+    assert lbl.BUCKETS < sizes[0] < sizes[1] <= lbl.BUCKETS + 1 + lbl.PER_ROOT * math.sqrt(200 * 101)
 
 
 def test_only_held_out_and_empty_tables(spark):
