@@ -10,11 +10,13 @@ File format. A Parquet table of blocks in ascending order of ``doc_id``: ``part`
 ``block`` (their place), ``first`` (ids before the block in its part), ``doc_ids``,
 ``lengths`` (ids of each document), ``control``, ``data``; beside it a table ``rank, id``.
 
-Scale. Ids, not texts, are sorted: one range shuffle of two bytes an id. The driver holds
+Scale. Ids, not texts, are sorted: one range shuffle of two bytes an id, by ``doc_id``, then
+a hash of the ids and the row's place, so that a third of all rows under one ``doc_id``, or
+equal in id and text, still spread over many parts. The driver holds
 the rank table (the vocabulary's size) and one number for each part.
 
 Edge cases: a null or empty text is its end id alone; null ``doc_id`` first; rows that
-repeat a ``doc_id`` follow each other in the order of their ids' bytes; a very long text is
+repeat a ``doc_id`` follow each other in the order of a hash of their ids; a very long text is
 a block of its own; an empty table gives empty files; other columns are ignored.
 """
 
@@ -190,14 +192,15 @@ def write_ids(docs: DataFrame, vocabulary: str, path: str, end_id: int = 1, id_c
     kind = docs.schema[id_column].dataType.simpleString()
     source = text_input(docs, F.col(id_column).alias("doc_id"), F.col(text_column).cast("string").alias("text"))
     dtype = load(vocabulary).dtype
-    encoded = staged(source.mapInArrow(_encode(vocabulary, end_id), f"doc_id {kind}, ids binary"), "ids-encoded")
+    encoded = source.mapInArrow(_encode(vocabulary, end_id), f"doc_id {kind}, ids binary")
+    encoded = staged(encoded.select("*", F.xxhash64("ids").alias("mark"), F.monotonically_increasing_id().alias("place")), "ids-encoded")
     counts = encoded.select("ids").mapInArrow(_count(dtype), "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()  # the vocabulary's size
     order = sorted(counts, key=lambda r: (-r["n"], r["id"]))
     size = max([r["id"] for r in order], default=0) + 1
     rank = np.zeros(size, np.uint32)
     rank[[r["id"] for r in order]] = np.arange(len(order), dtype=np.uint32)
     spark.createDataFrame([(i, r["id"]) for i, r in enumerate(order)], "rank int, id bigint").write.parquet(f"{path}/ranks")
-    in_order = encoded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    in_order = encoded.repartitionByRange("doc_id", "mark", "place").sortWithinPartitions("doc_id", "mark", "place").select("doc_id", "ids")
     schema = f"part int, block bigint, first bigint, doc_ids array<{kind}>, lengths array<int>, control binary, data binary"
     in_order.mapInArrow(_write(dtype, rank), schema).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     discard(encoded)

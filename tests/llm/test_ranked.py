@@ -5,6 +5,7 @@ import numpy as np
 import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from stellate.llm.ranked import WordEncoder, decode_ranks, encode_ranks, read_ids, round_trip, write_ids
@@ -55,3 +56,19 @@ def test_ids_come_back(spark):
 
 def test_empty_table(spark):
     assert round_trip(frame(spark, []), PATH).count() == 0
+
+
+def test_a_hot_id_spreads_over_parts(spark, tmp_path):
+    """A third of the rows under a null id, half of those equal in text too."""
+    docs = [(i, f"text {i} of many") for i in range(800)] + [(None, f"other {i}") for i in range(200)] + [(None, "same")] * 200
+    path = str(tmp_path / "hot")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the parts of a large table
+    try:
+        write_ids(frame(spark, docs).repartition(4), PATH, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = [r["n"] for r in spark.read.parquet(f"{path}/blocks").selectExpr("part", "explode(doc_ids) AS d").groupBy("part").agg(F.count("*").alias("n")).collect()]
+    assert len(parts) > 4 and max(parts) < 400
+    rows = sorted(read_ids(spark, path).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in rows] == [None] * 400 + list(range(800))
+    assert [r["start"] for r in rows] == np.cumsum([0, *(r["n_tokens"] for r in rows)]).tolist()[:-1]
