@@ -15,11 +15,13 @@ Method.
    counts bound the similarity of any two from above. A bucket's hub is the class that
    meets the most others in its buckets, and every class is compared with the best of its
    hubs that the bounds admit. Then, where a bucket still holds classes of different
-   components, those outside its main component (``HUBS`` a round, unless the bounds rule
-   out all others) become hubs and are compared with the bucket's classes of other
-   components, block by block and without a row for a pair. When all of them have been hubs,
-   all pairs across components have been compared: no link is lost to the star shape, and
-   pairs inside a component, which could not change it, are never made.
+   components, those outside its main component (unless the bounds rule out all others)
+   become hubs and are compared with the bucket's classes of other components, blocks of
+   hubs with blocks of members and without a row for a pair. About ``HUBS`` of them go
+   first, because their links spare others the work, then ``GROWTH`` times as many each
+   round, so a million outsiders take five rounds. When all of them have been hubs, all
+   pairs across components have been compared: no link is lost to the star shape, and pairs
+   inside a component, which could not change it, are never made.
 5. *Verification* of every candidate on the full sets (64-bit shingle hashes).
 6. *Components* by label propagation with pointer jumping, all in DataFrames.
 
@@ -44,13 +46,15 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stellate.llm.common import discard, lists, mix64, slices, staged, text_input, text_print
 
-WORDS_PER_SHINGLE, BANDS, ROWS, HUBS = 5, 48, 5, 256
-#: Shingles of the members that one task compares with a round's hubs at once.
+WORDS_PER_SHINGLE, BANDS, ROWS = 5, 48, 5
+#: Hubs of a bucket in the first of the later rounds, and how their number grows.
+HUBS, GROWTH = 256, 8
+#: Shingles of the hubs, and of the members, that one block holds.
 BLOCK_SHINGLES = 400_000
 #: Links need 100 * intersection >= PERCENT * union.
 PERCENT = 75
@@ -260,30 +264,39 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     links = staged(verified(best.select(F.least("cid", "top.cid").alias("a"), F.greatest("cid", "top.cid").alias("b")).distinct(), sets), "near-links")
     labels = components(links, "near")
     used: DataFrame | None = None
-    while True:
+    turn, more = 0, True
+    blocks_of = lambda total: F.ceil(total / BLOCK_SHINGLES).cast("int")
+    block_in = lambda blocks: F.pmod(F.xxhash64("cid"), blocks).cast("int")
+    while more:
         placed = known.join(labels.select(F.col("node").alias("cid"), "comp"), "cid", "left").select("bucket", "cid", "n", "m", F.coalesce("comp", "cid").alias("comp"))
         mixed = (
             placed.groupBy("bucket", "comp").agg(F.count("*").alias("k"), F.min("n").alias("least"), F.max(F.col("m") > F.col("n")).alias("loose"), F.sum("n").alias("total"))
             .groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("main"), F.min("least").alias("least"), F.max("loose").alias("loose"), F.sum("total").alias("total"), F.count("*").alias("comps")).where("comps > 1")
         )
-        open_ = placed.join(mixed, "bucket").select("bucket", "cid", "n", "m", "comp", F.col("main.comp").alias("main"), "least", "loose", F.ceil(F.col("total") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+        open_ = placed.join(mixed, "bucket").select("bucket", "cid", "n", "m", "comp", F.col("main.comp").alias("main"), "least", "loose", blocks_of(F.col("total")).alias("blocks"))
         peer = F.greatest("least", "m")  # the size that could be most alike, where no repeated doc_id has m > n
         outside = open_.where((F.col("comp") != F.col("main")) & (F.col("loose") | possible(F.col("n"), F.col("m"), peer, peer)))
         if used is not None:
             outside = outside.join(used, ["bucket", "cid"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy("cid"))
-        chosen = staged(outside.withColumn("rank", rank).where(F.col("rank") <= HUBS).select("bucket", "cid", "n", "m", "comp", "blocks", "rank"), "near-hubs")
+        outside = staged(outside.select("bucket", "cid", "n", "m", "comp", "blocks"), "near-outside")
+        # by hash, a share of each bucket's outsiders that makes the round's number of hubs
+        draw = F.pmod(F.xxhash64("cid", F.lit(turn)), F.lit(1 << 30)) / F.lit(1 << 30)
+        waiting = outside.groupBy("bucket").agg((F.lit(HUBS * GROWTH**turn) / F.count("*")).alias("share"))
+        chosen = staged(outside.join(waiting, "bucket").where(draw < F.col("share")).drop("share"), "near-hubs")
+        more = not waiting.where("share < 1").isEmpty()
+        discard(outside)
+        turn += 1
         if chosen.isEmpty():
             discard(chosen)
-            break
-        more = not chosen.where(F.col("rank") == HUBS).isEmpty()
-        centres = chosen.join(sets, "cid").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        turn = chosen.select("bucket", "blocks").distinct()
-        others = placed.join(turn, "bucket").join(sets, "cid").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
-        columns = ["bucket", "block", "cid", "n", "m", "comp", "items"]
+            continue
+        turns = chosen.groupBy("bucket").agg(F.min("blocks").alias("blocks"), blocks_of(F.sum("n")).alias("hub_blocks"))
+        every = lambda blocks: F.explode(F.sequence(F.lit(0), F.col(blocks) - 1))
+        centres = chosen.drop("blocks").join(turns, "bucket").join(sets, "cid").withColumn("hub_block", block_in(F.col("hub_blocks"))).withColumn("block", every("blocks"))
+        others = placed.join(turns, "bucket").join(sets, "cid").withColumn("block", block_in(F.col("blocks"))).withColumn("hub_block", every("hub_blocks"))
+        columns = ["bucket", "hub_block", "block", "cid", "n", "m", "comp", "items"]
         found = staged(
-            centres.select(columns).groupBy("bucket", "block")
-            .cogroup(others.select([F.col(c).alias(f"{c}_2") for c in columns]).groupBy("bucket_2", "block_2"))
+            centres.select(columns).groupBy("bucket", "hub_block", "block")
+            .cogroup(others.select([F.col(c).alias(f"{c}_2") for c in columns]).groupBy("bucket_2", "hub_block_2", "block_2"))
             .applyInPandas(_compare(PERCENT), f"a {kind}, b {kind}").distinct(),
             "near-found",
         )
@@ -295,8 +308,6 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
             discard(links, labels)
             links, labels = joined, components(joined, "near")
         discard(found)
-        if not more:
-            break
     discard(known, sets, links, *([used] if used is not None else []))
 
     by_class = classes.select("set_key", "cid").join(labels.select(F.col("node").alias("cid"), "comp"), "cid", "left")

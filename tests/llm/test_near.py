@@ -57,10 +57,7 @@ def test_later_hub_rounds(spark, monkeypatch):
     assert sorted(map(tuple, rows)) == brute(docs)
 
 
-@pytest.mark.parametrize("several", [False, True])
-def test_long_copies_beside_a_more_famous_hub_and_short_subsets(spark, monkeypatch, several):
-    """All classes in one bucket: the star sees only the hub, and short classes must not keep
-    the long copies from becoming hubs; also where a repeated doc_id has sets of several sizes."""
+def in_one_bucket(monkeypatch):
     signatures = near._signatures
 
     def one_bucket(batches):
@@ -69,6 +66,34 @@ def test_long_copies_beside_a_more_famous_hub_and_short_subsets(spark, monkeypat
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(bands, pa.list_(pa.int64())), b.column(4)], names=b.schema.names)
 
     monkeypatch.setattr(near, "_signatures", one_bucket)
+
+
+@pytest.mark.parametrize("block", [400_000, 300])
+def test_rounds_grow_and_blocks_are_bounded(spark, monkeypatch, block):
+    """Sixty outsiders of one bucket in three rounds of two, sixteen and all others; blocks of
+    few shingles leave the result as it is."""
+    in_one_bucket(monkeypatch)
+    monkeypatch.setattr(near, "HUBS", 2)
+    monkeypatch.setattr(near, "BLOCK_SHINGLES", block)
+    names, staged = [], near.staged
+
+    def noted(df, name):
+        names.append(name)
+        return staged(df, name)
+
+    monkeypatch.setattr(near, "staged", noted)
+    docs = [(900 + i, " ".join([*prose(1, 60).split()[:-1], f"main{i}"])) for i in range(20)]
+    docs += [(10 * f + k, prose(100 + f, 50) + f" tail{k}") for f in range(30) for k in range(2)]
+    rows = near_groups(frame(spark, docs)).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert sorted(map(tuple, rows)) == brute(docs)
+    assert 1 <= names.count("near-found") <= 4
+
+
+@pytest.mark.parametrize("several", [False, True])
+def test_long_copies_beside_a_more_famous_hub_and_short_subsets(spark, monkeypatch, several):
+    """All classes in one bucket: the star sees only the hub, and short classes must not keep
+    the long copies from becoming hubs; also where a repeated doc_id has sets of several sizes."""
+    in_one_bucket(monkeypatch)
     main, long = prose(1, 300).split(), prose(2, 400).split()
     docs = [(900 + i, " ".join([*main[:-1], f"main{i}"])) for i in range(30)]  # the greatest ids: the hub is one of them
     docs += [(100 + i, " ".join([*long[: 200 + 20 * i], f"long{i}", *long[200 + 20 * i :]])) for i in range(4)]
