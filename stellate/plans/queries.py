@@ -535,7 +535,8 @@ def csv_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     folder = scratch_path(spark, "w-many-files")
     wide = V.w(spark, sf_dir).repartition("label").withColumn("part", F.col("label"))
-    wide.write.partitionBy("part").option("header", True).csv(folder)
+    # a file for each user: put in place by the tasks that write them, not one by one by the driver
+    wide.write.partitionBy("part").option("header", True).option("mapreduce.fileoutputcommitter.algorithm.version", "2").csv(folder)
     user = F.regexp_extract("file", "part=([^/]*)/", 1)
     # a user whose rows are many may have several files
     return first_lines(spark, folder).select(user.alias("label"), "line").distinct()

@@ -46,18 +46,33 @@ def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return
 
 
+#: Files up to this size are read whole, many by a task: opening one costs no less.
+SMALL_FILE = 1024 * 1024
+
+
 def first_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
     """``file`` and ``line``, the first line of every file that is not empty, read by tasks.
 
-    A task reads one piece of one file and stops after its first rows, so the job costs a
-    small read for each piece, on the executors. The session that plans it so is its own.
+    Small files are read whole, some hundred by a task, so tasks grow with the files' bytes and
+    not with their number. Of a large file, a task reads one piece and stops after its first
+    rows. The sessions that plan it so are its own.
     """
-    session = spark.newSession()
-    session.conf.set("spark.sql.files.openCostInBytes", session.conf.get("spark.sql.files.maxPartitionBytes"))
-    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
-    lines = session.read.option("encoding", encoding).option("recursiveFileLookup", True).text(path)
-    place = lines.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("start"))
-    return place.mapInArrow(_first_lines, place.schema).drop("start")
+
+    def scan(small: bool) -> DataFrame:
+        session = spark.newSession()
+        most = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(session.conf.get("spark.sql.files.maxPartitionBytes")))
+        session.conf.set("spark.sql.files.openCostInBytes", str(min(SMALL_FILE // 4, most) if small else most))
+        session.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", "200")  # tasks that list folders
+        session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+        rows = session.read.option("encoding", encoding).option("recursiveFileLookup", True).text(path, wholetext=small)
+        size = F.col("_metadata.file_size")  # leaves files out before they are opened
+        return rows.where((size > 0) & (size <= SMALL_FILE) if small else size > SMALL_FILE)
+
+    large, small = scan(False), scan(True)
+    file = F.col("_metadata.file_path").alias("file")
+    place = large.select(file, F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("start"))
+    line = F.regexp_extract("value", "^\ufeff?([^\r\n]*)", 1).alias("line")
+    return place.mapInArrow(_first_lines, place.schema).drop("start").unionByName(small.select(file, line))
 
 
 def raw_headers(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> dict[str, tuple[str, ...]]:

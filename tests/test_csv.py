@@ -100,3 +100,17 @@ def test_compressed_file_header(spark, tmp_dir):
     with gzip.open(os.path.join(tmp_dir, "z.csv.gz"), "wt") as f:
         f.write("a,b\n1,2\n")
     assert [tuple(r) for r in C.read_text_csv(spark, os.path.join(tmp_dir, "z.csv.gz")).collect()] == [("1", "2")]
+
+
+def test_first_lines_of_many_files_need_few_tasks(spark, tmp_dir, monkeypatch):
+    for i in range(300):
+        os.makedirs(os.path.join(tmp_dir, f"part={i}"))
+        _write(tmp_dir, f"part={i}/a.csv", "﻿a,b\r\n1,2\r\n" if i % 2 else f"a,b{i}\n1,2\n")
+    _write(tmp_dir, "empty.csv", "")
+    _write(tmp_dir, "blank.csv", "\nx\n")
+    df = C.first_lines(spark, tmp_dir)
+    assert df.rdd.getNumPartitions() < 100  # 302 before: one for each file
+    want = sorted(["a,b"] * 150 + [f"a,b{i}" for i in range(0, 300, 2)] + [""])
+    assert sorted(r["line"] for r in df.collect()) == want
+    monkeypatch.setattr(C, "SMALL_FILE", 10)  # most are large now: read up to their first rows
+    assert sorted(r["line"] for r in C.first_lines(spark, tmp_dir).collect()) == want
