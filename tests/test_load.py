@@ -299,3 +299,42 @@ def test_final_counts_agree_with_a_full_count(spark, tmp_dir):
     full = load_wide_frame(spark, read_text_csv(spark, p), H.HEALTH, root, full_counts=True)
     for name in kept.paths:
         assert kept.value("final_counts", name, "rows") == full.value("final_counts", name, "rows")
+
+
+def test_ranges_of_a_month_are_merged_once(spark, tmp_dir, monkeypatch):
+    """Also into a month that the target has: each range still has its own counts."""
+    from stellate.sinks import tables
+
+    old, new = os.path.join(tmp_dir, "old.csv"), os.path.join(tmp_dir, "new.csv")
+    _csv(old, _header(), [_row(f"A{i:03d}", "2020-03-05", population="1", total_cases="7") for i in range(0, 90, 2)])
+    _csv(new, _header(), [_row(f"A{i:03d}", f"2020-03-0{5 + i % 2}", population="1", new_cases=str(i)) for i in range(90)])
+    real, calls, loads = tables.merge_into_path, [], {}
+    monkeypatch.setattr(tables, "merge_into_path", lambda *a, **k: (calls.append(a[2]), real(*a, **k))[1])
+    for name, rows in (("one", None), ("cut", 20)):
+        root = os.path.join(tmp_dir, name)
+        load_wide_file(spark, old, H.HEALTH, root, batch_rows=rows)
+        calls.clear()
+        loads[name] = load_wide_file(spark, new, H.HEALTH, root, batch_rows=rows)
+        assert len(calls) == 1 + len(H.FACTS)  # the dimension, and one merge of the month for each fact
+    assert _tables(spark, loads["one"]) == _tables(spark, loads["cut"])
+    for f in H.FACTS:
+        log = [b for b in loads["cut"].batches if b[0] == f.name]
+        assert len(log) >= 4 and sum(b[2] for b in log) == 45 and sum(b[3] for b in log) == 90
+        assert max(b[3] for b in log) < 45
+        assert loads["cut"].value("upserts", f.name, "matched_before") == 45
+
+
+def test_wide_rows_are_staged_packed(spark, tmp_dir, monkeypatch):
+    """Every cell comes back, also an empty one and one that holds the packing's own marks."""
+    from stellate.operators import dedup
+    from stellate.sinks import tables
+
+    staged, real = [], tables.write_staged
+    monkeypatch.setattr(tables, "write_staged", lambda df, name, *a, **k: (staged.append((name, df.columns)), real(df, name, *a, **k))[1])
+    p, odd = os.path.join(tmp_dir, "p.csv"), "x\x01y\x02z"
+    _csv(p, _header(), [_row("AAA", "2020-01-01", population="2", tests_units=odd), _row("AAA", "2020-01-02", total_cases="5")])
+    t = read_targets(spark, load_wide_file(spark, p, H.HEALTH, os.path.join(tmp_dir, "t")).paths, H.HEALTH)
+    columns = dict(staged)["staging"]
+    assert dedup.PACKED in columns and "total_cases" not in columns
+    assert {r.unitati_testare for r in t["testari_zilnice"].collect()} == {odd, None}
+    assert {r.total_cazuri for r in t["cazuri_zilnice"].collect()} == {5, None}
