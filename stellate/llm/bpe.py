@@ -29,6 +29,8 @@ from stellate.llm.common import lists, sha256_of_list, slices, text_input
 
 #: Words kept by a Python worker between batches; the cache starts anew beyond it.
 CACHED_WORDS = 800_000
+#: Bytes of text cut into words at once: the strings take some ten times as much.
+SLICE = 1 << 19
 #: Words up to this many bytes are merged in a plain list, longer ones over a heap.
 SHORT_WORD = 64
 #: Fixed value: the public pattern that cuts text for byte-level BPE.
@@ -88,7 +90,8 @@ class BytePair:
         usable = {i for i in vocab.values() if self.rank[i] < 0} | set(ids[reachable].tolist())
         self.token = {s: i for s, i in vocab.items() if i in usable}
         self.prefixes = {s[:k] for s in self.token for k in range(1, len(s) + 1)}
-        self.cache: dict[str, tuple[int, ...]] = {}
+        self.cache: dict[str, bytes] = {}
+        self.code = np.dtype(np.uint16 if n <= 1 << 16 else np.int32)
 
     def stays(self, a: np.ndarray, b: np.ndarray, pa_: np.ndarray | None = None, pb: np.ndarray | None = None) -> np.ndarray:
         """For each pair of neighbouring tokens: whether no merge crosses their boundary.
@@ -169,7 +172,7 @@ class BytePair:
         return ids
 
     def learn(self, words: set[str]) -> None:
-        """Put the ids of new distinct words into the cache."""
+        """Put the ids of new distinct words into the cache, as bytes."""
         words = list(words)
         spelled = [w.encode().decode("latin-1").translate(self.to_chars) for w in words]
         proposed = [self.propose(s) for s in spelled]
@@ -179,9 +182,11 @@ class BytePair:
         inside = np.flatnonzero(of[1:] == of[:-1])
         pairs, where = np.unique(flat[inside] << 32 | flat[inside + 1], return_inverse=True)
         fails = ~self.stays(pairs >> 32, pairs & 0xFFFFFFFF)
+        coded, width = flat.astype(self.code).tobytes(), self.code.itemsize
+        ends = (np.cumsum(lengths) * width).tolist()
+        self.cache.update(zip(words, (coded[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
         for i in np.unique(of[inside[fails[where]]]).tolist():
-            proposed[i] = self.merge_exactly(spelled[i])
-        self.cache.update(zip(words, map(tuple, proposed), strict=True))
+            self.cache[words[i]] = np.array(self.merge_exactly(spelled[i]), self.code).tobytes()
 
     def words(self, text: str) -> list[str]:
         if OTHER_SCRIPTS.search(text) is None:
@@ -203,10 +208,10 @@ class BytePair:
         distinct = set().union(*cut) if cut else set()
         if len(self.cache) > CACHED_WORDS:
             self.cache = {}
-        self.cache.update({s: (i,) for s, i in self.special.items()})
+        self.cache.update({s: self.code.type(i).tobytes() for s, i in self.special.items()})
         self.learn(distinct.difference(self.cache))
         find = self.cache.__getitem__
-        return [np.fromiter(chain.from_iterable(map(find, c)), np.int32) for c in cut]
+        return [np.frombuffer(b"".join(map(find, c)), self.code).astype(np.int32) for c in cut]
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -220,7 +225,7 @@ def load(path: str) -> BytePair:
 def _code(path: str, decode: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE):
             ids = bpe.encode_batch([t or "" for t in batch.column(1).to_pylist()])
             flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
             columns = [batch.column(0), lists(flat, [len(x) for x in ids])]

@@ -1,13 +1,15 @@
 import hashlib
 import random
+import sys
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from stellate.llm.bpe import OTHER_SCRIPTS, WORDS, encode_documents, load, token_digests
+from stellate.llm.bpe import OTHER_SCRIPTS, SLICE, WORDS, BytePair, _code, encode_documents, load, token_digests
 from tests.llm.helpers import corpus, frame
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -62,3 +64,16 @@ def test_digests(spark, library):
         assert (r["n_tokens"], r["ids_sha256"]) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
         assert r["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
     assert token_digests(encode_documents(frame(spark, []), PATH)).count() == 0
+
+
+def test_a_worker_holds_little(library):
+    """A word's cached ids take few bytes, and a batch is cut into pieces before its words are made."""
+    bpe, r = BytePair(PATH), random.Random(5)
+    words = ["".join(r.choice("abcdefghij") for _ in range(12)) for _ in range(5000)]
+    same_ids = [e.ids for e in library.encode_batch(words, add_special_tokens=False)]
+    assert [x.tolist() for x in bpe.encode_batch(words)] == same_ids
+    assert sum(sys.getsizeof(v) for v in bpe.cache.values()) <= 64 * len(bpe.cache)
+    texts = ["word " * (SLICE // 20)] * 12
+    batch = pa.RecordBatch.from_arrays([pa.array(range(12)), pa.array(texts)], names=["doc_id", "text"])
+    out = list(_code(PATH, True)(iter([batch])))
+    assert len(out) > 2 and sum((b.column(2).to_pylist() for b in out), []) == texts
