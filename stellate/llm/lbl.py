@@ -38,7 +38,8 @@ from __future__ import annotations
 import math
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -53,7 +54,8 @@ from stellate.llm.ranked import decode_ranks, encode_ranks
 PER_ROOT, BUCKETS = 4, 64
 CONTEXT, DIMENSIONS, NOISE, INNER_NOISE, MINIBATCH, RATE = 4, 16, 32, 4, 4096, 0.08
 WARM_TOKENS, WARM_STEPS, PART_TOKENS = 2 << 20, 1200, 4 << 20
-SCORED_AT_ONCE, SLICE_TOKENS = 1 << 14, 1 << 20
+#: Tokens scored together, and scores that stand in the processor's cache at once.
+SCORED_AT_ONCE, SCORES_AT_ONCE, SLICE_TOKENS = 1 << 17, 1 << 18, 1 << 20
 #: Text of one batch: larger ones repeat fewer words, so fewer rows travel.
 BATCH_BYTES = 8 << 20
 END = b"\n"  # cannot be a word
@@ -68,14 +70,13 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Two kinds of rows in one table: documents (indices into the batch's words) and words."""
     for batch in gathered(batches, BATCH_BYTES):
         name = uuid.uuid4().int >> 65
-        of: dict[bytes, int] = {END: 0}
+        of: defaultdict[bytes, int] = defaultdict()
+        of.default_factory = of.__len__  # a new word gets the next index
+        of[END] = 0
         ids, held, codes, train = batch.column(0), [], [], []
         for doc_id, text in zip(ids.to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = (text or "").encode().lower().split()
             words.append(END)
-            for w in words:
-                if w not in of:
-                    of[w] = len(of)
             at = np.fromiter(map(of.__getitem__, words), np.int32, len(words))
             held.append(crc_of_id(doc_id) % 10 == 0)
             codes.append(pack(at))
@@ -122,6 +123,19 @@ class Units:
         self.class_mass = np.diff(self.before[self.first])
         self.small = np.uint16 if len(mass) < (1 << 16) - 1 else np.int32
         self.alone = np.diff(self.first) == 1
+        self.steps = 1 << (8 * len(mass)).bit_length()
+        self.guide = np.searchsorted(self.before, np.arange(self.steps + 1) / self.steps, side="right") - 1
+
+    def at(self, place: np.ndarray) -> np.ndarray:
+        """The unit at each place of the running mass: from the one at the step below, upwards."""
+        last = len(self) - 1
+        out = np.minimum(self.guide.take((place * self.steps).astype(np.int64), mode="clip"), last).ravel()
+        left = np.arange(out.size)
+        while len(left):
+            at = out[left]
+            left = left[(at < last) & (self.before.take(at + 1) <= place.ravel().take(left))]
+            out[left] += 1
+        return out.reshape(place.shape)
 
     def __len__(self) -> int:
         return len(self.mass)
@@ -155,15 +169,12 @@ class LogBilinear:
         padded = np.concatenate([np.full(CONTEXT, none, units.dtype), units])
         return np.stack([padded[CONTEXT - 1 - i : len(padded) - 1 - i] for i in range(CONTEXT)], axis=1)
 
-    def predicted(self, context: np.ndarray) -> np.ndarray:
-        """Predicted vectors, with a last 1 for the bias."""
-        given, weight = np.split(self.rows, self.cuts)[0], self.tables()[3]
-        out = np.empty((len(context), DIMENSIONS + 1), np.float32)
-        out[:, :-1] = given[context[:, 0], :-1] * weight[0]
-        for i in range(1, CONTEXT):
-            out[:, :-1] += given[context[:, i], :-1] * weight[i]
+    def predicted(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Predicted vectors, with a last 1 for the bias, and the context's rows they are made of."""
+        held = self.rows.take(context, axis=0)
+        out = np.einsum("nid,id->nd", held, np.split(self.rows, self.cuts)[3])
         out[:, -1] = 1
-        return out
+        return out, held
 
     def log10(self, context: np.ndarray, units: np.ndarray) -> np.ndarray:
         """Normalised log10 probabilities of the units."""
@@ -171,18 +182,22 @@ class LogBilinear:
         _, inner, classes, _ = self.tables()
         u = self.units
         for a in range(0, len(units), SCORED_AT_ONCE):
-            q, y = self.predicted(context[a : a + SCORED_AT_ONCE]), units[a : a + SCORED_AT_ONCE]
+            ctx, y = context[a : a + SCORED_AT_ONCE], units[a : a + SCORED_AT_ONCE]
             kind = u.of[y]
-            p = log_softmax(q, classes, kind)
+            q, p = np.empty((len(y), DIMENSIONS + 1), np.float32), np.empty(len(y))
+            for b in range(0, len(y), step := max(1, SCORES_AT_ONCE // len(classes))):
+                part = slice(b, min(b + step, len(y)))
+                q[part] = self.predicted(ctx[part])[0]
+                p[part] = log_softmax(q[part], classes, kind[part])
             order = np.argsort(kind.astype(u.small), kind="stable")
             ends = np.cumsum(np.bincount(kind, minlength=len(u.alone)))
             for k in np.flatnonzero((np.diff(ends, prepend=0) > 0) & ~u.alone):
                 take = order[ends[k - 1] if k else 0 : ends[k]]
                 span = slice(u.first[k], u.first[k + 1])
-                step = max(1, (1 << 22) // (span.stop - span.start))
+                step = max(1, SCORES_AT_ONCE // (span.stop - span.start))
                 for b in range(0, len(take), step):
                     part = take[b : b + step]
-                    p[part] += log_softmax(q[part], inner[span], y[part] - span.start)
+                    p[part] += log_softmax(q.take(part, axis=0), inner[span], y[part] - span.start)
             out[a : a + SCORED_AT_ONCE] = p
         return out / np.log(10)
 
@@ -198,12 +213,11 @@ class LogBilinear:
             take = order[a : a + MINIBATCH]
             ctx, y = context[take], units[take]
             kind = u.of[y]
-            _, inner, classes, weight = self.tables()
-            given = self.rows
-            q = self.predicted(ctx)
+            _, inner, classes, _ = self.tables()
+            q, held = self.predicted(ctx)
             # the class, against noise that the minibatch shares
             drawn = np.minimum(np.searchsorted(class_ends, r.random(NOISE) * class_ends[-1]), len(classes) - 1)
-            t = classes[kind]
+            t = classes.take(kind, axis=0)
             g_true = (1 - _sigmoid(np.einsum("nd,nd->n", q, t) - log_class[kind]))[:, None]
             noise = classes[drawn]
             g_false = -_sigmoid(q @ noise.T - log_class[drawn])
@@ -214,30 +228,33 @@ class LogBilinear:
             some = np.flatnonzero(~u.alone[kind])
             if len(some):
                 lo, hi = u.before[u.first[kind[some]]], u.before[u.first[kind[some] + 1]]
-                other = np.searchsorted(u.before, lo[:, None] + r.random((len(some), INNER_NOISE)) * (hi - lo)[:, None], side="right") - 1
+                other = u.at(lo[:, None] + r.random((len(some), INNER_NOISE)) * (hi - lo)[:, None])
                 other = np.clip(other, u.first[kind[some]][:, None], u.first[kind[some] + 1][:, None] - 1)
                 at = np.concatenate([y[some][:, None], other], axis=1)
-                vectors, qs = inner[at], q[some]
+                vectors, qs = inner.take(at, axis=0), q.take(some, axis=0)
                 g = -_sigmoid(np.einsum("nd,njd->nj", qs, vectors) - log_inner[at])
                 g[:, 0] += 1
                 g_q[some] += np.einsum("nj,njd->nd", g, vectors)
-                self.step(inner_rows, *_sum_rows(at.ravel().astype(u.small), (g[:, :, None] * qs[:, None]).reshape(-1, DIMENSIONS + 1)), len(take))
-            g_q = g_q[:, :-1]
+                self.step(inner_rows, *_sum_rows(at.ravel().astype(u.small), lambda o: qs.take(o // (INNER_NOISE + 1), axis=0) * g.take(o)[:, None]), len(take))
+            g_q[:, -1] = 0  # a context vector has no bias
             g_weight = np.zeros((CONTEXT, DIMENSIONS + 1), np.float32)
-            g_given = np.zeros((len(take), CONTEXT, DIMENSIONS + 1), np.float32)
             for i in range(CONTEXT):
-                g_given[:, i, :-1] = g_q * weight[i]
-                g_weight[i, :-1] = np.einsum("nd,nd->d", g_q, given[ctx[:, i], :-1])
+                g_weight[i, :-1] = np.einsum("nd,nd->d", g_q[:, :-1], held[:, i, :-1])
             both = _sum_rows(np.concatenate([g_class[0], g_noise[0]]), np.concatenate([g_class[1], g_noise[1]]), np.concatenate([g_class[2], g_noise[2]]))
             self.step(class_rows, *both, len(take))
-            self.step(given_rows, *_sum_rows(ctx.ravel().astype(u.small), g_given.reshape(-1, DIMENSIONS + 1)), len(take))
+            by_place = np.split(self.rows, self.cuts)[3]
+            self.step(given_rows, *_sum_rows(ctx.ravel().astype(u.small), lambda o: g_q.take(o // CONTEXT, axis=0) * by_place.take(o % CONTEXT, axis=0)), len(take))
             self.step(weight_rows, np.arange(CONTEXT), g_weight, np.full(CONTEXT, len(take)), len(take))
 
     def step(self, rows: np.ndarray, at: np.ndarray, gradient: np.ndarray, tokens: np.ndarray, size: int) -> None:
         at = rows[at]
         gradient = gradient / np.float32(size)
-        self.squares[at] += gradient * gradient
-        self.rows[at] += RATE * gradient / np.sqrt(self.squares[at])
+        squares = self.squares.take(at, axis=0)
+        squares += gradient * gradient
+        self.squares[at] = squares
+        gradient *= RATE
+        gradient /= np.sqrt(squares, out=squares)
+        self.rows[at] += gradient
         self.touched[at] += tokens
 
 
@@ -245,24 +262,29 @@ def log_softmax(q: np.ndarray, vectors: np.ndarray, at: np.ndarray) -> np.ndarra
     """Natural logarithms of the normalised probabilities of one row of ``vectors`` for each ``q``."""
     scores = q @ vectors.T
     right = scores[np.arange(len(q)), at].astype(np.float64)
-    if len(q) and np.linalg.norm(q, axis=1).max() * np.linalg.norm(vectors, axis=1).max() >= 60:  # else exp cannot overflow
+    if len(q) and np.einsum("nd,nd->n", q, q).max() * np.einsum("nd,nd->n", vectors, vectors).max() >= 60 * 60:  # else exp cannot overflow
         most = scores.max(axis=1, keepdims=True)
         scores -= most
         right -= most[:, 0]
-    return right - np.log(np.exp(scores, out=scores).sum(axis=1))
+    return right - np.log(np.exp(scores, out=scores) @ np.ones(len(vectors), np.float32))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    x = np.clip(x, -30, 30)
+    np.exp(np.negative(x, out=x), out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
-def _sum_rows(at: np.ndarray, rows: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct indices, the sums of their rows, and how many rows (or the sum of ``counts``) each has."""
+def _sum_rows(at: np.ndarray, rows: np.ndarray | Callable, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct indices, the sums of their rows, and how many rows (or the sum of ``counts``) each has.
+    ``rows`` may be a function that makes the rows in a given order."""
     order = np.argsort(at, kind="stable")
     sorted_at = at[order]
     starts = np.flatnonzero(np.append(True, sorted_at[1:] != sorted_at[:-1]))
     many = np.diff(np.append(starts, len(at))) if counts is None else np.add.reduceat(counts[order], starts)
-    return sorted_at[starts].astype(np.int64), np.add.reduceat(rows[order], starts, axis=0), many
+    taken = rows(order) if callable(rows) else rows.take(order, axis=0)
+    return sorted_at[starts].astype(np.int64), np.add.reduceat(taken, starts, axis=0), many
 
 
 def _classify(total: int, distinct: int):
@@ -357,7 +379,9 @@ def language_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     # Every batch's first word is its end token. A task gets about two batches.
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), listed.where("at = 0").count() // 2)
-    placed = listed.select("batch", "at", "word").join(known, "word").select(F.col("batch").alias("word_batch"), (F.shiftleft(F.col("at").cast("long"), 32) + F.col("unit")).alias("place"), "c")
+    # Each word is once in ``known``, and parts grow with the batches: a part's words fit in memory,
+    # and the many rows of ``listed`` need no sort.
+    placed = listed.select("batch", "at", "word").repartition(parts, "word").join(known.repartition(parts, "word").hint("shuffle_hash"), "word").select(F.col("batch").alias("word_batch"), (F.shiftleft(F.col("at").cast("long"), 32) + F.col("unit")).alias("place"), "c")
     texts = tokens.where("indices IS NOT NULL").select("batch", "doc_id", "held_out", "indices")
     scored_columns = f"batch bigint, doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, log_counts double, units binary, base_score double"
     classified = staged(

@@ -119,3 +119,20 @@ def test_only_held_out_and_empty_tables(spark):
     only = language_scores(frame(spark, [(held, "a b")])).collect()[0]
     assert (only["train_tokens"], only["n_known"]) == (0, 0) and math.isclose(only["base_score"], 3 * math.log10(0.1 / 0.1))
     assert language_scores(frame(spark, [])).count() == 0
+
+
+def test_draws_and_scores_take_few_calls(monkeypatch):
+    """Draws come from a guide table, as a search of the running mass gives them; tokens of one
+    class are scored together, also when there are many."""
+    r = np.random.default_rng(3)
+    units = lbl.Units(np.sort(r.pareto(1, 900) * 100)[::-1])
+    place = np.append(r.random((4, 500)).ravel(), units.before[:-1])
+    assert (units.at(place) == np.searchsorted(units.before, place, side="right") - 1).all()
+
+    y = units.at(r.random(1 << 17)).astype(np.int32)
+    model, context = lbl.LogBilinear(units), LogBilinear.contexts(y, len(units))
+    some = model.log10(context[:100], y[:100])
+    calls, plain = [], lbl.log_softmax
+    monkeypatch.setattr(lbl, "log_softmax", lambda q, *rest: calls.append(len(q)) or plain(q, *rest))
+    assert np.allclose(model.log10(context, y)[:100], some, rtol=0, atol=1e-5)
+    assert len(calls) <= 5 * len(units.class_mass)
