@@ -86,13 +86,13 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k, m = len(ids), len(of)
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([name] * (k + m), pa.int64()),
+                pa.array(np.full(k + m, name, np.int64)),
                 pa.concat_arrays([ids, pa.nulls(m, ids.type)]),
-                pa.array(held + [None] * m, pa.bool_()),
-                pa.array(codes + [None] * m, pa.binary()),
-                pa.array([None] * k + list(range(m)), pa.int32()),
-                pa.array([None] * k + list(of), pa.binary()),
-                pa.array([None] * k + counts.tolist(), pa.int64()),
+                pa.concat_arrays([pa.array(held, pa.bool_()), pa.nulls(m, pa.bool_())]),
+                pa.concat_arrays([pa.array(codes, pa.binary()), pa.nulls(m, pa.binary())]),
+                pa.concat_arrays([pa.nulls(k, pa.int32()), pa.array(np.arange(m, dtype=np.int32))]),
+                pa.concat_arrays([pa.nulls(k, pa.binary()), pa.array(of, pa.binary())]),
+                pa.concat_arrays([pa.nulls(k, pa.int64()), pa.array(counts.astype(np.int64))]),
             ],
             names=["batch", "doc_id", "held_out", "indices", "at", "word", "n"],
         )
@@ -227,23 +227,23 @@ class LogBilinear:
             # the unit inside its class, against noise of its own
             some = np.flatnonzero(~u.alone[kind])
             if len(some):
-                lo, hi = u.before[u.first[kind[some]]], u.before[u.first[kind[some] + 1]]
-                other = u.at(lo[:, None] + r.random((len(some), INNER_NOISE)) * (hi - lo)[:, None])
-                other = np.clip(other, u.first[kind[some]][:, None], u.first[kind[some] + 1][:, None] - 1)
-                at = np.concatenate([y[some][:, None], other], axis=1)
+                first, end = u.first.take(kind[some])[:, None], u.first.take(kind[some] + 1)[:, None]
+                lo, hi = u.before.take(first), u.before.take(end)
+                other = u.at(lo + r.random((len(some), INNER_NOISE)) * (hi - lo))
+                at = np.concatenate([y[some][:, None], np.minimum(np.maximum(other, first), end - 1)], axis=1)
                 vectors, qs = inner.take(at, axis=0), q.take(some, axis=0)
-                g = -_sigmoid(np.einsum("nd,njd->nj", qs, vectors) - log_inner[at])
+                g = -_sigmoid(np.einsum("nd,njd->nj", qs, vectors) - log_inner.take(at))
                 g[:, 0] += 1
                 g_q[some] += np.einsum("nj,njd->nd", g, vectors)
                 self.step(inner_rows, *_sum_rows(at.ravel().astype(u.small), lambda o: qs.take(o // (INNER_NOISE + 1), axis=0) * g.take(o)[:, None]), len(take))
-            g_q[:, -1] = 0  # a context vector has no bias
             g_weight = np.zeros((CONTEXT, DIMENSIONS + 1), np.float32)
             for i in range(CONTEXT):
                 g_weight[i, :-1] = np.einsum("nd,nd->d", g_q[:, :-1], held[:, i, :-1])
             both = _sum_rows(np.concatenate([g_class[0], g_noise[0]]), np.concatenate([g_class[1], g_noise[1]]), np.concatenate([g_class[2], g_noise[2]]))
             self.step(class_rows, *both, len(take))
-            by_place = np.split(self.rows, self.cuts)[3]
-            self.step(given_rows, *_sum_rows(ctx.ravel().astype(u.small), lambda o: g_q.take(o // CONTEXT, axis=0) * by_place.take(o % CONTEXT, axis=0)), len(take))
+            by_place, g_q = np.split(self.rows, self.cuts)[3][:, :-1].copy(), g_q[:, :-1].copy()
+            at, g_given, many = _sum_rows(ctx.ravel(), lambda o: g_q.take(o // CONTEXT, axis=0) * by_place.take(o % CONTEXT, axis=0))
+            self.step(given_rows, at, np.pad(g_given, ((0, 0), (0, 1))), many, len(take))
             self.step(weight_rows, np.arange(CONTEXT), g_weight, np.full(CONTEXT, len(take)), len(take))
 
     def step(self, rows: np.ndarray, at: np.ndarray, gradient: np.ndarray, tokens: np.ndarray, size: int) -> None:
@@ -308,9 +308,9 @@ def _classify(total: int, distinct: int):
 
 
 def _examples(packed: list[bytes], units: Units) -> tuple[np.ndarray, np.ndarray]:
-    each = [unpack(x).astype(np.int32) for x in packed]
+    each = [unpack(x).astype(units.small) for x in packed]
     if not each:
-        return np.empty((0, CONTEXT), np.int32), np.empty(0, np.int32)
+        return np.empty((0, CONTEXT), units.small), np.empty(0, units.small)
     return np.concatenate([LogBilinear.contexts(x, len(units)) for x in each]), np.concatenate(each)
 
 
