@@ -117,3 +117,14 @@ def test_good_cells_convert_alike(spark, ansi):
         assert list(rows[1])[:4] == [None] * 4 and rows[1][4] == float("-inf")
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_plain_rows_read_numbers_as_a_search_does(spark):
+    """One search of a row in place of one of each cell: the same values, also of odd text."""
+    texts = "1 -1 +1 1.5 1. .5 . - + e 1e5 1E-5 1.e5 .e5 1e 1e+ 1-2 --1 1.2.3 1e400 -0 007 9223372036854775807 9223372036854775808 5.0 1_0".split()
+    texts += ["", None, " 1 ", "\t2", "1d", "1f", "0x10", "0x1p3", "inf", "NaN", "Infinity", "1,5", "١", "\x001"]
+    df = spark.createDataFrame([(t,) for t in texts], "a string").withColumn("p", X.plain_numbers(["a"]))
+    for read in (X.to_double, X.to_bigint, X.text_to_rounded_bigint):
+        both = df.select("a", "p", read("a", False).cast("string").alias("searched"), read("a", False, F.col("p")).cast("string").alias("quick")).collect()
+        assert [r for r in both if r.searched != r.quick] == []
+        assert {r.p for r in both} == {True, False}

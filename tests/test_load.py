@@ -338,3 +338,23 @@ def test_wide_rows_are_staged_packed(spark, tmp_dir, monkeypatch):
     assert dedup.PACKED in columns and "total_cases" not in columns
     assert {r.unitati_testare for r in t["testari_zilnice"].collect()} == {odd, None}
     assert {r.total_cazuri for r in t["cazuri_zilnice"].collect()} == {5, None}
+
+
+def test_deduplicated_rows_stay_packed_by_target(spark, tmp_dir, monkeypatch):
+    """A target opens its own cells only, as text of its own; a lenient load opens all to count bad ones."""
+    from stellate.operators import dedup
+    from stellate.plans import load
+
+    written, real = [], load._write_deduplicated
+    monkeypatch.setattr(load, "_write_deduplicated", lambda df, *a: (written.append(df.columns), real(df, *a))[1])
+    odd = "x\x00\x01\U0010ffffz"
+    p = os.path.join(tmp_dir, "p.csv")
+    _csv(p, _header(), [_row(f"A{i}", f"2020-0{1 + i}-01", population="2.5", tests_units=odd, total_cases=str(i), icu_patients=" 1e2", hosp_patients="7") for i in range(3)])
+    for strict in (True, False):
+        found = _tables(spark, load_wide_file(spark, p, H.HEALTH, os.path.join(tmp_dir, f"t{strict}"), strict=strict))
+        assert {r[H.TESTARI_ZILNICE.value_names.index("unitati_testare") + 2] for r in found["testari_zilnice"]} == {odd}
+        assert sorted(r[2] for r in found["cazuri_zilnice"]) == [0, 1, 2] and {r[3] for r in found["locatii"]} == {2}
+        assert {(r[2], r[4]) for r in found["spitalizari_zilnice"]} == {(100.0, 7.0)}
+    strict, lenient = written
+    assert "total_cases" not in strict and {dedup.group_text(m.name) for m in (H.LOCATII, *H.FACTS)} <= set(strict)
+    assert "total_cases" in lenient

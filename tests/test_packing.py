@@ -57,3 +57,15 @@ def test_wide_session_keeps_settings(spark):
     assert own.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
     assert int(own.conf.get("spark.sql.codegen.hugeMethodLimit")) == METHOD_BYTES
     assert int(own.conf.get("spark.sql.files.maxPartitionBytes")) == WIDE_TASK_BYTES
+
+
+def test_groups_of_cells_are_opened_on_their_own(spark):
+    names = [f"c{i:02d}" for i in range(dedup.PACK_FROM)]
+    rows = [(str(i), *[CELLS[(i + j) % len(CELLS)] for j in range(len(names))]) for i in range(len(CELLS))]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in ("k", *names)))
+    wide, groups = dedup.packing_of(df, ["k"]), {"one": ["c07", "c02", "c11"], "two": ["c02"], "none": []}
+    kept = dedup.most_complete_packed(wide.packed(df), wide, ["k"], groups=groups)
+    assert "c07" not in kept.columns and dedup.group_text("none") not in kept.columns
+    for name, cells in groups.items():
+        found = dedup.open_group(kept, name, cells).select("k", *cells)
+        assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, df.select("k", *cells).collect()), key=str)

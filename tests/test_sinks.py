@@ -272,3 +272,26 @@ def test_both_sides_bucketed_merge_has_no_exchange(spark):
         assert merged.count() == 6000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_only_rows_of_partitions_that_exist_are_joined(spark, tmp_dir):
+    """A source over old and new months: the new ones' rows are staged with the others, unjoined."""
+    from stellate.sinks import tables
+
+    def rows(*days):
+        return spark.createDataFrame([(k, d, v) for d in days for k, v in (("a", 1.0), ("b", None))], "k string, d string, v double").selectExpr("k", "to_date(d) AS d", "v")
+
+    path, month = os.path.join(tmp_dir, "t"), tables.month_of("d")
+    tables.merge_into_path(spark, rows("2020-01-01", "2020-02-01").selectExpr("k", "d", "9.0D AS v"), path, ["k", "d"], "month", month)
+    joined, real = [], tables.merge.upsert
+    tables.merge.upsert = lambda t, s, *a, **kw: (joined.append(s.count()), real(t, s, *a, **kw))[1]
+    try:
+        counts = tables.merge_into_path(spark, rows("2020-02-01", "2020-02-02", "2020-03-01", "2020-04-01"), path, ["k", "d"], "month", month, strategy="shuffle")
+    finally:
+        tables.merge.upsert = real
+    assert joined == [4]  # of eight
+    assert (counts["inserted"], counts["matched_before"], counts["total"], counts["rows_written"]) == (6, 2, 10, 8)
+    got = sorted(((r.k, str(r.d), r.v) for r in tables.read_target(spark, path).collect()), key=str)
+    want = [(k, d, 9.0) for k in "ab" for d in ("2020-01-01",)] + [("a", "2020-02-01", 1.0), ("b", "2020-02-01", 9.0)]
+    want += [(k, d, v) for d in ("2020-02-02", "2020-03-01", "2020-04-01") for k, v in (("a", 1.0), ("b", None))]
+    assert got == sorted(want, key=str)
