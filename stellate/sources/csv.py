@@ -48,6 +48,8 @@ def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 #: Files up to this size are read whole, many by a task: opening one costs no less.
 SMALL_FILE = 1024 * 1024
+#: Entries of folders whose files one scan lists: the driver holds a listing of its files.
+LISTED = 20_000
 
 
 def first_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
@@ -56,19 +58,57 @@ def first_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> Data
     Small files are read whole, some hundred by a task, so tasks grow with the files' bytes and
     not with their number. Of a large file, a task reads one piece and stops after its first
     rows. The sessions that plan it so are its own.
+
+    A folder of more than ``LISTED`` entries in its folders is read some folders at a time,
+    the lines staged, so that the driver never holds a listing of all files. That needs
+    folders in it which are not that large themselves.
     """
+    from stellate.session import scratch_path
+
+    sessions = (_listing_session(spark, False), _listing_session(spark, True))
+    groups = _folder_groups(spark, path)
+    if len(groups) < 2:
+        return _lines(*sessions, path, encoding)
+    at = scratch_path(spark, "first-lines")
+    for group in groups:  # a group's frame, with its listing, is let go before the next
+        _lines(*sessions, group, encoding).write.mode("append").parquet(at)
+    return spark.read.schema("file string, line string").parquet(at)
 
-    def scan(small: bool) -> DataFrame:
-        session = spark.newSession()
-        most = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(session.conf.get("spark.sql.files.maxPartitionBytes")))
-        session.conf.set("spark.sql.files.openCostInBytes", str(min(SMALL_FILE // 4, most) if small else most))
-        session.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", "200")  # tasks that list folders
-        session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+
+def _folder_groups(spark: SparkSession, path: str) -> list[list[str]]:
+    """What is right below a folder, in groups of about ``LISTED`` entries: a file is one, a
+    folder has as many as its own listing. One group for anything but a large folder."""
+    files = Files(spark, path)
+    inside = files.readable(path)
+    groups: list[list[str]] = [[]]
+    room = LISTED
+    for name, is_folder in inside:
+        n = max(1, len(files.readable(name))) if is_folder and len(inside) <= LISTED else 1
+        if n > room and groups[-1]:
+            groups.append([])
+            room = LISTED
+        groups[-1].append(name)
+        room -= n
+    return groups
+
+
+def _listing_session(spark: SparkSession, small: bool) -> SparkSession:
+    session = spark.newSession()
+    most = int(spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(session.conf.get("spark.sql.files.maxPartitionBytes")))
+    session.conf.set("spark.sql.files.openCostInBytes", str(min(SMALL_FILE // 4, most) if small else most))
+    session.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", "200")  # tasks that list folders
+    session.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    session.conf.set("spark.sql.hive.filesourcePartitionFileCacheSize", "0")  # a listing is used once
+    return session
+
+
+def _lines(large_files: SparkSession, small_files: SparkSession, path: str | list[str], encoding: str) -> DataFrame:
+    def scan(session: SparkSession, small: bool) -> DataFrame:
         rows = session.read.option("encoding", encoding).option("recursiveFileLookup", True).text(path, wholetext=small)
         size = F.col("_metadata.file_size")  # leaves files out before they are opened
         return rows.where((size > 0) & (size <= SMALL_FILE) if small else size > SMALL_FILE)
 
-    large, small = scan(False), scan(True)
+    large, small = scan(large_files, False), scan(small_files, True)
     file = F.col("_metadata.file_path").alias("file")
     place = large.select(file, F.col("value").alias("line"), F.col("_metadata.file_block_start").alias("start"))
     line = F.regexp_extract("value", "^\ufeff?([^\r\n]*)", 1).alias("line")

@@ -114,3 +114,22 @@ def test_first_lines_of_many_files_need_few_tasks(spark, tmp_dir, monkeypatch):
     assert sorted(r["line"] for r in df.collect()) == want
     monkeypatch.setattr(C, "SMALL_FILE", 10)  # most are large now: read up to their first rows
     assert sorted(r["line"] for r in C.first_lines(spark, tmp_dir).collect()) == want
+
+
+def test_a_large_tree_is_listed_some_folders_at_a_time(spark, tmp_dir, monkeypatch):
+    """The driver never holds all files' listing; the lines are those of one scan."""
+    for i in range(12):
+        folder = os.path.join(tmp_dir, f"_users={i}" if i % 2 else f"users={i}")
+        for j in range(5):
+            os.makedirs(os.path.join(folder, f"part={j}"))
+            _write(folder, f"part={j}/a.csv", f"a,b{i}x{j}\n1,2\n")
+    os.makedirs(os.path.join(tmp_dir, "_hidden"))
+    _write(tmp_dir, "_hidden/a.csv", "no\n")
+    _write(tmp_dir, "loose.csv", "c,d\n")
+    want = sorted((r["file"], r["line"]) for r in C.first_lines(spark, tmp_dir).collect())
+    assert len(want) == 61
+    real, groups = C._lines, []
+    monkeypatch.setattr(C, "_lines", lambda a, b, path, e: (groups.append(path), real(a, b, path, e))[1])
+    monkeypatch.setattr(C, "LISTED", 14)
+    assert sorted((r["file"], r["line"]) for r in C.first_lines(spark, tmp_dir).collect()) == want
+    assert len(groups) == 6 and max(map(len, groups)) <= 3
